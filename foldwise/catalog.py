@@ -16,6 +16,7 @@ from foldwise import sqltext as S
 from foldwise.functions.prep import minmax_fit
 from foldwise.operators.splits import stratified_kfold
 from foldwise.plans.evaluate import knn_cross_validate, rounded_summary
+from foldwise.session import table
 from foldwise.sources import driver_tables as dt
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +70,218 @@ def knn_cv_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = stratified_kfold(df, 5, seed=42)
     res = knn_cross_validate(df, 5, classes=[str(i) for i in range(10)])
     return rounded_summary(res.summary)
+
+
+# =================================================================== B: prep
+from foldwise.functions import prep as P  # noqa: E402
+from foldwise.functions.common import rnd  # noqa: E402
+from foldwise.operators import splits as SP  # noqa: E402
+
+ORDERS_NULLS_SQL = """SELECT o_orderkey AS row_id,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS price,
+  CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS cust,
+  o_orderpriority AS label FROM orders"""
+
+
+def _orders_nulls(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("row_id"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("o_totalprice")).alias("price"),
+        F.when(F.col("o_custkey") % 5 == 0, F.lit(None)).otherwise(F.col("o_custkey").cast("double")).alias("cust"),
+        F.col("o_orderpriority").alias("label"))
+
+
+@register("missing_profile", f"""WITH t AS ({ORDERS_NULLS_SQL})
+SELECT column_name, n_missing, {S.r('n_missing * 100.0 / n')} AS pct_missing FROM (
+  SELECT 'price' AS column_name, CAST(count(*) FILTER (WHERE price IS NULL OR isnan(price)) AS BIGINT) AS n_missing, count(*) AS n FROM t
+  UNION ALL SELECT 'cust', CAST(count(*) FILTER (WHERE cust IS NULL OR isnan(cust)) AS BIGINT), count(*) FROM t)""")
+def q_missing_profile(spark, sf):
+    prof = P.missing_profile(_orders_nulls(spark, sf), ["price", "cust"])
+    return prof.select("column_name", F.col("n_missing").cast("bigint").alias("n_missing"),
+                       rnd("pct_missing").alias("pct_missing"))
+
+
+@register("impute_mean", f"""WITH t AS ({ORDERS_NULLS_SQL}),
+m AS (SELECT avg(price) AS mp, avg(cust) AS mc FROM t)
+SELECT row_id, {S.r('coalesce(price, mp)')} AS price, {S.r('coalesce(cust, mc)')} AS cust FROM t, m""")
+def q_impute_mean(spark, sf):
+    t = _orders_nulls(spark, sf)
+    imp = P.impute_mean_fit(t, ["price", "cust"])
+    out = imp.transform(t)
+    return out.select("row_id", rnd("price").alias("price"), rnd("cust").alias("cust"))
+
+
+@register("impute_zero", f"""WITH t AS ({ORDERS_NULLS_SQL})
+SELECT row_id, {S.r('coalesce(price, 0.0)')} AS price, {S.r('coalesce(cust, 0.0)')} AS cust FROM t""")
+def q_impute_zero(spark, sf):
+    out = P.impute_zero(_orders_nulls(spark, sf), ["price", "cust"])
+    return out.select("row_id", rnd("price").alias("price"), rnd("cust").alias("cust"))
+
+
+@register("one_hot", """WITH c AS (SELECT o_orderpriority AS v, CAST(row_number() OVER (ORDER BY o_orderpriority) AS BIGINT) AS class_pos
+  FROM (SELECT DISTINCT o_orderpriority FROM orders))
+SELECT o.o_orderkey AS row_id, c.class_pos, (o.o_orderpriority = c.v) AS is_set
+FROM orders o, c""")
+def q_one_hot(spark, sf):
+    o = dt.orders(spark, sf)
+    enc, classes = P.one_hot(o, "label")
+    return enc.select("row_id", F.posexplode("onehot").alias("p", "is_set")) \
+        .select("row_id", (F.col("p") + 1).cast("bigint").alias("class_pos"), "is_set")
+
+
+@register("one_hot_binary", """SELECT l.doc_id AS row_id, (CAST(l.toxic AS VARCHAR) = '0') AS is_first
+FROM labels l""")
+def q_one_hot_binary(spark, sf):
+    lab = table(spark, sf, "labels").select(F.col("doc_id").alias("row_id"), F.col("toxic").cast("string").alias("t"))
+    enc, classes = P.one_hot(lab, "t", classes=["0", "1"])
+    return enc.select("row_id", F.col("onehot")[0].alias("is_first"))
+
+
+@register("one_hot_decode", """WITH c AS (SELECT o_orderpriority AS v, CAST(row_number() OVER (ORDER BY o_orderpriority) AS BIGINT) AS class_pos
+  FROM (SELECT DISTINCT o_orderpriority FROM orders))
+SELECT o.o_orderkey AS row_id, o.o_orderpriority AS label, c.class_pos AS decoded
+FROM orders o JOIN c ON c.v = o.o_orderpriority""")
+def q_one_hot_decode(spark, sf):
+    o = dt.orders(spark, sf)
+    enc, _ = P.one_hot(o, "label")
+    return enc.select("row_id", "label", P.one_hot_decode("onehot").alias("decoded"))
+
+
+@register("parse_bool", """SELECT doc_id, (quality = 1) AS quality_b,
+  lower(trim(' ' || CAST(toxic AS VARCHAR) || ' ')) IN ('1','true','t','yes','y','up') AS toxic_b,
+  lower(trim(CASE WHEN toxic = 1 THEN ' Yes' ELSE 'no ' END)) IN ('1','true','t','yes','y','up') AS toxic_word_b
+FROM labels""")
+def q_parse_bool(spark, sf):
+    lab = table(spark, sf, "labels").select(
+        "doc_id", "quality", F.concat(F.lit(" "), F.col("toxic").cast("string"), F.lit(" ")).alias("toxic_s"),
+        F.when(F.col("toxic") == 1, F.lit(" Yes")).otherwise(F.lit("no ")).alias("toxic_w"))
+    return lab.select("doc_id", P.parse_bool(lab, "quality").alias("quality_b"),
+                      P.parse_bool(lab, "toxic_s").alias("toxic_b"),
+                      P.parse_bool(lab, "toxic_w").alias("toxic_word_b"))
+
+
+@register("to_float", f"""SELECT o_orderkey AS row_id, {S.r('CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE)')} AS price,
+  TRY_CAST(o_orderpriority AS DOUBLE) AS priority, TRY_CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS priority_num
+FROM orders""")
+def q_to_float(spark, sf):
+    o = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("row_id"), F.col("o_totalprice").cast("string").alias("p"),
+        "o_orderpriority", F.substring("o_orderpriority", 1, 1).alias("pn"))
+    return o.select("row_id", rnd(P.to_float("p")).alias("price"),
+                    P.to_float("o_orderpriority", strict=False).alias("priority"),
+                    P.to_float("pn", strict=False).alias("priority_num"))
+
+
+def _gap_sql(expr: str, tbl: str, name: str) -> str:
+    return f"""SELECT '{name}' AS column_name, CASE WHEN min(d) IS NULL THEN 0.0
+  WHEN bool_and(abs(round(d / m) - d / m) < 1e-3) THEN min(d) ELSE 0.0 END AS gap FROM (
+  SELECT d, min(d) OVER () AS m FROM (SELECT lead(v) OVER (ORDER BY v) - v AS d FROM
+   (SELECT DISTINCT CAST({expr} AS DOUBLE) AS v FROM {tbl})) WHERE d IS NOT NULL)"""
+
+
+@register("discrete_gap", f"""SELECT column_name, round(gap, 6) AS gap FROM (
+{_gap_sql('p_size', 'part', 'p_size')} UNION ALL {_gap_sql('p_retailprice', 'part', 'p_retailprice')}
+UNION ALL {_gap_sql('hour(ts)', 'events', 'hour')})""")
+def q_discrete_gap(spark, sf):
+    part = table(spark, sf, "part")
+    ev = dt.events(spark, sf)
+    out = None
+    for df, c, name in [(part, "p_size", "p_size"), (part, "p_retailprice", "p_retailprice"), (ev, "hour", "hour")]:
+        g = P.discrete_gap(df, c).select(F.lit(name).alias("column_name"), rnd("gap").alias("gap"))
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+CYCLIC_SQL = """WITH h AS (SELECT event_id, CAST(hour(ts) AS DOUBLE) AS hr FROM events),
+st AS (SELECT min(hr) AS lo, max(hr) AS hi FROM h),
+g AS (SELECT CASE WHEN bool_and(abs(round(d / m) - d / m) < 1e-3) THEN min(d) ELSE 0.0 END AS gap FROM (
+  SELECT d, min(d) OVER () AS m FROM (SELECT lead(v) OVER (ORDER BY v) - v AS d FROM (SELECT DISTINCT hr AS v FROM h))
+  WHERE d IS NOT NULL)),
+cy AS (SELECT event_id, hr, CASE WHEN lo = hi THEN 0.0 ELSE sin((hr - lo) / ((hi - lo) + gap) * (2 * pi())) END AS s,
+  CASE WHEN lo = hi THEN 1.0 ELSE cos((hr - lo) / ((hi - lo) + gap) * (2 * pi())) END AS c FROM h, st, g)"""
+
+
+@register("cyclical", CYCLIC_SQL + """
+SELECT event_id, CAST(hr AS BIGINT) AS hour, round(s, 6) AS hour_sin, round(c, 6) AS hour_cos FROM cy""")
+def q_cyclical(spark, sf):
+    ev = dt.events(spark, sf)
+    cyc = P.cyclical_fit(ev, "hour")
+    s, c = cyc.columns("hour")
+    return ev.select("event_id", F.col("hour").cast("bigint").alias("hour"), rnd(s).alias("hour_sin"),
+                     rnd(c).alias("hour_cos"))
+
+
+@register("minmax_scale", f"""WITH {EMB_BASE}, {EMB_MINMAX}
+SELECT row_id, CAST(pos AS BIGINT) AS pos, round(x, 6) AS x FROM sc""")
+def q_minmax(spark, sf):
+    df = dt.embeddings(spark, sf)
+    out = P.minmax_fit(df).transform(df)
+    return out.select("row_id", F.posexplode("features").alias("pos", "x")) \
+        .select("row_id", F.col("pos").cast("bigint").alias("pos"), rnd("x").alias("x"))
+
+
+@register("minmax_apply_holdout", f"""WITH {EMB_BASE},
+sp AS (SELECT row_id, CASE WHEN (row_number() OVER (ORDER BY {S.fold_key('row_id')}, row_id) - 1)
+  < round_even(count(*) OVER () * 0.3, 0) THEN 'test' ELSE 'train' END AS split FROM base),
+mm AS (SELECT pos, min(x) AS lo, max(x) AS hi FROM ex JOIN sp USING (row_id) WHERE split = 'train' GROUP BY pos)
+SELECT e.row_id, CAST(e.pos AS BIGINT) AS pos, round(CASE WHEN hi = lo THEN 0.0 ELSE (e.x - lo) / (hi - lo) END, 6) AS x
+FROM ex e JOIN mm ON e.pos = mm.pos JOIN sp USING (row_id) WHERE split = 'test'""")
+def q_minmax_apply(spark, sf):
+    df = SP.hold_out(dt.embeddings(spark, sf), 0.3)
+    train, test = df.where("split = 'train'"), df.where("split = 'test'")
+    out = P.minmax_fit(train).transform(test)
+    return out.select("row_id", F.posexplode("features").alias("pos", "x")) \
+        .select("row_id", F.col("pos").cast("bigint").alias("pos"), rnd("x").alias("x"))
+
+
+@register("zscore_scale", f"""WITH {EMB_BASE},
+zs AS (SELECT pos, avg(x) AS mu, coalesce(stddev_samp(x), 0.0) AS sd FROM ex GROUP BY pos)
+SELECT row_id, CAST(e.pos AS BIGINT) AS pos, round(CASE WHEN sd = 0 THEN 0.0 ELSE (x - mu) / sd END, 6) AS x
+FROM ex e JOIN zs ON e.pos = zs.pos""")
+def q_zscore(spark, sf):
+    df = dt.embeddings(spark, sf)
+    out = P.zscore_fit(df).transform(df)
+    return out.select("row_id", F.posexplode("features").alias("pos", "x")) \
+        .select("row_id", F.col("pos").cast("bigint").alias("pos"), rnd("x").alias("x"))
+
+
+@register("classify_outputs", f"""WITH {EMB_BASE}
+SELECT row_id, CAST(list_position(f, list_max(f)) AS BIGINT) AS predicted_pos, (f[1] >= 0.5) AS first_on FROM base""")
+def q_classify_outputs(spark, sf):
+    df = dt.embeddings(spark, sf)
+    oh = P.classify_outputs("features")
+    return df.select("row_id", P.one_hot_decode(oh).alias("predicted_pos"),
+                     P.classify_outputs(F.col("features")[0], 0.5, multi=False).alias("first_on"))
+
+
+PATTERN_SQL = """pat AS (SELECT vec_id AS row_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x >= 0) AS b FROM embeddings)"""
+
+
+@register("binarize", f"""WITH {PATTERN_SQL}
+SELECT row_id, array_to_string(list_transform(b, lambda x: CASE WHEN x THEN '1' ELSE '0' END), '') AS bits FROM pat""")
+def q_binarize(spark, sf):
+    df = dt.embeddings(spark, sf)
+    b = P.binarize("features", 0.0)
+    return df.select("row_id", F.array_join(F.transform(b, lambda x: F.when(x, "1").otherwise("0")), "").alias("bits"))
+
+
+@register("crop", f"""WITH {PATTERN_SQL}
+SELECT row_id, array_to_string(list_transform(range(0, 64), lambda i: CASE WHEN i % 8 >= 6 THEN '0'
+  WHEN b[i + 1] THEN '1' ELSE '0' END), '') AS bits FROM pat""")
+def q_crop(spark, sf):
+    df = dt.embeddings(spark, sf)
+    c = P.crop(P.binarize("features", 0.0), 8, 0.25)
+    return df.select("row_id", F.array_join(F.transform(c, lambda x: F.when(x, "1").otherwise("0")), "").alias("bits"))
+
+
+@register("rename_features", """SELECT CAST(p_size AS DOUBLE) AS x1, p_retailprice AS x2, CAST(p_size > 25 AS VARCHAR) AS label FROM part""")
+def q_rename(spark, sf):
+    p = table(spark, sf, "part").select(F.col("p_size").cast("double"), "p_retailprice",
+                                         (F.col("p_size") > 25).cast("string").alias("label"))
+    return P.rename_features(p)
+
+
+@register("drop_columns", """SELECT event_id, ts, user_id, event_type FROM events""")
+def q_drop(spark, sf):
+    return P.drop_columns(table(spark, sf, "events"), "value", "props")

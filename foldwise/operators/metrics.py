@@ -92,17 +92,23 @@ def _with_group(counts: DataFrame, group_cols):
 
 
 def per_class_cells(counts: DataFrame, classes: DataFrame, g: list) -> DataFrame:
-    tp = counts.where(F.col("actual") == F.col("predicted")).groupBy(*g, F.col("actual").alias("class")) \
-        .agg(F.sum("n").alias("tp"))
-    act = counts.groupBy(*g, F.col("actual").alias("class")).agg(F.sum("n").alias("n_actual"))
-    pred = counts.groupBy(*g, F.col("predicted").alias("class")).agg(F.sum("n").alias("n_pred"))
-    tot = counts.groupBy(*g).agg(F.sum("n").alias("total"))
-    cells = (classes.join(tp, [*g, "class"], "left").join(act, [*g, "class"], "left")
-             .join(pred, [*g, "class"], "left").join(tot, g, "left"))
+    """tp / fn / fp / tn of every class in ONE pass over the counts: each
+    cell (a, p, n) adds n to row a (and to tp when a = p) and to column p."""
+    contrib = F.explode(F.array(
+        F.struct(F.col("actual").alias("class"), F.col("n").alias("na"), F.lit(0).cast("bigint").alias("np"),
+                 F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0).cast("bigint").alias("tp")),
+        F.struct(F.col("predicted").alias("class"), F.lit(0).cast("bigint").alias("na"), F.col("n").alias("np"),
+                 F.lit(0).cast("bigint").alias("tp"))))
+    per = (counts.select(*g, contrib.alias("c")).select(*g, "c.*")
+           .groupBy(*g, "class").agg(F.sum("na").alias("n_actual"), F.sum("np").alias("n_pred"),
+                                      F.sum("tp").alias("tp")))
+    cells = classes.join(per, [*g, "class"], "left")
     z = F.lit(0)
     cells = cells.select(*g, "class", "class_idx",
                          F.coalesce("tp", z).alias("tp"), F.coalesce("n_actual", z).alias("n_actual"),
-                         F.coalesce("n_pred", z).alias("n_pred"), F.coalesce("total", z).alias("total"))
+                         F.coalesce("n_pred", z).alias("n_pred"))
+    # group total: classes per group are few, the window is over that small table
+    cells = cells.withColumn("total", F.sum("n_actual").over(Window.partitionBy(*g)))
     return cells.select(*g, "class", "class_idx", "tp", "n_actual", "total",
                         (F.col("n_actual") - F.col("tp")).alias("fn"),
                         (F.col("n_pred") - F.col("tp")).alias("fp"),

@@ -55,8 +55,10 @@ def top_k(d2: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return order[:, : min(k, d2.shape[1])]
 
 
-def _blocks(n: int, block_rows: int) -> int:
-    return max(1, math.ceil(n / block_rows))
+def _blocks(n: int, block_rows: int, parallelism: int = 1, min_rows: int = 256) -> int:
+    """Blocks of at most ``block_rows``; small inputs are still cut into up
+    to ``parallelism`` blocks (of >= ``min_rows``) so every core works."""
+    return max(1, math.ceil(n / block_rows), min(parallelism, math.ceil(n / min_rows)))
 
 
 def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id", did: str = "row_id",
@@ -71,8 +73,10 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
     ``within``: a column on both sides; queries only meet data rows with the
     same value (independent searches, e.g. bagging members, in one job).
     """
-    nq, nd = queries.count(), data.count()
-    nqb, ntb = _blocks(nq, block_rows), _blocks(nd, block_rows)
+    nq = queries.count()
+    nd = nq if data is queries else data.count()
+    par = queries.sparkSession.sparkContext.defaultParallelism
+    nqb, ntb = _blocks(nq, block_rows, par), _blocks(nd, block_rows)
     xq = [F.col(exclude_same).alias("_x")] if exclude_same else []
     xq += [F.col(within).alias("_w")] if within else [F.lit(0).alias("_w")]
     q = (queries.select(F.col(qid).alias("query_id"), F.col(features).alias("_f"), *xq)

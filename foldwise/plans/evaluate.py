@@ -30,7 +30,8 @@ class CVResult:
 def evaluate_predictions(pred: DataFrame, classes: list, fold: str = "fold",
                          weighted: bool = True, group_cols=()) -> CVResult:
     g = list(group_cols)
-    counts = M.confusion_counts(pred, "actual", "predicted", [*g, fold])
+    # (groups x folds x K^2) rows, reused by metrics and matrix: keep it
+    counts = M.confusion_counts(pred, "actual", "predicted", [*g, fold]).persist()
     fm = M.multiclass_metrics(counts, classes, [*g, fold], weighted)
     return CVResult(pred, fm, M.fold_summary(fm, g),
                     M.summed_matrix(M.confusion_matrix(counts, classes, [*g, fold]), g))
