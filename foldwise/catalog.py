@@ -23,11 +23,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _plus_zero(sql: str) -> str:
+    """``round(e, 6)`` -> ``(round(e, 6) + 0.0)``: a negative value that
+    rounds to zero gives -0.0 in DuckDB but 0.0 in Spark; adding +0.0 makes
+    both +0.0 so the value hashes agree."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        call = sql[j:k + 1]
+        inner = _plus_zero(call[6:-1])
+        call = "round(" + inner + ")"
+        if inner.replace(" ", "").endswith(",6"):
+            call = "(" + call + " + 0.0)"
+        out.append(sql[i:j])
+        out.append(call)
+        i = k + 1
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            ORACLE[name] = _plus_zero(sql.strip())
         return fn
     return deco
 
@@ -285,3 +318,204 @@ def q_rename(spark, sf):
 @register("drop_columns", """SELECT event_id, ts, user_id, event_type FROM events""")
 def q_drop(spark, sf):
     return P.drop_columns(table(spark, sf, "events"), "value", "props")
+
+
+# ================================================================ E, C: splits
+def _orders_keyed(spark, sf):
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("grp"),
+                                             F.col("o_orderpriority").alias("label"))
+
+
+def _rn(key: str, part: str = "") -> str:
+    p = f"PARTITION BY {part} " if part else ""
+    return f"(row_number() OVER ({p}ORDER BY {S.fold_key(key)}, {key}) - 1)"
+
+
+@register("hold_out", f"""SELECT o_orderkey AS row_id, CASE WHEN {_rn('o_orderkey')}
+  < round_even(count(*) OVER () * 0.2, 0) THEN 'test' ELSE 'train' END AS split FROM orders""")
+def q_hold_out(spark, sf):
+    return SP.hold_out(_orders_keyed(spark, sf), 0.2).select("row_id", "split")
+
+
+@register("hold_out3", f"""WITH t AS (SELECT o_orderkey AS row_id, {_rn('o_orderkey')} AS p, count(*) OVER () AS n FROM orders),
+s AS (SELECT row_id, p, n, n - round_even(n * (1 - 0.2), 0) AS nt FROM t),
+s2 AS (SELECT *, (n - nt) - round_even((n - nt) - 0.1 * n, 0) AS nv FROM s)
+SELECT row_id, CASE WHEN p < nt THEN 'test' WHEN p < nt + nv THEN 'val' ELSE 'train' END AS split FROM s2""")
+def q_hold_out3(spark, sf):
+    return SP.hold_out3(_orders_keyed(spark, sf), 0.1, 0.2).select("row_id", "split")
+
+
+@register("group_hold_out", f"""WITH g AS (SELECT grp, CASE WHEN {_rn('grp')} < round_even(count(*) OVER () * 0.25, 0)
+  THEN 'test' ELSE 'train' END AS split FROM (SELECT DISTINCT o_custkey AS grp FROM orders))
+SELECT o.o_orderkey AS row_id, o.o_custkey AS grp, g.split FROM orders o JOIN g ON g.grp = o.o_custkey""")
+def q_group_hold_out(spark, sf):
+    return SP.group_hold_out(_orders_keyed(spark, sf), 0.25).select("row_id", "grp", "split")
+
+
+@register("members", f"""WITH g AS (SELECT grp FROM (SELECT grp, {_rn('grp')} AS p, count(*) OVER () AS n
+  FROM (SELECT DISTINCT o_custkey AS grp FROM orders)) WHERE p < round_even(n * 0.25, 0))
+SELECT o_orderkey AS row_id, o_custkey AS grp FROM orders WHERE o_custkey IN (SELECT grp FROM g)""")
+def q_members(spark, sf):
+    o = _orders_keyed(spark, sf)
+    ids = SP.hold_out(o.select("grp").distinct(), 0.25, id_col="grp").where("split = 'test'")
+    return SP.members(o, ids, "grp").select("row_id", "grp")
+
+
+@register("kfold", f"""SELECT o_orderkey AS row_id, CAST({_rn('o_orderkey')} % 5 + 1 AS INTEGER) AS fold FROM orders""")
+def q_kfold(spark, sf):
+    return SP.kfold(_orders_keyed(spark, sf), 5).select("row_id", "fold")
+
+
+@register("stratified_kfold", f"""SELECT o_orderkey AS row_id, o_orderpriority AS label,
+  CAST({_rn('o_orderkey', 'o_orderpriority')} % 5 + 1 AS INTEGER) AS fold FROM orders""")
+def q_stratified_kfold(spark, sf):
+    return SP.stratified_kfold(_orders_keyed(spark, sf), 5).select("row_id", "label", "fold")
+
+
+@register("grouped_kfold", f"""WITH g AS (SELECT grp, CAST({_rn('grp')} % 4 + 1 AS INTEGER) AS fold
+  FROM (SELECT DISTINCT o_custkey AS grp FROM orders))
+SELECT g.fold, count(*) AS n_rows, count(DISTINCT o.o_custkey) AS n_groups
+FROM orders o JOIN g ON g.grp = o.o_custkey GROUP BY g.fold""")
+def q_grouped_kfold(spark, sf):
+    return SP.grouped_kfold_report(SP.grouped_kfold(_orders_keyed(spark, sf), 4))
+
+
+@register("split_by_fold", f"""WITH f AS (SELECT CAST({_rn('o_orderkey')} % 5 + 1 AS INTEGER) AS fold FROM orders),
+k AS (SELECT DISTINCT fold AS f FROM f)
+SELECT k.f AS fold, CAST(sum(CASE WHEN f.fold <> k.f THEN 1 ELSE 0 END) AS BIGINT) AS n_train,
+  CAST(sum(CASE WHEN f.fold = k.f THEN 1 ELSE 0 END) AS BIGINT) AS n_test FROM f, k GROUP BY k.f""")
+def q_split_by_fold(spark, sf):
+    d = SP.kfold(_orders_keyed(spark, sf), 5)
+    out = None
+    for f in range(1, 6):
+        tr, te = SP.split_by_fold(d, f)
+        one = tr.agg(F.count(F.lit(1)).alias("n_train")).withColumn("_k", F.lit(1)).join(
+            te.agg(F.count(F.lit(1)).alias("n_test")).withColumn("_k", F.lit(1)), "_k") \
+            .select(F.lit(f).alias("fold"), "n_train", "n_test")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+EVENTS_SEQ_SQL = "SELECT event_id, CAST(row_number() OVER (ORDER BY ts, event_id) - 1 AS BIGINT) AS seq FROM events"
+
+
+def _events_seq(spark, sf):
+    ev = dt.events(spark, sf).withColumn("ts_key", F.unix_micros(F.col("ts").cast("timestamp")))
+    return SP.row_seq(ev, "ts_key", "event_id")
+
+
+@register("batches", f"""SELECT event_id, seq, CAST(seq // 100 AS BIGINT) AS batch FROM ({EVENTS_SEQ_SQL})""")
+def q_batches(spark, sf):
+    return SP.batches(_events_seq(spark, sf), 100).select("event_id", "seq", "batch")
+
+
+@register("batches_shuffled", f"""SELECT event_id, CAST(({_rn('event_id')}) // 100 AS BIGINT) AS batch FROM events""")
+def q_batches_shuffled(spark, sf):
+    ev = dt.events(spark, sf)
+    return SP.batches(ev, 100, shuffle=True, id_col="event_id").select("event_id", "batch")
+
+
+@register("union_batches", f"""WITH s AS ({EVENTS_SEQ_SQL})
+SELECT CAST(CASE WHEN seq < 1000 THEN 0 ELSE 1 END AS INTEGER) AS part, count(*) AS n, min(seq) AS first_seq, max(seq) AS last_seq
+FROM s GROUP BY ALL""")
+def q_union_batches(spark, sf):
+    s = _events_seq(spark, sf)
+    u = SP.union_batches(s.where("seq < 1000"), s.where("seq >= 1000"))
+    return u.groupBy(F.col("part").cast("int").alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
+
+
+@register("select_rows", """SELECT l.l_linenumber AS ord, o.o_orderkey AS row_id, round(o.o_totalprice, 6) AS price
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey""")
+def q_select_rows(spark, sf):
+    picks = table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("ord"), F.col("l_orderkey").alias("row_id"))
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_id"), rnd("o_totalprice").alias("price"))
+    return SP.select_rows(o, picks)
+
+
+# ================================================================ D: statistics
+from foldwise.operators import stats as ST  # noqa: E402
+from foldwise.operators import scoring as G  # noqa: E402
+
+
+def _lineitem_long(spark, sf, label="l_returnflag"):
+    li = dt.lineitem(spark, sf, label)
+    return G.to_long(li, dt.LINEITEM_FEATURES, "label")
+
+
+LI_LONG_SQL = """li AS (SELECT l_returnflag AS label, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 WHEN 'R' THEN 3 END AS cls,
+  l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem),
+lg AS (SELECT cls, 'l_quantity' AS feature, l_quantity AS x FROM li UNION ALL SELECT cls, 'l_extendedprice', l_extendedprice FROM li
+  UNION ALL SELECT cls, 'l_discount', l_discount FROM li UNION ALL SELECT cls, 'l_tax', l_tax FROM li)"""
+
+
+@register("dataset_summary", """SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS n_features,
+  count(DISTINCT o_orderpriority) AS n_classes, count(DISTINCT o_custkey) AS n_groups FROM orders""")
+def q_dataset_summary(spark, sf):
+    return ST.dataset_summary(dt.orders(spark, sf), group="grp")
+
+
+@register("class_distribution", "SELECT l_returnflag AS label, count(*) AS n FROM lineitem GROUP BY 1")
+def q_class_distribution(spark, sf):
+    return ST.class_distribution(dt.lineitem(spark, sf))
+
+
+@register("histogram", f"""WITH {LI_LONG_SQL},
+st AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM lg GROUP BY feature)
+SELECT lg.feature, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) / (hi - lo) * 20), 19) END AS BIGINT) AS bin,
+  count(*) AS n FROM lg JOIN st ON st.feature = lg.feature GROUP BY ALL""")
+def q_histogram(spark, sf):
+    return ST.histogram(_lineitem_long(spark, sf), 20)
+
+
+@register("five_number", f"""WITH {LI_LONG_SQL}
+SELECT feature, round(min(x), 6) AS min, round(quantile_cont(x, 0.25), 6) AS q1, round(quantile_cont(x, 0.5), 6) AS median,
+  round(quantile_cont(x, 0.75), 6) AS q3, round(max(x), 6) AS max FROM lg GROUP BY feature""")
+def q_five_number(spark, sf):
+    f = ST.five_number(_lineitem_long(spark, sf))
+    return f.select("feature", *[rnd(c).alias(c) for c in ["min", "q1", "median", "q3", "max"]])
+
+
+@register("correlation_matrix", f"""WITH {EMB_BASE},
+e10 AS (SELECT row_id, pos, x FROM ex WHERE pos < 10),
+p AS (SELECT a.pos AS i, b.pos AS j, a.x AS xi, b.x AS xj FROM e10 a JOIN e10 b ON a.row_id = b.row_id)
+SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, round(CASE WHEN stddev_pop(xi) * stddev_pop(xj) = 0 THEN NULL
+  ELSE covar_pop(xi, xj) / (stddev_pop(xi) * stddev_pop(xj)) END, 6) AS r FROM p GROUP BY i, j""")
+def q_correlation_matrix(spark, sf):
+    df = dt.embeddings(spark, sf)
+    lg = df.select("row_id", F.posexplode(F.slice("features", 1, 10)).alias("feature", "x"))
+    cm = ST.correlation_matrix(lg)
+    return cm.select(F.col("fi").cast("bigint").alias("i"), F.col("fj").cast("bigint").alias("j"), rnd("r").alias("r"))
+
+
+@register("first_per_class", f"""WITH {EMB_BASE}
+SELECT label, min(row_id) AS row_id, round(arg_min(f[1], row_id), 6) AS x1 FROM base GROUP BY label""")
+def q_first_per_class(spark, sf):
+    df = dt.embeddings(spark, sf).select("row_id", "label", F.col("features")[0].alias("x1"))
+    return ST.first_per_class(df).select("label", "row_id", rnd("x1").alias("x1"))
+
+
+@register("mean_template", f"""WITH {EMB_BASE}
+SELECT label, CAST(pos AS BIGINT) AS pos, round(avg(x), 6) AS mean FROM ex GROUP BY label, pos""")
+def q_mean_template(spark, sf):
+    m = ST.mean_template(dt.embeddings(spark, sf))
+    return m.select("label", F.col("pos").cast("bigint").alias("pos"), rnd("mean").alias("mean"))
+
+
+@register("hebbian_weights", f"""WITH {EMB_BASE},
+pm AS (SELECT row_id, pos, CASE WHEN x >= 0 THEN 1.0 ELSE -1.0 END AS s FROM ex),
+n AS (SELECT count(*) AS n FROM base)
+SELECT CAST(a.pos AS BIGINT) AS i, CAST(b.pos AS BIGINT) AS j,
+  round(CASE WHEN a.pos = b.pos THEN 0.0 ELSE sum(a.s * b.s) / max(n.n) END, 6) AS w
+FROM pm a JOIN pm b ON a.row_id = b.row_id, n GROUP BY a.pos, b.pos""")
+def q_hebbian(spark, sf):
+    w = ST.hebbian_weights(dt.embeddings(spark, sf), 64)
+    return w.select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), rnd("w").alias("w"))
+
+
+@register("covariance", f"""WITH {EMB_BASE}
+SELECT CAST(a.pos AS BIGINT) AS i, CAST(b.pos AS BIGINT) AS j, round(covar_samp(a.x, b.x), 6) AS cov
+FROM ex a JOIN ex b ON a.row_id = b.row_id GROUP BY a.pos, b.pos""")
+def q_covariance(spark, sf):
+    c = ST.covariance(dt.embeddings(spark, sf), 64)
+    return c.select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), rnd("cov").alias("cov"))

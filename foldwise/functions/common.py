@@ -11,7 +11,7 @@ DIGITS = 6
 
 def rnd(c: Column | str, digits: int = DIGITS) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), digits)
+    return F.round(c.cast("double"), digits) + F.lit(0.0)
 
 
 def ratio(num: Column, den: Column, default: float | Column) -> Column:
