@@ -519,3 +519,328 @@ FROM ex a JOIN ex b ON a.row_id = b.row_id GROUP BY a.pos, b.pos""")
 def q_covariance(spark, sf):
     c = ST.covariance(dt.embeddings(spark, sf), 64)
     return c.select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), rnd("cov").alias("cov"))
+
+
+# ================================================================= D: metrics
+from foldwise.operators import compare as CMP  # noqa: E402
+from foldwise.operators import metrics as M  # noqa: E402
+
+PART_RULES = [  # method name, predicate on part (Spark expression text == SQL text)
+    ("price_1500", "p_retailprice >= 1500"),
+    ("size_26", "p_size >= 26"),
+    ("size_20", "p_size >= 20"),
+    ("price_1200", "p_retailprice >= 1200"),
+    ("price_lt_1000", "p_retailprice < 1000"),
+]
+
+
+def _part_rule_predictions(spark, sf):
+    """(row_id, fold, method, actual, predicted) for five fixed rules."""
+    p = table(spark, sf, "part").select(F.col("p_partkey").alias("row_id"), "p_size", "p_retailprice")
+    p = SP.kfold(p, 5)
+    rules = F.array(*[F.struct(F.lit(n).alias("method"), F.expr(e).cast("string").alias("predicted"))
+                      for n, e in PART_RULES])
+    return p.select("row_id", "fold", (F.col("p_size") > 25).cast("string").alias("actual"),
+                    F.inline(rules))
+
+
+PART_RULES_SQL = "part_pred AS (" + " UNION ALL ".join(
+    f"SELECT p_partkey AS row_id, f.fold, '{n}' AS method, CAST(p_size > 25 AS VARCHAR) AS actual, "
+    f"CAST({e} AS VARCHAR) AS predicted FROM part JOIN part_folds f ON f.row_id = p_partkey" for n, e in PART_RULES) + ")"
+PART_FOLDS_SQL = f"part_folds AS (SELECT p_partkey AS row_id, CAST({_rn('p_partkey')} % 5 + 1 AS INTEGER) AS fold FROM part)"
+
+
+@register("accuracy", f"""WITH {PART_FOLDS_SQL}, {PART_RULES_SQL}
+SELECT method, round(avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM part_pred GROUP BY method""")
+def q_accuracy(spark, sf):
+    a = M.accuracy(_part_rule_predictions(spark, sf), "actual", "predicted", ["method"])
+    return a.select("method", rnd("accuracy").alias("accuracy"))
+
+
+def _binary_select(prefix_cols: str = "") -> str:
+    return f"""SELECT {prefix_cols}CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp,
+  round(CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn), 6) AS accuracy,
+  round(1 - CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn), 6) AS error_rate,
+  round(CASE WHEN tp + fn = 0 THEN 1.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END, 6) AS recall,
+  round(CASE WHEN tn + fp = 0 THEN 1.0 ELSE CAST(tn AS DOUBLE) / (tn + fp) END, 6) AS specificity,
+  round(CASE WHEN tp + fp = 0 THEN 1.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END, 6) AS precision,
+  round(CASE WHEN tn + fn = 0 THEN 1.0 ELSE CAST(tn AS DOUBLE) / (tn + fn) END, 6) AS npv,
+  round(CASE WHEN rc = 0 AND pp = 0 THEN 0.0 ELSE 2 * rc * pp / (rc + pp) END, 6) AS f1 FROM (
+  SELECT *, CASE WHEN tp + fn = 0 THEN 1.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END AS rc,
+    CASE WHEN tp + fp = 0 THEN 1.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS pp FROM cells)"""
+
+
+def _round_metrics(df, keys=(), cells=()):
+    return df.select(*keys, *[F.col(c).cast("bigint").alias(c) for c in cells], *[rnd(m).alias(m) for m in M.METRICS])
+
+
+@register("confusion_binary", f"""WITH cells AS (SELECT
+  count(*) FILTER (WHERE NOT (p_size > 25) AND NOT (p_retailprice >= 1500)) AS tn,
+  count(*) FILTER (WHERE NOT (p_size > 25) AND (p_retailprice >= 1500)) AS fp,
+  count(*) FILTER (WHERE (p_size > 25) AND NOT (p_retailprice >= 1500)) AS fn,
+  count(*) FILTER (WHERE (p_size > 25) AND (p_retailprice >= 1500)) AS tp FROM part)
+{_binary_select()}""")
+def q_confusion_binary(spark, sf):
+    p = table(spark, sf, "part").select((F.col("p_size") > 25).alias("actual"), "p_retailprice")
+    c = M.confusion_binary(p, "actual", F.col("p_retailprice") / 1500.0, threshold=1.0)
+    return _round_metrics(c, cells=["tn", "fp", "fn", "tp"])
+
+
+@register("confusion_binary_by_fold", f"""WITH {PART_FOLDS_SQL}, {PART_RULES_SQL},
+cells AS (SELECT method, fold, count(*) FILTER (WHERE actual = 'false' AND predicted = 'false') AS tn,
+  count(*) FILTER (WHERE actual = 'false' AND predicted = 'true') AS fp,
+  count(*) FILTER (WHERE actual = 'true' AND predicted = 'false') AS fn,
+  count(*) FILTER (WHERE actual = 'true' AND predicted = 'true') AS tp FROM part_pred GROUP BY method, fold)
+{_binary_select('method, fold, ')}""")
+def q_confusion_binary_by_fold(spark, sf):
+    p = _part_rule_predictions(spark, sf).select(
+        "method", "fold", (F.col("actual") == "true").alias("a"), (F.col("predicted") == "true").alias("p"))
+    c = M.confusion_binary(p, "a", "p", ["method", "fold"])
+    return _round_metrics(c, ["method", "fold"], ["tn", "fp", "fn", "tp"])
+
+
+LI_RULE = "CASE WHEN l_discount < 0.03 THEN 'A' WHEN l_discount < 0.07 THEN 'N' ELSE 'R' END"
+
+
+def _li_rule_counts(spark, sf):
+    li = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("actual"), F.expr(LI_RULE).alias("predicted"))
+    return M.confusion_counts(li, "actual", "predicted")
+
+
+def _metric_sql(counts_sql: str, keys, classes, weighted, select_keys=""):
+    met, out = S.metrics_ctes("cnt", list(keys), classes, weighted)
+    cols = ", ".join(f"round({m}, 6) AS {m}" for m in M.METRICS)
+    return f"""WITH cnt AS ({counts_sql}),
+{met}
+SELECT {select_keys}n, {cols} FROM {out}"""
+
+
+LI_COUNTS_SQL = f"SELECT l_returnflag AS actual, {LI_RULE} AS predicted, count(*) AS n FROM lineitem GROUP BY ALL"
+
+
+@register("confusion_multiclass", _metric_sql(LI_COUNTS_SQL, [], ["A", "N", "R"], True))
+def q_confusion_multiclass(spark, sf):
+    m = M.multiclass_metrics(_li_rule_counts(spark, sf), ["A", "N", "R"], weighted=True)
+    return _round_metrics(m, cells=["n"])
+
+
+@register("confusion_multiclass_macro", _metric_sql(LI_COUNTS_SQL, [], ["A", "N", "R"], False))
+def q_confusion_multiclass_macro(spark, sf):
+    m = M.multiclass_metrics(_li_rule_counts(spark, sf), ["A", "N", "R"], weighted=False)
+    return _round_metrics(m, cells=["n"])
+
+
+@register("confusion_matrix", f"""WITH cnt AS ({LI_COUNTS_SQL}),
+cl AS (SELECT * FROM (VALUES ('A'), ('N'), ('R')) t(c))
+SELECT a.c AS actual, p.c AS predicted, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n FROM cl a CROSS JOIN cl p
+LEFT JOIN cnt ON cnt.actual = a.c AND cnt.predicted = p.c""")
+def q_confusion_matrix(spark, sf):
+    return M.confusion_matrix(_li_rule_counts(spark, sf), ["A", "N", "R"])
+
+
+ORD_RULE = "CASE WHEN o_totalprice < 50000 THEN '1-URGENT' WHEN o_totalprice < 150000 THEN '3-MEDIUM' ELSE '5-LOW' END"
+
+
+@register("confusion_labels", _metric_sql(
+    f"SELECT o_orderpriority AS actual, {ORD_RULE} AS predicted, count(*) AS n FROM orders GROUP BY ALL", [], None, True))
+def q_confusion_labels(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("actual"), F.expr(ORD_RULE).alias("predicted"))
+    return _round_metrics(M.confusion_labels(o, "actual", "predicted"), cells=["n"])
+
+
+@register("confusion_report", f"""WITH cnt AS ({LI_COUNTS_SQL}),
+{S.metrics_ctes('cnt', [], ['A', 'N', 'R'], True)[0]}
+SELECT metric, round(value, 6) AS value FROM (UNPIVOT m_out ON {', '.join(M.METRICS)} INTO NAME metric VALUE value)""")
+def q_confusion_report(spark, sf):
+    m = M.multiclass_metrics(_li_rule_counts(spark, sf), ["A", "N", "R"])
+    return M.confusion_report(m).select("metric", rnd("value").alias("value"))
+
+
+PART_COUNTS_SQL = "SELECT method, fold, actual, predicted, count(*) AS n FROM part_pred GROUP BY ALL"
+
+
+def _fold_summary_sql(weighted=True):
+    met, out = S.metrics_ctes("cnt", ["method", "fold"], ["false", "true"], weighted)
+    return f"""WITH {PART_FOLDS_SQL}, {PART_RULES_SQL},
+cnt AS ({PART_COUNTS_SQL}),
+{met}
+{S.summary_select(out, ['method'])}"""
+
+
+@register("fold_summary", _fold_summary_sql())
+def q_fold_summary(spark, sf):
+    from foldwise.plans.evaluate import evaluate_predictions
+    res = evaluate_predictions(_part_rule_predictions(spark, sf), ["false", "true"], group_cols=["method"])
+    return rounded_summary(res.summary, keep=["method"])
+
+
+@register("fold_matrix_sum", f"""WITH {PART_FOLDS_SQL}, {PART_RULES_SQL}
+SELECT method, actual, predicted, count(*) AS n FROM part_pred GROUP BY ALL""")
+def q_fold_matrix_sum(spark, sf):
+    from foldwise.plans.evaluate import evaluate_predictions
+    res = evaluate_predictions(_part_rule_predictions(spark, sf), ["false", "true"], group_cols=["method"])
+    return res.matrix.where("n > 0")
+
+
+@register("repetition_mean", f"""WITH {PART_FOLDS_SQL}, {PART_RULES_SQL},
+rep AS (SELECT fold, CAST(substr(method, 1, 4) AS VARCHAR) AS family, method AS rep,
+  avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END) AS accuracy FROM part_pred GROUP BY ALL),
+pf AS (SELECT family, fold, avg(accuracy) AS accuracy FROM rep GROUP BY ALL)
+SELECT family, CAST(count(*) AS BIGINT) AS n_folds, round(avg(accuracy), 6) AS accuracy_mean, round(stddev_samp(accuracy), 6) AS accuracy_std
+FROM pf GROUP BY family""")
+def q_repetition_mean(spark, sf):
+    p = _part_rule_predictions(spark, sf).withColumn("family", F.substring("method", 1, 4))
+    rep = p.groupBy("fold", "family", F.col("method").alias("rep")).agg(
+        F.avg((F.col("actual") == F.col("predicted")).cast("double")).alias("accuracy"))
+    for m in M.METRICS[1:]:
+        rep = rep.withColumn(m, F.lit(0.0))
+    s = M.repetition_mean(rep, "fold", ["family"])
+    return s.select("family", F.col("n_folds").cast("bigint"), rnd("accuracy_mean").alias("accuracy_mean"),
+                    rnd("accuracy_std").alias("accuracy_std"))
+
+
+# ============================================================ E9-E13: compare
+PRICE_T = [1000, 1200, 1500, 1800]
+SIZE_T = [10, 20, 26, 30]
+
+
+def _sweep_results(spark, sf):
+    p = table(spark, sf, "part").select("p_size", "p_retailprice")
+    cfg = F.array(*[F.struct(F.lit("price").alias("model"), F.lit(i).alias("config_id"),
+                             (F.col("p_retailprice") >= t).alias("pred")) for i, t in enumerate(PRICE_T)],
+                  *[F.struct(F.lit("size").alias("model"), F.lit(i).alias("config_id"),
+                             (F.col("p_size") >= t).alias("pred")) for i, t in enumerate(SIZE_T)])
+    x = p.select((F.col("p_size") > 25).alias("actual"), F.inline(cfg))
+    return x.groupBy("model", "config_id").agg(F.avg((F.col("actual") == F.col("pred")).cast("double")).alias("acc_mean"))
+
+
+SWEEP_SQL = "sweep AS (" + " UNION ALL ".join(
+    [f"SELECT 'price' AS model, {i} AS config_id, avg(CASE WHEN (p_size > 25) = (p_retailprice >= {t}) THEN 1.0 ELSE 0.0 END) AS acc_mean FROM part"
+     for i, t in enumerate(PRICE_T)] +
+    [f"SELECT 'size', {i}, avg(CASE WHEN (p_size > 25) = (p_size >= {t}) THEN 1.0 ELSE 0.0 END) FROM part"
+     for i, t in enumerate(SIZE_T)]) + ")"
+
+
+@register("leaderboard", f"""WITH {SWEEP_SQL}
+SELECT model, CAST(config_id AS INTEGER) AS config_id, round(acc_mean, 6) AS acc_mean,
+  CAST(row_number() OVER (PARTITION BY model ORDER BY acc_mean DESC, config_id) AS BIGINT) AS model_rank,
+  CASE WHEN row_number() OVER (PARTITION BY model ORDER BY acc_mean DESC, config_id) = 1 THEN '*' ELSE '' END AS best FROM sweep""")
+def q_leaderboard(spark, sf):
+    lb = CMP.leaderboard(_sweep_results(spark, sf))
+    return lb.select("model", F.col("config_id").cast("int"), rnd("acc_mean").alias("acc_mean"), "model_rank", "best")
+
+
+RANKS_SQL = """acc AS (SELECT fold, method, avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END) AS value FROM part_pred GROUP BY ALL),
+rk AS (SELECT fold, method, value, CAST(rank() OVER (PARTITION BY fold ORDER BY value DESC) AS DOUBLE)
+  + (count(*) OVER (PARTITION BY fold, value) - 1) / 2.0 AS rank FROM acc)"""
+
+
+def _ranks(spark, sf):
+    acc = CMP.per_fold_comparison(_part_rule_predictions(spark, sf), model="method")
+    return CMP.tied_ranks(acc)
+
+
+@register("tied_ranks", f"""WITH {PART_FOLDS_SQL}, {PART_RULES_SQL}, {RANKS_SQL}
+SELECT fold, method, round(value, 6) AS value, round(rank, 6) AS rank FROM rk""")
+def q_tied_ranks(spark, sf):
+    return _ranks(spark, sf).select("fold", "method", rnd("value").alias("value"), rnd("rank").alias("rank"))
+
+
+@register("per_fold_comparison", f"""WITH {PART_FOLDS_SQL}, {PART_RULES_SQL}
+SELECT fold, method, round(avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END), 6) AS value FROM part_pred GROUP BY ALL""")
+def q_per_fold_comparison(spark, sf):
+    acc = CMP.per_fold_comparison(_part_rule_predictions(spark, sf), model="method")
+    return acc.select("fold", "method", rnd("value").alias("value"))
+
+
+Q_SQL = "[" + ", ".join(str(v) for v in CMP.Q_ALPHA_05) + "]"
+
+
+@register("nemenyi_cd", f"""WITH {PART_FOLDS_SQL}, {PART_RULES_SQL}, {RANKS_SQL},
+kn AS (SELECT count(DISTINCT method) AS k, count(DISTINCT fold) AS nb FROM rk)
+SELECT method, round(avg(rank), 6) AS mean_rank, CAST(max(k) AS BIGINT) AS k, CAST(max(nb) AS BIGINT) AS n_blocks,
+  round(max({Q_SQL}[k] * sqrt(k * (k + 1) / (6.0 * nb))), 6) AS cd FROM rk, kn GROUP BY method""")
+def q_nemenyi_cd(spark, sf):
+    cd = CMP.nemenyi_cd(_ranks(spark, sf))
+    return cd.select("method", rnd("mean_rank").alias("mean_rank"), F.col("k").cast("bigint"),
+                     F.col("n_blocks").cast("bigint"), rnd("cd").alias("cd"))
+
+
+@register("nemenyi_groups")
+def q_nemenyi_groups(spark, sf):
+    return CMP.nemenyi_groups(CMP.nemenyi_cd(_ranks(spark, sf)))
+
+
+@register("ordinal_rank", f"""WITH {EMB_BASE}
+SELECT row_id, CAST(pos AS BIGINT) AS pos, CAST(row_number() OVER (PARTITION BY pos ORDER BY x, row_id) AS BIGINT) AS rank FROM ex""")
+def q_ordinal_rank(spark, sf):
+    from foldwise.operators.ranking import ordinal_rank
+    lg = dt.embeddings(spark, sf).select("row_id", F.posexplode("features").alias("pos", "x"))
+    r = ordinal_rank(lg, "pos", "x", "row_id")
+    return r.select("row_id", F.col("pos").cast("bigint"), F.col("rank").cast("bigint"))
+
+
+# ================================================================ G: scoring
+@register("kendall_score", f"""WITH {LI_LONG_SQL},
+cnt AS (SELECT feature, x, cls, count(*) AS n FROM lg GROUP BY ALL),
+full_ AS (SELECT v.feature, v.x, c.cls, coalesce(cnt.n, 0) AS n FROM (SELECT DISTINCT feature, x FROM cnt) v
+  CROSS JOIN (SELECT DISTINCT cls FROM lg) c LEFT JOIN cnt ON cnt.feature = v.feature AND cnt.x = v.x AND cnt.cls = c.cls),
+bl AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY feature, cls ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM full_),
+lw AS (SELECT *, coalesce(sum(below) OVER (PARTITION BY feature, x ORDER BY cls ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below_lower FROM bl),
+cc AS (SELECT feature, sum(n * below_lower) AS conc, CAST(sum(n) AS DOUBLE) AS nr FROM lw GROUP BY feature)
+SELECT feature, round((2 * conc - nr * (nr - 1) / 2) / (0.5 * nr * nr), 6) AS score FROM cc""")
+def q_kendall(spark, sf):
+    return G.kendall_score(_lineitem_long(spark, sf)).select("feature", rnd("score").alias("score"))
+
+
+@register("anova_score", f"""WITH {LI_LONG_SQL},
+per AS (SELECT feature, cls, count(*) AS n, avg(x) AS m, var_pop(x) AS v FROM lg GROUP BY ALL),
+tot AS (SELECT feature, avg(x) AS mu FROM lg GROUP BY ALL),
+a AS (SELECT per.feature, sum(n * (m - mu) * (m - mu)) AS ssb, sum(n * v) AS ssw FROM per JOIN tot ON per.feature = tot.feature GROUP BY ALL)
+SELECT feature, round(CASE WHEN ssw = 0 THEN NULL ELSE ssb / ssw END, 6) AS score FROM a""")
+def q_anova(spark, sf):
+    return G.anova_ratio(_lineitem_long(spark, sf)).select("feature", rnd("score").alias("score"))
+
+
+@register("pearson_score", f"""WITH {LI_LONG_SQL}
+SELECT feature, round(CASE WHEN stddev_pop(x) * stddev_pop(CAST(cls AS DOUBLE)) = 0 THEN NULL
+  ELSE covar_pop(x, CAST(cls AS DOUBLE)) / (stddev_pop(x) * stddev_pop(CAST(cls AS DOUBLE))) END, 6) AS score FROM lg GROUP BY feature""")
+def q_pearson(spark, sf):
+    return G.pearson_score(_lineitem_long(spark, sf)).select("feature", rnd("score").alias("score"))
+
+
+EMB_LONG_SQL = f"""{EMB_BASE},
+lg AS (SELECT row_id, CAST(label AS INTEGER) + 1 AS cls, 'x' || CAST(pos + 1 AS VARCHAR) AS feature, x FROM ex)"""
+
+
+@register("spearman_score", f"""WITH {EMB_LONG_SQL},
+rk AS (SELECT feature, CAST(row_number() OVER (PARTITION BY feature ORDER BY x, row_id) AS DOUBLE) AS rx,
+  CAST(row_number() OVER (PARTITION BY feature ORDER BY cls, row_id) AS DOUBLE) AS ry FROM lg)
+SELECT feature, round(CASE WHEN stddev_pop(rx) * stddev_pop(ry) = 0 THEN NULL
+  ELSE covar_pop(rx, ry) / (stddev_pop(rx) * stddev_pop(ry)) END, 6) AS score FROM rk GROUP BY feature""")
+def q_spearman(spark, sf):
+    lg = G.vector_to_long(dt.embeddings(spark, sf), classes=[str(i) for i in range(10)])
+    return G.spearman_score(lg).select("feature", rnd("score").alias("score"))
+
+
+@register("mutual_information", f"""WITH {LI_LONG_SQL},
+st AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM lg GROUP BY ALL),
+c AS (SELECT lg.feature, CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) / (hi - lo) * 10), 9) END AS bin, cls, count(*) AS n
+  FROM lg JOIN st ON st.feature = lg.feature GROUP BY ALL),
+c2 AS (SELECT *, sum(n) OVER (PARTITION BY feature) AS nn, sum(n) OVER (PARTITION BY feature, bin) AS nb,
+  sum(n) OVER (PARTITION BY feature, cls) AS nc FROM c)
+SELECT feature, round(sum((CAST(n AS DOUBLE) / nn) * ln((CAST(n AS DOUBLE) * nn) / (CAST(nb AS DOUBLE) * nc))), 6) AS score
+FROM c2 GROUP BY feature""")
+def q_mutual_information(spark, sf):
+    return G.mutual_information(_lineitem_long(spark, sf), 10).select("feature", rnd("score").alias("score"))
+
+
+@register("prune_columns", """WITH lg AS (SELECT CASE WHEN p_size > 25 THEN 0 ELSE 1 END AS cls, 'p_size' AS feature, CAST(p_size AS DOUBLE) AS x FROM part
+  UNION ALL SELECT CASE WHEN p_size > 25 THEN 0 ELSE 1 END, 'p_retailprice', p_retailprice FROM part),
+sc AS (SELECT feature, CASE WHEN stddev_pop(x) * stddev_pop(CAST(cls AS DOUBLE)) = 0 THEN NULL
+  ELSE covar_pop(x, CAST(cls AS DOUBLE)) / (stddev_pop(x) * stddev_pop(CAST(cls AS DOUBLE))) END AS score FROM lg GROUP BY feature)
+SELECT feature FROM sc WHERE score IS NOT NULL AND abs(score) >= 0.1""")
+def q_prune_columns(spark, sf):
+    p = table(spark, sf, "part").select("p_size", "p_retailprice", (F.col("p_size") > 25).cast("string").alias("label"))
+    lg = G.to_long(p, ["p_size", "p_retailprice"], "label", classes=["false", "true"])
+    return G.prune_columns(G.pearson_score(lg), "pearson")

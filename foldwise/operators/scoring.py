@@ -117,10 +117,10 @@ def mutual_information(long_df: DataFrame, bins: int = 10) -> DataFrame:
         F.least(F.floor((F.col("x") - F.col("lo")) / width * bins), F.lit(bins - 1))).cast("int")
     cells = j.groupBy("feature", b.alias("bin"), "cls").agg(F.count(F.lit(1)).alias("n"))
     wf = Window.partitionBy("feature")
-    cells = (cells.withColumn("N", F.sum("n").over(wf))
+    cells = (cells.withColumn("n_all", F.sum("n").over(wf))
              .withColumn("nb", F.sum("n").over(Window.partitionBy("feature", "bin")))
              .withColumn("nc", F.sum("n").over(Window.partitionBy("feature", "cls"))))
-    term = (F.col("n") / F.col("N")) * F.log((F.col("n") * F.col("N")) / (F.col("nb") * F.col("nc")))
+    term = (F.col("n") / F.col("n_all")) * F.log((F.col("n") * F.col("n_all")) / (F.col("nb") * F.col("nc")))
     return cells.groupBy("feature").agg(F.sum(term).alias("score"))
 
 
