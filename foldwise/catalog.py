@@ -844,3 +844,67 @@ def q_prune_columns(spark, sf):
     p = table(spark, sf, "part").select("p_size", "p_retailprice", (F.col("p_size") > 25).cast("string").alias("label"))
     lg = G.to_long(p, ["p_size", "p_retailprice"], "label", classes=["false", "true"])
     return G.prune_columns(G.pearson_score(lg), "pearson")
+
+
+# ================================================================ W: streams
+from foldwise.streaming import prequential as W  # noqa: E402
+
+WIN, BAT, KNN_K = 1000, 500, 9
+
+
+def _stream_table(spark, sf):
+    """events ordered by (ts, event_id) -> seq, features (value, sin/cos
+    hour with fitted cyclical parameters), label purchase."""
+    s = _events_seq(spark, sf)
+    cyc = P.cyclical_fit(s, "hour")
+    out = W.stream_features(s, cyc, ["value"])
+    return out.select("event_id", "seq", "features", F.col("label").cast("string").alias("label"))
+
+
+STREAM_SQL = CYCLIC_SQL.replace("WITH h AS (SELECT event_id, CAST(hour(ts) AS DOUBLE) AS hr FROM events)",
+                                "WITH h AS (SELECT event_id, ts, value, event_type, CAST(hour(ts) AS DOUBLE) AS hr FROM events)") + """,
+cy2 AS (SELECT h.event_id, h.ts, h.value, h.event_type, cy.s, cy.c FROM h JOIN cy ON cy.event_id = h.event_id),
+feat AS (SELECT CAST(row_number() OVER (ORDER BY ts, event_id) - 1 AS BIGINT) AS seq, event_id,
+  CAST(event_type = 'purchase' AS VARCHAR) AS label, round(value, 9) AS f1, round(s, 9) AS f2, round(c, 9) AS f3 FROM cy2)"""
+
+
+@register("stream_layout", f"""WITH s AS ({EVENTS_SEQ_SQL})
+SELECT event_id, seq, CAST(CASE WHEN seq < {WIN} THEN -1 ELSE (seq - {WIN}) // {BAT} END AS BIGINT) AS batch FROM s""")
+def q_stream_layout(spark, sf):
+    return W.stream_layout(_events_seq(spark, sf), WIN, BAT).select("event_id", "seq", "batch")
+
+
+@register("stream_memory", f"""WITH s AS ({EVENTS_SEQ_SQL}),
+b AS (SELECT DISTINCT (seq - {WIN}) // {BAT} AS batch FROM s WHERE seq >= {WIN})
+SELECT CAST(b.batch AS BIGINT) AS batch, count(*) AS n_memory, min(s.seq) AS first_seq, max(s.seq) AS last_seq
+FROM b JOIN s ON s.seq >= b.batch * {BAT} AND s.seq < b.batch * {BAT} + {WIN} GROUP BY b.batch""")
+def q_stream_memory(spark, sf):
+    return W.memory_summary(_events_seq(spark, sf), WIN, BAT)
+
+
+@register("stream_features", STREAM_SQL + """
+SELECT event_id, seq, label, round(f1, 6) AS f1, round(f2, 6) AS f2, round(f3, 6) AS f3 FROM feat""")
+def q_stream_features(spark, sf):
+    t = _stream_table(spark, sf)
+    return t.select("event_id", "seq", "label", *[rnd(F.col("features")[i]).alias(f"f{i + 1}") for i in range(3)])
+
+
+@register("prequential_knn", STREAM_SQL + f""",
+qb AS (SELECT seq, label, f1, f2, f3, (seq - {WIN}) // {BAT} AS batch FROM feat WHERE seq >= {WIN}),
+pr AS (SELECT q.seq AS qid, q.batch, q.label AS actual, m.seq AS did, m.label AS ml,
+  round((q.f1 - m.f1) * (q.f1 - m.f1) + (q.f2 - m.f2) * (q.f2 - m.f2) + (q.f3 - m.f3) * (q.f3 - m.f3), 9) AS d2
+  FROM qb q JOIN feat m ON m.seq >= q.batch * {BAT} AND m.seq < q.batch * {BAT} + {WIN}),
+rk AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d2, did) AS rk FROM pr),
+v AS (SELECT qid, batch, actual, ml, count(*) AS votes, max(rk) AS last FROM rk WHERE rk <= {KNN_K} GROUP BY ALL),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY votes DESC, last) AS r1 FROM v) WHERE r1 = 1)
+SELECT CAST(batch AS BIGINT) AS batch, count(*) AS n, CAST(sum(CASE WHEN ml = actual THEN 1 ELSE 0 END) AS BIGINT) AS n_right,
+  round(avg(CASE WHEN ml = actual THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM p GROUP BY batch""")
+def q_prequential_knn(spark, sf):
+    r = W.prequential_knn(_stream_table(spark, sf), WIN, BAT, KNN_K)
+    return r.select("batch", "n", "n_right", rnd("accuracy").alias("accuracy"))
+
+
+@register("prequential_svm")
+def q_prequential_svm(spark, sf):
+    r = W.prequential_svm(_stream_table(spark, sf), WIN, BAT, kind="rbf", C=1.0, gamma=2.0)
+    return r.select("batch", "n", "n_right", rnd("accuracy").alias("accuracy"))
