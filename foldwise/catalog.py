@@ -908,3 +908,68 @@ def q_prequential_knn(spark, sf):
 def q_prequential_svm(spark, sf):
     r = W.prequential_svm(_stream_table(spark, sf), WIN, BAT, kind="rbf", C=1.0, gamma=2.0)
     return r.select("batch", "n", "n_right", rnd("accuracy").alias("accuracy"))
+
+
+# ================================================================ C5, M1, M10, M12
+from foldwise.operators import neighbors as NB  # noqa: E402
+
+EMB_SPLIT_SQL = f"""sp AS (SELECT row_id, label, CASE WHEN (row_number() OVER (ORDER BY {S.fold_key('row_id')}, row_id) - 1)
+  < round_even(count(*) OVER () * 0.2, 0) THEN 'test' ELSE 'train' END AS split FROM base)"""
+
+
+def _emb_split(spark, sf):
+    return SP.hold_out(dt.embeddings(spark, sf), 0.2)
+
+
+@register("knn_join", f"""WITH {EMB_BASE}, {EMB_SPLIT_SQL},
+d AS (SELECT q.row_id AS qid, t.row_id AS did, round(sum((q.x - t.x) * (q.x - t.x)), 9) AS d2
+  FROM ex q JOIN ex t ON q.pos = t.pos JOIN sp sq ON sq.row_id = q.row_id JOIN sp st ON st.row_id = t.row_id
+  WHERE sq.split = 'test' AND st.split = 'train' GROUP BY ALL),
+r AS (SELECT qid, did, d2, row_number() OVER (PARTITION BY qid ORDER BY d2, did) AS rk FROM d)
+SELECT qid AS query_id, CAST(rk AS INTEGER) AS rank, did AS data_id, round(sqrt(d2), 6) AS dist FROM r WHERE rk <= 3""")
+def q_knn_join(spark, sf):
+    d = _emb_split(spark, sf)
+    j = NB.knn_join(d.where("split = 'test'"), d.where("split = 'train'"), 3, carry=())
+    return j.select("query_id", "rank", "data_id", rnd(F.sqrt("dist2")).alias("dist"))
+
+
+def _knn_classify_sql(k):
+    knn, out = S.knn_ctes("ex", "sp", k, "lq.split = 'test' AND ld.split = 'train'")
+    return f"""WITH {EMB_BASE}, {EMB_SPLIT_SQL},
+{knn}
+SELECT p.row_id, s.label AS actual, p.predicted FROM {out} p JOIN sp s ON s.row_id = p.row_id"""
+
+
+@register("knn_classify", _knn_classify_sql(5))
+def q_knn_classify(spark, sf):
+    d = _emb_split(spark, sf)
+    te = d.where("split = 'test'")
+    p = NB.knn_classify(d.where("split = 'train'"), te, 5)
+    return te.select("row_id", F.col("label").alias("actual")).join(p, "row_id")
+
+
+@register("bagging_knn", f"""WITH {EMB_BASE}, {EMB_SPLIT_SQL},
+mem AS (SELECT * FROM range(3) t(member)),
+tr AS (SELECT m.member, s.row_id, s.label FROM sp s, mem m WHERE s.split = 'train'
+  AND CAST(('0x' || substr(md5('42:' || CAST(m.member AS VARCHAR) || ':' || CAST(s.row_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0 < 0.5),
+te AS (SELECT row_id FROM sp WHERE split = 'test'),
+d AS (SELECT t.member, q.row_id AS qid, t.row_id AS did, t.label, round(sum((eq.x - et.x) * (eq.x - et.x)), 9) AS d2
+  FROM te q JOIN ex eq ON eq.row_id = q.row_id, tr t JOIN ex et ON et.row_id = t.row_id
+  WHERE eq.pos = et.pos GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY member, qid ORDER BY d2, did) AS rk FROM d),
+v AS (SELECT member, qid, label, count(*) AS votes, max(rk) AS last FROM r WHERE rk <= 5 GROUP BY ALL),
+mv AS (SELECT member, qid, label FROM (SELECT *, row_number() OVER (PARTITION BY member, qid ORDER BY votes DESC, last) AS r1 FROM v) WHERE r1 = 1),
+c AS (SELECT qid, label, count(*) AS n FROM mv GROUP BY ALL)
+SELECT qid AS row_id, label AS predicted FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY n DESC, label) AS r2 FROM c) WHERE r2 = 1""")
+def q_bagging_knn(spark, sf):
+    d = _emb_split(spark, sf)
+    return NB.bagging_knn_predictions(d.where("split = 'train'"), d.where("split = 'test'"), 5, 3, 0.5)
+
+
+@register("local_svm")
+def q_local_svm(spark, sf):
+    p = dt.part(spark, sf)
+    p = SP.hold_out(p, 0.2)
+    te = p.where("split = 'test'")
+    pred = NB.local_svm_predictions(p.where("split = 'train'"), te, 7, C=1.0)
+    return te.select("row_id", F.col("label").alias("actual")).join(pred, "row_id")

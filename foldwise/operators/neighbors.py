@@ -86,7 +86,9 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
          .withColumn("_tb", F.pmod(F.xxhash64("data_id"), F.lit(ntb)).cast("int"))
          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1)))))
     carry_fields = [data.schema[c] for c in carry]
+    wf = [T.StructField(within, queries.schema[within].dataType)] if within else []
     schema = T.StructType([
+        *wf,
         T.StructField("query_id", queries.schema[qid].dataType),
         T.StructField("rank", T.IntegerType()),
         T.StructField("data_id", data.schema[did].dataType),
@@ -111,7 +113,10 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
         dist = d2[rows_q, cols]
         ok = np.isfinite(dist)
         rank = np.tile(np.arange(1, idx.shape[1] + 1), len(qp))
-        out = {
+        out = {}
+        if within:
+            out[within] = qp["_w"].to_numpy()[rows_q][ok]
+        out |= {
             "query_id": qp["query_id"].to_numpy()[rows_q][ok],
             "rank": rank[ok].astype(np.int32),
             "data_id": ids[cols][ok],
@@ -125,19 +130,20 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
             .applyInPandas(block, schema))
     if ntb == 1:
         return part
-    w = Window.partitionBy("query_id").orderBy("dist2", "data_id")
+    w = Window.partitionBy(*([within] if within else []), "query_id").orderBy("dist2", "data_id")
     return (part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
 
 
-def vote(neighbours: DataFrame, label: str = "label", key: str = "query_id",
+def vote(neighbours: DataFrame, label: str = "label", key: str | list[str] = "query_id",
          out: str = "predicted") -> DataFrame:
     """Majority class of the k nearest; among tied classes the one whose
     last counted vote came earliest (first to reach the top count)."""
-    per = neighbours.groupBy(key, label).agg(F.count(F.lit(1)).alias("_votes"),
-                                              F.max("rank").alias("_last"))
-    w = Window.partitionBy(key).orderBy(F.col("_votes").desc(), F.col("_last").asc())
+    keys = [key] if isinstance(key, str) else list(key)
+    per = neighbours.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("_votes"),
+                                                F.max("rank").alias("_last"))
+    w = Window.partitionBy(*keys).orderBy(F.col("_votes").desc(), F.col("_last").asc())
     return (per.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
-            .select(key, F.col(label).alias(out)))
+            .select(*keys, F.col(label).alias(out)))
 
 
 def knn_classify(train: DataFrame, test: DataFrame, k: int, *, label: str = "label",
@@ -174,12 +180,39 @@ def bagging_knn_predictions(train: DataFrame, test: DataFrame, k: int, n_members
                                              F.col(id_col).cast("string"))), 1, 8), 16, 10).cast("double")
     tr = tr.where(u / F.lit(16.0 ** 8) < F.lit(fraction))
     te = test.select(id_col, features).withColumn("member", members)
-    tr = tr.withColumn("_did", F.struct("member", id_col))
-    te = te.withColumn("_qid", F.struct("member", id_col))
-    nbrs = knn_join(te, tr, k, qid="_qid", did="_did", features=features, carry=(label,),
+    nbrs = knn_join(te, tr, k, qid=id_col, did=id_col, features=features, carry=(label,),
                     within="member", block_rows=block_rows)
-    mv = vote(nbrs, label)
-    mv = mv.select(F.col("query_id").getField(id_col).alias(id_col), "predicted")
+    mv = vote(nbrs, label, ["member", "query_id"]).withColumnRenamed("query_id", id_col)
     cnt = mv.groupBy(id_col, "predicted").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(id_col).orderBy(F.col("_n").desc(), F.col("predicted"))
     return cnt.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(id_col, "predicted")
+
+
+def local_svm_predictions(train: DataFrame, test: DataFrame, k: int, C: float = 1.0, *,
+                          label: str = "label", features: str = "features", id_col: str = "row_id",
+                          block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """K nearest rows of each test row; unanimous -> that class, else a
+    linear SVM fitted on those k rows predicts.  Groups hold k rows."""
+    from foldwise.functions.svm import DualSVM
+    from foldwise.neighbors_shared import stack_vectors
+
+    tr = train.select(id_col, features, label)
+    nbrs = knn_join(test, tr, k, qid=id_col, did=id_col, features=features, carry=(label,),
+                    block_rows=block_rows)
+    # neighbour features and the query's own features, one group per query
+    nf = nbrs.join(tr.select(F.col(id_col).alias("data_id"), F.col(features).alias("_nf")), "data_id")
+    qf = test.select(F.col(id_col).alias("query_id"), F.col(features).alias("_qf"))
+    g = nf.join(qf, "query_id")
+    qtype = test.schema[id_col].dataType.simpleString()
+    ltype = train.schema[label].dataType.simpleString()
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        labs = pdf[label].to_numpy()
+        qid = pdf["query_id"].iloc[0]
+        if len(set(labs.tolist())) == 1:
+            return pd.DataFrame({id_col: [qid], "predicted": [labs[0]]})
+        m = DualSVM("linear", C).fit(stack_vectors(pdf["_nf"]), labs)
+        p = m.predict(stack_vectors(pdf["_qf"].iloc[:1]))
+        return pd.DataFrame({id_col: [qid], "predicted": [p[0]]})
+
+    return g.groupBy("query_id").applyInPandas(fit, f"{id_col} {qtype}, predicted {ltype}")
