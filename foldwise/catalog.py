@@ -973,3 +973,318 @@ def q_local_svm(spark, sf):
     te = p.where("split = 'test'")
     pred = NB.local_svm_predictions(p.where("split = 'train'"), te, 7, C=1.0)
     return te.select("row_id", F.col("label").alias("actual")).join(pred, "row_id")
+
+
+# ============================================== M: classifiers, V: evaluation
+from foldwise.operators import models as MD  # noqa: E402
+from foldwise.operators import reduce as RD  # noqa: E402
+from foldwise.plans import evaluate as EV  # noqa: E402
+
+PART_CLASSES = ["false", "true"]
+
+
+def _part_folds(spark, sf, k=5):
+    """part: separable label p_size > 25, features scaled to [0, 1]."""
+    p = dt.part(spark, sf)
+    p = P.minmax_fit(p).transform(p)
+    return SP.stratified_kfold(p, k)
+
+
+def _cv_rows(res: EV.CVResult, model: str) -> DataFrame:
+    return rounded_summary(res.summary).withColumn("model", F.lit(model))
+
+
+@register("cv_decision_tree")
+def q_cv_decision_tree(spark, sf):
+    res = EV.cross_validate(_part_folds(spark, sf), lambda tr: MD.decision_tree(tr, 4, PART_CLASSES), classes=PART_CLASSES)
+    return _cv_rows(res, "tree_depth4")
+
+
+@register("cv_svm_linear")
+def q_cv_svm_linear(spark, sf):
+    res = EV.cross_validate(_part_folds(spark, sf), lambda tr: MD.svm(tr, "linear", 1.0, classes=PART_CLASSES),
+                            classes=PART_CLASSES)
+    return _cv_rows(res, "svm_linear")
+
+
+@register("cv_svm_rbf")
+def q_cv_svm_rbf(spark, sf):
+    res = EV.cross_validate(_part_folds(spark, sf), lambda tr: MD.svm(tr, "rbf", 1.0, gamma=3.0, classes=PART_CLASSES,
+                                                                      n_landmarks=100), classes=PART_CLASSES)
+    return _cv_rows(res, "svm_rbf_nystroem")
+
+
+@register("svm_support_rows")
+def q_svm_support_rows(spark, sf):
+    p = _part_folds(spark, sf)
+    m = MD.svm(p, "linear", 1.0, classes=PART_CLASSES)
+    return MD.svm_support_rows(m, p)
+
+
+@register("svm_incremental")
+def q_svm_incremental(spark, sf):
+    p = _part_folds(spark, sf).withColumn("batch", F.col("fold"))
+    model, support, steps = MD.svm_incremental(p, "batch", C=1.0)
+    pred = model.predict(p).join(p.select("row_id", F.col("label").alias("actual")), "row_id")
+    return M.accuracy(pred, "actual", "predicted").select(rnd("accuracy").alias("accuracy"),
+                                                           F.lit(len(steps)).alias("n_steps"))
+
+
+@register("gradient_boosting")
+def q_gradient_boosting(spark, sf):
+    o = dt.orders(spark, sf).withColumn("features", F.array(F.col("features")[0], F.col("grp").cast("double")))
+    o = SP.hold_out(o, 0.2)
+    classes = P.class_list(o, "label")
+    r = EV.train_test_eval(o.where("split = 'train'"), o.where("split = 'test'"),
+                           lambda tr: MD.gradient_boosting(tr, 5, 0.2, 3, classes), classes=classes)
+    return _round_metrics(r, cells=["n"])
+
+
+@register("mlp_lbfgs")
+def q_mlp_lbfgs(spark, sf):
+    res = EV.cross_validate(_part_folds(spark, sf), lambda tr: MD.mlp_lbfgs(tr, [4], PART_CLASSES, 50),
+                            classes=PART_CLASSES)
+    return _cv_rows(res, "mlp_lbfgs_4")
+
+
+@register("mlp_adam")
+def q_mlp_adam(spark, sf):
+    """Full-batch Adam with validation early stop; loss history rows."""
+    p = SP.hold_out3(_part_folds(spark, sf), 0.2, 0.2)
+    net = MD.train_network(p.where("split = 'train'"), [4], PART_CLASSES, ["relu"], max_epochs=30,
+                           learning_rate=0.05, val=p.where("split = 'val'"), test=p.where("split = 'test'"),
+                           max_epochs_val=5)
+    h = net.history
+    rows = [(i, float(h["train"][i]), float(h["val"][i]), float(h["test"][i])) for i in range(len(h["train"]))]
+    return spark.createDataFrame(rows, "epoch int, train_loss double, val_loss double, test_loss double")
+
+
+@register("cascade_network")
+def q_cascade(spark, sf):
+    p = _part_folds(spark, sf)
+    net = MD.cascade_network(p, 2, PART_CLASSES, epochs_per_stage=8, learning_rate=0.05)
+    pred = net.predict(p).join(p.select("row_id", F.col("label").alias("actual")), "row_id")
+    return M.accuracy(pred, "actual", "predicted").select(
+        rnd("accuracy").alias("accuracy"), F.lit(len(net.acts)).alias("hidden_units"))
+
+
+@register("adaboost")
+def q_adaboost(spark, sf):
+    res = EV.cross_validate(_part_folds(spark, sf), lambda tr: MD.adaboost_stumps(tr, 5, PART_CLASSES),
+                            classes=PART_CLASSES)
+    return _cv_rows(res, "adaboost_stumps")
+
+
+@register("rfe_logistic")
+def q_rfe(spark, sf):
+    li = table(spark, sf, "lineitem")
+    kept = G.rfe_logistic(li, dt.LINEITEM_FEATURES, "l_returnflag", keep=2, max_iter=20)
+    return spark.createDataFrame([(k,) for k in kept], "feature string")
+
+
+@register("cv_ann_repeated")
+def q_cv_ann_repeated(spark, sf):
+    p = _part_folds(spark, sf, 3)
+
+    def fit(tr, val, rep):
+        return MD.train_network(tr, [3], PART_CLASSES, max_epochs=10, learning_rate=0.05, val=val,
+                                max_epochs_val=3, seed=rep + 1)
+    s = EV.cross_validate_repeated(p, fit, reps=2, validation_ratio=0.2, classes=PART_CLASSES)
+    return s.select(F.col("n_folds").cast("bigint"), rnd("accuracy_mean").alias("accuracy_mean"),
+                    rnd("accuracy_std").alias("accuracy_std"))
+
+
+def _make_fit(model, params):
+    if model == "tree":
+        return lambda tr: MD.decision_tree(tr, params["max_depth"], PART_CLASSES)
+    if model == "svm":
+        return lambda tr: MD.svm(tr, params["kernel"], params["C"], gamma=params.get("gamma", 1.0),
+                                 classes=PART_CLASSES, n_landmarks=50)
+    if model == "knn":
+        from foldwise.operators.neighbors import knn_classify
+        k = params["k"]
+
+        class _K:
+            def __init__(self, tr):
+                self.tr = tr
+
+            def predict(self, te, id_col="row_id"):
+                return knn_classify(self.tr, te, k)
+        return _K
+    raise ValueError(model)
+
+
+SWEEP_CONFIGS = [("tree", {"max_depth": d}) for d in (1, 2, 4, 6)] + \
+    [("knn", {"k": k}) for k in (1, 3)] + [("svm", {"kernel": "linear", "C": 1.0}), ("svm", {"kernel": "nope", "C": 1.0})]
+
+
+@register("sweep")
+def q_sweep(spark, sf):
+    return EV.sweep(_part_folds(spark, sf, 3), SWEEP_CONFIGS, _make_fit, classes=PART_CLASSES)
+
+
+@register("depth_impact")
+def q_depth_impact(spark, sf):
+    res = EV.sweep(_part_folds(spark, sf, 3), [("tree", {"max_depth": d}) for d in (2, 4, 6)], _make_fit,
+                   classes=PART_CLASSES)
+    sw = res.withColumn("max_depth", F.regexp_extract("params", r"(\d+)", 1).cast("int"))
+    return CMP.depth_impact(sw)
+
+
+@register("cv_ensemble")
+def q_cv_ensemble(spark, sf):
+    """V4: per fold, PCA(0.95) fitted on the training rows, then bagged kNN."""
+    p = _part_folds(spark, sf, 3)
+
+    def prepare(tr, te):
+        pca = RD.pca_fit(tr, 2, threshold=0.95)
+        return pca.transform(tr), pca.transform(te)
+
+    class _Bag:
+        def __init__(self, tr):
+            self.tr = tr
+
+        def predict(self, te, id_col="row_id"):
+            return NB.bagging_knn_predictions(self.tr, te, 3, 3, 0.5)
+
+    res = EV.cross_validate(p, _Bag, classes=PART_CLASSES, prepare=prepare)
+    return _cv_rows(res, "pca95_bagging_knn")
+
+
+@register("scored_pipeline")
+def q_scored_pipeline(spark, sf):
+    """V6: filter (Pearson keep-rule) -> PCA -> tree, fitted on train only."""
+    o = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("row_id"), "o_totalprice", F.col("o_custkey").cast("double").alias("cust"),
+        F.col("o_orderkey").cast("double").alias("okey"), (F.col("o_totalprice") > 150000).cast("string").alias("label"))
+    o = SP.hold_out(o, 0.25)
+    tr, te = o.where("split = 'train'"), o.where("split = 'test'")
+    cols = ["o_totalprice", "cust", "okey"]
+    kept = [r["feature"] for r in G.prune_columns(G.pearson_score(G.to_long(tr, cols, "label", PART_CLASSES)), "pearson").collect()]
+    kept = [c for c in cols if c in kept] or cols
+    tr = tr.withColumn("features", F.array(*kept))
+    te = te.withColumn("features", F.array(*kept))
+    sc = P.zscore_fit(tr)
+    tr, te = sc.transform(tr), sc.transform(te)
+    pca = RD.pca_fit(tr, len(kept), threshold=0.95)
+    tr, te = pca.transform(tr), pca.transform(te)
+    r = EV.train_test_eval(tr, te, lambda t: MD.decision_tree(t, 3, PART_CLASSES), classes=PART_CLASSES)
+    return _round_metrics(r, cells=["n"]).withColumn("kept", F.lit(",".join(kept)))
+
+
+# ================================================================ H: reduction
+def _emb_projected(spark, sf, proj_fn):
+    df = dt.embeddings(spark, sf)
+    model = proj_fn(df)
+    out = model.transform(df)
+    return out.select("row_id", F.posexplode("features").alias("component", "score")) \
+        .select("row_id", "component", rnd("score").alias("score"))
+
+
+@register("pca_k")
+def q_pca_k(spark, sf):
+    return _emb_projected(spark, sf, lambda df: RD.pca_fit(df, 64, k=5))
+
+
+@register("pca_threshold")
+def q_pca_threshold(spark, sf):
+    df = dt.embeddings(spark, sf)
+    m = RD.pca_fit(df, 64, threshold=0.95)
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(m.explained)], "component int, variance_ratio double")
+
+
+@register("lda")
+def q_lda(spark, sf):
+    return _emb_projected(spark, sf, lambda df: RD.lda_fit(df, 64))
+
+
+@register("fastica")
+def q_fastica(spark, sf):
+    return _emb_projected(spark, sf, lambda df: RD.fastica_fit(df, 64, n_components=4, max_iter=30))
+
+
+@register("project_holdout")
+def q_project_holdout(spark, sf):
+    d = _emb_split(spark, sf)
+    m = RD.pca_fit(d.where("split = 'train'"), 64, k=3)
+    out = m.transform(d.where("split = 'test'"))
+    return out.select("row_id", F.posexplode("features").alias("component", "score")) \
+        .select("row_id", "component", rnd("score").alias("score"))
+
+
+# ================================================================ patterns
+from foldwise.operators import patterns as PT  # noqa: E402
+
+
+def _emb_bits(spark, sf):
+    df = dt.embeddings(spark, sf)
+    return df.select("row_id", "label", P.binarize("features", 0.0).alias("pixels"))
+
+
+def _bits_str(col):
+    return F.array_join(F.transform(col, lambda x: F.when(x, "1").otherwise("0")), "")
+
+
+@register("block_counts", f"""WITH {EMB_BASE}
+SELECT row_id, CAST(pos // 8 // 2 AS INTEGER) AS by, CAST((pos % 8) // 2 AS INTEGER) AS bx,
+  count(*) FILTER (WHERE x >= 0) AS n FROM ex GROUP BY ALL""")
+def q_block_counts(spark, sf):
+    return PT.block_counts(_emb_bits(spark, sf), 8, 2)
+
+
+@register("random_patterns", """SELECT vec_id AS row_id, array_to_string(list_transform(range(0, 64),
+  lambda i: CASE WHEN CAST(('0x' || substr(md5('42:' || CAST(vec_id AS VARCHAR) || ':' || CAST(i AS VARCHAR)), 1, 1)) AS INTEGER) % 2 = 0
+  THEN '1' ELSE '0' END), '') AS bits FROM embeddings""")
+def q_random_patterns(spark, sf):
+    ids = table(spark, sf, "embeddings").select(F.col("vec_id").alias("row_id"))
+    r = PT.random_patterns(ids, 64)
+    return r.select("row_id", _bits_str(F.col("pixels")).alias("bits"))
+
+
+@register("add_noise", f"""WITH {EMB_BASE},
+px AS (SELECT row_id, pos, x >= 0 AS p, md5('42:' || CAST(row_id AS VARCHAR) || ':' || CAST(pos AS VARCHAR)) AS h,
+  CAST(row_id AS VARCHAR) || ':' || CAST(pos AS VARCHAR) AS pid FROM ex),
+rk AS (SELECT *, row_number() OVER (ORDER BY h, pid) - 1 AS r, count(*) OVER () AS n FROM px),
+fl AS (SELECT row_id, pos, CASE WHEN r < round_even(n * 0.1, 0) THEN NOT p ELSE p END AS p FROM rk)
+SELECT row_id, string_agg(CASE WHEN p THEN '1' ELSE '0' END, '' ORDER BY pos) AS bits FROM fl GROUP BY row_id""")
+def q_add_noise(spark, sf):
+    n = PT.add_noise(_emb_bits(spark, sf), 0.1)
+    return n.select("row_id", _bits_str(F.col("pixels")).alias("bits"))
+
+
+@register("exact_match", f"""WITH {EMB_BASE},
+bits AS (SELECT row_id, label, list_transform(f, lambda x: x >= 0) AS px FROM base),
+firsts AS (SELECT label, min(row_id) AS rid FROM base GROUP BY label),
+tmpl AS (SELECT b.px, b.label, dense_rank() OVER (ORDER BY b.label) AS tno FROM bits b JOIN firsts f ON f.rid = b.row_id),
+best AS (SELECT px, arg_max(label, tno) AS lab FROM tmpl GROUP BY px)
+SELECT b.row_id, coalesce(best.lab, '-1') AS predicted FROM bits b LEFT JOIN best ON best.px = b.px""")
+def q_exact_match(spark, sf):
+    b = _emb_bits(spark, sf)
+    firsts = ST.first_per_class(b.select("label", "row_id", "pixels"))
+    from pyspark.sql import Window as _W
+    tmpl = firsts.withColumn("template_no", F.dense_rank().over(_W.orderBy("label")))
+    return PT.exact_match(b, tmpl)
+
+
+@register("image_stack")
+def q_image_stack(spark, sf):
+    b = _emb_bits(spark, sf).withColumn("h", F.lit(8)).withColumn("w", F.lit(8))
+    s = PT.image_stack(b)
+    return s.select("row_id", "h", "w", F.size("pixels").alias("n_pixels"))
+
+
+@register("hopfield_recall")
+def q_hopfield_recall(spark, sf):
+    b = _emb_bits(spark, sf)
+    w = PT.hopfield_weights_matrix(ST.hebbian_weights(
+        b.select(F.transform("pixels", lambda x: F.when(x, 1.0).otherwise(-1.0)).alias("features")), 64), 64)
+    noisy = PT.add_noise(b.select("row_id", "pixels"), 0.1)
+    r = PT.hopfield_recall(noisy, w)
+    return r.select("row_id", "steps", _bits_str(F.col("pixels")).alias("bits"))
+
+
+@register("pattern_accuracy")
+def q_pattern_accuracy(spark, sf):
+    d = _emb_split(spark, sf).select("row_id", "label", F.col("features").alias("pixels"), "split")
+    r = PT.pattern_accuracy(d.where("split = 'train'"), d.where("split = 'test'"), 0.0, 64)
+    return r.select("split", rnd("accuracy").alias("accuracy"))
