@@ -11,3 +11,15 @@ def stack_vectors(col: pd.Series, d: int | None = None) -> np.ndarray:
     if len(col) == 0:
         return np.zeros((0, d or 0))
     return np.stack([np.asarray(v, dtype=np.float64) for v in col.to_numpy()])
+
+
+def feature_columns(d: int, prefix: str = "_f") -> list[str]:
+    return [f"{prefix}{i}" for i in range(d)]
+
+
+def stack_columns(pdf: pd.DataFrame, d: int, prefix: str = "_f") -> np.ndarray:
+    """Flat double columns -> float64 matrix (Arrow hands these over
+    column-wise, far cheaper than per-row array objects)."""
+    if len(pdf) == 0:
+        return np.zeros((0, d))
+    return pdf[feature_columns(d, prefix)].to_numpy(dtype=np.float64)

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldwise.neighbors_shared import feature_columns, stack_columns
+
 DIST_DIGITS = 9
 BLOCK_ROWS = 2048
 
@@ -47,12 +49,28 @@ def pairwise_sq(qx: np.ndarray, dx: np.ndarray) -> np.ndarray:
 
 
 def top_k(d2: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Column indices of the k smallest per row (ties: smaller id)."""
-    if d2.shape[1] == 0:
+    """Column indices of the k smallest per row, ordered by (distance, id).
+    ``argpartition`` finds the k smallest in O(n); only rows with a tie at
+    the k-th distance fall back to a full (distance, id) sort."""
+    n = d2.shape[1]
+    if n == 0:
         return np.zeros((d2.shape[0], 0), dtype=np.int64)
-    idb = np.broadcast_to(ids, d2.shape)
-    order = np.lexsort((idb, d2), axis=1)
-    return order[:, : min(k, d2.shape[1])]
+    kk = min(k, n)
+    if kk == n:
+        idb = np.broadcast_to(ids, d2.shape)
+        return np.lexsort((idb, d2), axis=1)[:, :kk]
+    part = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
+    vals = np.take_along_axis(d2, part, 1)
+    edge = vals.max(1)
+    clean = (d2 <= edge[:, None]).sum(1) == kk
+    cand_ids = ids[part]
+    order = np.lexsort((cand_ids, vals), axis=1)
+    out = np.take_along_axis(part, order, 1)
+    bad = np.nonzero(~clean)[0]
+    if len(bad):
+        sub = d2[bad]
+        out[bad] = np.lexsort((np.broadcast_to(ids, sub.shape), sub), axis=1)[:, :kk]
+    return out
 
 
 def _blocks(n: int, block_rows: int, parallelism: int = 1, min_rows: int = 256) -> int:
@@ -73,16 +91,19 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
     ``within``: a column on both sides; queries only meet data rows with the
     same value (independent searches, e.g. bagging members, in one job).
     """
-    nq = queries.count()
+    # one small job per side: row count and vector width together
+    st = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(features)).alias("d")).first()
+    nq, dim = st["n"], (st["d"] or 0)
     nd = nq if data is queries else data.count()
     par = queries.sparkSession.sparkContext.defaultParallelism
     nqb, ntb = _blocks(nq, block_rows, par), _blocks(nd, block_rows)
     xq = [F.col(exclude_same).alias("_x")] if exclude_same else []
     xq += [F.col(within).alias("_w")] if within else [F.lit(0).alias("_w")]
-    q = (queries.select(F.col(qid).alias("query_id"), F.col(features).alias("_f"), *xq)
+    fcols = [F.col(features)[i].alias(c) for i, c in enumerate(feature_columns(dim))]
+    q = (queries.select(F.col(qid).alias("query_id"), *fcols, *xq)
          .withColumn("_qb", F.pmod(F.xxhash64("query_id"), F.lit(nqb)).cast("int"))
          .withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(ntb - 1)))))
-    d = (data.select(F.col(did).alias("data_id"), F.col(features).alias("_f"), *carry, *xq)
+    d = (data.select(F.col(did).alias("data_id"), *fcols, *carry, *xq)
          .withColumn("_tb", F.pmod(F.xxhash64("data_id"), F.lit(ntb)).cast("int"))
          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1)))))
     carry_fields = [data.schema[c] for c in carry]
@@ -101,7 +122,7 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
     def block(qp: pd.DataFrame, dp: pd.DataFrame) -> pd.DataFrame:
         if len(qp) == 0 or len(dp) == 0:
             return pd.DataFrame({n: [] for n in names})
-        qx, dx = _stack(qp["_f"]), _stack(dp["_f"])
+        qx, dx = stack_columns(qp, dim), stack_columns(dp, dim)
         d2 = pairwise_sq(qx, dx)
         if has_x:
             same = qp["_x"].to_numpy()[:, None] == dp["_x"].to_numpy()[None, :]
@@ -126,7 +147,12 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
             out[c] = dp[c].to_numpy()[cols][ok]
         return pd.DataFrame(out, columns=names)
 
-    part = (q.groupBy("_w", "_qb", "_tb").cogroup(d.groupBy("_w", "_qb", "_tb"))
+    # compute-heavy groups: an explicit partition count keeps AQE from
+    # merging the byte-small block shuffle into a few tasks
+    npart = max(par, int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
+    keys = ["_w", "_qb", "_tb"]
+    part = (q.repartition(npart, *keys).groupBy(*keys)
+            .cogroup(d.repartition(npart, *keys).groupBy(*keys))
             .applyInPandas(block, schema))
     if ntb == 1:
         return part

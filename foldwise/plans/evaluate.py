@@ -42,7 +42,10 @@ def knn_cross_validate(df: DataFrame, k: int, fold: str = "fold", label: str = "
                        classes: list | None = None, weighted: bool = True) -> CVResult:
     """V1 for kNN: every fold predicted from the other folds in one pass."""
     classes = classes if classes is not None else class_list(df, label)
-    pred = knn_cross_validate_predictions(df.withColumn(label, F.col(label).cast("string")), k, fold, label)
+    # read by the size probe, both sides of the block join and the label
+    # join-back: materialise the (id, features, label, fold) table once
+    df = cut_lineage(df.select("row_id", "features", F.col(label).cast("string").alias(label), fold))
+    pred = knn_cross_validate_predictions(df, k, fold, label)
     return evaluate_predictions(pred, [str(c) for c in classes], fold, weighted)
 
 
