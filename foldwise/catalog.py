@@ -1288,3 +1288,15 @@ def q_pattern_accuracy(spark, sf):
     d = _emb_split(spark, sf).select("row_id", "label", F.col("features").alias("pixels"), "split")
     r = PT.pattern_accuracy(d.where("split = 'train'"), d.where("split = 'test'"), 0.0, 64)
     return r.select("split", rnd("accuracy").alias("accuracy"))
+
+
+@register("prequential_isvm")
+def q_prequential_isvm(spark, sf):
+    """Incremental SVM over the events stream (W = 1000, B = 500); the
+    support-row state is written to the shared folder at every step."""
+    from foldwise.sources.files import scratch_path
+    from foldwise.streaming.live import prequential_isvm
+    import uuid
+    base = scratch_path(spark, f"isvm-{uuid.uuid4().hex[:12]}")
+    r = prequential_isvm(_stream_table(spark, sf), WIN, BAT, base, kind="rbf", C=1.0, gamma=2.0)
+    return r.select("batch", "n", "n_right", rnd("accuracy").alias("accuracy"))
