@@ -1300,3 +1300,83 @@ def q_prequential_isvm(spark, sf):
     base = scratch_path(spark, f"isvm-{uuid.uuid4().hex[:12]}")
     r = prequential_isvm(_stream_table(spark, sf), WIN, BAT, base, kind="rbf", C=1.0, gamma=2.0)
     return r.select("batch", "n", "n_right", rnd("accuracy").alias("accuracy"))
+
+
+# ================================================================ A: sources
+from foldwise.sources import files as FS  # noqa: E402
+
+
+def _scratch(spark, name):
+    import uuid
+    return FS.scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("read_labelled", """SELECT CAST(p_size AS DOUBLE) AS x1, p_retailprice AS x2,
+  CAST(p_size > 25 AS VARCHAR) AS label FROM part""")
+def q_read_labelled(spark, sf):
+    """A1 + A6: part written as a TSV with a 'target' column (written only
+    if absent), read back as a labelled feature table."""
+    path = _scratch(spark, "part-tsv")
+    src = table(spark, sf, "part").select(F.col("p_size").cast("double").alias("size"), "p_retailprice",
+                                           F.when(F.col("p_size") > 25, "yes").otherwise("no").alias("target"))
+    FS.write_table(src, path, "tsv")
+    df = FS.read_labelled(spark, path)
+    return df.select(F.col("features")[0].alias("x1"), F.col("features")[1].alias("x2"), "label")
+
+
+@register("read_folder", """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority,
+  CAST(year(o_orderdate) AS VARCHAR) AS yr FROM orders""")
+def q_read_folder(spark, sf):
+    """A2: orders split into one CSV per order year, the folder read back."""
+    base = _scratch(spark, "orders-csv")
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderpriority",
+                                           F.year("o_orderdate").cast("string").alias("yr"))
+    years = sorted(r[0] for r in o.select("yr").distinct().collect())
+    for y in years:
+        o.where(F.col("yr") == y).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/tmp_{y}")
+        # flatten to <base>/<year>.CSV (mixed-case extension on purpose)
+        jvm = spark.sparkContext._jvm
+        fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        part = [s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/tmp_{y}"))
+                if s.getPath().getName().startswith("part-")][0]
+        fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{base}/{y}.CSV" if int(y) % 2 else f"{base}/{y}.csv"))
+    df = FS.read_folder(spark, base)
+    return df.drop("_file_no")
+
+
+@register("read_matrix", f"""WITH {EMB_BASE}
+SELECT row_id, label, round(list_sum(f), 6) AS s FROM base""")
+def q_read_matrix(spark, sf):
+    """A3: embeddings as a headerless CSV (64 features + label)."""
+    path = _scratch(spark, "emb-csv")
+    e = dt.embeddings(spark, sf).orderBy("row_id")
+    e.select(*[F.col("features")[i] for i in range(64)], "label").coalesce(1).write.csv(path)
+    m = FS.read_matrix(spark, path, 64)
+    return m.select("row_id", "label", rnd(F.aggregate("features", F.lit(0.0), lambda a, x: a + x)).alias("s"))
+
+
+@register("read_stream_files", f"""WITH s AS ({EVENTS_SEQ_SQL})
+SELECT s.seq, round(e.value, 6) AS value, CAST(e.event_type = 'purchase' AS BOOLEAN) AS label
+FROM s JOIN events e USING (event_id)""")
+def q_read_stream_files(spark, sf):
+    """A4: events written as two row-aligned text files (numbers separated
+    by tabs/spaces/commas; labels UP/DOWN), read back and aligned by line."""
+    base = _scratch(spark, "stream-txt")
+    s = _events_seq(spark, sf).orderBy("seq")
+    row = F.concat_ws(" ", F.col("seq").cast("string"), F.lit("1"), F.lit("2"), F.col("value").cast("string"),
+                      F.lit("0.5"), F.lit("0.1"), F.lit("0.2"), F.lit("0.3"))
+    s.select(row.alias("value")).coalesce(1).write.text(f"{base}/x")
+    s.select(F.when(F.col("label"), "UP").otherwise("DOWN").alias("value")).coalesce(1).write.text(f"{base}/y")
+    r = FS.read_stream_files(spark, f"{base}/x", f"{base}/y")
+    return r.select("seq", rnd(F.col("nswprice")).alias("value"), "label")
+
+
+@register("load_filtered", """SELECT vec_id AS row_id, CAST(label AS VARCHAR) AS label FROM embeddings WHERE label IN (2, 8)""")
+def q_load_filtered(spark, sf):
+    return FS.load_filtered(dt.embeddings(spark, sf).select("row_id", "label"), ["2", "8"])
+
+
+@register("load_filtered_relabel", """SELECT vec_id AS row_id,
+  CASE WHEN label IN (2, 8) THEN CAST(label AS VARCHAR) ELSE '-1' END AS label FROM embeddings""")
+def q_load_filtered_relabel(spark, sf):
+    return FS.load_filtered(dt.embeddings(spark, sf).select("row_id", "label"), ["2", "8", -1])
