@@ -1266,7 +1266,7 @@ def q_exact_match(spark, sf):
     return PT.exact_match(b, tmpl)
 
 
-@register("image_stack")
+@register("image_stack", """SELECT vec_id AS row_id, 8 AS h, 8 AS w, CAST(len(embedding) AS INTEGER) AS n_pixels FROM embeddings""")
 def q_image_stack(spark, sf):
     b = _emb_bits(spark, sf).withColumn("h", F.lit(8)).withColumn("w", F.lit(8))
     s = PT.image_stack(b)

@@ -242,3 +242,31 @@ def local_svm_predictions(train: DataFrame, test: DataFrame, k: int, C: float =
         return pd.DataFrame({id_col: [qid], "predicted": [p[0]]})
 
     return g.groupBy("query_id").applyInPandas(fit, f"{id_col} {qtype}, predicted {ltype}")
+
+
+def knn_join_lsh(queries: DataFrame, data: DataFrame, k: int, *, bucket_length: float, threshold: float,
+                 num_tables: int = 3, qid: str = "row_id", did: str = "row_id", features: str = "features",
+                 carry: tuple[str, ...] = ("label",), seed: int = 42, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Approximate kNN for very large tables: candidates are the data rows
+    sharing an LSH bucket (random projections, MLlib) within ``threshold``;
+    the k best candidates are kept per query.  Queries left with fewer than
+    k candidates are answered by the exact blocked join, so every query gets
+    k neighbours.  Same output as :func:`knn_join`."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+    qv = queries.select(F.col(qid).alias("query_id"), array_to_vector(features).alias("_v"))
+    dv = data.select(F.col(did).alias("data_id"), array_to_vector(features).alias("_v"), *carry)
+    model = BucketedRandomProjectionLSH(inputCol="_v", outputCol="_h", bucketLength=bucket_length,
+                                        numHashTables=num_tables, seed=seed).fit(dv)
+    pairs = model.approxSimilarityJoin(qv, dv, threshold, distCol="_dist")
+    cand = pairs.select(F.col("datasetA.query_id").alias("query_id"), F.col("datasetB.data_id").alias("data_id"),
+                        F.round(F.col("_dist") * F.col("_dist"), DIST_DIGITS).alias("dist2"),
+                        *[F.col(f"datasetB.{c}").alias(c) for c in carry])
+    w = Window.partitionBy("query_id").orderBy("dist2", "data_id")
+    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    full = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k)
+    short = queries.join(full.select(F.col("query_id").alias(qid)), qid, "left_anti")
+    top_full = top.join(full.select("query_id"), "query_id", "left_semi")
+    exact = knn_join(short, data, k, qid=qid, did=did, features=features, carry=carry, block_rows=block_rows)
+    cols = ["query_id", "rank", "data_id", "dist2", *carry]
+    return top_full.select(*cols).unionByName(exact.select(*cols))
