@@ -30,22 +30,28 @@ def _bucket_expr(df: DataFrame, key: str, num: str, n_buckets: int) -> Column:
     return F.size(F.filter(bounds, lambda b: b <= x)).cast("int")
 
 
-def running_sum(df: DataFrame, group_cols: list[str], order_num: str, value: str, out: str,
-                tie_cols: list[str] = (), n_buckets: int | None = None, inclusive: bool = False) -> DataFrame:
-    """Exclusive (or inclusive) running sum of ``value`` within ``group_cols``
-    ordered by ``order_num`` (numeric) then ``tie_cols``."""
+def running_sum(df: DataFrame, group_cols: list[str], order_num: str, value: str | list[str],
+                out: str | list[str], tie_cols: list[str] = (), n_buckets: int | None = None,
+                inclusive: bool = False) -> DataFrame:
+    """Exclusive (or inclusive) running sums of one or more ``value``
+    columns within ``group_cols`` ordered by ``order_num`` (numeric) then
+    ``tie_cols``; all sums share one bucketed window pass."""
+    values = [value] if isinstance(value, str) else list(value)
+    outs = [out] if isinstance(out, str) else list(out)
     nb = n_buckets or default_buckets(df)
     b = "_rs_b"
     d = df.withColumn(b, _bucket_expr(df, group_cols[0], order_num, nb))
-    tot = d.groupBy(*group_cols, b).agg(F.sum(value).alias("_rs_t"))
+    tot = d.groupBy(*group_cols, b).agg(*[F.sum(v).alias(f"_rs_t{i}") for i, v in enumerate(values)])
     wo = Window.partitionBy(*group_cols).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.withColumn("_rs_off", F.coalesce(F.sum("_rs_t").over(wo), F.lit(0))).drop("_rs_t")
+    offs = tot.select(*group_cols, b, *[F.coalesce(F.sum(f"_rs_t{i}").over(wo), F.lit(0)).alias(f"_rs_o{i}")
+                                        for i in range(len(values))])
     j = d.join(offs, [*group_cols, b])
     order = [F.col(order_num), *[F.col(c) for c in tie_cols]]
-    w = Window.partitionBy(*group_cols, b).orderBy(*order)
-    frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    run = F.coalesce(F.sum(value).over(frame), F.lit(0))
-    return j.withColumn(out, F.col("_rs_off") + run).drop(b, "_rs_off")
+    frame = Window.partitionBy(*group_cols, b).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, 0 if inclusive else -1)
+    for i, (v, o) in enumerate(zip(values, outs)):
+        j = j.withColumn(o, F.col(f"_rs_o{i}") + F.coalesce(F.sum(v).over(frame), F.lit(0)))
+    return j.drop(b, *[f"_rs_o{i}" for i in range(len(values))])
 
 
 def ordinal_rank(long_df: DataFrame, group: str, value: str, tie: str, out: str = "rank") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from foldwise.functions.prep import class_list
 from foldwise.operators.ranking import ordinal_rank, running_sum
+from foldwise.session import cut_lineage
 
 # Keep-rules of the reference's filter experiments.
 KEEP_RULES = {"kendall": ("min", 0.3), "anova": ("min", 0.3), "pearson": ("abs", 0.1),
@@ -55,22 +56,23 @@ def kendall_score(long_df: DataFrame) -> DataFrame:
     concordant when x and class order agree strictly, ties count as -1.
     concordant = sum over hi-class rows of the lo-class rows (lo < hi) with a
     strictly smaller value."""
-    cnt = long_df.groupBy("feature", "x", "cls").agg(F.count(F.lit(1)).alias("n"))
     classes = long_df.select("cls").distinct()
-    # complete (feature, x, cls) grid: distinct values x class list (K small,
-    # exploded from a literal array collected with its size checked)
     cls_vals = sorted(r[0] for r in classes.limit(10_001).collect())
     if len(cls_vals) > 10_000:
         raise ValueError("too many classes")
-    full = (cnt.select("feature", "x").distinct()
-            .withColumn("cls", F.explode(F.array(*[F.lit(c) for c in cls_vals])))
-            .join(cnt, ["feature", "x", "cls"], "left").fillna(0, ["n"]))
-    below = running_sum(full, ["feature", "cls"], "x", "n", "below")      # same class, smaller x
-    # sum of below over classes lower than cls, at the same (feature, x)
-    w = Window.partitionBy("feature", "x").orderBy("cls").rowsBetween(Window.unboundedPreceding, -1)
-    lower = below.withColumn("below_lower", F.coalesce(F.sum("below").over(w), F.lit(0)))
-    conc = lower.groupBy("feature").agg(F.sum(F.col("n") * F.col("below_lower")).alias("concordant"),
-                                        F.sum("n").alias("n_rows"))
+    # one row per (feature, value) with the count of every class
+    ns = [f"_n{i}" for i in range(len(cls_vals))]
+    per_value = long_df.groupBy("feature", "x").agg(
+        *[F.count_if(F.col("cls") == c).alias(n) for c, n in zip(cls_vals, ns)])
+    # read by the bound sampling, the bucket totals and the running sums:
+    # materialise the (usually much smaller) count table once
+    per_value = cut_lineage(per_value)
+    below = [f"_b{i}" for i in range(len(cls_vals))]
+    run = running_sum(per_value, ["feature"], "x", ns, below)
+    # rows of class i at this value pair with lower-class rows at smaller values
+    terms = [F.col(ns[i]) * sum((F.col(below[j]) for j in range(i)), F.lit(0)) for i in range(1, len(ns))]
+    conc = run.groupBy("feature").agg(F.sum(sum(terms, F.lit(0))).alias("concordant"),
+                                      F.sum(sum((F.col(n) for n in ns), F.lit(0))).alias("n_rows"))
     n = F.col("n_rows").cast("double")
     pairs = n * (n - 1) / 2
     return conc.select("feature", ((2 * F.col("concordant") - pairs) / (0.5 * n * n)).alias("score"))
