@@ -852,13 +852,15 @@ from foldwise.streaming import prequential as W  # noqa: E402
 WIN, BAT, KNN_K = 1000, 500, 9
 
 
-def _stream_table(spark, sf):
+def _stream_table(spark, sf, with_total: bool = False):
     """events ordered by (ts, event_id) -> seq, features (value, sin/cos
     hour with fitted cyclical parameters), label purchase."""
-    s = _events_seq(spark, sf)
+    ev = dt.events(spark, sf).withColumn("ts_key", F.unix_micros(F.col("ts").cast("timestamp")))
+    s = SP.row_seq(ev, "ts_key", "event_id", total="_n" if with_total else None)
     cyc = P.cyclical_fit(dt.events(spark, sf), "hour")  # fitted on the plain scan
     out = W.stream_features(s, cyc, ["value"])
-    return out.select("event_id", "seq", "features", F.col("label").cast("string").alias("label"))
+    return out.select("event_id", "seq", "features", F.col("label").cast("string").alias("label"),
+                      *(["_n"] if with_total else []))
 
 
 STREAM_SQL = CYCLIC_SQL.replace("WITH h AS (SELECT event_id, CAST(hour(ts) AS DOUBLE) AS hr FROM events)",
@@ -900,13 +902,13 @@ p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY vote
 SELECT CAST(batch AS BIGINT) AS batch, count(*) AS n, CAST(sum(CASE WHEN ml = actual THEN 1 ELSE 0 END) AS BIGINT) AS n_right,
   round(avg(CASE WHEN ml = actual THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM p GROUP BY batch""")
 def q_prequential_knn(spark, sf):
-    r = W.prequential_knn(_stream_table(spark, sf), WIN, BAT, KNN_K, dim=3)
+    r = W.prequential_knn(_stream_table(spark, sf, with_total=True), WIN, BAT, KNN_K, dim=3)
     return r.select("batch", "n", "n_right", rnd("accuracy").alias("accuracy"))
 
 
 @register("prequential_svm")
 def q_prequential_svm(spark, sf):
-    r = W.prequential_svm(_stream_table(spark, sf), WIN, BAT, kind="rbf", C=1.0, gamma=2.0, dim=3)
+    r = W.prequential_svm(_stream_table(spark, sf, with_total=True), WIN, BAT, kind="rbf", C=1.0, gamma=2.0, dim=3)
     return r.select("batch", "n", "n_right", rnd("accuracy").alias("accuracy"))
 
 

@@ -96,10 +96,12 @@ def split_by_fold(df: DataFrame, f: int, fold: str = "fold") -> tuple[DataFrame,
     return df.where(F.col(fold) != f), df.where(F.col(fold) == f)
 
 
-def row_seq(df: DataFrame, order_key: str, tie: str | None = None, name: str = "seq") -> DataFrame:
-    """0..N-1 in the order of a numeric key (ties by ``tie``)."""
+def row_seq(df: DataFrame, order_key: str, tie: str | None = None, name: str = "seq",
+            total: str | None = None) -> DataFrame:
+    """0..N-1 in the order of a numeric key (ties by ``tie``); ``total``
+    adds the row count as a column (computed in the same plan)."""
     order = [F.col(order_key)] + ([F.col(tie)] if tie else [])
-    return dense_seq(df, order, numeric_key=order_key, name=name)
+    return dense_seq(df, order, numeric_key=order_key, name=name, total=total)
 
 
 def batches(df: DataFrame, size: int, seq: str = "seq", shuffle: bool = False, seed: int = 42,

@@ -147,3 +147,12 @@ def test_knn_k_larger_than_memory(spark):
 def test_prequential_svm_accuracies(spark):
     r = C.q_prequential_svm(spark, SF).collect()
     assert len(r) == 0 or all(0 <= x.accuracy <= 1 for x in r)
+
+
+def test_memory_when_batch_larger_than_window(spark):
+    """W < B: memory of batch b is still rows [b*B, b*B + W)."""
+    from foldwise.streaming import prequential as W
+    df = spark.range(1000).withColumnRenamed("id", "seq")
+    mem = W.memory_summary(df, 100, 300).orderBy("batch").collect()
+    assert [(r.batch, r.n_memory, r.first_seq, r.last_seq) for r in mem] == \
+        [(0, 100, 0, 99), (1, 100, 300, 399), (2, 100, 600, 699)]
