@@ -482,10 +482,9 @@ p AS (SELECT a.pos AS i, b.pos AS j, a.x AS xi, b.x AS xj FROM e10 a JOIN e10 b
 SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, round(CASE WHEN stddev_pop(xi) * stddev_pop(xj) = 0 THEN NULL
   ELSE covar_pop(xi, xj) / (stddev_pop(xi) * stddev_pop(xj)) END, 6) AS r FROM p GROUP BY i, j""")
 def q_correlation_matrix(spark, sf):
-    df = dt.embeddings(spark, sf)
-    lg = df.select("row_id", F.posexplode(F.slice("features", 1, 10)).alias("feature", "x"))
-    cm = ST.correlation_matrix(lg)
-    return cm.select(F.col("fi").cast("bigint").alias("i"), F.col("fj").cast("bigint").alias("j"), rnd("r").alias("r"))
+    df = dt.embeddings(spark, sf).select(F.slice("features", 1, 10).alias("features"))
+    cm = ST.correlation_from_vectors(df, 10)
+    return cm.select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), rnd("r").alias("r"))
 
 
 @register("first_per_class", f"""WITH {EMB_BASE}
@@ -766,9 +765,20 @@ def q_nemenyi_cd(spark, sf):
                      F.col("n_blocks").cast("bigint"), rnd("cd").alias("cd"))
 
 
-@register("nemenyi_groups")
+@register("nemenyi_groups", f"""WITH RECURSIVE {PART_FOLDS_SQL}, {PART_RULES_SQL}, {RANKS_SQL},
+kn AS (SELECT count(DISTINCT method) AS k, count(DISTINCT fold) AS nb FROM rk),
+cdt AS (SELECT method, avg(rank) AS mean_rank, max({Q_SQL}[k] * sqrt(k * (k + 1) / (6.0 * nb))) AS cd FROM rk, kn GROUP BY method),
+srt AS (SELECT method, mean_rank, cd, row_number() OVER (ORDER BY mean_rank, method) AS i FROM cdt),
+walk(i, start_rank, grp) AS (
+  SELECT 1, (SELECT mean_rank FROM srt WHERE i = 1), 1
+  UNION ALL
+  SELECT s.i, CASE WHEN s.mean_rank - w.start_rank > s.cd + 1e-12 THEN s.mean_rank ELSE w.start_rank END,
+    CASE WHEN s.mean_rank - w.start_rank > s.cd + 1e-12 THEN w.grp + 1 ELSE w.grp END
+  FROM walk w JOIN srt s ON s.i = w.i + 1)
+SELECT s.method, round(s.mean_rank, 6) AS mean_rank, CAST(w.grp AS INTEGER) AS grp FROM walk w JOIN srt s ON s.i = w.i""")
 def q_nemenyi_groups(spark, sf):
-    return CMP.nemenyi_groups(CMP.nemenyi_cd(_ranks(spark, sf)))
+    g = CMP.nemenyi_groups(CMP.nemenyi_cd(_ranks(spark, sf)))
+    return g.select("method", rnd("mean_rank").alias("mean_rank"), "grp")
 
 
 @register("ordinal_rank", f"""WITH {EMB_BASE}

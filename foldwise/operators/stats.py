@@ -127,3 +127,15 @@ def correlation_matrix(long_df: DataFrame, id_col: str = "row_id") -> DataFrame:
                                     F.stddev_pop("xj").alias("sj"))
     den = F.col("si") * F.col("sj")
     return agg.select("fi", "fj", F.when(den == 0, F.lit(None).cast("double")).otherwise(F.col("c") / den).alias("r"))
+
+
+def correlation_from_vectors(df: DataFrame, d: int, features: str = "features") -> DataFrame:
+    """D5 for vectors: r_ij = cov_ij / sqrt(cov_ii cov_jj) from the centred
+    Gram partials (d^2 rows per task, no per-row pairs); NULL when a feature
+    is constant."""
+    cov = covariance(df, d, features)
+    diag = cov.where(F.col("i") == F.col("j")).select(F.col("i").alias("k"), F.col("cov").alias("v"))
+    j = (cov.join(diag.withColumnRenamed("k", "i").withColumnRenamed("v", "vi"), "i")
+         .join(diag.withColumnRenamed("k", "j").withColumnRenamed("v", "vj"), "j"))
+    den = F.sqrt(F.col("vi") * F.col("vj"))
+    return j.select("i", "j", F.when(den == 0, F.lit(None).cast("double")).otherwise(F.col("cov") / den).alias("r"))
