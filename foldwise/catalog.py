@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldwise.functions.common import ts_micros
+
 from foldwise import sqltext as S
 from foldwise.functions.prep import minmax_fit
 from foldwise.operators.splits import stratified_kfold
@@ -400,7 +402,7 @@ EVENTS_SEQ_SQL = "SELECT event_id, CAST(row_number() OVER (ORDER BY ts, event_id
 
 
 def _events_seq(spark, sf):
-    ev = dt.events(spark, sf).withColumn("ts_key", F.unix_micros(F.col("ts").cast("timestamp")))
+    ev = dt.events(spark, sf).withColumn("ts_key", ts_micros("ts"))
     return SP.row_seq(ev, "ts_key", "event_id")
 
 
@@ -865,7 +867,7 @@ WIN, BAT, KNN_K = 1000, 500, 9
 def _stream_table(spark, sf, with_total: bool = False):
     """events ordered by (ts, event_id) -> seq, features (value, sin/cos
     hour with fitted cyclical parameters), label purchase."""
-    ev = dt.events(spark, sf).withColumn("ts_key", F.unix_micros(F.col("ts").cast("timestamp")))
+    ev = dt.events(spark, sf).withColumn("ts_key", ts_micros("ts"))
     s = SP.row_seq(ev, "ts_key", "event_id", total="_n" if with_total else None)
     cyc = P.cyclical_fit(dt.events(spark, sf), "hour")  # fitted on the plain scan
     out = W.stream_features(s, cyc, ["value"])

@@ -40,3 +40,11 @@ def sq_dist(a: Column, b: Column) -> Column:
         F.lit(0.0),
         lambda acc, z: acc + (z["a"] - z["b"]) * (z["a"] - z["b"]),
     )
+
+
+
+def ts_micros(col: Column | str) -> Column:
+    """Microseconds since 1970 of a TIMESTAMP_NTZ (wall-clock) column, free
+    of the session time zone (a cast to TIMESTAMP would depend on it)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)

@@ -7,6 +7,8 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from foldwise.functions.common import ts_micros
+
 from foldwise import catalog as C
 from foldwise.functions import prep as P
 from foldwise.operators import neighbors as NB
@@ -20,7 +22,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_dense_seq_equals_row_number(spark):
-    ev = dt.events(spark, SF).withColumn("k", F.unix_micros(F.col("ts").cast("timestamp")))
+    ev = dt.events(spark, SF).withColumn("k", ts_micros("ts"))
     got = dense_seq(ev, [F.col("k"), F.col("event_id")], numeric_key="k", n_buckets=7)
     exp = ev.withColumn("rn", F.row_number().over(Window.orderBy("k", "event_id")) - 1)
     j = got.join(exp, "event_id").where(F.col("seq") != F.col("rn"))
