@@ -107,6 +107,40 @@ def knn_cv_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_summary(res.summary)
 
 
+def _knn_cv_fold_scaled_sql(k: int, folds: int) -> str:
+    met, met_out = S.metrics_ctes("cnt", ["fold"], [str(i) for i in range(10)])
+    return f"""WITH {EMB_BASE},
+folds AS ({strat_folds_sql('base', folds)}),
+fx AS (SELECT e.row_id, e.pos, e.x, f.fold, f.label FROM ex e JOIN folds f ON f.row_id = e.row_id),
+pf AS (SELECT fold, pos, min(x) AS lo, max(x) AS hi FROM fx GROUP BY ALL),
+st AS (SELECT a.fold, a.pos, min(b.lo) AS lo, max(b.hi) AS hi FROM pf a JOIN pf b ON a.pos = b.pos AND a.fold <> b.fold GROUP BY ALL),
+kn_d AS (SELECT q.row_id AS qid, t.row_id AS did, round(sum(
+    (CASE WHEN st.hi = st.lo THEN 0.0 ELSE (q.x - st.lo) / (st.hi - st.lo) END
+     - CASE WHEN st.hi = st.lo THEN 0.0 ELSE (t.x - st.lo) / (st.hi - st.lo) END) *
+    (CASE WHEN st.hi = st.lo THEN 0.0 ELSE (q.x - st.lo) / (st.hi - st.lo) END
+     - CASE WHEN st.hi = st.lo THEN 0.0 ELSE (t.x - st.lo) / (st.hi - st.lo) END)), 9) AS d2
+  FROM fx q JOIN fx t ON q.pos = t.pos AND q.fold <> t.fold JOIN st ON st.fold = q.fold AND st.pos = q.pos
+  GROUP BY q.row_id, t.row_id),
+kn_r AS (SELECT qid, did, row_number() OVER (PARTITION BY qid ORDER BY d2, did) AS rk FROM kn_d),
+kn_v AS (SELECT r.qid, l.label, count(*) AS votes, max(r.rk) AS last FROM kn_r r JOIN folds l ON l.row_id = r.did
+  WHERE r.rk <= {k} GROUP BY r.qid, l.label),
+kn_p AS (SELECT qid AS row_id, label AS predicted FROM (SELECT *, row_number() OVER
+  (PARTITION BY qid ORDER BY votes DESC, last ASC) AS r1 FROM kn_v) WHERE r1 = 1),
+cnt AS (SELECT f.fold, f.label AS actual, p.predicted, count(*) AS n FROM folds f JOIN kn_p p
+  ON p.row_id = f.row_id GROUP BY ALL),
+{met}
+{S.summary_select(met_out)}"""
+
+
+@register("knn_cv_fold_scaled", _knn_cv_fold_scaled_sql(5, 5))
+def knn_cv_fold_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leak-free flagship variant: min-max fitted on each fold's training
+    rows only (the reference fits it on all rows first)."""
+    df = stratified_kfold(dt.embeddings(spark, sf_dir), 5, seed=42)
+    res = knn_cross_validate(df, 5, classes=[str(i) for i in range(10)], scale="per_fold")
+    return rounded_summary(res.summary)
+
+
 # =================================================================== B: prep
 from foldwise.functions import prep as P  # noqa: E402
 from foldwise.functions.common import rnd  # noqa: E402

@@ -82,7 +82,7 @@ def _blocks(n: int, block_rows: int, parallelism: int = 1, min_rows: int = 256)
 def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id", did: str = "row_id",
              features: str = "features", carry: tuple[str, ...] = ("label",),
              exclude_same: str | None = None, within: str | None = None,
-             block_rows: int = BLOCK_ROWS) -> DataFrame:
+             block_rows: int = BLOCK_ROWS, scale_by: dict | None = None) -> DataFrame:
     """k nearest data rows of every query row.
 
     Returns ``query_id, rank (1 = nearest), data_id, dist2, <carry...>``.
@@ -90,6 +90,9 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
     are skipped (e.g. ``fold`` for cross-validation in one pass).
     ``within``: a column on both sides; queries only meet data rows with the
     same value (independent searches, e.g. bagging members, in one job).
+    ``scale_by``: {value of ``exclude_same``: (lo, hi)} min-max parameters;
+    a query with value f and its candidates are both scaled with f's
+    parameters (leak-free cross-validation: f's training rows fitted them).
     """
     # one small job per side: row count and vector width together
     st = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(features)).alias("d")).first()
@@ -118,13 +121,24 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
     ])
     names = [f.name for f in schema.fields]
     has_x = bool(exclude_same)
+    scalers = ({k: (np.asarray(v[0], dtype=np.float64), np.asarray(v[1], dtype=np.float64))
+                for k, v in scale_by.items()} if scale_by else None)
 
     def block(qp: pd.DataFrame, dp: pd.DataFrame) -> pd.DataFrame:
         if len(qp) == 0 or len(dp) == 0:
             return pd.DataFrame({n: [] for n in names})
         qx, dx = stack_columns(qp, dim), stack_columns(dp, dim)
-        d2 = pairwise_sq(qx, dx)
-        if has_x:
+        if scalers is not None:
+            d2 = np.full((len(qp), len(dp)), np.inf)
+            qf, dfold = qp["_x"].to_numpy(), dp["_x"].to_numpy()
+            for f in np.unique(qf):
+                lo, hi = scalers[f]
+                rq, rd = np.nonzero(qf == f)[0], np.nonzero(dfold != f)[0]
+                if len(rd):
+                    d2[np.ix_(rq, rd)] = pairwise_sq(_minmax(qx[rq], lo, hi), _minmax(dx[rd], lo, hi))
+        else:
+            d2 = pairwise_sq(qx, dx)
+        if has_x and scalers is None:
             same = qp["_x"].to_numpy()[:, None] == dp["_x"].to_numpy()[None, :]
             d2 = np.where(same, np.inf, d2)
         ids = dp["data_id"].to_numpy()
@@ -160,6 +174,15 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
     return (part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
 
 
+def _minmax(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """(x - lo) / (hi - lo); a constant feature maps to 0."""
+    span = hi - lo
+    out = np.zeros_like(x)
+    ok = span != 0
+    out[:, ok] = (x[:, ok] - lo[ok]) / span[ok]
+    return out
+
+
 def vote(neighbours: DataFrame, label: str = "label", key: str | list[str] = "query_id",
          out: str = "predicted") -> DataFrame:
     """Majority class of the k nearest; among tied classes the one whose
@@ -181,13 +204,35 @@ def knn_classify(train: DataFrame, test: DataFrame, k: int, *, label: str = "lab
     return vote(nb, label).withColumnRenamed("query_id", id_col)
 
 
+def fold_minmax(df: DataFrame, fold: str = "fold", features: str = "features") -> dict:
+    """Min-max parameters of every fold's TRAINING rows (all other folds),
+    from one (fold, position) aggregate: k x d numbers."""
+    rows = (df.select(fold, F.posexplode(features).alias("pos", "x")).groupBy(fold, "pos")
+            .agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect())
+    folds = sorted({r[fold] for r in rows})
+    d = max(r["pos"] for r in rows) + 1
+    lo = {f: np.full(d, np.inf) for f in folds}
+    hi = {f: np.full(d, -np.inf) for f in folds}
+    for r in rows:
+        lo[r[fold]][r["pos"]] = r["lo"]
+        hi[r[fold]][r["pos"]] = r["hi"]
+    out = {}
+    for f in folds:
+        others = [g for g in folds if g != f]
+        out[f] = (np.min([lo[g] for g in others], axis=0), np.max([hi[g] for g in others], axis=0))
+    return out
+
+
 def knn_cross_validate_predictions(df: DataFrame, k: int, fold: str = "fold", label: str = "label",
                                    features: str = "features", id_col: str = "row_id",
-                                   block_rows: int = BLOCK_ROWS) -> DataFrame:
+                                   block_rows: int = BLOCK_ROWS, scale: str | None = None) -> DataFrame:
     """All folds at once: every row is predicted from the rows of the other
-    folds.  Returns ``(row_id, fold, actual, predicted)``."""
-    pred = knn_classify(df, df, k, label=label, features=features, id_col=id_col,
-                        exclude_same=fold, block_rows=block_rows)
+    folds.  ``scale='per_fold'`` min-max scales with each fold's training
+    rows only.  Returns ``(row_id, fold, actual, predicted)``."""
+    scale_by = fold_minmax(df, fold, features) if scale == "per_fold" else None
+    nb = knn_join(df, df, k, qid=id_col, did=id_col, features=features, carry=(label,),
+                  exclude_same=fold, block_rows=block_rows, scale_by=scale_by)
+    pred = vote(nb, label).withColumnRenamed("query_id", id_col)
     return (df.select(id_col, fold, F.col(label).alias("actual"))
             .join(pred, id_col))
 
