@@ -1428,3 +1428,33 @@ def q_load_filtered(spark, sf):
   CASE WHEN label IN (2, 8) THEN CAST(label AS VARCHAR) ELSE '-1' END AS label FROM embeddings""")
 def q_load_filtered_relabel(spark, sf):
     return FS.load_filtered(dt.embeddings(spark, sf).select("row_id", "label"), ["2", "8", -1])
+
+
+@register("knn_join_lsh")
+def q_knn_join_lsh(spark, sf):
+    """C5 approximate: LSH candidates, exact fallback for queries with fewer
+    than k candidates; reports recall of the true neighbours per rank."""
+    d = _emb_split(spark, sf)
+    q, t = d.where("split = 'test'"), d.where("split = 'train'")
+    approx = NB.knn_join_lsh(q, t, 3, bucket_length=2.0, threshold=4.0, num_tables=4, carry=())
+    exact = NB.knn_join(q, t, 3, carry=())
+    both = approx.select("query_id", "rank", F.col("data_id").alias("approx_id")).join(
+        exact.select("query_id", "rank", F.col("data_id").alias("exact_id")), ["query_id", "rank"])
+    return both.groupBy("rank").agg(F.count(F.lit(1)).alias("n"),
+                                    rnd(F.avg((F.col("approx_id") == F.col("exact_id")).cast("double"))).alias("agree"))
+
+
+@register("cv_svm_poly")
+def q_cv_svm_poly(spark, sf):
+    res = EV.cross_validate(_part_folds(spark, sf), lambda tr: MD.svm(tr, "poly", 100.0, gamma=1.0, degree=2,
+                                                                      classes=PART_CLASSES, n_landmarks=100),
+                            classes=PART_CLASSES)
+    return _cv_rows(res, "svm_poly2_nystroem")
+
+
+@register("cv_svm_sigmoid")
+def q_cv_svm_sigmoid(spark, sf):
+    res = EV.cross_validate(_part_folds(spark, sf), lambda tr: MD.svm(tr, "sigmoid", 1.0, gamma=0.5, coef0=0.0,
+                                                                      classes=PART_CLASSES, n_landmarks=100),
+                            classes=PART_CLASSES)
+    return _cv_rows(res, "svm_sigmoid_nystroem")
