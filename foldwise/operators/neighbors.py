@@ -32,12 +32,6 @@ DIST_DIGITS = 9
 BLOCK_ROWS = 2048
 
 
-def _stack(col: pd.Series, d: int | None = None) -> np.ndarray:
-    if len(col) == 0:
-        return np.zeros((0, d or 0))
-    return np.stack([np.asarray(v, dtype=np.float64) for v in col.to_numpy()])
-
-
 def pairwise_sq(qx: np.ndarray, dx: np.ndarray) -> np.ndarray:
     """Squared distances, accumulated feature by feature (same order as an
     SQL sum over positions 1..d)."""

@@ -29,7 +29,6 @@ def metrics_ctes(counts: str, keys: list[str], classes: list | None, weighted: b
     k = ", ".join(keys) if keys else ""
     kc = (k + ", ") if keys else ""
     on = lambda a, b: " AND ".join([f"{a}.{x} = {b}.{x}" for x in keys] + [f"{a}.class = {b}.class"])
-    gk = " AND ".join(f"{prefix}_grp.{x} = t.{x}" for x in keys) or "TRUE"
     if classes is None:
         cls = (f"{prefix}_cls AS (SELECT {kc}class, CAST(row_number() OVER ("
                f"{'PARTITION BY ' + k if keys else ''} ORDER BY class) - 1 AS INTEGER) AS class_idx FROM ("
@@ -71,7 +70,6 @@ def metrics_ctes(counts: str, keys: list[str], classes: list | None, weighted: b
         f"CASE WHEN max(total) = 0 THEN 0.0 ELSE CAST(sum(tp) AS DOUBLE) / max(total) END AS accuracy, "
         f"1 - CASE WHEN max(total) = 0 THEN 0.0 ELSE CAST(sum(tp) AS DOUBLE) / max(total) END AS error_rate, "
         f"{', '.join(comb)} FROM {prefix}_pf {'GROUP BY ' + k if keys else ''})")
-    del gk
     return ",\n".join(ctes), f"{prefix}_out"
 
 
