@@ -1458,3 +1458,15 @@ def q_cv_svm_sigmoid(spark, sf):
                                                                       classes=PART_CLASSES, n_landmarks=100),
                             classes=PART_CLASSES)
     return _cv_rows(res, "svm_sigmoid_nystroem")
+
+
+@register("knn_cv_lsh")
+def q_knn_cv_lsh(spark, sf):
+    """Flagship with LSH candidates (the route for tables where exact
+    all-pairs kNN is out of reach); rows-only check."""
+    df = dt.embeddings(spark, sf)
+    df = minmax_fit(df).transform(df)
+    df = stratified_kfold(df, 5, seed=42)
+    res = knn_cross_validate(df, 5, classes=[str(i) for i in range(10)],
+                             lsh={"bucket_length": 2.0, "threshold": 4.0, "num_tables": 4})
+    return rounded_summary(res.summary)

@@ -23,3 +23,14 @@ def stack_columns(pdf: pd.DataFrame, d: int, prefix: str = "_f") -> np.ndarray:
     if len(pdf) == 0:
         return np.zeros((0, d))
     return pdf[feature_columns(d, prefix)].to_numpy(dtype=np.float64)
+
+
+_PD_TYPES = {"bigint": "int64", "int": "int32", "double": "float64", "float": "float32",
+             "boolean": "bool", "smallint": "int16", "tinyint": "int8"}
+
+
+def empty_frame(schema) -> pd.DataFrame:
+    """A typed empty pandas frame for a Spark StructType (an untyped empty
+    frame does not convert to Arrow for every column type)."""
+    return pd.DataFrame({f.name: pd.Series([], dtype=_PD_TYPES.get(f.dataType.simpleString(), "object"))
+                         for f in schema.fields})

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.neighbors_shared import feature_columns, stack_columns
+from foldwise.neighbors_shared import empty_frame, feature_columns, stack_columns
 
 DIST_DIGITS = 9
 BLOCK_ROWS = 2048
@@ -120,7 +120,7 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
 
     def block(qp: pd.DataFrame, dp: pd.DataFrame) -> pd.DataFrame:
         if len(qp) == 0 or len(dp) == 0:
-            return pd.DataFrame({n: [] for n in names})
+            return empty_frame(schema)
         qx, dx = stack_columns(qp, dim), stack_columns(dp, dim)
         if scalers is not None:
             d2 = np.full((len(qp), len(dp)), np.inf)
@@ -219,13 +219,20 @@ def fold_minmax(df: DataFrame, fold: str = "fold", features: str = "features") -
 
 def knn_cross_validate_predictions(df: DataFrame, k: int, fold: str = "fold", label: str = "label",
                                    features: str = "features", id_col: str = "row_id",
-                                   block_rows: int = BLOCK_ROWS, scale: str | None = None) -> DataFrame:
+                                   block_rows: int = BLOCK_ROWS, scale: str | None = None,
+                                   lsh: dict | None = None) -> DataFrame:
     """All folds at once: every row is predicted from the rows of the other
     folds.  ``scale='per_fold'`` min-max scales with each fold's training
     rows only.  Returns ``(row_id, fold, actual, predicted)``."""
-    scale_by = fold_minmax(df, fold, features) if scale == "per_fold" else None
-    nb = knn_join(df, df, k, qid=id_col, did=id_col, features=features, carry=(label,),
-                  exclude_same=fold, block_rows=block_rows, scale_by=scale_by)
+    if lsh is not None:
+        # approximate candidates for very large tables (exact fallback for
+        # queries with fewer than k candidates); global scaling only
+        nb = knn_join_lsh(df, df, k, qid=id_col, did=id_col, features=features, carry=(label,),
+                          exclude_same=fold, block_rows=block_rows, **lsh)
+    else:
+        scale_by = fold_minmax(df, fold, features) if scale == "per_fold" else None
+        nb = knn_join(df, df, k, qid=id_col, did=id_col, features=features, carry=(label,),
+                      exclude_same=fold, block_rows=block_rows, scale_by=scale_by)
     pred = vote(nb, label).withColumnRenamed("query_id", id_col)
     return (df.select(id_col, fold, F.col(label).alias("actual"))
             .join(pred, id_col))
@@ -285,19 +292,24 @@ def local_svm_predictions(train: DataFrame, test: DataFrame, k: int, C: float =
 
 def knn_join_lsh(queries: DataFrame, data: DataFrame, k: int, *, bucket_length: float, threshold: float,
                  num_tables: int = 3, qid: str = "row_id", did: str = "row_id", features: str = "features",
-                 carry: tuple[str, ...] = ("label",), seed: int = 42, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 carry: tuple[str, ...] = ("label",), seed: int = 42, block_rows: int = BLOCK_ROWS,
+                 exclude_same: str | None = None) -> DataFrame:
     """Approximate kNN for very large tables: candidates are the data rows
     sharing an LSH bucket (random projections, MLlib) within ``threshold``;
     the k best candidates are kept per query.  Queries left with fewer than
     k candidates are answered by the exact blocked join, so every query gets
-    k neighbours.  Same output as :func:`knn_join`."""
+    k neighbours.  Same output as :func:`knn_join`; ``exclude_same`` drops
+    candidate pairs with equal values (cross-validation folds)."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
-    qv = queries.select(F.col(qid).alias("query_id"), array_to_vector(features).alias("_v"))
-    dv = data.select(F.col(did).alias("data_id"), array_to_vector(features).alias("_v"), *carry)
+    xc = [F.col(exclude_same).alias("_x")] if exclude_same else []
+    qv = queries.select(F.col(qid).alias("query_id"), array_to_vector(features).alias("_v"), *xc)
+    dv = data.select(F.col(did).alias("data_id"), array_to_vector(features).alias("_v"), *carry, *xc)
     model = BucketedRandomProjectionLSH(inputCol="_v", outputCol="_h", bucketLength=bucket_length,
                                         numHashTables=num_tables, seed=seed).fit(dv)
     pairs = model.approxSimilarityJoin(qv, dv, threshold, distCol="_dist")
+    if exclude_same:
+        pairs = pairs.where(F.col("datasetA._x") != F.col("datasetB._x"))
     cand = pairs.select(F.col("datasetA.query_id").alias("query_id"), F.col("datasetB.data_id").alias("data_id"),
                         F.round(F.col("_dist") * F.col("_dist"), DIST_DIGITS).alias("dist2"),
                         *[F.col(f"datasetB.{c}").alias(c) for c in carry])
@@ -306,6 +318,7 @@ def knn_join_lsh(queries: DataFrame, data: DataFrame, k: int, *, bucket_length:
     full = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k)
     short = queries.join(full.select(F.col("query_id").alias(qid)), qid, "left_anti")
     top_full = top.join(full.select("query_id"), "query_id", "left_semi")
-    exact = knn_join(short, data, k, qid=qid, did=did, features=features, carry=carry, block_rows=block_rows)
+    exact = knn_join(short, data, k, qid=qid, did=did, features=features, carry=carry, block_rows=block_rows,
+                     exclude_same=exclude_same)
     cols = ["query_id", "rank", "data_id", "dist2", *carry]
     return top_full.select(*cols).unionByName(exact.select(*cols))
