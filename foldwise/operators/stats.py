@@ -40,14 +40,36 @@ def histogram(long_df: DataFrame, bins: int = 20) -> DataFrame:
     return j.groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def five_number(long_df: DataFrame, exact: bool = True) -> DataFrame:
-    """min, q1, median, q3, max per feature (linear interpolation; the
-    approximate form uses ``percentile_approx``)."""
-    probs = [0.25, 0.5, 0.75]
-    q = (F.percentile("x", probs) if exact else F.percentile_approx("x", probs, 10000)).alias("q")
-    a = long_df.groupBy("feature").agg(F.min("x").alias("min"), q, F.max("x").alias("max"))
-    return a.select("feature", "min", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                    F.col("q")[2].alias("q3"), "max")
+def five_number(long_df: DataFrame, exact: bool = True, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """min, q1, median, q3, max per feature, quantiles with linear
+    interpolation between order statistics (the usual 'type 7').
+
+    Exact form without holding a feature's values in one task: rows get
+    their rank inside the feature (bucketed running count), the two order
+    statistics around every quantile position are picked by an equi-join on
+    (feature, rank) with a small table of wanted positions, and interpolated.
+    ``exact=False`` uses ``percentile_approx`` (fixed-size sketches)."""
+    from foldwise.operators.ranking import running_sum
+    stats = long_df.groupBy("feature").agg(F.min("x").alias("min"), F.max("x").alias("max"),
+                                           F.count(F.lit(1)).alias("n"))
+    if not exact:
+        a = long_df.groupBy("feature").agg(F.percentile_approx("x", list(probs), 10000).alias("q"))
+        out = stats.join(a, "feature")
+        return out.select("feature", "min", *[F.col("q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])],
+                          "max")
+    ranked = running_sum(long_df.withColumn("_one", F.lit(1)), ["feature"], "x", "_one", "_pos")  # 0-based
+    # wanted positions: floor and ceil of (n - 1) p for every p (features x 6 rows)
+    want = stats.select("feature", F.explode(F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p"))
+                                                       for i, p in enumerate(probs)])).alias("w"), "n")
+    want = want.select("feature", "w.qi", ((F.col("n") - 1) * F.col("w.p")).alias("h"))
+    want = want.select("feature", "qi", "h", F.explode(F.array(F.floor("h").cast("bigint"), F.ceil("h").cast("bigint"))).alias("_pos"))
+    picked = ranked.select("feature", "_pos", "x").join(want, ["feature", "_pos"])  # want: features x 6 rows
+    lo_hi = picked.groupBy("feature", "qi", "h").agg(F.min_by("x", "_pos").alias("xlo"), F.max_by("x", "_pos").alias("xhi"))
+    q = lo_hi.select("feature", "qi", (F.col("xlo") + (F.col("h") - F.floor("h")) * (F.col("xhi") - F.col("xlo"))).alias("v"))
+    wide = q.groupBy("feature").pivot("qi", list(range(len(probs)))).agg(F.first("v"))
+    names = ["q1", "median", "q3"]
+    return stats.join(wide, "feature").select("feature", "min", *[F.col(str(i)).alias(names[i]) for i in range(len(probs))],
+                                              "max")
 
 
 def first_per_class(df: DataFrame, label: str = "label", order: str = "row_id") -> DataFrame:

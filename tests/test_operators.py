@@ -158,3 +158,16 @@ def test_memory_when_batch_larger_than_window(spark):
     mem = W.memory_summary(df, 100, 300).orderBy("batch").collect()
     assert [(r.batch, r.n_memory, r.first_seq, r.last_seq) for r in mem] == \
         [(0, 100, 0, 99), (1, 100, 300, 399), (2, 100, 600, 699)]
+
+
+def test_five_number_matches_numpy(spark):
+    from foldwise.operators import stats as ST
+    rng = np.random.default_rng(5)
+    rows = [(f"f{j}", float(rng.integers(0, 9)) if j == 0 else float(rng.normal())) for j in range(2) for _ in range(37)]
+    df = spark.createDataFrame(rows, "feature string, x double")
+    got = {r.feature: r for r in ST.five_number(df).collect()}
+    for f in ("f0", "f1"):
+        v = np.array([x for ff, x in rows if ff == f])
+        q = np.quantile(v, [0.25, 0.5, 0.75])
+        r = got[f]
+        assert np.allclose([r.min, r.q1, r.median, r.q3, r.max], [v.min(), *q, v.max()])
