@@ -16,6 +16,16 @@ from pyspark.sql import functions as F
 from foldwise.operators.sequence import default_buckets
 
 
+def _search_tree(bounds: list[float], x: Column, lo: int, hi: int) -> Column:
+    """Number of bounds <= x among sorted ``bounds[lo:hi]`` (plus lo): a
+    binary search unrolled into nested CASE WHEN (log2 comparisons/row)."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(x >= F.lit(bounds[mid]), _search_tree(bounds, x, mid + 1, hi)).otherwise(
+        _search_tree(bounds, x, lo, mid))
+
+
 def _bucket_expr(df: DataFrame, key: str, num: str, n_buckets: int) -> Column:
     if n_buckets <= 1:
         return F.lit(0)
@@ -24,9 +34,16 @@ def _bucket_expr(df: DataFrame, key: str, num: str, n_buckets: int) -> Column:
             .collect())
     if not rows:
         return F.lit(0)
-    m = F.create_map(*[x for r in rows for x in (F.lit(r[key]), F.array(*[F.lit(float(v)) for v in sorted(set(r["b"]))]))])
-    bounds = F.element_at(m, F.col(key))
     x = F.col(num).cast("double")
+    per_key = {r[key]: sorted(set(float(v) for v in r["b"])) for r in rows}
+    if sum(len(v) for v in per_key.values()) <= 4096:
+        # codegen-friendly: per key an unrolled binary search over literals
+        expr = F.lit(0)
+        for k, bounds in per_key.items():
+            expr = F.when(F.col(key) == F.lit(k), _search_tree(bounds, x, 0, len(bounds))).otherwise(expr)
+        return expr.cast("int")
+    m = F.create_map(*[v for k, b in per_key.items() for v in (F.lit(k), F.array(*[F.lit(t) for t in b]))])
+    bounds = F.element_at(m, F.col(key))
     return F.size(F.filter(bounds, lambda b: b <= x)).cast("int")
 
 

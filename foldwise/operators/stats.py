@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.neighbors_shared import stack_vectors
@@ -40,30 +40,44 @@ def histogram(long_df: DataFrame, bins: int = 20) -> DataFrame:
     return j.groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def five_number(long_df: DataFrame, exact: bool = True, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+def five_number(long_df: DataFrame, exact: bool = True, probs=(0.25, 0.5, 0.75),
+                n_buckets: int | None = None) -> DataFrame:
     """min, q1, median, q3, max per feature, quantiles with linear
     interpolation between order statistics (the usual 'type 7').
 
-    Exact form without holding a feature's values in one task: rows get
-    their rank inside the feature (bucketed running count), the two order
-    statistics around every quantile position are picked by an equi-join on
-    (feature, rank) with a small table of wanted positions, and interpolated.
-    ``exact=False`` uses ``percentile_approx`` (fixed-size sketches)."""
-    from foldwise.operators.ranking import running_sum
-    stats = long_df.groupBy("feature").agg(F.min("x").alias("min"), F.max("x").alias("max"),
-                                           F.count(F.lit(1)).alias("n"))
+    Exact without holding a feature's values in one task (Spark's exact
+    ``percentile`` keeps every distinct value of a group): rows are bucketed
+    by literal approximate-quantile bounds; one aggregate gives each bucket's
+    count/min/max; the bucket offsets locate the <= 2 * len(probs) buckets
+    per feature that hold the wanted order statistics, and only the rows of
+    those buckets are ranked (a distributed selection, not a sort of all
+    rows).  ``exact=False`` uses ``percentile_approx`` sketches."""
+    from foldwise.operators.ranking import _bucket_expr
+    from foldwise.operators.sequence import default_buckets
     if not exact:
-        a = long_df.groupBy("feature").agg(F.percentile_approx("x", list(probs), 10000).alias("q"))
-        out = stats.join(a, "feature")
-        return out.select("feature", "min", *[F.col("q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])],
-                          "max")
-    ranked = running_sum(long_df.withColumn("_one", F.lit(1)), ["feature"], "x", "_one", "_pos")  # 0-based
-    # wanted positions: floor and ceil of (n - 1) p for every p (features x 6 rows)
-    want = stats.select("feature", F.explode(F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p"))
-                                                       for i, p in enumerate(probs)])).alias("w"), "n")
-    want = want.select("feature", "w.qi", ((F.col("n") - 1) * F.col("w.p")).alias("h"))
-    want = want.select("feature", "qi", "h", F.explode(F.array(F.floor("h").cast("bigint"), F.ceil("h").cast("bigint"))).alias("_pos"))
-    picked = ranked.select("feature", "_pos", "x").join(want, ["feature", "_pos"])  # want: features x 6 rows
+        a = long_df.groupBy("feature").agg(F.min("x").alias("min"), F.max("x").alias("max"),
+                                           F.percentile_approx("x", list(probs), 10000).alias("q"))
+        return a.select("feature", "min", *[F.col("q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])],
+                        "max")
+    nb = n_buckets or 4 * default_buckets(long_df)
+    d = long_df.select("feature", "x").withColumn("_b", _bucket_expr(long_df, "feature", "x", nb))
+    per_b = d.groupBy("feature", "_b").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    w = Window.partitionBy("feature").orderBy("_b")
+    offs = per_b.withColumn("off", F.coalesce(F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    stats = per_b.groupBy("feature").agg(F.min("lo").alias("min"), F.max("hi").alias("max"), F.sum("c").alias("n"))
+    want = stats.select("feature", "n", F.inline(F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p"))
+                                                         for i, p in enumerate(probs)])))
+    want = want.select("feature", "qi", ((F.col("n") - 1) * F.col("p")).alias("h"))
+    want = want.select("feature", "qi", "h",
+                       F.explode(F.array(F.floor("h").cast("bigint"), F.ceil("h").cast("bigint"))).alias("_pos"))
+    # bucket holding each wanted position (small x small tables)
+    loc = want.join(offs.select("feature", "_b", "off", "c"), "feature") \
+        .where((F.col("_pos") >= F.col("off")) & (F.col("_pos") < F.col("off") + F.col("c")))
+    need = loc.select("feature", "_b", "off").distinct()
+    rows = d.join(need, ["feature", "_b"])  # only the rows of the needed buckets
+    ranked = rows.withColumn("_pos", (F.col("off") + F.row_number().over(
+        Window.partitionBy("feature", "_b").orderBy("x")) - 1).cast("bigint"))
+    picked = ranked.select("feature", "_pos", "x").join(loc.select("feature", "qi", "h", "_pos"), ["feature", "_pos"])
     lo_hi = picked.groupBy("feature", "qi", "h").agg(F.min_by("x", "_pos").alias("xlo"), F.max_by("x", "_pos").alias("xhi"))
     q = lo_hi.select("feature", "qi", (F.col("xlo") + (F.col("h") - F.floor("h")) * (F.col("xhi") - F.col("xlo"))).alias("v"))
     wide = q.groupBy("feature").pivot("qi", list(range(len(probs)))).agg(F.first("v"))
