@@ -171,3 +171,41 @@ def test_five_number_matches_numpy(spark):
         q = np.quantile(v, [0.25, 0.5, 0.75])
         r = got[f]
         assert np.allclose([r.min, r.q1, r.median, r.q3, r.max], [v.min(), *q, v.max()])
+
+
+def test_class_missing_from_a_fold(spark):
+    """A class with fewer rows than folds: metrics of folds without it still
+    follow the 0/0 -> 1 rule and weights use actual counts."""
+    from foldwise.plans.evaluate import evaluate_predictions
+    rows = [(i, f, "a" if i % 5 else "b", "a") for i, f in zip(range(20), [1, 2] * 10)]
+    rows[0] = (0, 1, "c", "a")  # class c only in fold 1
+    pred = spark.createDataFrame(rows, "row_id long, fold int, actual string, predicted string")
+    res = evaluate_predictions(pred, ["a", "b", "c"])
+    fm = {r.fold: r for r in res.fold_metrics.collect()}
+    assert fm[2].n == 10 and 0 <= fm[2].recall <= 1 and fm[1].n == 10
+    m = {(r.actual, r.predicted): r.n for r in res.matrix.collect()}
+    assert sum(m.values()) == 20 and m[("c", "a")] == 1
+
+
+def test_empty_input_yields_empty_outputs(spark):
+    from foldwise.operators import metrics as M
+    e = spark.createDataFrame([], "row_id long, features array<double>, label string")
+    assert SP.kfold(e, 5).count() == 0
+    assert SP.hold_out(e, 0.2).count() == 0
+    c = M.confusion_counts(e.withColumn("p", F.col("label")), "label", "p")
+    assert M.multiclass_metrics(c, ["a", "b", "c"]).count() == 0
+
+
+def test_knn_distance_ties_break_by_id(spark):
+    data = spark.createDataFrame([(i, [float(i % 2)], "x") for i in range(10)], "row_id long, features array<double>, label string")
+    q = spark.createDataFrame([(100, [0.0], "q")], "row_id long, features array<double>, label string")
+    got = [r.data_id for r in NB.knn_join(q, data, 3, carry=()).orderBy("rank").collect()]
+    assert got == [0, 2, 4]
+
+
+def test_binary_labels_use_first_class(spark):
+    from foldwise.operators import metrics as M
+    df = spark.createDataFrame([("n", "n"), ("n", "y"), ("y", "y"), ("y", "y")], "actual string, predicted string")
+    r = M.multiclass_metrics(M.confusion_counts(df, "actual", "predicted"), ["n", "y"]).first()
+    # positive class = 'n': tp 1, fn 1, fp 0, tn 2
+    assert r.recall == 0.5 and r.precision == 1.0 and r.specificity == 1.0 and r.accuracy == 0.75
