@@ -44,9 +44,10 @@ def knn_cross_validate(df: DataFrame, k: int, fold: str = "fold", label: str = "
     """V1 for kNN: every fold predicted from the other folds in one pass;
     ``scale='per_fold'`` fits min-max on each fold's training rows."""
     classes = classes if classes is not None else class_list(df, label)
-    # read by the size probe, both sides of the block join and the label
-    # join-back: materialise the (id, features, label, fold) table once
-    df = cut_lineage(df.select("row_id", "features", F.col(label).cast("string").alias(label), fold))
+    # one plan reads this table on both sides of the block join and for the
+    # label join-back; identical subtrees share their exchanges, so it is not
+    # materialised (a rewrite of the whole feature table costs more)
+    df = df.select("row_id", "features", F.col(label).cast("string").alias(label), fold)
     pred = knn_cross_validate_predictions(df, k, fold, label, scale=scale, lsh=lsh)
     return evaluate_predictions(pred, [str(c) for c in classes], fold, weighted)
 
