@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from foldwise.llm import ngram_join
+from foldwise.llm import ngram_join, quality_rules
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
+    "op2_quality_rules": quality_rules.op2_quality_rules,
 }
 
+#: SQL where it can express the operator; the others are tested against brute force
 ORACLE = {
     "op1_ngram_jaccard_join": ngram_join.ORACLE,
+    "op2_quality_rules": quality_rules.ORACLE,
 }
