@@ -171,3 +171,16 @@ def repeated(keys: np.ndarray) -> np.ndarray:
         dup[:-1] |= same
         out[maybe[order]] = dup
     return out
+
+
+def runs(mask: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the maximal runs of True that stay inside one text."""
+    n = len(mask)
+    cut = np.zeros(n + 1, bool)
+    cut[off] = True
+    left = np.ones(n, bool)
+    right = np.ones(n, bool)
+    if n:
+        left[1:] = ~mask[:-1]
+        right[:-1] = ~mask[1:]
+    return np.flatnonzero(mask & (left | cut[:n])), np.flatnonzero(mask & (right | cut[1:])) + 1

@@ -44,10 +44,13 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self) -> None:
+        """Remove the kept tables; what reads them must have ended."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
     def close(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}-out"
         df.write.parquet(path)
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.root)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        self.drop()
         return self.spark.read.schema(df.schema).parquet(path)
