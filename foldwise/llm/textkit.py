@@ -184,3 +184,20 @@ def runs(mask: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left[1:] = ~mask[:-1]
         right[:-1] = ~mask[1:]
     return np.flatnonzero(mask & (left | cut[:n])), np.flatnonzero(mask & (right | cut[1:])) + 1
+
+
+def count_words(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Number of words of each text."""
+    out = [np.zeros(0, np.int64)]
+    for lo, hi in pieces(off):
+        o = off[lo:hi + 1] - off[lo]
+        start, _ = runs(~SPACE[data[off[lo]:off[hi]]], o)
+        out.append(np.diff(np.searchsorted(start, o)))
+    return np.concatenate(out).astype(np.int64)
+
+
+def word_count(text):
+    """Column: number of words of a text, 0 for a null one."""
+    from pyspark.sql import functions as F
+
+    return F.arrow_udf(lambda t: pa.array(count_words(*buffers(t)), pa.int64()), "bigint")(text.cast("string"))
