@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from foldwise.llm import mixing, ngram_join, quality_rules, secret_grammar
+from foldwise.llm import bpe_trie, mixing, ngram_join, quality_rules, secret_grammar
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op6_bpe_trie": bpe_trie.op6_bpe_trie,
     "op7_pivotal_mixing": mixing.op7_pivotal_mixing,
     "op9_secret_grammar": secret_grammar.op9_secret_grammar,
 }
