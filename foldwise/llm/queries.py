@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foldwise.llm import bpe_trie, mixing, ngram_join, quality_rules, secret_grammar
+from foldwise.llm import bpe_trie, hmm_lm, mixing, ngram_join, quality_rules, secret_grammar
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_bpe_trie": bpe_trie.op6_bpe_trie,
     "op7_pivotal_mixing": mixing.op7_pivotal_mixing,
     "op9_secret_grammar": secret_grammar.op9_secret_grammar,
+    "op10_hmm_language_model": hmm_lm.op10_hmm_language_model,
 }
 
 #: SQL where it can express the operator; the others are tested against brute force
