@@ -16,11 +16,11 @@ columns from the candidate product).
    of their short lists. A pair whose sizes or remaining columns cannot reach
    the bound is dropped at once.
 3. *Long lists* (more than ``SHORT`` rows) are not expanded into pairs: every
-   row meets one leader of its size class, accepted pairs form components, and
-   only rows of a list that are still in different components meet again, in
-   salted row blocks.
+   row meets one leader of its size class in each list, and accepted pairs form components.
 4. *Full product*: the surviving pairs accumulate their overlap over all columns;
    ``100 * overlap >= percent * union`` decides.
+5. Rows of a long list that are still in different components are multiplied in
+   salted pairs of row blocks; a block pair returns links, at most one for each of its rows.
 
 A text with fewer words than the n-gram has its whole word sequence as its only
 shingle; a null text or one without words has none and links with nothing.
@@ -45,10 +45,12 @@ MAX_HEAVY = 1 << 20
 HEAVY_FROM = 12
 #: lists up to this length are expanded directly
 SHORT = 24
-#: row block of long lists
-BLOCK = 256
-#: bits of the filter bitmap that is broadcast before the full product (512 kB)
-FILTER_BITS = 22
+#: row and column blocks of the full product
+BLOCK, COLUMN_BLOCK = 256, 4096
+#: rows about candidates (32 bytes each) that are broadcast; more are joined by a shuffle
+MAX_BROADCAST = 500_000
+#: bytes of a column number sent to the full product: 40 bits tell the columns of two rows apart
+SENT = 5
 
 _U = np.uint64
 _TOKEN_BITS = 47
@@ -274,66 +276,78 @@ def _short_lists(batches, percent: int):
     yield from expand(tail, True)
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, n: int, percent: int, ws: Workspace) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent: int, ws: Workspace) -> DataFrame:
     """The pairs (a, b) of contents that reach the threshold: overlap over
-    all columns, from the whole texts of the contents concerned."""
+    all columns, from one whole text of each content concerned. The set of a is sent
+    once to each of its salted groups, where it meets at most about ``BLOCK`` sets."""
     pairs = ws.keep(pairs.select("a", "b").distinct())
-    wanted = ws.keep(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct())
-    # a bitmap of fixed size keeps most other sets inside the task that made them; the join below is exact
-    slot = F.pmod("c", F.lit(1 << FILTER_BITS))
-    bits = wanted.groupBy(F.floor(slot / 64).cast("int").alias("i")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(c, {1 << FILTER_BITS}) % 64 as int))")).alias("w")).toPandas()
-    words = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    words[bits["i"].to_numpy(np.int64)] = bits["w"].to_numpy(np.int64)
-    bitmap = ws.spark.sparkContext.broadcast(words.view(_U))
+    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("m"))
+    pairs = pairs.join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("m")).cast("int"))
+    sides = pairs.select(F.col("b").alias("content"), "a", "salt", "b").unionAll(
+        groups.select(F.col("a").alias("content"), "a", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("salt"), F.lit(None).cast("long").alias("b")))
+    need = ws.keep(sides.join(reps, "content").select(F.col("low").alias("doc_id"), "a", "salt", "b"))
+    few = need.count() <= MAX_BROADCAST
+    rows = _sets(docs, need, n, few).select("a", "salt", "b", "tokens")
+
+    def overlap(batches):
+        held, own = None, None
+        for batch in batches:
+            a, salt, b, tokens = (batch.column(k) for k in range(4))
+            is_a = np.asarray(b.is_null())
+            key, other = a.to_numpy(zero_copy_only=False), b.fill_null(0).to_numpy(zero_copy_only=False)
+            raw, off = buffers(tokens)
+            ok = np.zeros(len(key), bool)
+            for i in range(len(key)):
+                t = _unpacked(raw[off[i]:off[i + 1]])
+                if is_a[i]:
+                    held, own = key[i], t
+                elif held == key[i]:
+                    z = np.concatenate([own, t])
+                    z.sort()
+                    both = int((z[1:] == z[:-1]).sum())
+                    ok[i] = 100 * both >= percent * (len(own) + len(t) - both)
+            yield pa.RecordBatch.from_arrays([pa.array(key[ok]), pa.array(other[ok])], names=["a", "b"])
+
+    parts = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    return ws.keep(rows.mapInArrow(overlap, "a long, b long").distinct())
+
+
+def _sets(docs: DataFrame, need: DataFrame, n: int, few: bool) -> DataFrame:
+    """``need`` with the packed shingle set of each row's doc_id."""
+    ids = need.select("doc_id").distinct()
 
     def sets(batches):
-        seen: set[int] = set()
         for batch in batches:
-            for _, _, w in _pieces(batch, 0):
+            for lo, hi, w in _pieces(batch, 1):
                 s = Shingled(w, n)
-                at = s.content & ((1 << FILTER_BITS) - 1)
-                take = (s.size > 0) & (bitmap.value[at >> 6] >> (at & 63).astype(_U) & _U(1)).astype(bool)
-                at = [d for d in np.flatnonzero(take) if s.content[d] not in seen and not seen.add(int(s.content[d]))]
-                if len(seen) > 500_000:
-                    seen.clear()
+                raw = np.ascontiguousarray(s.token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT]).tobytes()
+                first = (s.first * SENT).tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(s.content[at], pa.int64()), pa.array([s.token[s.first[d]:s.first[d + 1]].tobytes() for d in at], pa.binary())],
-                    names=["c", "tokens"])
+                    [batch.column(0).slice(lo, hi - lo), pa.array([raw[x:y] for x, y in zip(first[:-1], first[1:])], pa.binary())], names=["doc_id", "tokens"])
 
-    rows = docs.select("text").mapInArrow(sets, "c long, tokens binary").join(wanted, "c", "left_semi")
-    rows = ws.keep(rows.groupBy("c").agg(F.first("tokens").alias("tokens")))
+    texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("doc_id", "text")
+    return texts.mapInArrow(sets, "doc_id long, tokens binary").join(F.broadcast(need) if few else need, "doc_id")
 
-    def overlap(batches):
-        for batch in batches:
-            a, b = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-            ta, tb = batch.column(2), batch.column(3)
-            ok = np.zeros(len(a), bool)
-            for i in range(len(a)):
-                x, y = np.frombuffer(ta[i].as_buffer(), _U), np.frombuffer(tb[i].as_buffer(), _U)
-                z = np.concatenate([x, y])
-                z.sort()
-                both = int((z[1:] == z[:-1]).sum())
-                ok[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
-
-    left, right = rows.withColumnRenamed("c", "a").withColumnRenamed("tokens", "ta"), rows.withColumnRenamed("c", "b").withColumnRenamed("tokens", "tb")
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return ws.keep(both.mapInArrow(overlap, "a long, b long"))
+
+def _unpacked(raw: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(raw) // SENT, 8), np.uint8)
+    out[:, :SENT] = raw.reshape(-1, SENT)
+    return out.reshape(-1).view("<u8")
 
 
 def _size_class(percent: int):
     return F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
 
 
-def _stars(lists: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Each row of a long list with the leader of its size class and of the
-    class below, unless both already share a component."""
+def _stars(lists: DataFrame, percent: int) -> DataFrame:
+    """Each row of a long list with the leader (another one in each list) of its size class and of the
+    class below."""
     rows = lists.withColumn("class", _size_class(percent))
-    rank = F.struct(F.xxhash64("content", F.lit(turn)), "content", "size", "pos", "label")
+    rank = F.struct(F.xxhash64("content", "token"), "content", "size", "pos")
     lead = rows.groupBy("token", "class").agg(F.min(rank).alias("lead"))
     met = rows.withColumn("class", F.explode(F.array("class", F.col("class") - 1))).join(lead, ["token", "class"])
-    met = met.where("lead.content <> content and lead.label <> label")
+    met = met.where("lead.content <> content")
     return _bounded(met.select(F.col("content").alias("x"), F.col("lead.content").alias("y"), F.col("size").alias("sx"),
                                F.col("lead.size").alias("sy"), F.col("pos").alias("px"), F.col("lead.pos").alias("py")), percent)
 
@@ -344,46 +358,97 @@ def _bounded(met: DataFrame, percent: int) -> DataFrame:
     return met.where(ok).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a list whose rows lie in different components, by salted
-    pairs of row blocks of about ``BLOCK`` rows."""
-    blocks = lists.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nb"))
-    rows = lists.join(blocks, "token").withColumn("blk", F.pmod(F.xxhash64("content"), F.col("nb")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    rows = rows.select("token", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "content", "size", "pos", "label")
+def _product(x: list[np.ndarray], y: list[np.ndarray], skip: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of two blocks reach the threshold: overlap counts accumulate over
+    blocks of columns, and rows none of whose pairs can still reach their bound are dropped."""
+    sx, sy = np.array([len(t) for t in x]), np.array([len(t) for t in y])
+    need = -(-percent * (sx[:, None] + sy[None, :]) // (100 + percent))
+    col, at = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+    row = np.repeat(np.arange(len(x) + len(y)), np.concatenate([sx, sy]))
+    left = row < len(x)
+    common = np.zeros(len(col), bool)
+    in_x, in_y = np.zeros(len(col), bool), np.zeros(len(col), bool)
+    in_x[at[left]], in_y[at[~left]] = True, True
+    common = in_x & in_y
+    rest_x, rest_y = (np.bincount(row[common[at]], minlength=len(x) + len(y))[k] for k in (slice(0, len(x)), slice(len(x), None)))
+    number = np.cumsum(common) - 1
+    keep = common[at]
+    row, at = row[keep], number[at[keep]]
+    count = np.zeros((len(x), len(y)), np.float32)
+    alive = ~skip & (np.minimum(rest_x[:, None], rest_y[None, :]) >= need)
+    for c0 in range(0, int(common.sum()), COLUMN_BLOCK):
+        ux, uy = np.flatnonzero(alive.any(1)), np.flatnonzero(alive.any(0))
+        if not len(ux):
+            break
+        here = (at >= c0) & (at < c0 + COLUMN_BLOCK)
+        r, c = row[here], at[here] - c0
+        m = np.zeros((len(x) + len(y), COLUMN_BLOCK), np.float32)
+        m[r, c] = 1
+        got = m.sum(1)
+        count[np.ix_(ux, uy)] += m[ux] @ m[len(x) + uy].T
+        rest_x, rest_y = rest_x - got[:len(x)], rest_y - got[len(x):]
+        alive &= count + np.minimum(rest_x[:, None], rest_y[None, :]) >= need
+    return alive & (100 * count >= percent * (sx[:, None] + sy[None, :] - count))
+
+
+def _across(lists: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent: int, ws: Workspace) -> DataFrame:
+    """Links between rows of long lists that are in different components so far.
+    Lists that share rows form a family; a family's rows meet in salted pairs of
+    row blocks, each of which returns at most one link for each of its rows."""
+    ends = lists.select(F.col("content").alias("a"), F.xxhash64("token").alias("b"))
+    family = components(ends, ws).withColumnRenamed("node", "content").withColumnRenamed("component", "family")
+    rows = lists.groupBy("content").agg(F.first("label").alias("label")).join(family, "content").join(reps, "content")
+    blocks = rows.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nb"))
+    need = ws.keep(rows.join(blocks, "family").select(F.col("low").alias("doc_id"), "content", "label", "family", "nb"))
+    few = need.count() <= MAX_BROADCAST
+    sets = _sets(docs, need, n, few).withColumn("blk", F.pmod(F.xxhash64("content"), F.col("nb")).cast("int"))
+    sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    sets = sets.select("family", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "content", "label", "tokens")
+
+    def product(table: pa.Table) -> pa.Table:
+        content, label, blk = (table[k].to_numpy() for k in ("content", "label", "blk"))
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        raw, off = buffers(table["tokens"])
+        tokens = [_unpacked(raw[a:b]) for a, b in zip(off[:-1], off[1:])]
+        _, pick = np.unique(content, return_index=True)  # rows that share a doc_id bring the same content twice
+        x, y = pick[blk[pick] == i], pick[blk[pick] == j]
+        skip = label[x][:, None] == label[y][None, :]
+        if i == j:
+            skip |= np.arange(len(x))[:, None] >= np.arange(len(x))[None, :]
+        u, v = np.nonzero(_product([tokens[k] for k in x], [tokens[k] for k in y], skip, percent)) if len(x) and len(y) else ([], [])
+        root: dict[int, int] = {}
 
-    def product(key, pdf):
-        import pandas as pd
+        def find(k):
+            while root.get(k, k) != k:
+                k = root[k]
+            return k
 
-        i, j = key[1], key[2]
-        x, y = pdf[pdf.blk == i], pdf[pdf.blk == j]
-        c, s, p, l = ([d[k].to_numpy() for d in (x, y)] for k in ("content", "size", "pos", "label"))
-        s, p = ([v.astype(np.int64) for v in z] for z in (s, p))
-        ok = _may_reach(s[0][:, None], s[1][None, :], p[0][:, None], p[1][None, :], percent) & (l[0][:, None] != l[1][None, :])
-        if i == j:
-            ok &= c[0][:, None] < c[1][None, :]
-        u, v = np.nonzero(ok)
-        a, b = c[0][u], c[1][v]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        out = []
+        for a, b in zip(x[u].tolist() if len(u) else [], y[v].tolist() if len(u) else []):
+            p, q = find(int(label[a])), find(int(label[b]))
+            if p != q:
+                root[p] = q
+                out.append((a, b))
+        return pa.table({"a": pa.array(content[[a for a, _ in out]], pa.int64()), "b": pa.array(content[[b for _, b in out]], pa.int64())})
 
-    return rows.groupBy("token", "i", "j").applyInPandas(product, "a long, b long")
+    return ws.keep(sets.groupBy("family", "i", "j").applyInArrow(product, "a long, b long"))
 
 
-def ngram_jaccard(docs: DataFrame, *, n: int = 5, percent: int = 80, turns: int = 4) -> DataFrame:
+def ngram_jaccard(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: ``doc_id``, ``n_shingles`` (size of its set) and
     ``component_id``, the smallest doc_id reachable by links
     ``100 * |A & B| >= percent * |A | B|`` over ``n``-word shingles (A-Z lower-cased).
 
     Uses the columns ``doc_id`` and ``text`` alone, whatever else the table
     holds. A null or wordless text has no shingle, size 0 and its own id as
-    component; repeated rows each get their row; a null doc_id stays null in its
-    row and counts as no id for the others; an empty table gives an empty result.
-    ``turns`` bounds only the star rounds; the salted block product that follows is exact.
+    component; repeated rows each get their row; a row without a doc_id keeps its
+    size, has no component and links with nothing; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     ws = Workspace(spark, "ngram-join")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     stats = ws.keep(_statistics(docs, n))
+    row = stats.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), F.col("c").alias("content"))
     heavy = spark.sparkContext.broadcast(_heavy(stats))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = ws.keep(
@@ -394,35 +459,27 @@ def ngram_jaccard(docs: DataFrame, *, n: int = 5, percent: int = 80, turns: int
     n_long = lists.count()
     if n_long:
         lists = ws.keep(lists)
-        pairs = pairs.unionAll(_stars(lists.withColumn("label", F.col("content")), percent, 0))
-    edges = _linked(pairs, docs, n, percent, ws)
+        pairs = pairs.unionAll(_stars(lists, percent))
+    reps = ws.keep(row.where("n_shingles > 0 and doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("low")))
+    edges = _linked(pairs, docs, reps, n, percent, ws)
     label = ws.keep(components(edges, ws))
-    turn = 0
-    while n_long:
-        turn += 1
+    if n_long:
         now = lists.join(label.withColumnRenamed("node", "content"), "content", "left")
-        now = now.withColumn("label", F.coalesce("component", "content")).drop("component")
-        split = now.groupBy("token", "label").agg(F.count("*").cast("double").alias("m")).groupBy("token").agg(
-            F.sum("m").alias("rows"), ((F.pow(F.sum("m"), F.lit(2)) - F.sum(F.col("m") * F.col("m"))) / 2).alias("cross"))
-        live = split.where("cross > 0")
-        rows, cross = live.agg(F.sum("rows"), F.sum("cross")).first()
-        if not cross:
-            break
-        now = ws.keep(now.join(live.select("token"), "token", "left_semi"))
-        last = turn >= turns or cross <= 16 * rows
-        more = _linked(_across(now, percent) if last else _stars(now, percent, turn), docs, n, percent, ws)
-        if not more.isEmpty():
-            edges = edges.unionAll(more)
-            label = ws.keep(components(edges, ws))
-        if last:
-            break
-    row = stats.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), F.col("c").alias("content"))
-    classes = row.where("n_shingles > 0").groupBy("content").agg(F.min("doc_id").alias("low"))
-    classes = classes.join(label.withColumnRenamed("node", "content"), "content", "left").withColumn("component", F.coalesce("component", "content"))
+        now = ws.keep(now.withColumn("label", F.coalesce("component", "content")).drop("component"))
+        live = now.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
+        more = _across(now.join(live, "token", "left_semi"), docs, reps, n, percent, ws)
+        # components of the components found so far
+        ends = more.join(label.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
+            label.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+        merged = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), ws).select(
+            F.col("node").alias("component"), F.col("component").alias("merged"))
+        known = label.unionAll(merged.select(F.col("component").alias("node"), "component").join(label.select("node"), "node", "left_anti"))
+        label = known.join(merged, "component", "left").select("node", F.coalesce("merged", "component").alias("component"))
+    classes = reps.join(label.withColumnRenamed("node", "content"), "content", "left").withColumn("component", F.coalesce("component", "content"))
     least = classes.groupBy("component").agg(F.min("low").alias("component_id"))
     classes = classes.join(least, "component").select("content", "component_id")
     out = row.join(classes, "content", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        "doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     return ws.close(out)
 
 
