@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from foldwise.llm import bpe_trie, hmm_lm, mixing, ngram_join, quality_rules, secret_grammar
+from foldwise.llm import bpe_trie, hmm_lm, importance, itq_dedup, mixing, ngram_join, pii_offsets, quality_rules, secret_grammar, warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_warc_derivatives": warc.op3_warc_derivatives,
+    "op4_importance_resampling": importance.op4_importance_resampling,
+    "op5_itq_near_duplicates": itq_dedup.op5_itq_near_duplicates,
     "op6_bpe_trie": bpe_trie.op6_bpe_trie,
     "op7_pivotal_mixing": mixing.op7_pivotal_mixing,
+    "op8_pii_offsets": pii_offsets.op8_pii_offsets,
     "op9_secret_grammar": secret_grammar.op9_secret_grammar,
     "op10_hmm_language_model": hmm_lm.op10_hmm_language_model,
 }
@@ -17,4 +21,5 @@ QUERIES = {
 ORACLE = {
     "op1_ngram_jaccard_join": ngram_join.ORACLE,
     "op2_quality_rules": quality_rules.ORACLE,
+    "op3_warc_derivatives": warc.ORACLE,
 }
