@@ -97,7 +97,8 @@ def importance_resample(docs: DataFrame, labels: DataFrame, *, share: float | No
     gumbel = -F.log(-F.log(u)) / F.col("n_grams")
     rows = rows.withColumn("key", F.when(F.col("n_grams") > 0, F.col("log_weight") + gumbel))
     # keys lie far inside +-64; as a fixed-point number they keep 56 bits and their order
-    rows = ws.keep(rows.withColumn("digits", F.floor((F.greatest(F.least("key", F.lit(63.0)), F.lit(-63.0)) + 64) * F.lit(float(1 << 49))).cast("long")))
+    fixed = F.floor((F.greatest(F.least("key", F.lit(63.0)), F.lit(-63.0)) + 64) * F.lit(float(1 << 49))).cast("long")
+    rows = ws.keep(rows.withColumn("digits", F.when(F.col("key").isNotNull(), fixed)))
     n = rows.count()
     want = min(int(round(share * n)), rows.where("key is not null").count())
     bar, left = _kth_largest(rows.where("key is not null"), want)

@@ -16,7 +16,6 @@ third of all rows is many blocks; no level needs more than one block in a task.
 from __future__ import annotations
 
 import math
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -72,6 +71,13 @@ def pivot(frame: pd.DataFrame, seed: int, final: bool) -> pd.DataFrame:
     return frame
 
 
+def _settle(seed: int, final: bool):
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        return pivot(frame, seed, final)
+
+    return run
+
+
 def source_targets(rows: DataFrame, ws: Workspace, most: int = 3) -> DataFrame:
     """(sid, source, n, source_size, weight, target) of each source: weights
     1, 2, 3 repeating in code point order, null last; targets share all words
@@ -136,7 +142,7 @@ def mix_sources(docs: DataFrame, *, most: int = 3, seed: int = 20240607, block:
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in live.schema if f.name != "up") + ", up long"
     while True:
         final, salt = count <= 1, seed + 31 * level
-        done = ws.keep(live.groupBy("sid", "blk").applyInPandas(partial(pivot, seed=salt, final=final), schema))
+        done = ws.keep(live.groupBy("sid", "blk").applyInPandas(_settle(salt, final), schema))
         settled = settled.unionByName(done.where("up is not null").select(*cols, "up"))
         if final:
             break

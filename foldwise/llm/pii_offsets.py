@@ -125,8 +125,8 @@ def _passes() -> list[tuple[re.Pattern, object]]:
         (re.compile(rf"{_OPEN}(?:dot|punkt|punto|point|\.){_SHUT}", re.I), "."),
         (re.compile(rf"(?<=[A-Za-z0-9]) {{1,3}}at {{1,3}}(?=[A-Za-z0-9-]+(?:(?: {{1,3}}dot {{1,3}}|\.)[A-Za-z0-9-]+)*? {{1,3}}dot {{1,3}}(?:{_ENDS})(?![A-Za-z]))", re.I), "@"),
         (re.compile(r"(?<=[A-Za-z0-9-]) {1,3}dot {1,3}(?=[A-Za-z0-9-])", re.I), "."),
-        (re.compile(r"(?<=[0-9])[Oo](?=[0-9OolI .-])|(?<=[0-9 .-])[Oo](?=[0-9]{2})"), "0"),
-        (re.compile(r"(?<=[0-9])[lI](?=[0-9OolI .-])|(?<=[0-9 .-])[lI](?=[0-9]{2})"), "1"),
+        (re.compile(r"(?<![A-Za-z0-9])(?=[OolI]*[0-9])(?=[0-9]*[OolI])[0-9OolI]+(?![A-Za-z0-9])"),
+         lambda s: [({"O": "0", "o": "0", "l": "1", "I": "1"}.get(c, c), i, i + 1) for i, c in enumerate(s)]),
     ]
 
 
