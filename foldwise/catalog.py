@@ -1397,8 +1397,9 @@ SELECT row_id, label, round(list_sum(f), 6) AS s FROM base""")
 def q_read_matrix(spark, sf):
     """A3: embeddings as a headerless CSV (64 features + label)."""
     path = _scratch(spark, "emb-csv")
-    e = dt.embeddings(spark, sf).orderBy("row_id")
-    e.select(*[F.col("features")[i] for i in range(64)], "label").coalesce(1).write.csv(path)
+    e = dt.embeddings(spark, sf)
+    e = e.repartitionByRange(5, "row_id").sortWithinPartitions("row_id")  # part files of unequal sizes, in row order
+    e.select(*[F.col("features")[i] for i in range(64)], "label").write.csv(path)
     m = FS.read_matrix(spark, path, 64)
     return m.select("row_id", "label", rnd(F.aggregate("features", F.lit(0.0), lambda a, x: a + x)).alias("s"))
 
@@ -1410,11 +1411,15 @@ def q_read_stream_files(spark, sf):
     """A4: events written as two row-aligned text files (numbers separated
     by tabs/spaces/commas; labels UP/DOWN), read back and aligned by line."""
     base = _scratch(spark, "stream-txt")
-    s = _events_seq(spark, sf).orderBy("seq")
+    def parts(n):
+        # n part files whose sizes grow, in stream order; data and labels are cut at different lines
+        d = _events_seq(spark, sf).withColumn("_p", F.floor(F.sqrt(F.col("seq").cast("double")) / 40).cast("int") % 1000)
+        return d.repartitionByRange(n, "_p").sortWithinPartitions("seq")
+
     row = F.concat_ws(" ", F.col("seq").cast("string"), F.lit("1"), F.lit("2"), F.col("value").cast("string"),
                       F.lit("0.5"), F.lit("0.1"), F.lit("0.2"), F.lit("0.3"))
-    s.select(row.alias("value")).coalesce(1).write.text(f"{base}/x")
-    s.select(F.when(F.col("label"), "UP").otherwise("DOWN").alias("value")).coalesce(1).write.text(f"{base}/y")
+    parts(4).select(row.alias("value")).write.text(f"{base}/x")
+    parts(3).select(F.when(F.col("label"), "UP").otherwise("DOWN").alias("value")).write.text(f"{base}/y")
     r = FS.read_stream_files(spark, f"{base}/x", f"{base}/y")
     return r.select("seq", rnd(F.col("nswprice")).alias("value"), "label")
 

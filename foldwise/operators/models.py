@@ -155,12 +155,18 @@ def svm(df: DataFrame, kind: str = "rbf", C: float = 1.0, gamma: float = 1.0, de
 
 def svm_support_rows(model: MLlibModel, df: DataFrame, id_col: str = "row_id", label: str = "label",
                      eps: float = 1e-6) -> DataFrame:
-    """M4 (binary): rows on or inside the margin, y f(x) <= 1 + eps."""
+    """M4: rows on or inside the margin, y f(x) <= 1 + eps; with more than two
+    classes, of any of the one-against-rest machines."""
     s = model.scored(df.select(id_col, model.features, label), id_col)
-    raw = vector_to_array("rawPrediction")[1]
-    y = F.when(F.col(label).cast("string") == str(model.classes[1]), F.lit(1.0)).otherwise(F.lit(-1.0)) \
-        if len(model.classes) > 1 else F.lit(1.0)
-    return s.where(y * raw <= 1 + eps).select(id_col)
+    raw = vector_to_array("rawPrediction")
+    if len(model.classes) < 2:
+        return s.where(raw[1] <= 1 + eps).select(id_col)
+    inside = None
+    for i in [1] if len(model.classes) == 2 else range(len(model.classes)):
+        y = F.when(F.col(label).cast("string") == str(model.classes[i]), F.lit(1.0)).otherwise(F.lit(-1.0))
+        c = y * raw[i] <= 1 + eps
+        inside = c if inside is None else inside | c
+    return s.where(inside).select(id_col)
 
 
 def svm_incremental(df: DataFrame, batch_col: str = "batch", C: float = 1.0, kind: str = "linear",
@@ -394,16 +400,16 @@ def _distributed_loss_grad(parts: DataFrame, params, acts, classes, cascade, mas
                     flat = np.concatenate([gi.ravel() for gi in g])
                     acc = flat if acc is None else acc + flat
         if n.sum():
-            yield pd.DataFrame({"loss": [loss.tolist()], "n": [n.tolist()],
-                                "g": [acc.tolist() if acc is not None else []]})
-
-    rows = parts.select("features", "label", "_part").mapInPandas(
-        fn, "loss array<double>, n array<long>, g array<double>").collect()
-    loss = np.sum([np.asarray(r["loss"]) for r in rows], axis=0)
-    n = np.sum([np.asarray(r["n"]) for r in rows], axis=0)
+            yield pd.DataFrame({"v": [[*loss.tolist(), *n.tolist(), *(acc.tolist() if acc is not None else [])]]})
+
+    # losses, counts and the gradient in one array, summed by position in Spark:
+    # what reaches the driver has the size of the parameters, whatever the number of tasks
+    sums = (parts.select("features", "label", "_part").mapInPandas(fn, "v array<double>")
+            .select(F.posexplode("v").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).toPandas())
+    total = np.zeros(6 + sum(int(np.prod(s_)) for s_ in shapes))
+    total[sums["i"].to_numpy()] = sums["v"].to_numpy()
+    loss, n, flat = total[:3], total[3:6], total[6:]
     means = [loss[k] / n[k] if n[k] else float("nan") for k in range(3)]
-    gs = [np.asarray(r["g"]) for r in rows if len(r["g"])]
-    flat = np.sum(gs, axis=0)
     grads, off = [], 0
     for s_ in shapes:
         size = int(np.prod(s_))
@@ -447,6 +453,9 @@ def train_network(train: DataFrame, topology: list[int], classes: list | None =
     if test is not None:
         parts = parts.unionByName(test.select("features", "label", F.lit(2).alias("_part")))
 
+    # read once per epoch: written once to the shared folder
+    parts = cut_lineage(parts)
+
     def record(means):
         hist["train"].append(means[0])
         if val is not None:

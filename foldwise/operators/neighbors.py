@@ -132,6 +132,9 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
                     d2[np.ix_(rq, rd)] = pairwise_sq(_minmax(qx[rq], lo, hi), _minmax(dx[rd], lo, hi))
         else:
             d2 = pairwise_sq(qx, dx)
+        # a missing feature makes every distance unknown: as far as can be, so such a
+        # query still gets k rows (those with the smallest ids)
+        d2 = np.where(np.isnan(d2), np.finfo(np.float64).max, d2)
         if has_x and scalers is None:
             same = qp["_x"].to_numpy()[:, None] == dp["_x"].to_numpy()[None, :]
             d2 = np.where(same, np.inf, d2)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from foldwise.neighbors_shared import stack_vectors
 from foldwise.operators.stats import column_means, covariance, gram
+from foldwise.session import cut_lineage
 
 
 def _matrix(long_df: DataFrame, d: int, value: str) -> np.ndarray:
@@ -114,7 +115,7 @@ def fastica_fit(df: DataFrame, d: int, n_components: int | None = None, tol: flo
     white = vecs / np.sqrt(vals)  # d x k: z = (x - mu) @ white
     rng = np.random.default_rng(seed)
     w = _sym_decorrelate(rng.standard_normal((k, k)))
-    sel = df.select(features)
+    sel = cut_lineage(df.select(features))  # read once per iteration
     for _ in range(max_iter):
         w_prev = w
 

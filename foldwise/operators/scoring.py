@@ -70,7 +70,8 @@ def kendall_score(long_df: DataFrame) -> DataFrame:
     below = [f"_b{i}" for i in range(len(cls_vals))]
     run = running_sum(per_value, ["feature"], "x", ns, below)
     # rows of class i at this value pair with lower-class rows at smaller values
-    terms = [F.col(ns[i]) * sum((F.col(below[j]) for j in range(i)), F.lit(0)) for i in range(1, len(ns))]
+    # doubles: pair counts pass the BIGINT range at some 10^9 rows
+    terms = [F.col(ns[i]).cast("double") * sum((F.col(below[j]) for j in range(i)), F.lit(0)) for i in range(1, len(ns))]
     conc = run.groupBy("feature").agg(F.sum(sum(terms, F.lit(0))).alias("concordant"),
                                       F.sum(sum((F.col(n) for n in ns), F.lit(0))).alias("n_rows"))
     n = F.col("n_rows").cast("double")
@@ -83,8 +84,8 @@ def anova_ratio(long_df: DataFrame) -> DataFrame:
     freedom); 0/0 -> NULL."""
     per = long_df.groupBy("feature", "cls").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"),
                                                  F.var_pop("x").alias("v"))
-    tot = long_df.groupBy("feature").agg(F.avg("x").alias("mu"))
-    j = per.join(tot, "feature")
+    w = Window.partitionBy("feature")  # one row per class: the grand mean needs no second scan
+    j = per.withColumn("mu", F.sum(F.col("n") * F.col("m")).over(w) / F.sum(F.when(F.col("m").isNotNull(), F.col("n"))).over(w))
     agg = j.groupBy("feature").agg(F.sum(F.col("n") * (F.col("m") - F.col("mu")) ** 2).alias("ssb"),
                                    F.sum(F.col("n") * F.col("v")).alias("ssw"))
     return agg.select("feature", F.when(F.col("ssw") == 0, F.lit(None).cast("double"))
@@ -138,14 +139,15 @@ def rfe_logistic(df: DataFrame, feature_cols: list[str], label: str, keep: int,
                  max_iter: int = 50) -> list[str]:
     """Repeatedly fit a multinomial logistic model on standardised
     features and drop the half with the smallest sum of |coef| until
-    ``keep`` remain.  Returns the surviving feature names."""
+    ``keep`` remain.  Returns the surviving feature names.  A missing value is
+    an error (impute first): no row is dropped."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
     current = list(feature_cols)
     idx = StringIndexer(inputCol=label, outputCol="_y").fit(df)
     base = idx.transform(df)
     while len(current) > keep:
-        va = VectorAssembler(inputCols=current, outputCol="_raw", handleInvalid="skip").transform(base)
+        va = VectorAssembler(inputCols=current, outputCol="_raw", handleInvalid="error").transform(base)
         sc = StandardScaler(inputCol="_raw", outputCol="_f", withMean=True, withStd=True).fit(va).transform(va)
         m = LogisticRegression(featuresCol="_f", labelCol="_y", maxIter=max_iter,
                                family="multinomial").fit(sc)

@@ -52,6 +52,17 @@ def numeric_bucket(df: DataFrame, key: str, n_buckets: int, out: str,
             .drop(out + "_d", tmp))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on equal keys where NULL equals NULL; the keys come from the left."""
+    r = right.select(*[F.col(k).alias(f"_ns_{i}") for i, k in enumerate(keys)],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for i, k in enumerate(keys):
+        c = left[k].eqNullSafe(r[f"_ns_{i}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond).drop(*[f"_ns_{i}" for i in range(len(keys))])
+
+
 def dense_seq(df: DataFrame, order_cols: list[str | Column], *, bucket: Column | None = None,
               numeric_key: str | None = None, group_cols: list[str] | tuple = (),
               name: str = "seq", total: str | None = None,
@@ -82,8 +93,8 @@ def dense_seq(df: DataFrame, order_cols: list[str | Column], *, bucket: Column |
         offs = offs.withColumn(total, F.sum("_fw_n").over(Window.partitionBy(*group_cols)))
     offs = offs.drop("_fw_n")
     if not group_cols:
-        offs = F.broadcast(offs)  # <= n_buckets rows, chosen above
-    joined = d.join(offs, [*group_cols, b])
+        offs = F.broadcast(offs)  # <= n_buckets + 1 rows, chosen above
+    joined = null_safe_join(d, offs, [*group_cols, b])  # a NULL group is a group of its own
     rn = F.row_number().over(Window.partitionBy(*group_cols, b).orderBy(*order_cols))
     return (joined.withColumn(name, (F.col("_fw_off") + rn - 1).cast("bigint"))
             .drop(b, "_fw_off"))

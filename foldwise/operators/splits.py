@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.functions.common import hash_key
-from foldwise.operators.sequence import dense_seq, seq_by_hash
+from foldwise.operators.sequence import dense_seq, null_safe_join, seq_by_hash
 
 
 def _round_even(x):
@@ -67,7 +67,7 @@ def grouped_kfold(df: DataFrame, k: int, group: str = "grp", seed: int = 42, out
     """kfold over distinct groups; every row of a group gets its group's fold."""
     groups = df.select(group).distinct()
     gf = kfold(groups, k, seed, id_col=group, out=out)
-    return df.join(gf, group)
+    return null_safe_join(df, gf, [group])
 
 
 def grouped_kfold_report(df: DataFrame, fold: str = "fold", group: str = "grp") -> DataFrame:
@@ -79,7 +79,7 @@ def group_hold_out(df: DataFrame, p_test: float, group: str = "grp", seed: int =
                    out: str = "split") -> DataFrame:
     """Permute distinct groups; a group's rows all go to one side."""
     groups = hold_out(df.select(group).distinct(), p_test, seed, id_col=group, out=out)
-    return df.join(groups, group)
+    return null_safe_join(df, groups, [group])
 
 
 def members(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

@@ -55,12 +55,15 @@ def five_number(long_df: DataFrame, exact: bool = True, probs=(0.25, 0.5, 0.75),
     from foldwise.operators.ranking import _bucket_expr
     from foldwise.operators.sequence import default_buckets
     if not exact:
+        long_df = long_df.where(F.col("x").isNotNull() & ~F.isnan(F.col("x").cast("double")))
         a = long_df.groupBy("feature").agg(F.min("x").alias("min"), F.max("x").alias("max"),
                                            F.percentile_approx("x", list(probs), 10000).alias("q"))
         return a.select("feature", "min", *[F.col("q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])],
                         "max")
     nb = n_buckets or 4 * default_buckets(long_df)
-    d = long_df.select("feature", "x").withColumn("_b", _bucket_expr(long_df, "feature", "x", nb))
+    # missing values have no rank
+    long_df = long_df.select("feature", F.col("x").cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    d = long_df.withColumn("_b", _bucket_expr(long_df, "feature", "x", nb))
     per_b = d.groupBy("feature", "_b").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     w = Window.partitionBy("feature").orderBy("_b")
     offs = per_b.withColumn("off", F.coalesce(F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -74,10 +77,13 @@ def five_number(long_df: DataFrame, exact: bool = True, probs=(0.25, 0.5, 0.75),
     loc = want.join(offs.select("feature", "_b", "off", "c"), "feature") \
         .where((F.col("_pos") >= F.col("off")) & (F.col("_pos") < F.col("off") + F.col("c")))
     need = loc.select("feature", "_b", "off").distinct()
-    rows = d.join(need, ["feature", "_b"])  # only the rows of the needed buckets
-    ranked = rows.withColumn("_pos", (F.col("off") + F.row_number().over(
-        Window.partitionBy("feature", "_b").orderBy("x")) - 1).cast("bigint"))
-    picked = ranked.select("feature", "_pos", "x").join(loc.select("feature", "qi", "h", "_pos"), ["feature", "_pos"])
+    # one row per distinct value of the needed buckets, so a value that many rows share is one row
+    values = d.join(need, ["feature", "_b"]).groupBy("feature", "_b", "off", "x").agg(F.count(F.lit(1)).alias("m"))
+    before = F.coalesce(F.sum("m").over(Window.partitionBy("feature", "_b").orderBy("x")
+                                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    values = values.withColumn("_from", F.col("off") + before)
+    picked = values.join(loc.select("feature", "_b", "qi", "h", "_pos"), ["feature", "_b"]) \
+        .where((F.col("_pos") >= F.col("_from")) & (F.col("_pos") < F.col("_from") + F.col("m")))
     lo_hi = picked.groupBy("feature", "qi", "h").agg(F.min_by("x", "_pos").alias("xlo"), F.max_by("x", "_pos").alias("xhi"))
     q = lo_hi.select("feature", "qi", (F.col("xlo") + (F.col("h") - F.floor("h")) * (F.col("xhi") - F.col("xlo"))).alias("v"))
     wide = q.groupBy("feature").pivot("qi", list(range(len(probs)))).agg(F.first("v"))

@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if current:
             sc.setCheckpointDir(current)
+    if not current and not (sc.master.startswith("local") and "cluster" not in sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="foldwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(current)
