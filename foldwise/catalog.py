@@ -171,6 +171,14 @@ def q_missing_profile(spark, sf):
                        rnd("pct_missing").alias("pct_missing"))
 
 
+@register("missing_mean", f"""WITH t AS ({ORDERS_NULLS_SQL})
+SELECT {S.r('avg(p)')} AS mean_pct_missing FROM (SELECT count(*) FILTER (WHERE price IS NULL) * 100.0 / count(*) AS p FROM t
+  UNION ALL SELECT count(*) FILTER (WHERE cust IS NULL) * 100.0 / count(*) FROM t)""")
+def q_missing_mean(spark, sf):
+    prof = P.missing_profile(_orders_nulls(spark, sf), ["price", "cust"])
+    return P.missing_mean(prof).select(rnd("mean_pct_missing").alias("mean_pct_missing"))
+
+
 @register("impute_mean", f"""WITH t AS ({ORDERS_NULLS_SQL}),
 m AS (SELECT avg(price) AS mp, avg(cust) AS mc FROM t)
 SELECT row_id, {S.r('coalesce(price, mp)')} AS price, {S.r('coalesce(cust, mc)')} AS cust FROM t, m""")
@@ -416,6 +424,38 @@ def q_grouped_kfold(spark, sf):
     return SP.grouped_kfold_report(SP.grouped_kfold(_orders_keyed(spark, sf), 4))
 
 
+# keys with NULLs: every row keeps its place, a NULL group is a group
+NULL_KEYS_SQL = """o AS (SELECT o_orderkey AS row_id, CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_custkey END AS grp,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS label FROM orders)"""
+
+
+def _orders_null_keys(spark, sf):
+    o = _orders_keyed(spark, sf)
+    return o.withColumn("grp", F.when(F.col("grp") % 5 != 0, F.col("grp"))).withColumn("label", F.when(F.col("row_id") % 7 != 0, F.col("label")))
+
+
+@register("stratified_kfold_nulls", f"""WITH {NULL_KEYS_SQL}
+SELECT row_id, label, CAST({_rn('row_id', 'label')} % 5 + 1 AS INTEGER) AS fold FROM o""")
+def q_stratified_kfold_nulls(spark, sf):
+    return SP.stratified_kfold(_orders_null_keys(spark, sf), 5).select("row_id", "label", "fold")
+
+
+@register("grouped_kfold_nulls", f"""WITH {NULL_KEYS_SQL},
+g AS (SELECT grp, CAST((row_number() OVER (ORDER BY {S.fold_key("coalesce(CAST(grp AS VARCHAR), '')")}, grp) - 1) % 4 + 1 AS INTEGER) AS fold
+  FROM (SELECT DISTINCT grp FROM o))
+SELECT row_id, fold FROM o JOIN g ON g.grp IS NOT DISTINCT FROM o.grp""")
+def q_grouped_kfold_nulls(spark, sf):
+    return SP.grouped_kfold(_orders_null_keys(spark, sf), 4).select("row_id", "fold")
+
+
+@register("group_hold_out_nulls", f"""WITH {NULL_KEYS_SQL}, d AS (SELECT DISTINCT grp FROM o),
+g AS (SELECT grp, CASE WHEN row_number() OVER (ORDER BY {S.fold_key("coalesce(CAST(grp AS VARCHAR), '')")}, grp) - 1
+  < round_even(count(*) OVER () * 0.3, 0) THEN 'test' ELSE 'train' END AS split FROM d)
+SELECT row_id, split FROM o JOIN g ON g.grp IS NOT DISTINCT FROM o.grp""")
+def q_group_hold_out_nulls(spark, sf):
+    return SP.group_hold_out(_orders_null_keys(spark, sf), 0.3).select("row_id", "split")
+
+
 @register("split_by_fold", f"""WITH f AS (SELECT CAST({_rn('o_orderkey')} % 5 + 1 AS INTEGER) AS fold FROM orders),
 k AS (SELECT DISTINCT fold AS f FROM f)
 SELECT k.f AS fold, CAST(sum(CASE WHEN f.fold <> k.f THEN 1 ELSE 0 END) AS BIGINT) AS n_train,
@@ -512,6 +552,19 @@ def q_five_number(spark, sf):
     return f.select("feature", *[rnd(c).alias(c) for c in ["min", "q1", "median", "q3", "max"]])
 
 
+@register("five_number_nulls", f"""WITH {LI_LONG_SQL},
+h AS (SELECT feature, x FROM lg WHERE CAST(round(x * 100) AS BIGINT) % 5 <> 0)
+SELECT feature, round(min(x), 6) AS min, round(quantile_cont(x, 0.25), 6) AS q1, round(quantile_cont(x, 0.5), 6) AS median,
+  round(quantile_cont(x, 0.75), 6) AS q3, round(max(x), 6) AS max FROM h GROUP BY feature""")
+def q_five_number_nulls(spark, sf):
+    """D4 with NULL and NaN values in every feature: they have no rank."""
+    d = _lineitem_long(spark, sf)
+    cents = F.round(F.col("x") * 100).cast("bigint")
+    x = F.when(cents % 5 != 0, F.col("x")).when(cents % 10 == 0, F.lit(float("nan")))
+    f = ST.five_number(d.withColumn("x", x))
+    return f.select("feature", *[rnd(c).alias(c) for c in ["min", "q1", "median", "q3", "max"]])
+
+
 @register("correlation_matrix", f"""WITH {EMB_BASE},
 e10 AS (SELECT row_id, pos, x FROM ex WHERE pos < 10),
 p AS (SELECT a.pos AS i, b.pos AS j, a.x AS xi, b.x AS xj FROM e10 a JOIN e10 b ON a.row_id = b.row_id)
@@ -592,6 +645,16 @@ def q_accuracy(spark, sf):
     return a.select("method", rnd("accuracy").alias("accuracy"))
 
 
+@register("accuracy_onehot", f"""WITH {PART_FOLDS_SQL}, {PART_RULES_SQL}
+SELECT method, round(avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM part_pred GROUP BY method""")
+def q_accuracy_onehot(spark, sf):
+    """D7, one-hot form: a row is right when all columns agree."""
+    p = _part_rule_predictions(spark, sf)
+    hot = lambda c: F.array(*[(F.col(c) == F.lit(k)) for k in PART_CLASSES])
+    a = M.accuracy_onehot(p.withColumn("a", hot("actual")).withColumn("p", hot("predicted")), "a", "p", ["method"])
+    return a.select("method", rnd("accuracy").alias("accuracy"))
+
+
 def _binary_select(prefix_cols: str = "") -> str:
     return f"""SELECT {prefix_cols}CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp,
   round(CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn), 6) AS accuracy,
@@ -765,6 +828,12 @@ def q_leaderboard(spark, sf):
     return lb.select("model", F.col("config_id").cast("int"), rnd("acc_mean").alias("acc_mean"), "model_rank", "best")
 
 
+@register("overall_order", f"""WITH {SWEEP_SQL}
+SELECT model, CAST(config_id AS INTEGER) AS config_id, CAST(row_number() OVER (ORDER BY acc_mean DESC, model, config_id) AS BIGINT) AS place FROM sweep""")
+def q_overall_order(spark, sf):
+    return CMP.overall_order(_sweep_results(spark, sf)).select("model", F.col("config_id").cast("int"), "place")
+
+
 RANKS_SQL = """acc AS (SELECT fold, method, avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END) AS value FROM part_pred GROUP BY ALL),
 rk AS (SELECT fold, method, value, CAST(rank() OVER (PARTITION BY fold ORDER BY value DESC) AS DOUBLE)
   + (count(*) OVER (PARTITION BY fold, value) - 1) / 2.0 AS rank FROM acc)"""

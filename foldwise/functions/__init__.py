@@ -2,6 +2,5 @@ from foldwise.functions.common import (  # noqa: F401
     hash_key,
     ratio,
     rnd,
-    sq_dist,
     to_features,
 )

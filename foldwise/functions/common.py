@@ -24,7 +24,7 @@ def hash_key(id_col: Column | str, seed: int) -> Column:
     """Portable pseudo-random order key: md5('<seed>:<id>').  The same
     string gives the same order in any SQL engine that has md5."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(c.cast("string"), F.lit(""))))  # a NULL id is an empty one
 
 
 def to_features(*cols: str | Column) -> Column:
@@ -32,17 +32,6 @@ def to_features(*cols: str | Column) -> Column:
     return F.array(*[(F.col(c) if isinstance(c, str) else c).cast("double") for c in cols])
 
 
-def sq_dist(a: Column, b: Column) -> Column:
-    """Squared Euclidean distance of two equal-length arrays, summed in
-    position order."""
-    return F.aggregate(
-        F.arrays_zip(a.alias("a"), b.alias("b")),
-        F.lit(0.0),
-        lambda acc, z: acc + (z["a"] - z["b"]) * (z["a"] - z["b"]),
-    )
-
-
-
 def ts_micros(col: Column | str) -> Column:
     """Microseconds since 1970 of a TIMESTAMP_NTZ (wall-clock) column, free
     of the session time zone (a cast to TIMESTAMP would depend on it)."""

@@ -67,6 +67,11 @@ def missing_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     )
 
 
+def missing_mean(profile: DataFrame) -> DataFrame:
+    """The mean percentage of missing values over all profiled columns."""
+    return profile.agg(F.avg("pct_missing").alias("mean_pct_missing"))
+
+
 @dataclass
 class MeanImputer:
     means: dict[str, float]

@@ -28,6 +28,14 @@ def leaderboard(results: DataFrame, score: str = "acc_mean", model: str = "model
             .withColumn("best", F.when(F.col("model_rank") == 1, F.lit("*")).otherwise(F.lit(""))))
 
 
+def overall_order(results: DataFrame, score: str = "acc_mean", model: str = "model",
+                  config: str = "config_id") -> DataFrame:
+    """All configs of all models in one order, best first (``place`` from 1;
+    ties by model and config).  A sweep's result table is small."""
+    w = Window.orderBy(F.col(score).desc(), F.col(model), F.col(config))
+    return results.withColumn("place", F.row_number().over(w).cast("bigint"))
+
+
 def tied_ranks(perf: DataFrame, block: str = "fold", method: str = "method", value: str = "value",
                lower_is_better: bool = False) -> DataFrame:
     """Rank of each method within each block (1 = best), ties get the mean
