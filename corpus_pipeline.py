@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foldwise.llm.bpe_trie import Bpe, default_path
+from foldwise.llm.bpe_trie import encode_documents
 from foldwise.llm.mixing import mix_sources
 from foldwise.llm.ngram_join import ngram_jaccard
 from foldwise.llm.quality_rules import quality_rules
@@ -67,9 +67,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian uint32) of every row, and digests of the ids and of the decoded text."""
-    rows = docs.select(*COLUMNS).withColumn("r", Bpe(spark, default_path()).encode(F.col("text")))
-    return rows.select("doc_id", "lang", "source", "r.n_tokens", "r.ids", F.sha2("r.ids", 256).alias("ids_sha256"),
-                       F.sha2(F.col("r.decoded").cast("binary"), 256).alias("decoded_sha256"))
+    rows = encode_documents(docs.select(*COLUMNS), carry=("doc_id", "lang", "source"))
+    return rows.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [("quality_rules", quality), ("ngram_jaccard_join", near_duplicates), ("secret_scans", secrets), ("mixing", mixing), ("bpe_encoding", tokens)]
