@@ -1248,6 +1248,18 @@ def q_depth_impact(spark, sf):
     return CMP.depth_impact(sw)
 
 
+@register("depth_impact_rule", f"""WITH {SWEEP_SQL}, s AS (SELECT 2 * (config_id + 1) AS max_depth, acc_mean FROM sweep WHERE model = 'size'),
+j AS (SELECT t.max_depth AS depth_max, t.acc_mean AS acc_max, r.acc_mean AS acc_ref, (t.acc_mean - r.acc_mean) / t.acc_mean * 100 AS pct
+  FROM s t, s r WHERE t.max_depth = (SELECT max(max_depth) FROM s) AND r.max_depth = 4)
+SELECT CAST(depth_max AS INTEGER) AS depth_max, round(acc_max, 6) AS acc_max, round(acc_ref, 6) AS acc_ref, round(pct, 6) AS impact_pct,
+  CASE WHEN pct > 5 THEN 'significant' WHEN pct > 0 THEN 'slight' ELSE 'none' END AS verdict FROM j""")
+def q_depth_impact_rule(spark, sf):
+    """V8's formula on accuracies of rules whose SQL twin is exact."""
+    s = _sweep_results(spark, sf).where("model = 'size'").withColumn("max_depth", (2 * (F.col("config_id") + 1)).cast("int"))
+    d = CMP.depth_impact(s)
+    return d.select("depth_max", *[rnd(c).alias(c) for c in ["acc_max", "acc_ref", "impact_pct"]], "verdict")
+
+
 @register("cv_ensemble")
 def q_cv_ensemble(spark, sf):
     """V4: per fold, PCA(0.95) fitted on the training rows, then bagged kNN."""

@@ -422,11 +422,13 @@ def train_network(train: DataFrame, topology: list[int], classes: list | None =
                   transfer: list[str] | None = None, max_epochs: int = 1000, min_loss: float = 0.0,
                   learning_rate: float = 0.01, val: DataFrame | None = None, test: DataFrame | None = None,
                   max_epochs_val: int = 20, seed: int = 1, cascade: bool = False,
-                  init: Network | None = None, mask=None) -> Network:
+                  init: Network | None = None, mask=None, loss_window: int = 0,
+                  min_change: float = 0.0) -> Network:
     """M6(b): full-batch Adam.  Losses of train/val/test are recorded from
     epoch 0; with a validation set the net with the best validation loss is
     returned and training stops after ``max_epochs_val`` epochs without a
-    better one."""
+    better one.  With ``loss_window`` it also stops once the training loss
+    changed by less than the share ``min_change`` over that many epochs."""
     classes = classes or class_list(train, "label")
     d = len(train.select("features").first()[0])
     n_out = 1 if len(classes) <= 2 else len(classes)
@@ -486,22 +488,31 @@ def train_network(train: DataFrame, topology: list[int], classes: list | None =
                 since += 1
                 if since >= max_epochs_val:
                     break
+        past = hist["train"][-1 - loss_window] if 0 < loss_window < len(hist["train"]) else None
+        if past is not None and abs(loss - past) / max(abs(past), 1e-12) < min_change:
+            break
     final = best if val is not None else params
     return Network(final, acts, classes, cascade, hist)
 
 
 def cascade_network(train: DataFrame, max_neurons: int, classes: list | None = None,
                     transfer: str = "sigmoid", epochs_per_stage: int = 20, learning_rate: float = 0.01,
-                    window: int = 5, min_change: float = 0.001, seed: int = 1) -> Network:
-    """M7: start without hidden units; add one unit at a time (it sees the
-    inputs and every earlier unit; its output weight starts at 0); train the
-    new unit's weights first (gradient mask), then all weights; stop a stage
-    when the relative loss change over ``window`` epochs is small."""
+                    window: int = 5, min_change: float = 0.001, min_loss: float = 0.0, seed: int = 1) -> Network:
+    """M7: start without hidden units; add one unit at a time until there are
+    ``max_neurons`` (it sees the inputs and every earlier unit; its output
+    weight starts at 0).  From the second unit on the new unit's weights are
+    trained alone first (gradient mask); then all weights.  A stage ends when
+    the relative loss change over ``window`` epochs is small; the next unit is
+    still added.  ``history`` holds the losses of all stages."""
     classes = classes or class_list(train, "label")
-    net = train_network(train, [], classes, [], max_epochs=epochs_per_stage,
-                        learning_rate=learning_rate, seed=seed, cascade=True)
+    train = cut_lineage(train.select("features", "label"))
+    stage = dict(max_epochs=epochs_per_stage, learning_rate=learning_rate, cascade=True, min_loss=min_loss,
+                 loss_window=window, min_change=min_change)
+    net = train_network(train, [], classes, [], seed=seed, **stage)
+    losses = list(net.history["train"])
+    n_in = len(train.select("features").first()[0])
     for h in range(1, max_neurons + 1):
-        d_in = len(train.select("features").first()[0]) + h - 1
+        d_in = n_in + h - 1
         rng = np.random.default_rng(seed + h)
         lim = math.sqrt(6.0 / (d_in + 1))
         old = net.params
@@ -510,14 +521,13 @@ def cascade_network(train: DataFrame, max_neurons: int, classes: list | None = N
         w_out = np.vstack([old[-2], np.zeros((1, old[-2].shape[1]))])
         params = hidden + [w_new, b_new, w_out, old[-1]]
         acts = net.acts + [transfer]
-        init = Network(params, acts, classes, True)
-        mask = [np.zeros_like(p) for p in params]
-        mask[-4:] = [np.ones_like(p) for p in params[-4:]]
-        stage = train_network(train, [1] * h, classes, acts, max_epochs=epochs_per_stage,
-                              learning_rate=learning_rate, cascade=True, init=init, mask=mask)
-        net = train_network(train, [1] * h, classes, acts, max_epochs=epochs_per_stage,
-                            learning_rate=learning_rate, cascade=True, init=stage)
-        tr = net.history["train"]
-        if len(tr) > window and abs(tr[-1] - tr[-1 - window]) / max(abs(tr[-1 - window]), 1e-12) < min_change:
-            break
+        net = Network(params, acts, classes, True)
+        if h > 1:
+            mask = [np.zeros_like(p) for p in params]
+            mask[-4:] = [np.ones_like(p) for p in params[-4:]]
+            net = train_network(train, [1] * h, classes, acts, init=net, mask=mask, **stage)
+            losses += net.history["train"][1:]
+        net = train_network(train, [1] * h, classes, acts, init=net, **stage)
+        losses += net.history["train"][1:]
+    net.history["train"] = losses
     return net

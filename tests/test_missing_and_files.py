@@ -96,8 +96,17 @@ def test_support_rows_of_three_classes(spark):
 def test_adam_network_learns_and_stops(spark):
     x, y = clusters()
     d = spark.createDataFrame([(i, x[i].tolist(), y[i]) for i in range(len(y))], "row_id long, features array<double>, label string")
-    net = MD.train_network(d, [4], max_epochs=60, learning_rate=0.1)
-    assert len(net.history["train"]) == 61 and net.history["train"][-1] < 0.5 * net.history["train"][0]
+    net = MD.train_network(d, [4], max_epochs=15, learning_rate=0.3)
+    assert len(net.history["train"]) == 16 and net.history["train"][-1] < 0.8 * net.history["train"][0]
+
+
+def test_cascade_reaches_the_units_asked_for(spark):
+    x, y = clusters(10)
+    d = spark.createDataFrame([(i, x[i].tolist(), y[i]) for i in range(len(y))], "row_id long, features array<double>, label string")
+    net = MD.cascade_network(d, 2, epochs_per_stage=1, learning_rate=0.1, min_change=0.0)
+    assert len(net.acts) == 2 and len(net.history["train"]) == 1 + 1 * 4  # first stage, unit 1, unit 2 alone, unit 2 with all
+    early = MD.cascade_network(d, 1, epochs_per_stage=5, learning_rate=0.0, window=2, min_change=0.5)
+    assert len(early.acts) == 1 and len(early.history["train"]) == 1 + 2 * 2  # stages end early, units are still added
 
 
 def test_components_are_uncorrelated(spark):
