@@ -193,18 +193,6 @@ def zscore_fit(df: DataFrame, features: str = "features") -> VectorScaler:
 
 
 # --------------------------------------------------------------- discrete / cyclic
-# Distinct-value count up to which the gap is computed from a collected list.
-SMALL_DISTINCT = 10_000
-
-
-def _gap_of_sorted(v: list[float]) -> float:
-    d = [b - a for a, b in zip(v, v[1:])]
-    if not d:
-        return 0.0
-    m = min(d)
-    return m if all(abs(round(x / m) - x / m) < 1e-3 for x in d) else 0.0
-
-
 def discrete_gap(df: DataFrame, col: str) -> DataFrame:
     """One row ``gap``: the smallest gap between sorted distinct values when
     every gap is an integer multiple of it (tolerance 1e-3), else 0.
@@ -212,11 +200,6 @@ def discrete_gap(df: DataFrame, col: str) -> DataFrame:
     equi-join, so no single task sees all values."""
     from foldwise.operators.sequence import dense_seq
     vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull()).distinct()
-    small = vals.limit(SMALL_DISTINCT + 1).collect()
-    if len(small) <= SMALL_DISTINCT:
-        # few distinct values (hours, days, codes): a bounded list, done here
-        gap = _gap_of_sorted(sorted(r[0] for r in small))
-        return df.sparkSession.createDataFrame([(float(gap),)], "gap double")
     s = dense_seq(vals, [F.col("v")], numeric_key="v", name="s")
     nxt = s.select((F.col("s") - 1).alias("s"), F.col("v").alias("v_next"))
     d = s.join(nxt, "s").select((F.col("v_next") - F.col("v")).alias("d"))

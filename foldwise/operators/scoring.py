@@ -51,14 +51,15 @@ def vector_to_long(df: DataFrame, features: str = "features", label: str = "labe
         .select("row_id", "cls", F.concat(F.lit("x"), (F.col("pos") + 1).cast("string")).alias("feature"), "x")
 
 
-def kendall_score(long_df: DataFrame) -> DataFrame:
+def kendall_score(long_df: DataFrame, max_classes: int = 10_000) -> DataFrame:
     """(concordant - other pairs) / (N^2 / 2) per feature; a pair is
     concordant when x and class order agree strictly, ties count as -1.
     concordant = sum over hi-class rows of the lo-class rows (lo < hi) with a
-    strictly smaller value."""
+    strictly smaller value.  One plan column per class: more than
+    ``max_classes`` classes are an error."""
     classes = long_df.select("cls").distinct()
-    cls_vals = sorted(r[0] for r in classes.limit(10_001).collect())
-    if len(cls_vals) > 10_000:
+    cls_vals = sorted(r[0] for r in classes.limit(max_classes + 1).collect())
+    if len(cls_vals) > max_classes:
         raise ValueError("too many classes")
     # one row per (feature, value) with the count of every class
     ns = [f"_n{i}" for i in range(len(cls_vals))]
