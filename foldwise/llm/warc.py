@@ -24,11 +24,19 @@ NAMED = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'",
 
 _SPACE = "[ \\t\\r\\f\\x0B\\x{00A0}]+"
 _BLOCK = "(?i)</?(?:" + "|".join(BLOCKS) + ")(?:\\s[^>]*|/)?>"
+_SPACES = "[ \\t\\r\\f\\x0B\\x{00A0}]{2,}|[\\t\\r\\f\\x0B\\x{00A0}]"  # single blanks stay as they are
+_SILENT = "(?is)<(?:!--.*?-->|(" + "|".join(SILENT) + ")(?:\\s[^>]*)?>.*?</\\1\\s*>)"
+_REFERENCE = "&(?!amp;)[a-zA-Z0-9#]+;"
 _TAG = "</?[a-zA-Z!?][^>]*>"
 DATE = "2024-01-01T00:00:00Z"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _numeric(text: Column) -> Column:
     """Decimal and hexadecimal character references of the basic plane."""
 
@@ -42,22 +50,34 @@ def _numeric(text: Column) -> Column:
         return one
 
     for pattern, base, left in ((r"&#([0-9]{1,5});", 10, "&#"), (r"&#x([0-9a-fA-F]{1,4});", 16, "&#x")):
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-        text = F.when(F.instr(text, left) > 0, F.aggregate(found, text, put(base, left))).otherwise(text)
+        found = lambda t, pattern=pattern: F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), F.lit(1)))
+        text = _let(text, _resolver(found, left, put(base, left)))
     return text
 
 
+def _resolver(found, left: str, put):
+    def run(t):
+        return F.when(F.instr(t, left) > 0, F.aggregate(found(t), t, put)).otherwise(t)
+
+    return run
+
+
 def plain_text(html: Column) -> Column:
     """Text of a page: comments and silent elements go, block elements end lines,
     references are resolved, white space is collapsed, empty lines go."""
-    t = F.regexp_replace(F.coalesce(html, F.lit("")), "(?s)<!--.*?-->", "")
-    for name in SILENT:
-        t = F.regexp_replace(t, f"(?is)<{name}(?:\\s[^>]*)?>.*?</{name}\\s*>", "")
+    t = F.regexp_replace(F.coalesce(html, F.lit("")), _SILENT, "")
     t = F.regexp_replace(F.regexp_replace(t, _BLOCK, "\n"), _TAG, "")
-    for name, char in NAMED.items():
-        t = F.replace(t, F.lit(name), F.lit(char))
-    t = F.replace(_numeric(t), F.lit("&amp;"), F.lit("&"))
-    return F.trim(F.regexp_replace(F.regexp_replace(t, _SPACE, " "), "\\s*\\n\\s*", "\n"), F.lit("\n "))
+
+    def resolved(t):
+        rest = t
+        for name, char in NAMED.items():
+            rest = F.replace(rest, F.lit(name), F.lit(char))
+        return F.when(t.rlike(_REFERENCE), _numeric(rest)).otherwise(t)  # most texts hold no other reference than &amp;
+
+    t = _let(t, resolved)
+    t = F.regexp_replace(F.replace(t, F.lit("&amp;"), F.lit("&")), _SPACES, " ")
+    t = F.replace(F.regexp_replace(t, "\\n[ \\n]+", "\n"), F.lit(" \n"), F.lit("\n"))
+    return F.trim(t, F.lit("\n "))
 
 
 def title_of(html: Column) -> Column:
@@ -104,15 +124,16 @@ def derivatives(records: DataFrame, date: str = DATE, carry: tuple[str, ...] = (
     src = records.select(
         *carry, blank("record_id").alias("refers_to"), blank("target_uri").alias("target_uri"), blank("date").alias("source_date"),
         F.coalesce(F.col("payload_digest"), _digest(payload)).alias("source_payload_digest"), blank("http").alias("http"), payload.alias("payload"))
-    links = links_of(F.col("payload"))
+    src = src.withColumns({"links": links_of(F.col("payload")), "title": title_of(F.col("payload")), "text": plain_text(F.col("payload"))})
+    links = F.col("links")
     lines = F.concat(
         F.transform(F.split("http", "\r\n"), lambda x: F.concat(F.lit("source-header: "), x)),
-        F.array(F.concat(F.lit("source-payload-digest: "), "source_payload_digest"), F.concat(F.lit("title: "), title_of(F.col("payload"))),
+        F.array(F.concat(F.lit("source-payload-digest: "), "source_payload_digest"), F.concat(F.lit("title: "), "title"),
                 F.concat(F.lit("links: "), F.size(links).cast("string"))),
         F.transform(links, lambda x: F.concat(F.lit("outlink: "), x)))
     block = lambda kind, mime, body: F.struct(F.lit(kind).alias("warc_type"), F.lit(mime).alias("mime"), body.alias("block"))
     made = F.array(block("metadata", "application/warc-fields", F.concat(F.array_join(lines, "\r\n"), F.lit("\r\n"))),
-                   block("conversion", "text/plain; charset=UTF-8", plain_text(F.col("payload"))))
+                   block("conversion", "text/plain; charset=UTF-8", F.col("text")))
     out = src.withColumn("d", F.explode(made)).select(*carry, "refers_to", "target_uri", "source_date", "source_payload_digest", "d.*")
     out = out.withColumn("record_id", _uuid(F.concat_ws("|", "warc_type", "refers_to"))).withColumn("block_digest", _digest(F.col("block")))
     out = out.withColumn("content_length", F.octet_length("block").cast("long"))
