@@ -11,8 +11,8 @@ The last token of a node is the only token that ends there, is the encoding of
 its own characters, and may follow the last token of the node where it begins:
 no merge across the border would have come before the merges that built the two sides.
 
-A task holds the words of one piece of a batch and a table of at most
-``MAX_WORDS`` encoded words; nothing is shuffled.
+A task holds the words of ``TOGETHER`` bytes of text (or one longer text) and a
+table of about ``MAX_WORDS`` encoded words; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm.textkit import Words, buffers, pieces
+from foldwise.llm.textkit import Words, buffers, pieces, release
 
-MAX_WORDS = 400_000
-MAX_PAIRS = 2_000_000
-PIECE = 1 << 23
+MAX_WORDS = 200_000
+MAX_PAIRS = 300_000
+#: bytes of text whose new words are walked together
+TOGETHER = 6 << 20
 _NEVER = 1 << 60
 
 
@@ -104,34 +105,34 @@ class Vocabulary:
 
     def forget(self) -> None:
         self.known: dict[int, int] = {}  # word hash -> row of the tables below
-        self.flat = np.zeros(1 << 16, np.uint32)
+        self.flat = np.zeros(1 << 16, np.uint32)  # ids of all words
         self.used = 0
-        self.start: list[int] = []
-        self.n: list[int] = []
+        self.start = np.zeros(1 << 12, np.int64)
+        self.n = np.zeros(1 << 12, np.int64)
+        self.met = np.zeros(1 << 12, np.int32)  # pieces that held the word
         self.decoded: list[bytes] = []
-        self.met = np.zeros(1 << 16, np.int32)  # pieces that held the word
 
     def shrink(self) -> None:
         """Keep the words met in several pieces, if they are few enough."""
-        old = {h: (self.start[r], self.n[r], self.decoded[r]) for h, r in self.known.items() if self.met[r] > 1}
-        flat = self.flat
+        old = [(h, r) for h, r in self.known.items() if self.met[r] > 1]
+        start, n, flat, decoded = self.start, self.n, self.flat, self.decoded
         self.forget()
-        if len(old) <= MAX_WORDS // 2:
-            for h, (a, n, text) in old.items():
-                self._add(h, flat[a:a + n], text)
-
-    def _add(self, h: int, ids, text: bytes) -> None:
-        end = self.used + len(ids)
-        if end > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(end, len(self.flat)), np.uint32)])
-        self.flat[self.used:end] = ids
-        if len(self.n) == len(self.met):
-            self.met = np.concatenate([self.met, np.zeros(len(self.met), np.int32)])
-        self.known[h] = len(self.n)
-        self.start.append(self.used)
-        self.n.append(len(ids))
-        self.decoded.append(text)
-        self.used = end
+        if old and len(old) <= MAX_WORDS // 2:
+            self._add([h for h, _ in old], [flat[start[r]:start[r] + n[r]] for _, r in old], [decoded[r] for _, r in old])
+
+    def _add(self, hashes: list[int], ids: list, texts: list[bytes]) -> None:
+        row, n = len(self.decoded), np.array([len(x) for x in ids], np.int64)
+        new = np.concatenate([np.asarray(x, np.uint32) for x in ids]) if any(isinstance(x, np.ndarray) for x in ids) else np.array([i for x in ids for i in x], np.uint32)
+        while row + len(ids) > len(self.n):
+            self.start, self.n, self.met = (np.concatenate([x, np.zeros(len(x), x.dtype)]) for x in (self.start, self.n, self.met))
+        while self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
+        self.flat[self.used:self.used + len(new)] = new
+        self.n[row:row + len(ids)] = n
+        self.start[row:row + len(ids)] = self.used + np.cumsum(n) - n
+        self.known.update(zip(hashes, range(row, row + len(ids))))
+        self.decoded.extend(texts)
+        self.used += len(new)
 
     # --- which tokens may stand side by side
 
@@ -179,47 +180,44 @@ class Vocabulary:
         return out
 
     def may_follow(self, a: int, b: int) -> bool:
-        key = a << 32 | b
-        out = self.pairs.get(key)
-        if out is None:
-            if len(self.pairs) > MAX_PAIRS:
-                self.pairs.clear()
-            out = self.pairs[key] = self._apart(a, b, False)
+        if len(self.pairs) > MAX_PAIRS:
+            self.pairs.clear()
+        out = self.pairs[a << 32 | b] = self._apart(a, b, False)
         return out
 
     # --- the trie walk
 
-    def _last(self, path: list[int], symbol: int, last: list[int]) -> int:
-        """Last token of the node ``path + symbol``; last[k]: that of the first k symbols."""
-        back, at, q, k = self.back, self.at, self.back[0].get(symbol, -1), len(path)
-        while q >= 0:
-            t = at[q]
-            if t >= 0 and (k == 0 or self.may_follow(last[k], t)):
-                return t
-            if k == 0:
-                break
-            k -= 1
-            q = back[q].get(path[k], -1)
-        raise ValueError("no token ends here")
-
-    def encode_words(self, words: list[bytes]) -> dict[bytes, list[int]]:
-        """Ids of each distinct non-empty word, in one depth-first walk."""
+    def encode_words(self, words) -> dict[bytes, list[int]]:
+        """Ids of each distinct non-empty word, in one depth-first walk. ``last[k]``
+        is the last token of the node reached by the first k bytes of the word."""
         out: dict[bytes, list[int]] = {}
-        path: list[int] = []
         last = [-1]
         before = b""
-        length = self.length
+        back, at, length, pairs = self.back, self.at, self.length, self.pairs
+        root = back[0]
         for w in sorted(words):
-            k, most = 0, min(len(path), len(w) - 1)
+            n = len(w)
+            k, most = 0, min(len(last), n) - 1
             while k < most and before[k] == w[k]:
                 k += 1
-            del path[k:], last[k + 1:]
-            for s in w[k:-1]:
-                t = self._last(path, s, last)
-                path.append(s)
+            del last[k + 1:]
+            for i in range(k, n):
+                q, j = root.get(w[i] if i < n - 1 else w[i] + 256, -1), i
+                while True:  # tokens that end at this node, from the shortest
+                    if q < 0:
+                        raise ValueError("no token ends here")
+                    t = at[q]
+                    if t >= 0:
+                        if j == 0:
+                            break
+                        ok = pairs.get(last[j] << 32 | t)
+                        if ok or ok is None and self.may_follow(last[j], t):
+                            break
+                    j -= 1
+                    q = back[q].get(w[j], -1) if j >= 0 else -1
                 last.append(t)
-            t = self._last(path, w[-1] + 256, last)
-            ids, k = [t], len(w) - length[t]
+            t = last.pop()
+            ids, k = [t], n - length[t]
             while k:
                 t = last[k]
                 ids.append(t)
@@ -252,70 +250,82 @@ class Vocabulary:
 
     def learn(self, hashes: list[int], chunks: list[bytes]) -> None:
         """Encode chunks that aren't known yet."""
-        parts: list[list] = []
+        parts: list = []  # a word, or a list of words and special ids
         todo: set[bytes] = set()
         for c in chunks:
+            if c.isalpha():  # ASCII letters alone
+                c = c.lower()
+                parts.append(c)
+                todo.add(c)
+                continue
             s = c.decode("utf-8")
             mine: list = []
             for x in self.split.split(s) if self.split and "<" in s else (s,):
                 if x in self.special:
                     mine.append(self.special[x])
                 elif x:
-                    mine.extend(self.chunk_words(x))
+                    words = self.chunk_words(x)
+                    mine.extend(words)
+                    todo.update(words)
             parts.append(mine)
-            todo.update(x for x in mine if isinstance(x, bytes))
-        ids = self.encode_words(list(todo))
-        for h, mine in zip(hashes, parts):
-            if len(mine) == 1 and isinstance(mine[0], bytes):
-                out = ids[mine[0]]
-            else:
-                out = []
-                for x in mine:
-                    if isinstance(x, bytes):
-                        out.extend(ids[x])
-                    else:
-                        out.append(x)
-            self._add(h, out, self.decode(out))
+        ids = self.encode_words(todo)
+        encoded = [ids[x] if isinstance(x, bytes) else [i for y in x for i in (ids[y] if isinstance(y, bytes) else (y,))] for x in parts]
+        token = self.token
+        self._add(hashes, encoded, [b" ".join([token[i] for i in x]) for x in encoded])
 
     def decode(self, ids) -> bytes:
         """Text of ids: their tokens joined by spaces (the file names no decoder); unknown ids are left out."""
         token = self.token
         return b" ".join([token[i] for i in ids if i in token])
 
-    def encode_batch(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, list[bytes], list[bytes]]:
-        """(number of tokens, ids as little-endian uint32, decoded text) of each text."""
-        counts, ids, texts = [np.zeros(0, np.int64)], [], []
-        gc.disable()  # millions of small objects, no cycles among them
-        for lo, hi in pieces(off, PIECE):
-            w = Words(data, off, lo, hi)
-            uniq, where, inverse = np.unique(w.hashes(), return_index=True, return_inverse=True)
+    def encode_groups(self, data: np.ndarray, off: np.ndarray):
+        """(first text, end, numbers of tokens, ids as little-endian uint32, decoded
+        texts) of one group of texts after the other."""
+        for lo, hi in pieces(off, TOGETHER):
+            gc.disable()  # millions of small objects, no cycles among them
+            counts, ids, texts = [np.zeros(0, np.int64)], [], []
+            some = off[lo:hi + 1] - off[lo]
+            run = data[off[lo]:off[hi]]
+            held = [(a, b, Words(run, some, a, b)) for a, b in pieces(some)]
+            hashes = [w.hashes() for _, _, w in held]
+            uniq, where, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
             keys = uniq.tolist()
             if len(self.known) + len(keys) > MAX_WORDS:
                 self.shrink()
-            raw = w.data.tobytes()
             fresh = [i for i, h in enumerate(keys) if h not in self.known]
             if fresh:
                 at = where[fresh]
-                self.learn([keys[i] for i in fresh], [raw[a:b] for a, b in zip(w.start[at].tolist(), w.end[at].tolist())])
+                start = np.concatenate([w.start + some[a] for a, _, w in held])[at].tolist()
+                end = np.concatenate([w.end + some[a] for a, _, w in held])[at].tolist()
+                raw = run.tobytes()
+                self.learn([keys[i] for i in fresh], [raw[x:y] for x, y in zip(start, end)])
             rows = np.array([self.known[h] for h in keys], np.int64)
             self.met[rows] += 1
             row = rows[inverse]
-            n = np.array(self.n, np.int64)[row] if len(row) else row
-            end = np.cumsum(n)
-            total = int(end[-1]) if len(end) else 0
-            begin = np.array(self.start, np.int64)[row] if len(row) else row
-            flat = self.flat[np.repeat(begin - (end - n), n) + np.arange(total)].astype("<u4").tobytes()
-            edge = np.concatenate([[0], end])[w.first]
-            counts.append(np.diff(edge))
-            decoded = self.decoded
-            some = n > 0
-            cut = np.concatenate([[0], np.cumsum(some)])[w.first].tolist()
-            rows = row[some].tolist()
-            for d in range(hi - lo):
-                ids.append(flat[4 * int(edge[d]):4 * int(edge[d + 1])])
-                texts.append(b" ".join([decoded[r] for r in rows[cut[d]:cut[d + 1]]]))
-        gc.enable()
-        return np.concatenate(counts), ids, texts
+            done = 0
+            for _, _, w in held:
+                self._texts(w, row[done:done + len(w.start)], counts, ids, texts)
+                done += len(w.start)
+            gc.enable()
+            yield lo, hi, np.concatenate(counts), ids, texts
+
+    def encode_batch(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+        groups = list(self.encode_groups(data, off))
+        return np.concatenate([np.zeros(0, np.int64), *(g[2] for g in groups)]), [x for g in groups for x in g[3]], [x for g in groups for x in g[4]]
+
+    def _texts(self, w: Words, row: np.ndarray, counts: list, ids: list, texts: list) -> None:
+        n = self.n[row]
+        end = np.cumsum(n)
+        total = int(end[-1]) if len(end) else 0
+        flat = self.flat[np.repeat(self.start[row] - (end - n), n) + np.arange(total)].astype("<u4").tobytes()
+        edge = np.concatenate([[0], end])[w.first]
+        counts.append(np.diff(edge))
+        some = n > 0
+        cut = np.concatenate([[0], np.cumsum(some)])[w.first].tolist()
+        rows, edge, decoded = row[some].tolist(), (4 * edge).tolist(), self.decoded
+        for d in range(w.n_docs):
+            ids.append(flat[edge[d]:edge[d + 1]])
+            texts.append(b" ".join([decoded[r] for r in rows[cut[d]:cut[d + 1]]]))
 
 
 _LOADED: dict[str, Vocabulary] = {}
@@ -366,10 +376,27 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids and decoded of each row; other columns aren't used."""
-    bpe = Bpe(docs.sparkSession, path or default_path())
-    return docs.select("doc_id", bpe.encode(F.col("text")).alias("r")).select("doc_id", "r.*")
+def encode_documents(docs: DataFrame, path: str | None = None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The ``carry`` columns, n_tokens, ids (little-endian uint32) and decoded of each
+    row; other columns aren't used. A null or empty text has no tokens. Results leave a
+    task by groups of ``TOGETHER`` bytes of text, so its memory doesn't follow the size of a batch."""
+    file = Bpe(docs.sparkSession, path or default_path()).file
+    docs = docs.select(F.col("text").cast("string").alias("text"), *carry)
+    names = [*carry, "n_tokens", "ids", "decoded"]
+
+    def run(batches):
+        vocabulary = loaded(file.value)
+        for batch in batches:
+            for lo, hi, n, ids, texts in vocabulary.encode_groups(*buffers(batch.column(0))):
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(1 + k).slice(lo, hi - lo) for k in range(len(carry))), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
+                     pa.array(texts, pa.binary()).cast(pa.string())], names=names)
+        vocabulary.forget()
+        vocabulary.pairs.clear()
+        release()
+
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[1:]]
+    return docs.mapInArrow(run, ", ".join([*kept, "n_tokens bigint, ids binary, decoded string"]))
 
 
 def op6_bpe_trie(spark, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 Every text is measured in whole: all its words, lines and n-word windows are
 hashed by numpy over the raw bytes of many texts at once, and the characters
 that lie inside windows or lines met before in the same text are counted. The
-state of a task is one piece of an Arrow batch (whole texts of about 2 MB
+state of a task is one piece of an Arrow batch (whole texts of about 1 MB
 together, or one longer text); nothing is shuffled.
 """
 

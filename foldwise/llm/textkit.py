@@ -12,12 +12,13 @@ on the bytes alone, so any task on any executor computes the same value.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 _U = np.uint64
 _R = _U(0x9E3779B97F4A7C15 | 1)
@@ -49,6 +50,15 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return [p[:n] for p in _POW] if n <= 1 << 23 else [_powers(_R, n), _powers(_RINV, n)]
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker outlives its task
+    and would keep it beside the next one's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bit mixer on uint64 (a bijection)."""
     x = x ^ (x >> _U(30))
