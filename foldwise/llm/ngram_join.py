@@ -13,8 +13,8 @@ columns from the candidate product).
    heavy columns; at most ``MAX_HEAVY`` of them are broadcast, a fixed bound.
 2. *Candidate product*: (column, content, size, position) entries are shuffled
    by column, so each task holds a block of columns and accumulates the pairs
-   of their short lists. A pair whose sizes or remaining columns cannot reach
-   the bound is dropped at once.
+   of their short lists. A pair whose sizes differ too much is dropped at once, and one
+   whose count and remaining columns cannot reach the bound after the last block.
 3. *Long lists* (more than ``SHORT`` rows) are not expanded into pairs: every
    row meets one leader of its size class in each list, and accepted pairs form components.
 4. *Full product*: the surviving pairs accumulate their overlap over all columns;
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.components import components
-from foldwise.llm.textkit import Words, buffers, mix, pieces, windows
+from foldwise.llm.textkit import Words, buffers, mix, pieces, release, windows
 from foldwise.llm.work import Workspace
 
 #: at most so many heavy columns are broadcast (8 bytes each)
@@ -49,6 +49,8 @@ SHORT = 24
 BLOCK, COLUMN_BLOCK = 256, 4096
 #: rows about candidates (32 bytes each) that are broadcast; more are joined by a shuffle
 MAX_BROADCAST = 500_000
+#: columns counted together, and contents remembered, by one task
+HELD, SEEN = 2_000_000, 150_000
 #: bytes of a column number sent to the full product: 40 bits tell the columns of two rows apart
 SENT = 5
 
@@ -153,16 +155,19 @@ def _statistics(docs: DataFrame, n: int) -> DataFrame:
                     [pa.array(np.zeros(hi - lo, np.int32)), batch.column(0).slice(lo, hi - lo), pa.array(s.size.astype(np.int64)),
                      pa.array(s.content)], names=["kind", "a", "b", "c"])
                 new = np.array([c not in seen and not seen.add(c) for c in s.content.tolist()], bool)
-                if len(seen) > 500_000:
+                if len(seen) > SEEN:
                     seen.clear()
                 held.append(s.token[new[s.doc]])
                 held_rows += len(held[-1])
-                if held_rows > 8_000_000:  # bounded memory: counts are summed over tasks anyway
+                if held_rows > HELD:  # bounded memory: counts are summed over tasks anyway
                     yield repeats()
                     held.clear()
                     held_rows = 0
         if held_rows:
             yield repeats()
+        held.clear()
+        seen.clear()
+        release()
 
     return docs.mapInArrow(run, "kind int, a long, b long, c long")
 
@@ -192,7 +197,7 @@ def _entries(docs: DataFrame, n: int, percent: int, heavy) -> DataFrame:
             for _, _, w in _pieces(batch, 0):
                 s = Shingled(w, n, lookup)
                 fresh = np.array([c not in seen and not seen.add(c) for c in s.content.tolist()], bool)
-                if len(seen) > 500_000:
+                if len(seen) > SEEN:
                     seen.clear()
                 need = s.size - (percent * s.size + 99) // 100 + 1
                 pos = np.arange(len(s.token)) - s.first[s.doc]
@@ -201,15 +206,27 @@ def _entries(docs: DataFrame, n: int, percent: int, heavy) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s.token[ok].view(np.int64)), pa.array(s.content[d]), pa.array(s.size[d].astype(np.int32)),
                      pa.array(pos[ok].astype(np.int32))], names=["token", "content", "size", "pos"])
+        seen.clear()
+        release()
 
     return docs.select("text").mapInArrow(run, "token long, content long, size int, pos int")
 
 
-def _may_reach(sa, sb, pa_, pb, percent: int):
-    """Can two rows of these sizes, first met at these positions, reach the
-    threshold? (size bound and remaining-columns bound)"""
-    need = (percent * (sa + sb) + 99 + percent) // (100 + percent)  # ceil(p (|a|+|b|) / (100 + p))
-    return (100 * np.minimum(sa, sb) >= percent * np.maximum(sa, sb)) & (1 + np.minimum(sa - pa_, sb - pb) - 1 >= need)
+def _accumulated(found: DataFrame, lists: DataFrame | None, percent: int) -> DataFrame:
+    """Pairs (a, b) that can still reach the threshold after the candidate product.
+    Up to the earlier end of the two needed parts every shared column was met:
+    counted here or, in a long list, at most as often as either row stands in
+    long lists. What follows adds at most the rest of the row whose part ended."""
+    pairs = found.where("kind = 0").groupBy("a", "b").agg(F.count("*").alias("n"), F.first("size").alias("sa"), F.first("pos").alias("sb"))
+    pairs = pairs.withColumn("long", F.lit(0))
+    if lists is not None:
+        often = lists.groupBy("content").agg(F.count("*").alias("m"))
+        for side in ("a", "b"):
+            pairs = pairs.join(often.select(F.col("content").alias(side), F.col("m").alias(f"m{side}")), side, "left")
+        pairs = pairs.withColumn("long", F.least(F.coalesce("ma", F.lit(0)), F.coalesce("mb", F.lit(0))))
+    rest = f"greatest(({percent} * sa + 99) div 100, ({percent} * sb + 99) div 100) - 1"
+    need = f"({percent} * (sa + sb) + {99 + percent}) div {100 + percent}"
+    return pairs.where(f"n + long + {rest} >= {need}").select("a", "b")
 
 
 def _pair_batch(kind, a, b, s, p):
@@ -219,8 +236,8 @@ def _pair_batch(kind, a, b, s, p):
 
 
 def _short_lists(batches, percent: int):
-    """Entries sorted by (token, content) -> kind 0: candidate pairs (a < b);
-    kind 1: entries of long lists as (token, content, size, pos)."""
+    """Entries sorted by (token, content) -> kind 0: a shared column of the pair
+    (a < b) with the sizes of both; kind 1: entries of long lists as (token, content, size, pos)."""
     tail = [np.zeros(0, np.int64)] * 4
     long_token = None  # the list that runs on from earlier batches and is known to be long
 
@@ -255,7 +272,7 @@ def _short_lists(batches, percent: int):
         if go.any():
             yield _pair_batch(1, tok[go], con[go], siz[go].astype(np.int64), pos[go].astype(np.int64))
         few = ~is_long & ~open_ & (length > 1)
-        t, c, s, p = (x[few] for x in (tok, con, siz, pos))
+        t, c, s = (x[few] for x in (tok, con, siz))
         k = 1
         live = np.arange(len(t))
         while len(live):
@@ -264,10 +281,10 @@ def _short_lists(batches, percent: int):
             if not len(live):
                 break
             i, j = live, live + k
-            ok = _may_reach(s[i].astype(np.int64), s[j].astype(np.int64), p[i].astype(np.int64), p[j].astype(np.int64), percent)
+            ok = 100 * np.minimum(s[i], s[j]) >= percent * np.maximum(s[i], s[j])
             i, j = i[ok], j[ok]
             if len(i):
-                yield _pair_batch(0, c[i], c[j], np.zeros(len(i), np.int64), np.zeros(len(i), np.int64))
+                yield _pair_batch(0, c[i], c[j], s[i], s[j])
             k += 1
 
     for batch in batches:
@@ -454,11 +471,12 @@ def ngram_jaccard(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFram
     found = ws.keep(
         _entries(docs, n, percent, heavy).repartition(parts, "token").sortWithinPartitions("token", "content")
         .mapInArrow(lambda it: _short_lists(it, percent), "kind int, a long, b long, size long, pos long"))
-    pairs = found.where("kind = 0").select("a", "b")
     lists = found.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("content"), "size", "pos").distinct()
     n_long = lists.count()
     if n_long:
         lists = ws.keep(lists)
+    pairs = _accumulated(found, lists if n_long else None, percent)
+    if n_long:
         pairs = pairs.unionAll(_stars(lists, percent))
     reps = ws.keep(row.where("n_shingles > 0 and doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("low")))
     edges = _linked(pairs, docs, reps, n, percent, ws)
