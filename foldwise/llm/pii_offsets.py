@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.textkit import Words, buffers, pieces, runs
+from foldwise.llm.textkit import buffers, pieces, runs
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -79,12 +79,15 @@ def identifiers(text: str) -> list[tuple[int, int, int]]:
 #: spelled digits (fixed values)
 SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 #: letters of other scripts that look like ASCII ones (fixed values)
-LOOKALIKE = dict(zip("аеорсухіјѕԁһӏАВЕКМНОРСТХУІЈЅοαινρυΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhlABEKMHOPCTXYIJSoaivpuABEZHIKMNOPTYX"))
+LOOKALIKE = dict(zip("аеорсухіјѕԁһӏАВЕКМНОРСТХУІЈЅοαινρυΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhlABEKMHOPCTXYIJSoaivpuABEZHIKMNOPTYX")) | {"ı": "i", "İ": "I", "ſ": "s", "\u212a": "K"}
 _MARKS = {"。": ".", "．": ".", "‧": ".", "․": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "﹫": "@"}
 _HIDDEN = "­​‌‍⁠﻿"
 _WORD = "(?:" + "|".join(SPELLED) + ")"
-#: last labels that make "x at y dot z" an address (fixed values)
-_ENDS = "com|org|net|edu|gov|mil|int|info|biz|io|ai|app|dev|eu|uk|us|de|fr|es|it|nl|be|ch|at|pt|pl|ru|cn|jp|kr|in|br|mx|ar|ca|au|nz"
+#: words that are no last label, so that "x at y dot z" is a sentence (fixed values); any other word of two or more letters is one
+_NO_ENDS = ("of|on|or|an|the|and|to|is|was|were|are|that|this|these|those|there|then|than|with|from|for|by|as|if|but|not|we|he|she|you|they|his|her|their|our|its|"
+            "which|when|where|while|who|what|will|would|can|could|has|had|have|do|does|did|into|onto|over|under|so|because|before|after|again|also")
+_SEP = r"[ ,.-]{0,3}(?:dot|point)?[ ,.-]{1,3}"  # between two spelled digits
+_SIDE = r"[ ,.()-]{0,3}(?:(?:dot|point)[ ,.-]{1,3})?"  # between a spelled digit and a digit
 _OPEN, _SHUT = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
 
 
@@ -108,25 +111,42 @@ def _passes() -> list[tuple[re.Pattern, object]]:
     """The transducers, in order: pattern and output for a match."""
     table = _table()
     single = re.compile("[" + "".join(map(re.escape, sorted(table))) + "]")
-    spelled = re.compile(rf"(?<![A-Za-z])(?:plus[ -]{{1,3}})?{_WORD}(?:[ ,.-]{{0,3}}(?:dot|point)?[ ,.-]{{1,3}}{_WORD}){{3,}}(?![A-Za-z])", re.I)
-    word = re.compile(rf"plus|dot|point|{_WORD}", re.I)
-
-    def digits(s: str) -> list[tuple[str, int, int]]:
+    spelled = re.compile(rf"(?P<left>(?<=[0-9]){_SIDE})?(?<![A-Za-z])(?P<words>(?P<plus>plus[ -]{{1,3}})?{_WORD}(?:{_SEP}{_WORD})*)(?![A-Za-z])(?P<right>{_SIDE}(?=[0-9]))?", re.I)
+    word = re.compile(rf"plus|dot|point|{_WORD}|(?<=[a-z])\.(?=[a-z])", re.I)
+    side = re.compile(r"dot|point|[.()-]| +", re.I)
+
+    def digits(m: re.Match) -> list[tuple[str, int, int]] | None:
+        """Four and more spelled digits in a row count, fewer if they touch digits or a plus."""
+        found = list(word.finditer(m["words"]))
+        few = sum(x.group().lower() in SPELLED for x in found) < 4
+        if few and m["left"] is None and m["right"] is None and not m["plus"] and m.string[m.start() - 1:m.start()] != "+":
+            return None
         out = []
-        for m in word.finditer(s):
-            w = m.group().lower()
-            out.append(("+" if w == "plus" else "." if w in ("dot", "point") else SPELLED[w], m.start(), m.end()))
+
+        def beside(name: str) -> None:
+            s, at = m[name] or "", m.start(name) - m.start()
+            spoken = re.search("dot|point", s, re.I)
+            for x in [spoken] if spoken else side.finditer(s):
+                out.append(("." if spoken else x.group()[0], at + x.start(), at + x.end()))
+
+        beside("left")
+        at = m.start("words") - m.start()
+        for x in found:
+            w = x.group().lower()
+            if w != "." or few:
+                out.append(("+" if w == "plus" else "." if w in ("dot", "point", ".") else SPELLED[w], at + x.start(), at + x.end()))
+        beside("right")
         return out
 
     return [
-        (single, table.__getitem__),
+        (single, lambda m: table[m.group()]),
         (spelled, digits),
         (re.compile(rf"{_OPEN}(?:at|@){_SHUT}", re.I), "@"),
         (re.compile(rf"{_OPEN}(?:dot|punkt|punto|point|\.){_SHUT}", re.I), "."),
-        (re.compile(rf"(?<=[A-Za-z0-9]) {{1,3}}at {{1,3}}(?=[A-Za-z0-9-]+(?:(?: {{1,3}}dot {{1,3}}|\.)[A-Za-z0-9-]+)*? {{1,3}}dot {{1,3}}(?:{_ENDS})(?![A-Za-z]))", re.I), "@"),
+        (re.compile(rf"(?<=[A-Za-z0-9]) {{1,3}}at {{1,3}}(?=[A-Za-z0-9-]+(?:(?: {{1,3}}dot {{1,3}}|\.)[A-Za-z0-9-]+)*? {{1,3}}dot {{1,3}}(?!(?:{_NO_ENDS})(?![A-Za-z0-9-]))(?:xn--[a-z0-9-]+|[a-z]{{2,}})(?![A-Za-z]))", re.I), "@"),
         (re.compile(r"(?<=[A-Za-z0-9-]) {1,3}dot {1,3}(?=[A-Za-z0-9-])", re.I), "."),
         (re.compile(r"(?<![A-Za-z0-9])(?=[OolI]*[0-9])(?=[0-9]*[OolI])[0-9OolI]+(?![A-Za-z0-9])"),
-         lambda s: [({"O": "0", "o": "0", "l": "1", "I": "1"}.get(c, c), i, i + 1) for i, c in enumerate(s)]),
+         lambda m: [({"O": "0", "o": "0", "l": "1", "I": "1"}.get(c, c), i, i + 1) for i, c in enumerate(m.group())]),
     ]
 
 
@@ -142,10 +162,12 @@ class Tape:
         parts, starts, ends, at = [], [], [], 0
         for m in pattern.finditer(self.text):
             a, b = m.span()
+            got = output if isinstance(output, str) else output(m)
+            if got is None:  # stays as it is
+                continue
             parts.append(self.text[at:a])
             starts.append(self.start[at:a])
             ends.append(self.end[at:a])
-            got = output if isinstance(output, str) else output(m.group())
             for c, x, y in got if isinstance(got, list) else [(got, 0, b - a)] if got else []:
                 parts.append(c)
                 starts.append(self.start[a + x:a + x + 1])
@@ -175,9 +197,12 @@ def hidden_identifiers(text: str, base: list[tuple[int, int, int]]) -> list[tupl
     return out
 
 
-_NAMES = (b" dot ", b"(dot", b"[dot", b"{dot", b"<dot", b"(at", b"[at", b"{at", b"<at", b"( at", b"[ at", b"(@", b"[@", b"(.)", b"[.]", b" at ",
-          b"( dot", b"[ dot", b"punkt", b"punto", b"dot)", b"dot]", b"at)", b"at]", *(w.encode() + s for w in SPELLED if w != "oh" for s in (b"-", b",")))
-_COMMON = b" at "
+#: what the transducers' patterns begin with, on lower-cased bytes. What follows the first sign or word is looked at
+#: only, so a match that runs into the next text hides none there
+_GAP = rb"(?:[\s\x1c-\x1f]|\xc2\x85){0,3}"
+_BRACKET = re.compile(rb"[(\[{<](?=" + _GAP + rb"(?:at|@|dot|punkt|punto|point|\.)" + _GAP + rb"[)\]}>])")
+_SPOKEN = re.compile(rf"{_WORD}(?={_SEP}{_WORD}|{_SIDE}[0-9])".encode())
+_BESIDE = re.compile(rf"[0-9](?={_SIDE}{_WORD})|\+(?={_WORD})|plus(?=[ -]{{1,3}}{_WORD})".encode())
 
 
 def _suspects(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,8 +217,8 @@ def _suspects(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
         sign[np.searchsorted(off, np.flatnonzero(data == c), "right") - 1] = True
     base = sign | (n_digits >= 4)
     odd = np.zeros(n, bool)
-    # two-byte leads beyond the Latin letters, no-break space and soft hyphen, and three- and four-byte characters
-    lead = (data >= 0xCC)
+    # two-byte leads beyond the Latin letters, no-break space, soft hyphen, letters whose other case is i or s, and three- and four-byte characters
+    lead = (data >= 0xCC) | (data == 0xC4) | (data == 0xC5)
     after = np.zeros(len(data), np.uint8)
     after[:-1] = data[1:]
     lead |= (data == 0xC2) & ((after == 0xA0) | (after == 0xAD))
@@ -205,30 +230,16 @@ def _suspects(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     next_[:-1] = digit[1:]
     odd[np.searchsorted(off, np.flatnonzero(letter & (before | next_)), "right") - 1] = True
     low = data.tobytes().lower()
-    for name in _NAMES:
-        if name == _COMMON:
-            continue
-        at = low.find(name)
-        while at >= 0:
-            d = int(np.searchsorted(off, at, "right")) - 1
-            odd[d] = True
-            at = low.find(name, int(off[d + 1]))
-    w = Words(data, off, 0, n)
-    if len(w.start):
-        h = w.hashes(lower=True)
-        spelled = np.isin(h, _spelled_hashes())
-        a, b = runs(spelled, w.first)
-        odd[np.searchsorted(w.first, a[b - a >= 4], "right") - 1] = True
+    found = [m.start() for pattern in (_BRACKET, _SPOKEN, _BESIDE) for m in pattern.finditer(low)]
+    odd[np.searchsorted(off, found, "right") - 1] = True
+    at = low.find(b" dot ")
+    while at >= 0:
+        d = int(np.searchsorted(off, at, "right")) - 1
+        odd[d] = True
+        at = low.find(b" dot ", int(off[d + 1]))
     return base, odd
 
 
-@lru_cache(1)
-def _spelled_hashes() -> np.ndarray:
-    names = [*SPELLED, "dot", "point", "plus"]
-    data, off = buffers(pa.array(names))
-    return Words(data, off, 0, len(names)).hashes(lower=True)
-
-
 def _text_of(spans) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
 

@@ -2,10 +2,12 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from foldwise.llm.pii_offsets import KINDS, identifiers, personal_data
+from foldwise.llm.pii_offsets import KINDS, Tape, _passes, _suspects, identifiers, personal_data
+from foldwise.llm.textkit import buffers
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -68,3 +70,44 @@ def test_edge_cases_and_clean_texts(scanned):
         assert (got[i].n_email, got[i].n_ip, got[i].n_card, got[i].n_phone) == (2, 1, 0, 0)
         assert got[i].spans == base and got[i].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
     assert scanned([]) == {}
+
+
+DISGUISED = {
+    "x jane { at } example.com y": "jane { at } example.com",
+    "x jane < at > example.com y": "jane < at > example.com",
+    "x jane@example(point)com y": "jane@example(point)com",
+    "x jane{@}example.com y": "jane{@}example.com",
+    "x jane@example{.}com y": "jane@example{.}com",
+    "x jane@example<.>com y": "jane@example<.>com",
+    "x jane at example dot museum y": "jane at example dot museum",
+    "x plus one.four.one.five.five.five.five.zero.one.two y": "plus one.four.one.five.five.five.five.zero.one.two",
+    "x +1 415 five five five 0123 y": "+1 415 five five five 0123",
+    "x +1 (415) five, five 50123 y": "+1 (415) five, five 50123",
+    "x plus one 415 555 0123 y": "plus one 415 555 0123",
+    "x 4111 1111 1111 11 one one y": "4111 1111 1111 11 one one",
+    "x 192.168.one.one y": "192.168.one.one",
+    "x 192 dot 168 dot one dot 7 y": "192 dot 168 dot one dot 7",
+    "x plus one four one five five ſıx five zero one two y": "plus one four one five five ſıx five zero one two",
+}
+
+
+def test_every_disguise_passes_the_gate(scanned):
+    got = scanned(list(DISGUISED))
+    for i, (text, span) in enumerate(DISGUISED.items()):
+        assert span in [text[int(x.split(":")[1]):int(x.split(":")[2])] for x in got[i].spans.split(",") if x], text
+
+
+def test_gate_on_and_off_agree():
+    rnd = random.Random(8)
+    parts = ["jane", "example", "com", "at", "dot", "point", "punkt", "@", ".", "(", ")", "{", "}", "<", ">", "[", "]", "+", "plus", "one", "Five", "oh", "ſıx", "zerO",
+             "1", "415", "555", "0123", "4l1", "O", "é", "ж", "\x85", "\x1c", "\xa0", "\t", ",", "-", " ", " ", " ", " "]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14))) for _ in range(40_000)] + [*HIDDEN, *DISGUISED]
+    data, off = buffers(pa.array(texts))
+    base_at, odd = _suspects(data, off)
+    for s, b, o in zip(texts, base_at, odd):
+        base = identifiers(s)
+        assert b or not base, s
+        tape = Tape(s)
+        for pattern, output in _passes():
+            tape.run(pattern, output)
+        assert o or tape.text == s, s
