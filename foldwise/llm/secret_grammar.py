@@ -4,14 +4,16 @@ Base patterns label credentials by kind. Their formats (characters mapped to a
 small class alphabet) are the strings of a prefix tree whose states are merged
 while their futures agree statistically (Hoeffding bound on the frequencies of
 the next symbol and of the end, applied down the subtrees), which leaves one
-probabilistic automaton per kind. The same is done for the long tokens of the
-corpus that no pattern matched. Every token of a text that is long enough is
-then scored by all automata; it is a secret if its format is far likelier
-under a credential automaton than under the one of ordinary tokens.
-
-The automata are fitted on at most about ``FIT_FORMATS`` formats per kind (a
-bounded sample of labelled rows, chosen by hash); every text is scanned in
-whole, and what travels to the automata are formats, never secrets.
+probabilistic automaton per kind. The long tokens of the corpus that no pattern
+matched give transition counts: of every symbol after the symbols and at the
+position before it, over all tokens as often as they occur. Every token of a text
+that is long enough is then scored by all of them; it is a secret if its format is
+far likelier under a credential automaton than as an ordinary token.
+
+The automata of credentials are fitted on whole formats, at most about ``FIT_FORMATS``
+of a kind and ``FIT_SYMBOLS`` symbols (a bounded sample of labelled rows, chosen by hash);
+the counts of ordinary tokens are of all of them. Every text is scanned in
+whole, and what travels to the models are formats, never secrets.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ _TRIGGERS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 #: candidates are runs of credential characters of at least this length
 TOKEN_FROM = 16
 FIT_FORMATS = 3000
+FIT_SYMBOLS = 1_000_000
 FIT_LEAST = 20
 ALPHA = 0.05
 #: a secret's format is 10**MARGIN times likelier than as an ordinary token
@@ -52,6 +55,12 @@ _CLASS = bytes(
     ord("d") if 48 <= c < 58 else ord("h") if 97 <= c < 103 else ord("l") if 103 <= c < 123 else ord("H") if 65 <= c < 71
     else ord("U") if 71 <= c < 91 else c if c in b"+/_.=-" else ord("?") for c in range(256))
 SYMBOLS = 13  # classes a format is made of, and the end
+_NAMES = "dhlHU+/_.=-?"
+_CODE = np.zeros(256, np.int64)  # 0 stands for what precedes a format
+_CODE[list(_NAMES.encode())] = np.arange(1, SYMBOLS)
+_END, _BASE = SYMBOLS, SYMBOLS + 1
+#: positions that are told apart in ordinary tokens; all later ones count as the last
+POSITIONS = 64
 
 
 def format_of(token: bytes) -> str:
@@ -147,6 +156,55 @@ class Automaton:
         return cls(moves, [math.log10((stop[q] + 0.5) / (seen[q] + 0.5 * SYMBOLS)) for q in kept])
 
 
+def transitions(data: np.ndarray, off: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(level, key, count) of the symbols and ends of formats that occur ``n`` times each. Level 0 has the three
+    symbols before, level 1 the two before and the position; a key is the number they make with the symbol itself."""
+    size = np.diff(off) + 1
+    first = np.cumsum(size) - size
+    at = np.arange(int(size.sum())) - np.repeat(first, size)
+    x = np.full(len(at), _END)
+    x[at < np.repeat(size - 1, size)] = _CODE[data[off[0]:off[-1]]]
+
+    def before(k):
+        out = np.zeros(len(x), np.int64)
+        out[k:] = x[:-k]
+        return np.where(at >= k, out, 0)
+
+    near = (before(2) * _BASE + before(1)) * _BASE + x
+    times = np.repeat(n, size)
+    out = []
+    for level, far in enumerate((before(3), np.minimum(at, POSITIONS))):
+        key, inverse = np.unique(far * _BASE ** 3 + near, return_inverse=True)
+        count = np.zeros(len(key), np.int64)
+        np.add.at(count, inverse, times)
+        out.append((np.full(len(key), level), key, count))
+    return tuple(map(np.concatenate, zip(*out)))
+
+
+class Ordinary:
+    """Model of ordinary tokens from all their transition counts; ``score`` is the log10 probability of a format.
+    Counts at a position back off to those after three symbols, these to equal shares."""
+
+    def __init__(self, counts: dict[tuple[int, int], int]):
+        self.counts = counts
+        self.totals: dict[tuple[int, int], int] = defaultdict(int)
+        for (level, key), n in counts.items():
+            self.totals[level, key // _BASE] += n
+        self.totals = dict(self.totals)
+
+    def score(self, s: str) -> float:
+        a = b = c = 0
+        total = 0.0
+        for at, x in enumerate([*_CODE[list(s.encode())].tolist(), _END]):
+            p = 1 / SYMBOLS
+            for level, far, weight in ((0, a, 0.5 * SYMBOLS), (1, min(at, POSITIONS), SYMBOLS)):
+                past = (far * _BASE + b) * _BASE + c
+                p = (self.counts.get((level, past * _BASE + x), 0) + weight * p) / (self.totals.get((level, past), 0) + weight)
+            total += math.log10(p)
+            a, b, c = b, c, x
+        return total
+
+
 def _scan(data: np.ndarray, off: np.ndarray):
     """Base spans [(kind, start, end, value start, value end)] by text, and all long tokens (start, end), as byte offsets."""
     base: dict[int, list] = defaultdict(list)
@@ -205,21 +263,38 @@ def _formats(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "kind string, format string, n long")
 
 
-def infer_grammars(docs: DataFrame, fit_formats: int = FIT_FORMATS) -> dict[str, Automaton]:
-    """One automaton per kind with at least ``FIT_LEAST`` formats, and one of ordinary tokens."""
+def _ordinary(rows: DataFrame) -> Ordinary | None:
+    """The model of all ordinary tokens; its table is bounded by the symbols and positions, whatever the input."""
+
+    def run(batches):
+        for batch in batches:
+            data, off = buffers(batch.column(0))
+            n = batch.column(1).to_numpy(zero_copy_only=False)
+            for lo, hi in pieces(off):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in transitions(data, off[lo:hi + 1], n[lo:hi])], names=["level", "key", "n"])
+
+    counts = rows.where(F.col("kind") == OTHER).select("format", "n").mapInArrow(run, "level long, key long, n long").groupBy("level", "key").agg(F.sum("n").alias("n"))
+    found = {(r["level"], r["key"]): r["n"] for r in counts.collect()}
+    return Ordinary(found) if found else None
+
+
+def infer_grammars(docs: DataFrame, fit_formats: int = FIT_FORMATS) -> dict[str, Automaton | Ordinary]:
+    """One automaton per kind with at least ``FIT_LEAST`` formats, and the model of ordinary tokens."""
     from foldwise.llm.work import Workspace
 
     ws = Workspace(docs.sparkSession, "grammar")
     rows = ws.keep(_formats(docs).groupBy("kind", "format").agg(F.sum("n").alias("n")))
-    size = {r["kind"]: r["count"] for r in rows.groupBy("kind").count().collect()}
-    share = F.create_map(*[x for k, c in size.items() for x in (F.lit(k), F.lit(min(1.0, fit_formats / c)))]) if size else None
-    out = {}
+    ordinary = _ordinary(rows)
+    labelled = rows.where(F.col("kind") != OTHER)
+    size = {r["kind"]: min(1.0, fit_formats / r["c"], FIT_SYMBOLS / r["l"]) for r in labelled.groupBy("kind").agg(F.count("*").alias("c"), F.sum(F.length("format")).alias("l")).collect()}
+    out: dict[str, Automaton | Ordinary] = {} if ordinary is None else {OTHER: ordinary}
     if size:
+        share = F.create_map(*[x for k, c in size.items() for x in (F.lit(k), F.lit(c))])
         at = F.pmod(F.xxhash64("format"), F.lit(1 << 30)) / F.lit(float(1 << 30))
         picked: dict[str, dict[str, int]] = defaultdict(dict)
-        for r in rows.where(at < share[F.col("kind")]).limit(2 * fit_formats * len(size)).toLocalIterator():
-            picked[r["kind"]][r["format"][:256]] = r["n"]
-        out = {k: Automaton.infer(v) for k, v in picked.items() if len(v) >= FIT_LEAST or k == OTHER}
+        for r in labelled.where(at < share[F.col("kind")]).toLocalIterator():
+            picked[r["kind"]][r["format"]] = r["n"]
+        out |= {k: Automaton.infer(v) for k, v in picked.items() if len(v) >= FIT_LEAST}
     ws.drop()
     return out
 
@@ -228,7 +303,7 @@ SCHEMA = ("struct<n_assign: bigint, n_access: bigint, n_hex: bigint, base_sha256
           "cuts: array<struct<start: int, end: int>>>")
 
 
-def secret_scan(docs: DataFrame, grammars: dict[str, Automaton], margin: float = MARGIN) -> Column:
+def secret_scan(docs: DataFrame, grammars: dict[str, Automaton | Ordinary], margin: float = MARGIN) -> Column:
     """Column: struct of base counts, ``base_sha256``, ``spans`` (base and
     found by format, ``kind:start:end`` by start) and ``cuts``, the union of the spans.
 

@@ -2,9 +2,12 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from foldwise.llm.secret_grammar import KINDS, Automaton, format_of, infer_grammars, redacted, secret_scan
+from foldwise.llm.secret_grammar import KINDS, Automaton, Ordinary, format_of, infer_grammars, redacted, secret_scan, transitions
+from foldwise.llm.textkit import buffers
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -77,3 +80,30 @@ def test_automaton_is_a_distribution_and_prefers_its_formats():
 
 def test_empty(spark, docs_of):
     assert scan(docs_of([])).collect() == []
+
+
+def test_ordinary_tokens_all_count(spark, docs_of):
+    """The model of ordinary tokens is of all tokens, as often as they occur, at every sample size and in whole length."""
+    rnd = random.Random(5)
+    digits, tail = "d" * 16, "l" * 300
+    words = [("".join(rnd.choice("ghij0123KLMN_-") for _ in range(rnd.randint(16, 24)))) for _ in range(400)]
+    tokens = words + ["".join(rnd.choice("0123456789") for _ in range(16)) for _ in range(400)] + ["z" * 300] * 50
+    keys = ["token=" + "".join(rnd.choice("0123456789") for _ in range(16)) for _ in range(30)] + [f"secret={key(rnd, 'x')}" for _ in range(60)]
+    docs = docs_of([(i, t) for i, t in enumerate(tokens + keys)])
+    few, all_ = infer_grammars(docs, 25), infer_grammars(docs)
+    assert all(few["other"].score(f) == all_["other"].score(f) for f in (digits, tail, format_of(words[0].encode())))
+    assert few["other"].score(digits) > -1.0 and few["other"].score(tail) > -10.0
+    found = docs.select("doc_id", secret_scan(docs, few).alias("r")).where("doc_id >= 400 and doc_id < 800 and r.n_found > 0")
+    assert found.count() == 0
+
+
+def test_ordinary_is_a_distribution_of_the_counts():
+    formats = {"dd": 3, "dhl": 2, "l" * 70: 1}
+    data, off = buffers(pa.array(list(formats)))
+    level, k, n = transitions(data, off, np.array(list(formats.values())))
+    model = Ordinary({(a, b): c for a, b, c in zip(level.tolist(), k.tolist(), n.tolist())})
+    assert n[level == 0].sum() == n[level == 1].sum() == 3 * 3 + 4 * 2 + 71
+    for start in ("", "d", "dh", "l" * 69, "U?"):
+        ends = 10 ** model.score(start)
+        longer = [sum(10 ** model.score(start + a) for a in "dhlHU+/_.=-?")]
+        assert 0 < ends + longer[0] <= 1 + 1e-9
