@@ -14,7 +14,7 @@ shared folder and reads it again, so a lost executor repeats tasks of one stage
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.llm.bpe_trie import encode_documents
@@ -57,12 +57,11 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it (0 to 3 times)."""
-    docs = docs.select(*COLUMNS)
-    nth = Window.partitionBy("doc_id")
-    copies = mix_sources(docs).withColumn("nth", F.row_number().over(nth.orderBy("size", "target", "copies"))).select(F.col("doc_id").alias("id"), "nth", "copies")
-    rows = docs.withColumn("k", F.row_number().over(nth.orderBy(F.length("text"), "source", F.xxhash64("text"))))
-    rows = rows.join(copies, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("k") == F.col("nth")))
-    return rows.withColumn("copy", F.explode(F.expr("array_repeat(0, cast(copies as int))"))).select(*COLUMNS)
+    ws = Workspace(spark, "mixed")
+    docs = ws.keep(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()))  # written once: a repeated task can't renumber rows
+    copies = mix_sources(docs, row_key="row_key").where("copies > 0").select("row_key", "copies")
+    rows = docs.join(copies, "row_key")
+    return ws.close(rows.withColumn("copy", F.explode(F.expr("array_repeat(0, cast(copies as int))"))).select(*COLUMNS))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

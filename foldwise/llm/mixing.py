@@ -33,9 +33,10 @@ MAX_BROADCAST_SOURCES = 100_000
 def pivot(frame: pd.DataFrame, seed: int, final: bool) -> pd.DataFrame:
     """Settle a block: columns doc_id, rank, size, part (the fraction); ``up``
     becomes 0 or 1, or stays null for the one document left open. ``final``
-    settles that one too, with its fraction as probability. Long texts come
-    first, so that the open document is mostly a short one."""
-    frame = frame.sort_values(["size", "rank", "doc_id"], ascending=[False, True, True], kind="stable", ignore_index=True)
+    settles that one too, with its fraction as probability. A column row_key
+    orders rows that are alike otherwise. Long texts come first, so that the open document is mostly a short one."""
+    by = ["size", "rank", "doc_id", *(["row_key"] if "row_key" in frame else [])]
+    frame = frame.sort_values(by, ascending=[False] + [True] * (len(by) - 1), kind="stable", ignore_index=True)
     size, part = frame["size"].to_numpy(np.float64), frame["part"].to_numpy(np.float64).copy()
     key = mix(frame["rank"].to_numpy(np.int64).view(np.uint64) ^ np.uint64(seed & (1 << 63) - 1))
     draw = (mix(key + np.arange(1, len(key) + 1, dtype=np.uint64)) >> np.uint64(11)).astype(np.float64) / 2.0**53
@@ -113,7 +114,7 @@ def source_targets(rows: DataFrame, ws: Workspace, most: int = 3) -> DataFrame:
     return table.select("sid", "source", "n", "source_size", "weight", target.alias("target"))
 
 
-def mix_sources(docs: DataFrame, *, most: int = 3, seed: int = 20240607, block: int = BLOCK) -> DataFrame:
+def mix_sources(docs: DataFrame, *, most: int = 3, seed: int = 20240607, block: int = BLOCK, row_key: str | None = None) -> DataFrame:
     """One row per input row: doc_id, size (words), source_size, target (of its
     source, in words), copies (0 to ``most``) and taken (words the mix takes).
 
@@ -122,22 +123,27 @@ def mix_sources(docs: DataFrame, *, most: int = 3, seed: int = 20240607, block:
     without words, in the whole part of its source's ratio. Repeated rows are
     documents of their own. The draws depend on doc_id and ``seed`` alone, so
     reruns agree; an empty table gives an empty result.
+
+    ``row_key`` names a stored column of unique whole numbers; the result has it
+    as row_key, and it tells rows without a doc_id apart in the draws.
     """
     spark = docs.sparkSession
     ws = Workspace(spark, "mixing")
-    rows = ws.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")))
+    keys = ["row_key"] if row_key else []
+    rows = ws.keep(docs.select(*[F.col(row_key).cast("long").alias(k) for k in keys], F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")))
     sources = ws.keep(source_targets(rows, ws, most))
     n_sources, most_rows = sources.agg(F.count("*"), F.max("n")).first()
     side = F.broadcast(sources) if n_sources <= MAX_BROADCAST_SOURCES else sources
     rows = rows.join(side.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("source", "s")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = rows.withColumn("whole", F.floor(ratio).cast("long")).withColumn("part", ratio - F.floor(ratio))
-    rows = rows.withColumn("rank", F.xxhash64(F.lit(seed), "doc_id"))
+    apart = [F.when(F.col("doc_id").isNull(), F.col(k)) for k in keys]  # a null leaves the hash as it is
+    rows = rows.withColumn("rank", F.xxhash64(F.lit(seed), "doc_id", *apart))
     open_ = (F.col("part") > 0) & (F.col("size") > 0)
-    cols = ["doc_id", "size", "source_size", "target", "whole", "part", "rank", "sid", "n"]
+    cols = [*keys, "doc_id", "size", "source_size", "target", "whole", "part", "rank", "sid", "n"]
     settled = rows.where(~open_).select(*cols, F.lit(0).cast("long").alias("up"))
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("long")
-    live = rows.where(open_).select(*cols, F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), blocks).alias("blk"))
+    live = rows.where(open_).select(*cols, F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size", *apart), blocks).alias("blk"))
     count, level = -(-(most_rows or 0) // block), 0
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in live.schema if f.name != "up") + ", up long"
     while True:
@@ -149,7 +155,7 @@ def mix_sources(docs: DataFrame, *, most: int = 3, seed: int = 20240607, block:
         live = done.where("up is null").select(*cols, F.floor(F.col("blk") / F.lit(block)).alias("blk"))
         count, level = -(-count // block), level + 1
     copies = (F.col("whole") + F.col("up")).alias("copies")
-    return ws.close(settled.select("doc_id", "size", "source_size", "target", copies, (F.col("size") * copies).alias("taken")))
+    return ws.close(settled.select(*keys, "doc_id", "size", "source_size", "target", copies, (F.col("size") * copies).alias("taken")))
 
 
 def op7_pivotal_mixing(spark, sf_dir: str) -> DataFrame:

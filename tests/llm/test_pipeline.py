@@ -102,6 +102,27 @@ def test_odd_rows(spark, docs_of):
             assert len(got) == 5
 
 
+def test_mixing_keeps_draws_at_their_rows(spark, docs_of):
+    """Rows with the same id, or none, get the copies that were drawn for them: all sources meet their targets."""
+    from foldwise.llm.mixing import mix_sources
+
+    # as many characters as the other source's rows have words the other way round
+    rows = [(i % 7 if i % 2 else None, " ".join([f"a{i}"] * (5 + i)), "a") for i in range(120)]
+    rows += [(i % 7 if i % 2 else None, " ".join([f"b{i}" + "x" * (100 - 2 * i)] * (5 + i)), "b") for i in range(40)]
+    docs = docs_of(rows)
+    size = Counter()
+    for _, text, source in rows:
+        size[source] += len(text.split())
+    target = {r.source_size: r.target for r in mix_sources(docs).collect()}
+    got = Counter(r.text for r in P.mixing(spark, docs, "").collect())
+    assert set(got) <= {text for _, text, _ in rows}
+    for source in "ab":
+        mine = [text for _, text, s in rows if s == source]
+        ratio = target[size[source]] / size[source]
+        assert {got[t] for t in mine} <= {int(ratio), int(ratio) + 1}
+        assert abs(sum(got[t] * len(t.split()) for t in mine) - target[size[source]]) < max(len(t.split()) for t in mine)
+
+
 def test_run_writes_and_rereads(spark, docs_of, tmp_path):
     docs_of(corpus()).write.parquet(str(tmp_path / "documents.parquet"))
     got = P.run(spark, str(tmp_path))
