@@ -10,6 +10,8 @@ whose line separator is the blank lines that end a record.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +21,19 @@ BLOCKS = ("address article aside blockquote body br dd div dl dt fieldset figcap
           "header hr html li main nav ol option p pre section table tbody td tfoot th thead title tr ul").split()
 #: elements whose content is no text (fixed values)
 SILENT = "script style noscript template head".split()
-#: named character references (fixed values); &amp; comes last
+#: the usual named character references (fixed values), tried before the whole HTML list; &amp; comes last
 NAMED = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&hellip;": "…", "&mdash;": "—", "&ndash;": "–", "&copy;": "©", "&middot;": "·", "&bull;": "•", "&laquo;": "«", "&raquo;": "»"}
 
 _SPACE = "[ \\t\\r\\f\\x0B\\x{00A0}]+"
 _BLOCK = "(?i)</?(?:" + "|".join(BLOCKS) + ")(?:\\s[^>]*|/)?>"
 _SPACES = "[ \\t\\r\\f\\x0B\\x{00A0}]{2,}|[\\t\\r\\f\\x0B\\x{00A0}]"  # single blanks stay as they are
 _SILENT = "(?is)<(?:!--.*?-->|(" + "|".join(SILENT) + ")(?:\\s[^>]*)?>.*?</\\1\\s*>)"
-_REFERENCE = "&(?!amp;)[a-zA-Z0-9#]+;"
+_REFERENCE = "&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
+#: code points that HTML reads as Windows-1252 in numeric references
+_WINDOWS = {c: ord(x) for c in range(0x80, 0xA0) for x in bytes([c]).decode("cp1252", "ignore")}
+_VALUE = "\\s*+=\\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\\s>\"']++)"
+#: an anchor's attributes before href, whole with their values, and the value of href; possessive, so it takes no stack
+_LINK = ("(?i)<a(?=[\\s/])(?:[\\s/]++|(?!href\\s*=)[^\\s>/=\"']++(?:" + _VALUE + ")?+|[=\"']++)*+href\\s*+=\\s*+(\"[^\"]*+\"|'[^']*+'|[^\\s>\"'][^\\s>]*+)")
 _TAG = "</?[a-zA-Z!?][^>]*>"
 DATE = "2024-01-01T00:00:00Z"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
@@ -37,29 +44,42 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _numeric(text: Column) -> Column:
-    """Decimal and hexadecimal character references of the basic plane."""
+def _character(ref: Column) -> Column:
+    """Character of a decimal or hexadecimal reference, as HTML reads it."""
+    hexed = F.lower(F.substring(ref, 3, 1)) == "x"
+    digits = F.regexp_extract(ref, "^&#[xX]?0*([0-9a-fA-F]*)", 1)
+    small = F.when(F.length(digits) > 7, F.lit("110000")).otherwise(digits)
+    code = F.when(F.length(digits) > 7, 0x110000).when(digits == "", 0).otherwise(
+        F.when(hexed, F.conv(small, 16, 10)).otherwise(F.conv(small, 10, 10)).cast("long"))
+
+    def put(c):
+        windows = F.create_map(*[F.lit(x) for kv in _WINDOWS.items() for x in kv])
+        c = F.when((c >= 0x80) & (c < 0xA0), F.coalesce(windows[c.cast("int")].cast("long"), c)).when((c == 0) | (c > 0x10FFFF) | ((c >= 0xD800) & (c < 0xE000)), 0xFFFD).otherwise(c)
+
+        def units(c):
+            high, low = F.shiftright(c - 0x10000, 10) + 0xD800, (c - 0x10000).bitwiseAND(0x3FF) + 0xDC00
+            return F.decode(F.unhex(F.when(c < 0x10000, F.lpad(F.hex(c), 4, "0")).otherwise(F.concat(F.hex(high), F.hex(low)))), "UTF-16BE")
+
+        return _let(c, units)
 
-    def put(base: int, left: str):
-        def one(t, n):
-            code = F.conv(n, base, 10).cast("int")
-            char = F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
-            fine = ((code >= 32) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0xFFFE))
-            return F.when(fine, F.replace(t, F.concat(F.lit(left), n, F.lit(";")), char)).otherwise(t)
+    return _let(code, put)
 
-        return one
 
-    for pattern, base, left in ((r"&#([0-9]{1,5});", 10, "&#"), (r"&#x([0-9a-fA-F]{1,4});", 16, "&#x")):
-        found = lambda t, pattern=pattern: F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), F.lit(1)))
-        text = _let(text, _resolver(found, left, put(base, left)))
-    return text
+def _resolved(text: Column) -> Column:
+    """The text with all its character references (up to a semicolon) resolved, in one pass; unknown ones stay."""
+    every = F.str_to_map(F.lit("\x01".join(f"&{k}\x02{v}" for k, v in html5.items() if k.endswith(";"))), F.lit("\x01"), F.lit("\x02"))
 
+    def one(ref):
+        usual = F.when(ref == "&amp;", "&")
+        for name, char in NAMED.items():
+            usual = usual.when(ref == name, char)
+        return usual.when(ref.startswith("&#"), _character(ref)).otherwise(F.coalesce(every[ref], ref))
 
-def _resolver(found, left: str, put):
     def run(t):
-        return F.when(F.instr(t, left) > 0, F.aggregate(found(t), t, put)).otherwise(t)
+        refs = F.transform(F.regexp_extract_all(t, F.lit(_REFERENCE), F.lit(0)), one)
+        return F.when(F.instr(t, "&") > 0, F.array_join(F.zip_with(F.split(t, _REFERENCE), refs, lambda x, y: F.concat(x, F.coalesce(y, F.lit("")))), "")).otherwise(t)
 
-    return run
+    return _let(text, run)
 
 
 def plain_text(html: Column) -> Column:
@@ -67,15 +87,7 @@ def plain_text(html: Column) -> Column:
     references are resolved, white space is collapsed, empty lines go."""
     t = F.regexp_replace(F.coalesce(html, F.lit("")), _SILENT, "")
     t = F.regexp_replace(F.regexp_replace(t, _BLOCK, "\n"), _TAG, "")
-
-    def resolved(t):
-        rest = t
-        for name, char in NAMED.items():
-            rest = F.replace(rest, F.lit(name), F.lit(char))
-        return F.when(t.rlike(_REFERENCE), _numeric(rest)).otherwise(t)  # most texts hold no other reference than &amp;
-
-    t = _let(t, resolved)
-    t = F.regexp_replace(F.replace(t, F.lit("&amp;"), F.lit("&")), _SPACES, " ")
+    t = F.regexp_replace(_resolved(t), _SPACES, " ")
     t = F.replace(F.regexp_replace(t, "\\n[ \\n]+", "\n"), F.lit(" \n"), F.lit("\n"))
     return F.trim(t, F.lit("\n "))
 
@@ -86,8 +98,9 @@ def title_of(html: Column) -> Column:
 
 
 def links_of(html: Column) -> Column:
-    """Targets of the page's links, in order, as written."""
-    return F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit('(?i)<a\\s[^>]*?href="([^">]*)"'), F.lit(1))
+    """Targets of the page's links, in order, as written: in double, single or no quotes."""
+    found = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(_LINK), F.lit(1))
+    return F.transform(found, lambda x: F.when(x.startswith('"') | x.startswith("'"), F.substr(x, F.lit(2), F.length(x) - 2)).otherwise(x))
 
 
 def _uuid(seed: Column) -> Column:

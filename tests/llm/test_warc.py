@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from foldwise.llm import warc
+from foldwise.llm.warc import links_of, plain_text
 
 
 def pages(spark, rows):
@@ -35,3 +36,28 @@ def test_empty_and_extra_columns(spark):
     assert warc.derivatives(none).collect() == []
     extra = warc.responses(pages(spark, [(1, "u", "<p>x")])).withColumn("block", F.lit("z")).withColumn("warc_type", F.lit("z"))
     assert {r.warc_type for r in warc.derivatives(extra).collect()} == {"metadata", "conversion"}
+
+
+def test_links_in_all_quotes(spark):
+    tags = {"<a href='/x'>": ["/x"], "<a href=/y>": ["/y"], '<A class=c HREF = "/z">': ["/z"], "<a\nhref\n=\n'/w'>": ["/w"], '<a title="href=no" href="/v">': ["/v"],
+            "<a class='a>b' href=/u?a=1&b='2' id=i>": ["/u?a=1&b='2'"], '<a href="">': [""], "<a name=n>href=/no</a>": [], "<abbr href='/no'>": [], "<a data-href='/no'>": [],
+            "<a class=\"c\"href='/t'>": ["/t"], "<a " + "x=1 " * 50_000 + "href=/far>": ["/far"], '<a href="/p><a href="/q">': ["/p><a href="]}
+    got = spark.createDataFrame([(t, i) for i, t in enumerate(tags)], "html string, i long").select("i", links_of(F.col("html")).alias("l")).collect()
+    assert {r.i: r.l for r in got} == dict(enumerate(tags.values()))
+
+
+def test_all_references(spark):
+    texts = {"&eacute;&uuml;&szlig;&euro;&rsquo;&ldquo;": "éüß€’“", "&#128512; &#x1F600; &#0000039; &#X41;": "😀 😀 ' A", "&amp;lt; &#38;amp; &amp;#65;": "&lt; &amp; &#65;",
+             "&copy 2024 &notit; &NotEqualTilde;": "&copy 2024 &notit; ≂̸", "AT&T &unknown; & &; &#; &#x;": "AT&T &unknown; & &; &#; &#x;", "&#128; &#0; &#xD800; &#99999999999999999999;": "€ � � �",
+             "&quot;a&#39;s&quot;": "\"a's\""}
+    pages = spark.createDataFrame([(i, f"<p>{t}</p>") for i, t in enumerate(texts)], "i long, html string")
+    for r in pages.select("i", plain_text(F.col("html")).alias("p")).collect():
+        assert r.p == list(texts.values())[r.i]
+
+
+def test_every_name_of_the_list(spark):
+    from html.entities import html5
+
+    names = [n for n in html5 if n.endswith(";") and n not in ("Tab;", "NewLine;", "nbsp;", "NonBreakingSpace;")]
+    got = spark.createDataFrame([("<p>|" + "|".join(f"&{n}" for n in names) + "|",)], "html string").select(plain_text(F.col("html")).alias("p")).first().p
+    assert got == "|" + "|".join(html5[n] for n in names) + "|"
