@@ -302,7 +302,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent:
     pairs = pairs.join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("m")).cast("int"))
     sides = pairs.select(F.col("b").alias("content"), "a", "salt", "b").unionAll(
         groups.select(F.col("a").alias("content"), "a", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("salt"), F.lit(None).cast("long").alias("b")))
-    need = ws.keep(sides.join(reps, "content").select(F.col("low").alias("doc_id"), "a", "salt", "b"))
+    need = ws.keep(sides.join(reps, "content").select(F.col("low").alias("doc_id"), "content", "a", "salt", "b"))
     few = need.count() <= MAX_BROADCAST
     rows = _sets(docs, need, n, few).select("a", "salt", "b", "tokens")
 
@@ -331,7 +331,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent:
 
 
 def _sets(docs: DataFrame, need: DataFrame, n: int, few: bool) -> DataFrame:
-    """``need`` with the packed shingle set of each row's doc_id."""
+    """``need`` with the packed shingle set of each row's content, from the texts of its doc_id (rows that share
+    it may have other contents)."""
     ids = need.select("doc_id").distinct()
 
     def sets(batches):
@@ -341,10 +342,11 @@ def _sets(docs: DataFrame, need: DataFrame, n: int, few: bool) -> DataFrame:
                 raw = np.ascontiguousarray(s.token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT]).tobytes()
                 first = (s.first * SENT).tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array([raw[x:y] for x, y in zip(first[:-1], first[1:])], pa.binary())], names=["doc_id", "tokens"])
+                    [batch.column(0).slice(lo, hi - lo), pa.array(s.content), pa.array([raw[x:y] for x, y in zip(first[:-1], first[1:])], pa.binary())],
+                    names=["doc_id", "content", "tokens"])
 
     texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("doc_id", "text")
-    return texts.mapInArrow(sets, "doc_id long, tokens binary").join(F.broadcast(need) if few else need, "doc_id")
+    return texts.mapInArrow(sets, "doc_id long, content long, tokens binary").join(F.broadcast(need) if few else need, ["doc_id", "content"])
 
 
 def _unpacked(raw: np.ndarray) -> np.ndarray:

@@ -64,5 +64,22 @@ def test_edge_cases(spark, docs_of):
     assert got(N.ngram_jaccard(docs_of(rows, extra=("content", "token", "size", "component_id", "label")))) == brute(rows, 5, 80)
 
 
+def test_repeated_ids_with_other_texts(spark, docs_of, monkeypatch):
+    rnd = random.Random(12)
+    rows = []
+    for i in range(40):
+        for side in "ab":  # the two texts of an id have nothing in common, each has near copies under other ids
+            base = [f"{side}{i}w{k}" for k in range(60)]
+            rows.append((i, " ".join(base)))
+            for _ in range(2):
+                near = list(base)
+                near[rnd.randrange(60)] = "x"
+                rows.append((rnd.randrange(40, 50), " ".join(near)))
+    rnd.shuffle(rows)
+    assert got(N.ngram_jaccard(docs_of(rows))) == brute(rows, 5, 80)
+    monkeypatch.setattr(N, "SHORT", 1)  # the long lists' product
+    assert got(N.ngram_jaccard(docs_of(rows))) == brute(rows, 5, 80)
+
+
 def test_empty(spark, docs_of):
     assert got(N.ngram_jaccard(docs_of([]))) == []
