@@ -3,8 +3,9 @@
 Two generative models over hashed n-grams (words and word pairs in ``BUCKETS``
 buckets) are counted: one of the target text, one of all raw text. The logarithm
 of the ratio of a document's probabilities under them is its importance
-weight; adding Gumbel noise and taking the k largest keys draws k documents
-without replacement, in proportion to their weights.
+weight (its mean over the n-grams); Gumbel noise is added and the k largest keys
+are taken without replacement. The noise is divided by the number of n-grams, so long texts
+are in effect cut by their weight and the draw isn't in proportion to the weights.
 
 Counts are summed inside tasks and then by Spark (one row per bucket). The k-th key
 is found by radix selection: four aggregates, each over one more 16-bit digit of the
