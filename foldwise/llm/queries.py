@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foldwise.llm import bpe_trie, hmm_lm, importance, itq_dedup, mixing, ngram_join, pii_offsets, quality_rules, secret_grammar, warc
+from foldwise.llm import bpe_trie, hmm_lm, importance, itq_dedup, mixing, ngram_join, pii_offsets, quality_rules, secret_grammar, segment_resampling, warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_pii_offsets": pii_offsets.op8_pii_offsets,
     "op9_secret_grammar": secret_grammar.op9_secret_grammar,
     "op10_hmm_language_model": hmm_lm.op10_hmm_language_model,
+    "op13_segment_resampling": segment_resampling.op13_segment_resampling,
 }
 
 #: SQL where it can express the operator; the others are tested against brute force
@@ -22,4 +23,5 @@ ORACLE = {
     "op1_ngram_jaccard_join": ngram_join.ORACLE,
     "op2_quality_rules": quality_rules.ORACLE,
     "op3_warc_derivatives": warc.ORACLE,
+    "op13_segment_resampling": segment_resampling.ORACLE,
 }
