@@ -1,15 +1,15 @@
 """Exact k nearest neighbours (C5), kNN vote (M1), bagged kNN (M12) and
 local SVM on the neighbours (M10).
 
-Distributed brute force without pair rows:
-  * queries are cut into Q blocks and data rows into T blocks (by a hash of
-    the id); block size is bounded by ``block_rows``, whatever N is;
-  * every (query block, data block) pair is one cogroup group: the query
-    block is sent to the T data blocks and each data block to the Q query
-    blocks (replication N*T + N*Q rows, never N^2 rows);
+Data of more than one block goes to the pruned join of ``voronoi``. Data that
+fits one block meets every block of queries, without pair rows:
+  * queries are cut into Q blocks by a hash of the id and the data block is
+    sent to each (replication N_data * Q rows, never pairs);
   * inside a group numpy computes the distance matrix and keeps the k best
-    per query (ties: smaller data id first);
-  * when T > 1, one window keeps the k best of the T partial lists.
+    per query (ties: smaller data id first).
+
+A data row with a missing (NULL, NaN, infinite) feature is nobody's neighbour, and a
+query with one has no neighbours: it gets no row here and a NULL prediction below.
 
 Distances are squared Euclidean summed in feature order (the square root
 does not change the order) and rounded to ``DIST_DIGITS`` so that engines
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldwise.operators.voronoi import PrunedJoin
 from foldwise.neighbors_shared import empty_frame, feature_columns, stack_columns
 
 DIST_DIGITS = 9
@@ -94,6 +95,9 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
     nd = nq if data is queries else data.count()
     par = queries.sparkSession.sparkContext.defaultParallelism
     nqb, ntb = _blocks(nq, block_rows, par), _blocks(nd, block_rows)
+    if ntb > 1:
+        return PrunedJoin(queries, data, k, dim=dim, n_data=nd, qid=qid, did=did, features=features, carry=carry, exclude_same=exclude_same,
+                          within=within, block_rows=block_rows, scale_by=scale_by).neighbours()
     xq = [F.col(exclude_same).alias("_x")] if exclude_same else []
     xq += [F.col(within).alias("_w")] if within else [F.lit(0).alias("_w")]
     fcols = [F.col(features)[i].alias(c) for i, c in enumerate(feature_columns(dim))]
@@ -132,9 +136,7 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
                     d2[np.ix_(rq, rd)] = pairwise_sq(_minmax(qx[rq], lo, hi), _minmax(dx[rd], lo, hi))
         else:
             d2 = pairwise_sq(qx, dx)
-        # a missing feature makes every distance unknown: as far as can be, so such a
-        # query still gets k rows (those with the smallest ids)
-        d2 = np.where(np.isnan(d2), np.finfo(np.float64).max, d2)
+        d2 = np.where(np.isnan(d2), np.inf, d2)  # a missing feature
         if has_x and scalers is None:
             same = qp["_x"].to_numpy()[:, None] == dp["_x"].to_numpy()[None, :]
             d2 = np.where(same, np.inf, d2)
@@ -165,10 +167,7 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int, *, qid: str = "row_id"
     part = (q.repartition(npart, *keys).groupBy(*keys)
             .cogroup(d.repartition(npart, *keys).groupBy(*keys))
             .applyInPandas(block, schema))
-    if ntb == 1:
-        return part
-    w = Window.partitionBy(*([within] if within else []), "query_id").orderBy("dist2", "data_id")
-    return (part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+    return part
 
 
 def _minmax(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -195,10 +194,10 @@ def vote(neighbours: DataFrame, label: str = "label", key: str | list[str] = "qu
 def knn_classify(train: DataFrame, test: DataFrame, k: int, *, label: str = "label",
                  features: str = "features", id_col: str = "row_id", exclude_same: str | None = None,
                  block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Predicted label of every test row: ``(row_id, predicted)``."""
+    """Predicted label of every test row: ``(row_id, predicted)``, NULL without a neighbour."""
     nb = knn_join(test, train, k, qid=id_col, did=id_col, features=features, carry=(label,),
                   exclude_same=exclude_same, block_rows=block_rows)
-    return vote(nb, label).withColumnRenamed("query_id", id_col)
+    return test.select(id_col).join(vote(nb, label).withColumnRenamed("query_id", id_col), id_col, "left")
 
 
 def fold_minmax(df: DataFrame, fold: str = "fold", features: str = "features") -> dict:
@@ -238,7 +237,7 @@ def knn_cross_validate_predictions(df: DataFrame, k: int, fold: str = "fold", la
                       exclude_same=fold, block_rows=block_rows, scale_by=scale_by)
     pred = vote(nb, label).withColumnRenamed("query_id", id_col)
     return (df.select(id_col, fold, F.col(label).alias("actual"))
-            .join(pred, id_col))
+            .join(pred, id_col, "left"))
 
 
 def bagging_knn_predictions(train: DataFrame, test: DataFrame, k: int, n_members: int,
@@ -260,7 +259,8 @@ def bagging_knn_predictions(train: DataFrame, test: DataFrame, k: int, n_members
     mv = vote(nbrs, label, ["member", "query_id"]).withColumnRenamed("query_id", id_col)
     cnt = mv.groupBy(id_col, "predicted").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(id_col).orderBy(F.col("_n").desc(), F.col("predicted"))
-    return cnt.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(id_col, "predicted")
+    voted = cnt.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(id_col, "predicted")
+    return test.select(id_col).join(voted, id_col, "left")
 
 
 def local_svm_predictions(train: DataFrame, test: DataFrame, k: int, C: float = 1.0, *,
@@ -290,7 +290,8 @@ def local_svm_predictions(train: DataFrame, test: DataFrame, k: int, C: float =
         p = m.predict(stack_vectors(pdf["_qf"].iloc[:1]))
         return pd.DataFrame({id_col: [qid], "predicted": [p[0]]})
 
-    return g.groupBy("query_id").applyInPandas(fit, f"{id_col} {qtype}, predicted {ltype}")
+    fitted = g.groupBy("query_id").applyInPandas(fit, f"{id_col} {qtype}, predicted {ltype}")
+    return test.select(id_col).join(fitted, id_col, "left")
 
 
 def knn_join_lsh(queries: DataFrame, data: DataFrame, k: int, *, bucket_length: float, threshold: float,

@@ -40,7 +40,7 @@ def evaluate_predictions(pred: DataFrame, classes: list, fold: str = "fold",
 
 def knn_cross_validate(df: DataFrame, k: int, fold: str = "fold", label: str = "label",
                        classes: list | None = None, weighted: bool = True,
-                       scale: str | None = None, lsh: dict | None = None) -> CVResult:
+                       scale: str | None = None, lsh: dict | None = None, block_rows: int | None = None) -> CVResult:
     """V1 for kNN: every fold predicted from the other folds in one pass;
     ``scale='per_fold'`` fits min-max on each fold's training rows."""
     classes = classes if classes is not None else class_list(df, label)
@@ -48,7 +48,7 @@ def knn_cross_validate(df: DataFrame, k: int, fold: str = "fold", label: str = "
     # label join-back; identical subtrees share their exchanges, so it is not
     # materialised (a rewrite of the whole feature table costs more)
     df = df.select("row_id", "features", F.col(label).cast("string").alias(label), fold)
-    pred = knn_cross_validate_predictions(df, k, fold, label, scale=scale, lsh=lsh)
+    pred = knn_cross_validate_predictions(df, k, fold, label, scale=scale, lsh=lsh, **({"block_rows": block_rows} if block_rows else {}))
     return evaluate_predictions(pred, [str(c) for c in classes], fold, weighted)
 
 

@@ -13,7 +13,8 @@ SF = "/root/testdata/sf0.001"
 FAST = ["knn_cv_embeddings", "stratified_kfold", "hold_out3", "grouped_kfold", "batches", "confusion_multiclass",
         "confusion_labels", "fold_summary", "kendall_score", "spearman_score", "mutual_information", "prequential_knn",
         "add_noise", "exact_match", "nemenyi_groups", "cyclical", "one_hot", "missing_profile", "knn_classify",
-        "bagging_knn", "covariance", "tied_ranks", "read_stream_files"]
+        "bagging_knn", "covariance", "tied_ranks", "read_stream_files",
+        "knn_join_pruned_part"]
 
 
 def _norm(v):
