@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from foldwise.catalog import EMB_BASE, EMB_SPLIT_SQL, _emb_split, _knn_cv_fold_scaled_sql, register
 from foldwise.functions.common import rnd, to_features
 from foldwise.functions.prep import minmax_fit
+from foldwise.operators import cascade_svm as CS
 from foldwise.operators import neighbors as NB
 from foldwise.operators import splits as SP
 from foldwise.operators.splits import stratified_kfold
@@ -62,3 +63,42 @@ def q_knn_pruning_report(spark, sf):
     d = SP.hold_out(minmax_fit(d).transform(d), 0.2)
     q, t = d.where("split = 'test'"), d.where("split = 'train'")
     return PrunedJoin(q, t, 5, dim=2, n_data=t.count(), carry=(), block_rows=512).report()
+
+
+# ================================================================ M3-M5: exact kernel SVM
+def _part_bands(spark, sf):
+    """Three classes by part size; features scaled to 0..1."""
+    p = table(spark, sf, "part")
+    d = p.select(F.col("p_partkey").alias("row_id"), to_features("p_size", "p_retailprice").alias("features"),
+                 F.when(F.col("p_size") <= 17, "a").when(F.col("p_size") <= 34, "b").otherwise("c").alias("label"))
+    return minmax_fit(d).transform(d)
+
+
+def _kkt(model, d):
+    k = CS.kkt_report(model, d)
+    names = F.array(*[F.lit(f"{model.classes[i]}-{model.classes[j]}") for i, j in model.machines])
+    return k.select(F.element_at(names, F.col("pair") + 1).alias("classes"), "n_rows", F.col("violations"), F.round("balance", 3).alias("balance"))
+
+
+BANDS_SQL = """WITH n AS (SELECT CASE WHEN p_size <= 17 THEN 'a' WHEN p_size <= 34 THEN 'b' ELSE 'c' END AS c, count(*) AS n FROM part GROUP BY ALL)
+SELECT x.c || '-' || y.c AS classes, x.n + y.n AS n_rows, CAST(0 AS BIGINT) AS violations, 0.0::DOUBLE AS balance FROM n x JOIN n y ON x.c < y.c"""
+
+
+@register("svm_cascade_rbf", BANDS_SQL)
+def q_svm_cascade_rbf(spark, sf):
+    """M3 exact, rbf, one machine per pair: the optimality conditions hold on every row of each pair."""
+    d = _part_bands(spark, sf)
+    return _kkt(CS.cascade_svm(d, "rbf", 10.0, 4.0), d)
+
+
+@register("svm_cascade_linear", BANDS_SQL)
+def q_svm_cascade_linear(spark, sf):
+    d = _part_bands(spark, sf)
+    return _kkt(CS.cascade_svm(d, "linear", 10.0), d)
+
+
+@register("svm_cascade_incremental")
+def q_svm_cascade_incremental(spark, sf):
+    """M5 with M4's split: support rows of every step, carried over and new."""
+    d = _part_bands(spark, sf).withColumn("batch", F.pmod(F.xxhash64("row_id"), F.lit(4)))
+    return CS.cascade_incremental(d, "rbf", 10.0, 4.0, classes=["a", "b", "c"])[2]

@@ -14,7 +14,7 @@ FAST = ["knn_cv_embeddings", "stratified_kfold", "hold_out3", "grouped_kfold", "
         "confusion_labels", "fold_summary", "kendall_score", "spearman_score", "mutual_information", "prequential_knn",
         "add_noise", "exact_match", "nemenyi_groups", "cyclical", "one_hot", "missing_profile", "knn_classify",
         "bagging_knn", "covariance", "tied_ranks", "read_stream_files",
-        "knn_join_pruned_part"]
+        "knn_join_pruned_part", "svm_cascade_rbf"]
 
 
 def _norm(v):
