@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
-from foldwise.catalog import EMB_BASE, EMB_SPLIT_SQL, _emb_split, _knn_cv_fold_scaled_sql, register
-from foldwise.functions.common import rnd, to_features
+from foldwise.catalog import EMB_BASE, EMB_SPLIT_SQL, STREAM_SQL, _emb_split, _knn_cv_fold_scaled_sql, _stream_table, register
+from foldwise.functions.common import rnd, to_features, ts_micros
 from foldwise.functions.prep import minmax_fit
 from foldwise.operators import cascade_svm as CS
 from foldwise.operators import neighbors as NB
@@ -102,3 +105,76 @@ def q_svm_cascade_incremental(spark, sf):
     """M5 with M4's split: support rows of every step, carried over and new."""
     d = _part_bands(spark, sf).withColumn("batch", F.pmod(F.xxhash64("row_id"), F.lit(4)))
     return CS.cascade_incremental(d, "rbf", 10.0, 4.0, classes=["a", "b", "c"])[2]
+
+
+# ================================================================ W2, W3, W5: keyed streams
+STREAMS, SWIN, SBAT, SK = 4, 200, 100, 5
+
+
+def _streams_source(spark, sf):
+    """The events as four streams by user, every stream numbered by (ts, event_id), written as files of mixed streams."""
+    from foldwise.operators.sequence import dense_seq
+    from foldwise.sources.files import scratch_path
+
+    t = _stream_table(spark, sf).join(table(spark, sf, "events").select("event_id", F.pmod("user_id", F.lit(STREAMS)).cast("string").alias("stream")), "event_id")
+    t = dense_seq(t, [F.col("seq")], numeric_key="seq", group_cols=("stream",), name="pos", total="total")
+    base = scratch_path(spark, f"streams-{uuid.uuid4().hex[:12]}")
+    src = os.path.join(base, "src")
+    rows = t.select("stream", F.col("pos").cast("long").alias("seq"), "features", "label", F.col("total").cast("long").alias("total"))
+    rows.repartition(6, F.xxhash64("stream", "seq")).write.parquet(src)  # rows of all streams in every file, out of order
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(src), base
+
+
+@register("prequential_knn_streams", STREAM_SQL + f""",
+ks AS (SELECT f.*, CAST(e.user_id % {STREAMS} AS VARCHAR) AS stream, row_number() OVER (PARTITION BY e.user_id % {STREAMS} ORDER BY f.seq) - 1 AS pos
+  FROM feat f JOIN events e ON e.event_id = f.event_id),
+qb AS (SELECT *, (pos - {SWIN}) // {SBAT} AS batch FROM ks WHERE pos >= {SWIN}),
+pr AS (SELECT q.stream, q.pos AS qid, q.batch, q.label AS actual, m.pos AS did, m.label AS ml,
+  round((q.f1 - m.f1) * (q.f1 - m.f1) + (q.f2 - m.f2) * (q.f2 - m.f2) + (q.f3 - m.f3) * (q.f3 - m.f3), 9) AS d2
+  FROM qb q JOIN ks m ON m.stream = q.stream AND m.pos >= q.batch * {SBAT} AND m.pos < q.batch * {SBAT} + {SWIN}),
+rk AS (SELECT *, row_number() OVER (PARTITION BY stream, qid ORDER BY d2, did) AS rk FROM pr),
+v AS (SELECT stream, qid, batch, actual, ml, count(*) AS votes, max(rk) AS last FROM rk WHERE rk <= {SK} GROUP BY ALL),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stream, qid ORDER BY votes DESC, last) AS r1 FROM v) WHERE r1 = 1)
+SELECT stream, CAST(batch AS BIGINT) AS batch, count(*) AS n, CAST(sum(CASE WHEN ml = actual THEN 1 ELSE 0 END) AS BIGINT) AS n_right FROM p GROUP BY ALL""")
+def q_prequential_knn_streams(spark, sf):
+    """W2 and W3 for several streams at once, memories in the state store."""
+    from foldwise.streaming import keyed as K
+
+    source, base = _streams_source(spark, sf)
+    r = K.run_streams(spark, source, K.KnnStream(SWIN, SBAT, SK), os.path.join(base, "out"), os.path.join(base, "ck"))
+    return r.select("stream", "batch", "n", "n_right")
+
+
+@register("prequential_isvm_streams")
+def q_prequential_isvm_streams(spark, sf):
+    """W5 for several streams at once, support rows and ages in the state store."""
+    from foldwise.streaming import keyed as K
+
+    source, base = _streams_source(spark, sf)
+    r = K.run_streams(spark, source, K.SvmStream(SWIN, SBAT), os.path.join(base, "out"), os.path.join(base, "ck"))
+    return r.select("stream", "batch", "n", "n_right", rnd("accuracy").alias("accuracy"))
+
+
+@register("stream_guard", """WITH e AS (SELECT event_id, epoch_us(ts) AS t FROM events),
+s AS (SELECT event_id, t, ntile(3) OVER (ORDER BY t, event_id) AS part FROM e),
+m AS (SELECT part, max(t) AS top FROM s GROUP BY part)
+SELECT CAST(count(*) AS BIGINT) AS n_accepted, CAST((SELECT count(*) FROM s WHERE part = 1) AS BIGINT) AS n_again FROM s""")
+def q_stream_guard(spark, sf):
+    """The guard over the events in three parts by time, the first part sent once more at the end: its rows are all late
+    or repeated, none is accepted twice and none is lost."""
+    from foldwise.sources.files import scratch_path
+    from foldwise.streaming import guard as G
+    from foldwise.operators.sequence import dense_seq
+
+    base = scratch_path(spark, f"guard-{uuid.uuid4().hex[:12]}")
+    src = os.path.join(base, "src")
+    ev = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts")).withColumn("k", ts_micros("ts"))
+    ev = dense_seq(ev, [F.col("k"), F.col("event_id")], numeric_key="k", name="pos", total="n").drop("k")
+    # the sizes of ntile(3): the first files hold one row more
+    big, size = F.col("n") % 3, F.floor(F.col("n") / 3)
+    part = F.when(F.col("pos") < big * (size + 1), F.floor(F.col("pos") / (size + 1))).otherwise(F.floor((F.col("pos") - big) / F.greatest(size, F.lit(1))))
+    ev = ev.select("event_id", "ts", part.cast("int").alias("part"))
+    for p in (0, 1, 2, 0):  # one micro-batch each
+        ev.where(F.col("part") == p).select("event_id", "ts").write.mode("append").parquet(src)
+        _, counts = G.run_guard(spark, spark.readStream.schema("event_id long, ts timestamp").parquet(src), os.path.join(base, "g"), "ts", "event_id", 86400.0)
+    return counts.agg(F.sum("n_accepted").alias("n_accepted"), F.sum(F.col("n_repeated") + F.col("n_late")).alias("n_again"))
