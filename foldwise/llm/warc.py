@@ -94,7 +94,7 @@ def plain_text(html: Column) -> Column:
 
 def title_of(html: Column) -> Column:
     t = F.regexp_extract(F.coalesce(html, F.lit("")), "(?is)<title(?:\\s[^>]*)?>(.*?)</title\\s*>", 1)
-    return F.trim(F.regexp_replace(F.replace(t, F.lit("&amp;"), F.lit("&")), "\\s+", " "))
+    return F.trim(F.regexp_replace(_resolved(t), "\\s+", " "))
 
 
 def links_of(html: Column) -> Column:
@@ -115,10 +115,11 @@ def _digest(block: Column) -> Column:
 
 def responses(pages: DataFrame, date: str = DATE, http: str = HTTP) -> DataFrame:
     """Response records of a table of pages (page_id, url, html). A null html is an
-    empty payload, a null url an empty target."""
+    empty payload, a null url an empty target. The record id is made from page_id, url and payload, so
+    captures of one url with different payloads have ids of their own; equal rows are one record, repeated."""
     url = F.coalesce(F.col("url"), F.lit(""))
-    seed = F.concat_ws("|", F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), url)
     html = F.coalesce(F.col("html"), F.lit(""))
+    seed = F.concat_ws("|", F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), url, _digest(html))
     return pages.select("page_id", _uuid(seed).alias("record_id"), url.alias("target_uri"), F.lit(date).alias("date"), F.lit(http).alias("http"),
                         html.alias("payload"), _digest(html).alias("payload_digest"))
 
@@ -158,6 +159,17 @@ def derivatives(records: DataFrame, date: str = DATE, carry: tuple[str, ...] = (
     return out.select(*carry, "warc_type", "record_id", "refers_to", "target_uri", "source_payload_digest", "block", "block_digest", "content_length", record.alias("record"))
 
 
+def response_records(records: DataFrame) -> DataFrame:
+    """``record``: the response records themselves (record_id, target_uri, date, http, payload, payload_digest) for ``write_warc``.
+    Nulls as in ``derivatives``."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    block = F.concat(blank("http"), F.lit("\r\n\r\n"), blank("payload"))
+    head = [("WARC-Type", F.lit("response")), ("WARC-Record-ID", blank("record_id")), ("WARC-Date", blank("date")), ("WARC-Target-URI", blank("target_uri")),
+            ("WARC-Payload-Digest", F.coalesce(F.col("payload_digest"), _digest(blank("payload")))), ("Content-Type", F.lit("application/http; msgtype=response")),
+            ("Content-Length", F.octet_length(block).cast("string"))]
+    return records.select(F.concat(F.lit("WARC/1.1\r\n"), *[F.concat(F.lit(f"{k}: "), v, F.lit("\r\n")) for k, v in head], F.lit("\r\n"), block).alias("record"))
+
+
 def write_warc(records: DataFrame, path: str, per_file: int = 100_000) -> None:
     """Write ``record`` as WARC files of at most ``per_file`` records each."""
     records.select("record").write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", per_file).text(path)
@@ -165,7 +177,8 @@ def write_warc(records: DataFrame, path: str, per_file: int = 100_000) -> None:
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """(headers, block) of every record of the WARC files under ``path``. A file
-    is read by one task, as big as ``write_warc`` left it."""
+    is read by one task, as big as ``write_warc`` left it; an empty file has no records. Of a header that is
+    repeated the last one is kept; names are as written."""
 
     def parse(batches):
         for batch in batches:
@@ -173,9 +186,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 heads, blocks, at = [], [], 0
                 while at < len(raw):
                     cut = raw.index(b"\r\n\r\n", at)
-                    head = [x.split(": ", 1) for x in raw[at:cut].decode("utf-8").split("\r\n")[1:]]
-                    n = int(dict(head)["Content-Length"])
-                    heads.append(head)
+                    head = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in raw[at:cut].decode("utf-8").split("\r\n")[1:])}
+                    n = int(head["Content-Length"])
+                    heads.append(list(head.items()))
                     blocks.append(raw[cut + 4:cut + 4 + n])
                     at = cut + 8 + n
                 yield pa.RecordBatch.from_arrays([pa.array(heads, pa.map_(pa.string(), pa.string())), pa.array(blocks, pa.binary())], names=["headers", "block"])
@@ -183,6 +196,18 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parse, "headers map<string,string>, block binary")
 
 
+def read_responses(spark: SparkSession, path: str) -> DataFrame:
+    """The response records under ``path``, as ``derivatives`` takes them: HTTP head and payload are what stands
+    before and behind the first blank line of the block. Payloads are read as UTF-8."""
+    r = read_warc(spark, path).where(F.lower(F.col("headers")["WARC-Type"]) == "response")
+    block, h = F.col("block").cast("string"), F.col("headers")
+    cut = F.instr(block, "\r\n\r\n")
+    http = F.when(cut > 0, F.substr(block, F.lit(1), cut - 1)).otherwise(block)
+    payload = F.when(cut > 0, F.substr(block, cut + 4)).otherwise(F.lit(""))
+    return r.select(h["WARC-Record-ID"].alias("record_id"), h["WARC-Target-URI"].alias("target_uri"), h["WARC-Date"].alias("date"), http.alias("http"),
+                    payload.alias("payload"), h["WARC-Payload-Digest"].alias("payload_digest"))
+
+
 def op3_warc_derivatives(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     made = derivatives(responses(pages), carry=("page_id",))
@@ -196,8 +221,9 @@ def _oracle() -> str:
     for name in SILENT:
         text = rf"regexp_replace({text}, '(?is)<{name}(?:\s[^>]*)?>.*?</{name}\s*>', '', 'g')"
     text = f"regexp_replace(regexp_replace({text}, {q(_BLOCK)}, chr(10), 'g'), {q(_TAG)}, '', 'g')"
+    title = r"regexp_extract(payload, '(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>', 1)"
     for name, char in [*NAMED.items(), ("&amp;", "&")]:
-        text = f"replace({text}, {q(name)}, {q(char)})"
+        text, title = (f"replace({x}, {q(name)}, {q(char)})" for x in (text, title))
     text = rf"trim(regexp_replace(regexp_replace({text}, {q(_SPACE)}, ' ', 'g'), '[\s]*\n[\s]*', chr(10), 'g'), chr(10) || ' ')"
     uuid = lambda s: (f"'<urn:uuid:' || substr(md5({s}), 1, 8) || '-' || substr(md5({s}), 9, 4) || '-' || substr(md5({s}), 13, 4) || '-' || "
                       f"substr(md5({s}), 17, 4) || '-' || substr(md5({s}), 21, 12) || '>'")
@@ -206,9 +232,9 @@ def _oracle() -> str:
     fields = " || ".join([f"{q('source-header: ' + h)} || {crlf}" for h in head])
     return rf"""
 WITH s AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload,
-    {uuid("'response|' || coalesce(page_id::VARCHAR, '') || '|' || coalesce(url, '')")} AS refers_to, 'sha256:' || sha256(coalesce(html, '')) AS source_payload_digest FROM pages),
+    {uuid("'response|' || coalesce(page_id::VARCHAR, '') || '|' || coalesce(url, '') || '|sha256:' || sha256(coalesce(html, ''))")} AS refers_to, 'sha256:' || sha256(coalesce(html, '')) AS source_payload_digest FROM pages),
 l AS (SELECT *, regexp_extract_all(payload, '(?i)<a\s[^>]*?href="([^">]*)"', 1) AS links,
-    trim(regexp_replace(replace(regexp_extract(payload, '(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>', 1), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM s),
+    trim(regexp_replace({title}, '\s+', ' ', 'g')) AS title FROM s),
 d AS (SELECT *, 'metadata' AS warc_type, 'application/warc-fields' AS mime, {fields} || 'source-payload-digest: ' || source_payload_digest || {crlf}
     || 'title: ' || title || {crlf} || 'links: ' || len(links) || {crlf}
     || array_to_string(list_transform(links, lambda x: 'outlink: ' || x || {crlf}), '') AS block FROM l

@@ -31,6 +31,36 @@ def test_round_trip_and_links(spark, tmp_path):
         assert want[h["WARC-Record-ID"], h["WARC-Refers-To"], h["WARC-Block-Digest"]] == bytes(r.block).decode()
 
 
+def test_captures_of_one_url_and_missing_ids(spark):
+    """Different payloads have records of their own; equal rows share theirs."""
+    src = warc.responses(pages(spark, [(1, "u", "<p>a</p>"), (1, "u", "<p>b</p>"), (None, None, "x"), (None, None, "y"), (None, None, "y")]))
+    made = warc.derivatives(src)
+    assert src.select("record_id").distinct().count() == 4
+    assert made.select("record_id").distinct().count() == 8 and made.count() == 10
+    assert made.select("refers_to", "block").where("warc_type = 'conversion'").distinct().count() == 4
+
+
+def test_titles_resolve_as_texts_do(spark):
+    src = warc.responses(pages(spark, [(1, "u", "<title>&quot;A&quot; &amp;amp; &eacute;\n&#39;b&#39;</title>")]))
+    assert "title: \"A\" &amp; é 'b'\r\n" in warc.derivatives(src).where("warc_type = 'metadata'").first().block
+
+
+def test_responses_with_their_headers_round_trip(spark, tmp_path):
+    rows = [("<urn:uuid:1>", "http://a/", "2023-05-06T07:08:09Z", "HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nX-Time: 10:11", "<title>T</title>\r\n\r\n<p>é", None),
+            ("<urn:uuid:2>", "http://b/", "2022-01-01T00:00:00Z", "HTTP/1.0 404 Not Found", "", "sha1:ABC")]
+    src = spark.createDataFrame(rows, "record_id string, target_uri string, date string, http string, payload string, payload_digest string")
+    path = str(tmp_path / "r")
+    warc.write_warc(warc.response_records(src), path, per_file=1)
+    back = {r.record_id: r for r in warc.read_responses(spark, path).collect()}
+    assert [(r.target_uri, r.date, r.http, r.payload) for r in (back["<urn:uuid:1>"], back["<urn:uuid:2>"])] == [r[1:5] for r in rows]
+    assert back["<urn:uuid:2>"].payload_digest == "sha1:ABC"
+    made = warc.derivatives(warc.read_responses(spark, path))
+    meta = made.where("warc_type = 'metadata' and refers_to = '<urn:uuid:1>'").first()
+    assert "source-header: X-Time: 10:11\r\n" in meta.block and "WARC-Refers-To-Date: 2023-05-06T07:08:09Z\r\n" in meta.record
+    assert made.where("refers_to = '<urn:uuid:2>'").first().source_payload_digest == "sha1:ABC"
+    assert warc.read_responses(spark, path).count() == 2
+
+
 def test_empty_and_extra_columns(spark):
     none = warc.responses(pages(spark, []))
     assert warc.derivatives(none).collect() == []
