@@ -19,8 +19,10 @@ columns from the candidate product).
    row meets one leader of its size class in each list, and accepted pairs form components.
 4. *Full product*: the surviving pairs accumulate their overlap over all columns;
    ``100 * overlap >= percent * union`` decides.
-5. Rows of a long list that are still in different components are multiplied in
-   salted pairs of row blocks; a block pair returns links, at most one for each of its rows.
+5. Rows of a long list that are still in different components meet in salted pairs of row blocks of
+   neighbouring size classes, first as sketches: counts of their columns in buckets, whose smaller counts add up to no
+   less than the overlap. Only rows that can reach the threshold with a row of another component there are
+   sent to the block pair as whole sets and multiplied; it returns links, at most one for each of its rows.
 
 A text with fewer words than the n-gram has its whole word sequence as its only
 shingle; a null text or one without words has none and links with nothing.
@@ -51,8 +53,10 @@ BLOCK, COLUMN_BLOCK = 256, 4096
 MAX_BROADCAST = 500_000
 #: columns counted together, and contents remembered, by one task
 HELD, SEEN = 2_000_000, 150_000
-#: bytes of a column number sent to the full product: 40 bits tell the columns of two rows apart
-SENT = 5
+#: bytes of a column number sent to the full product, whole
+SENT = 6
+#: columns a bucket of a row's sketch stands for, and most buckets
+SKETCHED, MAX_BUCKETS = 2, 4096
 
 _U = np.uint64
 _TOKEN_BITS = 47
@@ -330,19 +334,23 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent:
     return ws.keep(rows.mapInArrow(overlap, "a long, b long").distinct())
 
 
-def _sets(docs: DataFrame, need: DataFrame, n: int, few: bool) -> DataFrame:
-    """``need`` with the packed shingle set of each row's content, from the texts of its doc_id (rows that share
-    it may have other contents)."""
+def _sets(docs: DataFrame, need: DataFrame, n: int, few: bool, packed=None) -> DataFrame:
+    """``need`` with the packed shingle set (or what ``packed`` makes of a set) of each row's content, from the texts
+    of its doc_id (rows that share it may have other contents)."""
     ids = need.select("doc_id").distinct()
 
     def sets(batches):
         for batch in batches:
             for lo, hi, w in _pieces(batch, 1):
                 s = Shingled(w, n)
-                raw = np.ascontiguousarray(s.token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT]).tobytes()
-                first = (s.first * SENT).tolist()
+                if packed is None:
+                    raw = np.ascontiguousarray(s.token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT]).tobytes()
+                    first = (s.first * SENT).tolist()
+                    made = [raw[x:y] for x, y in zip(first[:-1], first[1:])]
+                else:
+                    made = [packed(s.token[x:y]) for x, y in zip(s.first[:-1], s.first[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(s.content), pa.array([raw[x:y] for x, y in zip(first[:-1], first[1:])], pa.binary())],
+                    [batch.column(0).slice(lo, hi - lo), pa.array(s.content), pa.array(made, pa.binary())],
                     names=["doc_id", "content", "tokens"])
 
     texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("doc_id", "text")
@@ -410,19 +418,68 @@ def _product(x: list[np.ndarray], y: list[np.ndarray], skip: np.ndarray, percent
     return alive & (100 * count >= percent * (sx[:, None] + sy[None, :] - count))
 
 
+def _sketch(tokens: np.ndarray) -> bytes:
+    """Columns counted in 2**k buckets, k from the size of the set; a sketch of fewer buckets is a sum of neighbours."""
+    bits = max(5, min(MAX_BUCKETS.bit_length() - 1, (len(tokens) // SKETCHED).bit_length()))
+    count = np.bincount((mix(tokens + _U(0x2545F4914F6CDD1D)) >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(count, 65535).astype("<u2").tobytes()  # sets of so many equal buckets don't occur below 2**28 columns
+
+
+def _folded(sketch: np.ndarray, buckets: int) -> np.ndarray:
+    return sketch.reshape(buckets, -1).sum(1)
+
+
+def _reachable(x: list[np.ndarray], y: list[np.ndarray], skip: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of rows can reach the threshold, from their sketches."""
+    buckets = min(len(t) for t in [*x, *y])
+    a, b = (np.stack([_folded(t.astype(np.int64), buckets) for t in z]).astype(np.int32) for z in (x, y))
+    sa, sb = a.sum(1), b.sum(1)
+    need = -(-percent * (sa[:, None] + sb[None, :]) // (100 + percent))
+    out = ~skip & (np.minimum(sa[:, None], sb[None, :]) >= need)
+    for i in np.flatnonzero(out.any(1)):
+        at = np.flatnonzero(out[i])
+        out[i, at] = np.minimum(a[i], b[at]).sum(1) >= need[i, at]
+    return out
+
+
 def _across(lists: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent: int, ws: Workspace) -> DataFrame:
     """Links between rows of long lists that are in different components so far.
     Lists that share rows form a family; a family's rows meet in salted pairs of
-    row blocks, each of which returns at most one link for each of its rows."""
+    row blocks of one size class or two that touch, each of which returns at most one link for each of its rows."""
     ends = lists.select(F.col("content").alias("a"), F.xxhash64("token").alias("b"))
     family = components(ends, ws).withColumnRenamed("node", "content").withColumnRenamed("component", "family")
-    rows = lists.groupBy("content").agg(F.first("label").alias("label")).join(family, "content").join(reps, "content")
-    blocks = rows.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nb"))
-    need = ws.keep(rows.join(blocks, "family").select(F.col("low").alias("doc_id"), "content", "label", "family", "nb"))
+    # a step of a class is a little more than the ratio of two linked sizes, so these never lie further apart than one class
+    step = float(np.log(100.0 / percent) * (1 + 1e-6))
+    rows = lists.groupBy("content").agg(F.first("label").alias("label"), F.first("size").alias("size")).join(family, "content").join(reps, "content")
+    rows = rows.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / step).cast("long"))
+    blocks = ws.keep(rows.groupBy("family", "class").agg(F.ceil(F.count("*") / BLOCK).alias("nb")))
+    number = lambda c, k: F.shiftleft(c, 32) + k  # noqa: E731  a block's number
+    need = ws.keep(rows.join(blocks, ["family", "class"]).select(
+        F.col("low").alias("doc_id"), "content", "label", "family", "class", number(F.col("class"), F.pmod(F.xxhash64("content"), F.col("nb"))).alias("blk")))
+    few = need.count() <= MAX_BROADCAST
+    sketches = _sets(docs, need, n, few, _sketch)
+    partners = blocks.select("family", F.col("class").alias("near"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("k"))
+    sketches = sketches.withColumn("near", F.explode(F.array(F.col("class") - 1, "class", F.col("class") + 1))).join(partners, ["family", "near"]).withColumn("other", number(F.col("near"), F.col("k")))
+    pair = [F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")]
+
+    def reachable(table: pa.Table) -> pa.Table:
+        content, label, blk = (table[k].to_numpy() for k in ("content", "label", "blk"))
+        family, i, j = (table[k][0].as_py() for k in ("family", "i", "j"))
+        _, pick = np.unique(content, return_index=True)
+        raw = table["tokens"].combine_chunks()
+        sketch = {int(k): np.frombuffer(raw[int(k)].as_buffer(), "<u2") for k in pick}
+        x, y = pick[blk[pick] == i], pick[blk[pick] == j]
+        skip = label[x][:, None] == label[y][None, :]
+        hit = _reachable([sketch[int(k)] for k in x], [sketch[int(k)] for k in y], skip, percent) if len(x) and len(y) else np.zeros((0, 0), bool)
+        if i == j and len(x):
+            np.fill_diagonal(hit, False)
+        got = np.unique(np.concatenate([x[hit.any(1)], y[hit.any(0)]])) if hit.size else np.zeros(0, np.int64)
+        return pa.table({"family": pa.array([family] * len(got), pa.int64()), "content": pa.array(content[got], pa.int64()), "i": pa.array([i] * len(got), pa.int64()), "j": pa.array([j] * len(got), pa.int64())})
+
+    meet = ws.keep(sketches.select("family", *pair, "blk", "content", "label", "tokens").groupBy("family", "i", "j").applyInArrow(reachable, "family long, content long, i long, j long"))
+    need = ws.keep(need.drop("class").join(meet, ["family", "content"]))
     few = need.count() <= MAX_BROADCAST
-    sets = _sets(docs, need, n, few).withColumn("blk", F.pmod(F.xxhash64("content"), F.col("nb")).cast("int"))
-    sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    sets = sets.select("family", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "content", "label", "tokens")
+    sets = _sets(docs, need, n, few).select("family", "i", "j", "blk", "content", "label", "tokens")
 
     def product(table: pa.Table) -> pa.Table:
         content, label, blk = (table[k].to_numpy() for k in ("content", "label", "blk"))
