@@ -36,18 +36,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group. Rows that share a doc_id are one document: the
-    same text stays once. Texts without words and rows without an id that no other row is near to stay."""
-    docs = docs.select(*COLUMNS)
-    groups = ngram_jaccard(docs, n=5, percent=80)
-    gone = groups.where("not (doc_id <=> component_id)").select("doc_id").distinct()
-    n_gone, n_rows, n_ids = gone.count(), *groups.agg(F.count("*"), F.countDistinct("doc_id")).first()
-    kept = docs.join(F.broadcast(gone) if n_gone <= MAX_BROADCAST_IDS else gone, "doc_id", "left_anti")
-    return kept if n_rows == n_ids else kept.dropDuplicates(["doc_id", "text"])
+    """One row of each group: that with the smallest doc_id (null last), then the smallest hash of its columns. Rows are compared
+    by their text alone, so rows that share a doc_id or have none are rows like others. Texts without words have no near duplicates and stay."""
+    ws = Workspace(spark, "near")
+    docs = ws.keep(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()))  # written once: a repeated task can't renumber rows
+    groups = ws.keep(ngram_jaccard(docs.select(F.col("row_key").alias("doc_id"), "text"), n=5, percent=80).select(F.col("doc_id").alias("row_key"), "component_id"))
+    several = groups.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*COLUMNS), "row_key")
+    rows = groups.join(several, "component_id").join(docs.select("row_key", rank.alias("rank")), "row_key")
+    first = rows.groupBy("component_id").agg(F.min("rank").alias("first")).select("component_id", F.col("first.row_key").alias("first"))
+    gone = ws.keep(rows.join(first, "component_id").where("row_key <> first").select("row_key"))
+    return ws.close(docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone, "row_key", "left_anti").select(*COLUMNS))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, secrets in their texts replaced; ``n_chars`` follows a changed text."""
+    """All rows, secrets in their texts replaced; ``n_chars`` follows a changed text. A null text stays null; repeated rows stay."""
     docs = docs.select(*COLUMNS)
     rows = docs.withColumn("found", secret_scan(docs, infer_grammars(docs)))
     hit = F.size("found.cuts") > 0
@@ -56,7 +59,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as the mix takes it (0 to 3 times)."""
+    """Each row as often as the mix takes it (0 to 3 times). Null texts have no words and go; repeated rows are drawn one by one."""
     ws = Workspace(spark, "mixed")
     docs = ws.keep(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()))  # written once: a repeated task can't renumber rows
     copies = mix_sources(docs, row_key="row_key").where("copies > 0").select("row_key", "copies")
@@ -65,7 +68,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids (little-endian uint32) of every row, and digests of the ids and of the decoded text."""
+    """Token ids (little-endian uint32) of every row, and digests of the ids and of the decoded text. A null text has no tokens."""
     rows = encode_documents(docs.select(*COLUMNS), carry=("doc_id", "lang", "source"))
     return rows.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
