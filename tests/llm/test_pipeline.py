@@ -97,7 +97,7 @@ def test_odd_rows(spark, docs_of):
         if name == "quality_rules":
             assert len(got) == 3
         elif name == "ngram_jaccard_join":  # one row of the repeated ones
-            assert Counter(r.doc_id for r in got) == {1: 1, None: 2, 2: 1}
+            assert Counter(r.doc_id for r in got) == {1: 1, None: 1, 2: 1}
         elif name in ("secret_scans", "bpe_encoding"):
             assert len(got) == 5
 
@@ -127,3 +127,16 @@ def test_run_writes_and_rereads(spark, docs_of, tmp_path):
     docs_of(corpus()).write.parquet(str(tmp_path / "documents.parquet"))
     got = P.run(spark, str(tmp_path))
     assert got.count() > 0 and {"doc_id", "n_tokens", "ids"} <= set(got.columns)
+
+
+def test_near_duplicates_lose_no_other_text(spark, docs_of):
+    """Rows with a shared or no doc_id are compared by their texts; of a group the smallest id stays, of equal ids always the same row."""
+    rnd = random.Random(8)
+    text = lambda: " ".join(rnd.choice([f"w{k}" for k in range(500)]) for _ in range(40))
+    a, z, q = text(), text(), text()
+    rows = [(1, a, "s"), (2, a, "s"), (2, z, "s"), (None, a, "t"), (None, q, "s1"), (None, q, "s2"), (5, "", "s"), (6, None, "s"), (None, z + " end", "u")]
+    for order in (rows, rows[::-1]):
+        got = [(r.doc_id, r.text, r.source) for r in P.near_duplicates(spark, docs_of(order), "").collect()]
+        assert {(i, t) for i, t, _ in got} == {(1, a), (2, z), (None, q), (5, ""), (6, None)} and len(got) == 5
+        kept = [s for i, t, s in got if t == q]
+        assert kept == (first := kept if order is rows else first)
