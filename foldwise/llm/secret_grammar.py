@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.textkit import LEAD, buffers, pieces, runs
+from foldwise.llm.textkit import LEAD, buffers, pieces, release, runs
 
 KINDS = ("assign", "access", "hex")
 OTHER = "other"
@@ -234,16 +234,16 @@ def _scan(data: np.ndarray, off: np.ndarray):
     return raw, base, s[long], e[long]
 
 
-def _free(base: dict[int, list], doc: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """Which tokens lie outside all base spans."""
-    ok = np.ones(len(s), bool)
-    for i in np.flatnonzero(np.isin(doc, list(base))) if base else ():
-        ok[i] = all(e[i] <= a or s[i] >= b for _, a, b, _, _ in base[int(doc[i])])
-    return ok
+def _free(base: dict[int, list], s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Which tokens lie outside all base spans: as many spans begin before a token's end as end before its start."""
+    begin = np.sort(np.array([x[1] for spans in base.values() for x in spans], np.int64))
+    end = np.sort(np.array([x[2] for spans in base.values() for x in spans], np.int64))
+    return np.searchsorted(begin, e, "left") == np.searchsorted(end, s, "right")
 
 
 def _formats(docs: DataFrame) -> DataFrame:
     def run(batches):
+        release()  # what the tasks before have left in this worker
         for batch in batches:
             data, off = buffers(batch.column(0))
             for lo, hi in pieces(off):
@@ -253,7 +253,7 @@ def _formats(docs: DataFrame) -> DataFrame:
                 for spans in base.values():
                     for k, _, _, a, b in spans:
                         found[KINDS[k], format_of(raw[a:b])] += 1
-                ok = _free(base, np.searchsorted(o, s, "right") - 1, s, e)
+                ok = _free(base, s, e)
                 for a, b in zip(s[ok].tolist(), e[ok].tolist()):
                     found[OTHER, format_of(raw[a:b])] += 1
                 yield pa.RecordBatch.from_arrays(
@@ -330,7 +330,7 @@ def secret_scan(docs: DataFrame, grammars: dict[str, Automaton | Ordinary], marg
             points = np.zeros(len(d) + 1, np.int64)
             np.cumsum(LEAD[d], out=points[1:])
             doc = np.searchsorted(o, s, "right") - 1
-            ok = _free(base, doc, s, e)
+            ok = _free(base, s, e)
             more: dict[int, list] = defaultdict(list)
             for a, b, i in zip(s[ok].tolist(), e[ok].tolist(), doc[ok].tolist()):
                 f = format_of(raw[a:b])

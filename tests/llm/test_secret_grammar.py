@@ -107,3 +107,21 @@ def test_ordinary_is_a_distribution_of_the_counts():
         ends = 10 ** model.score(start)
         longer = [sum(10 ** model.score(start + a) for a in "dhlHU+/_.=-?")]
         assert 0 < ends + longer[0] <= 1 + 1e-9
+
+
+def test_many_secrets_in_one_text_take_seconds():
+    import time
+
+    import numpy as np
+
+    from foldwise.llm import secret_grammar as sg
+
+    text = "".join(f"key{i:05d}x word token = abc{i:08d}def, " for i in range(50_000)).encode()
+    data, off = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    _, base, s, e = sg._scan(data, off)
+    began = time.time()
+    ok = sg._free(base, s, e)
+    assert time.time() - began < 5 and sum(map(len, base.values())) == 50_000
+    spans = sorted((x[1], x[2]) for x in base[0])
+    for i in np.random.default_rng(1).integers(0, len(s), 300):
+        assert ok[i] == all(e[i] <= a or s[i] >= b for a, b in spans)
