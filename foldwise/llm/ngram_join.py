@@ -295,6 +295,7 @@ def _short_lists(batches, percent: int):
         cols = [np.concatenate([t, batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64)]) for k, t in enumerate(tail)]
         yield from expand(cols, False)
     yield from expand(tail, True)
+    release()
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent: int, ws: Workspace) -> DataFrame:
@@ -328,6 +329,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent:
                     both = int((z[1:] == z[:-1]).sum())
                     ok[i] = 100 * both >= percent * (len(own) + len(t) - both)
             yield pa.RecordBatch.from_arrays([pa.array(key[ok]), pa.array(other[ok])], names=["a", "b"])
+        release()
 
     parts = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
@@ -352,6 +354,7 @@ def _sets(docs: DataFrame, need: DataFrame, n: int, few: bool, packed=None) -> D
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(s.content), pa.array(made, pa.binary())],
                     names=["doc_id", "content", "tokens"])
+        release()
 
     texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("doc_id", "text")
     return texts.mapInArrow(sets, "doc_id long, content long, tokens binary").join(F.broadcast(need) if few else need, ["doc_id", "content"])
