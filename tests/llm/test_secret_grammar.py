@@ -116,7 +116,7 @@ def test_many_secrets_in_one_text_take_seconds():
 
     from foldwise.llm import secret_grammar as sg
 
-    text = "".join(f"key{i:05d}x word token = abc{i:08d}def, " for i in range(50_000)).encode()
+    text = "".join(f"zz{i:016d}q word token = abz{i:016d}xyz, " for i in range(50_000)).encode()
     data, off = np.frombuffer(text, np.uint8), np.array([0, len(text)])
     _, base, s, e = sg._scan(data, off)
     began = time.time()
