@@ -52,7 +52,9 @@ def _power_tables(n: int) -> list[np.ndarray]:
 
 def release() -> None:
     """Give freed memory back to the system: a Python worker outlives its task
-    and would keep it beside the next one's."""
+    and would keep it beside the next one's. Power tables that a long text has made go, too."""
+    if len(_POW[0]) > 1 << 12:
+        _POW[:] = [_powers(_R, 1 << 12), _powers(_RINV, 1 << 12)]
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
