@@ -27,10 +27,17 @@ from foldwise.llm.work import Workspace
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: most ids (8 bytes each) that are broadcast; above it they are joined by a shuffle
 MAX_BROADCAST_IDS = 1_000_000
+#: rows of an Arrow batch: Spark's 10 000 whole texts are tens of MB in the executor and once more in its Python worker
+BATCH_ROWS = 1000
+
+
+def _bounded_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the rules keep. A null or empty text is rejected."""
+    _bounded_batches(spark)
     rows = docs.select(*COLUMNS).withColumn("verdict", quality_rules(F.col("text")))
     return rows.where("verdict.kept").select(*COLUMNS)
 
@@ -38,6 +45,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group: that with the smallest doc_id (null last), then the smallest hash of its columns. Rows are compared
     by their text alone, so rows that share a doc_id or have none are rows like others. Texts without words have no near duplicates and stay."""
+    _bounded_batches(spark)
     ws = Workspace(spark, "near")
     docs = ws.keep(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()))  # written once: a repeated task can't renumber rows
     groups = ws.keep(ngram_jaccard(docs.select(F.col("row_key").alias("doc_id"), "text"), n=5, percent=80).select(F.col("doc_id").alias("row_key"), "component_id"))
@@ -51,6 +59,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, secrets in their texts replaced; ``n_chars`` follows a changed text. A null text stays null; repeated rows stay."""
+    _bounded_batches(spark)
     docs = docs.select(*COLUMNS)
     rows = docs.withColumn("found", secret_scan(docs, infer_grammars(docs)))
     hit = F.size("found.cuts") > 0
@@ -60,6 +69,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it (0 to 3 times). Null texts have no words and go; repeated rows are drawn one by one."""
+    _bounded_batches(spark)
     ws = Workspace(spark, "mixed")
     docs = ws.keep(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()))  # written once: a repeated task can't renumber rows
     copies = mix_sources(docs, row_key="row_key").where("copies > 0").select("row_key", "copies")
@@ -69,6 +79,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian uint32) of every row, and digests of the ids and of the decoded text. A null text has no tokens."""
+    _bounded_batches(spark)
     rows = encode_documents(docs.select(*COLUMNS), carry=("doc_id", "lang", "source"))
     return rows.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
