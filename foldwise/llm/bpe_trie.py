@@ -33,7 +33,7 @@ from foldwise.llm.textkit import Words, buffers, pieces, release
 MAX_WORDS = 200_000
 MAX_PAIRS = 300_000
 #: bytes of text whose new words are walked together
-TOGETHER = 6 << 20
+TOGETHER = 2 << 20
 _NEVER = 1 << 60
 
 
