@@ -3,9 +3,9 @@
 Two generative models over hashed n-grams (words and word pairs in ``BUCKETS``
 buckets) are counted: one of the target text, one of all raw text. The logarithm
 of the ratio of a document's probabilities under them is its importance
-weight (its mean over the n-grams); Gumbel noise is added and the k largest keys
-are taken without replacement. The noise is divided by the number of n-grams, so long texts
-are in effect cut by their weight and the draw isn't in proportion to the weights.
+weight, taken for a passage of ``PASSAGE`` of its n-grams (that many times the mean over
+all of them), so that long texts aren't preferred. Gumbel noise is added to it unscaled and the k
+largest keys are taken: a draw without replacement in proportion to the weights.
 
 Counts are summed inside tasks and then by Spark (one row per bucket). The k-th key
 is found by radix selection: four aggregates, each over one more 16-bit digit of the
@@ -24,6 +24,8 @@ from foldwise.llm.work import Workspace
 
 BUCKETS = 1 << 16
 SMOOTH = 1.0
+#: n-grams of the passage whose importance weight a text gets, the same for all texts
+PASSAGE = 200
 #: most labelled target rows (chosen by hash) that the target model is fitted on; their ids are broadcast
 MAX_TARGET = 200_000
 
@@ -59,8 +61,8 @@ def importance_resample(docs: DataFrame, labels: DataFrame, *, share: float | No
     target rows (quality 1 and not toxic) among the labelled ones. A row without
     n-grams (null or empty text) has weight null and isn't kept.
 
-    The weight is a mean over the n-grams, so that long texts aren't preferred;
-    noise is scaled by the number of n-grams accordingly. Rows with a null doc_id are weighed like others;
+    The key is ``PASSAGE`` times log_weight plus Gumbel noise, so of two texts the one is drawn first with odds
+    of exp(``PASSAGE`` times the difference). Rows with a null doc_id are weighed like others;
     draws depend on doc_id and ``seed`` alone; equal keys are decided by doc_id.
     Without target rows all weights are 0. An empty table gives an empty result.
     """
@@ -95,10 +97,10 @@ def importance_resample(docs: DataFrame, labels: DataFrame, *, share: float | No
 
     rows = docs.select("doc_id", F.arrow_udf(weigh, "struct<n_grams: bigint, log_weight: double>")(F.col("text")).alias("r")).select("doc_id", "r.*")
     u = (F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
-    gumbel = -F.log(-F.log(u)) / F.col("n_grams")
-    rows = rows.withColumn("key", F.when(F.col("n_grams") > 0, F.col("log_weight") + gumbel))
-    # keys lie far inside +-64; as a fixed-point number they keep 56 bits and their order
-    fixed = F.floor((F.greatest(F.least("key", F.lit(63.0)), F.lit(-63.0)) + 64) * F.lit(float(1 << 49))).cast("long")
+    gumbel = -F.log(-F.log(u))
+    rows = rows.withColumn("key", F.when(F.col("n_grams") > 0, F.lit(float(PASSAGE)) * F.col("log_weight") + gumbel))
+    # keys lie far inside +-2**14 (a log ratio is below 50, the noise below 37); as a fixed-point number they keep 57 bits and their order
+    fixed = F.floor((F.col("key") + (1 << 14)) * F.lit(float(1 << 42))).cast("long")
     rows = ws.keep(rows.withColumn("digits", F.when(F.col("key").isNotNull(), fixed)))
     n = rows.count()
     want = min(int(round(share * n)), rows.where("key is not null").count())
