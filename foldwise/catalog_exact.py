@@ -7,11 +7,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from foldwise.catalog import EMB_BASE, EMB_SPLIT_SQL, STREAM_SQL, _emb_split, _knn_cv_fold_scaled_sql, _stream_table, register
+from foldwise.catalog import EMB_BASE, EMB_SPLIT_SQL, LI_LONG_SQL, ORACLE, STREAM_SQL, _emb_split, _knn_cv_fold_scaled_sql, _stream_table, register
 from foldwise.functions.common import rnd, to_features, ts_micros
 from foldwise.functions.prep import minmax_fit
 from foldwise.operators import cascade_svm as CS
 from foldwise.operators import neighbors as NB
+from foldwise.operators import scoring as G
 from foldwise.operators import splits as SP
 from foldwise.operators.splits import stratified_kfold
 from foldwise.operators.voronoi import PrunedJoin
@@ -163,7 +164,7 @@ def q_stream_guard(spark, sf):
     """The guard over the events in three parts by time, the first part sent once more at the end: its rows are all late
     or repeated, none is accepted twice and none is lost."""
     from foldwise.sources.files import scratch_path
-    from foldwise.streaming import guard as G
+    from foldwise.streaming import guard as GU
     from foldwise.operators.sequence import dense_seq
 
     base = scratch_path(spark, f"guard-{uuid.uuid4().hex[:12]}")
@@ -176,5 +177,71 @@ def q_stream_guard(spark, sf):
     ev = ev.select("event_id", "ts", part.cast("int").alias("part"))
     for p in (0, 1, 2, 0):  # one micro-batch each
         ev.where(F.col("part") == p).select("event_id", "ts").write.mode("append").parquet(src)
-        _, counts = G.run_guard(spark, spark.readStream.schema("event_id long, ts timestamp").parquet(src), os.path.join(base, "g"), "ts", "event_id", 86400.0)
+        _, counts = GU.run_guard(spark, spark.readStream.schema("event_id long, ts timestamp").parquet(src), os.path.join(base, "g"), "ts", "event_id", 86400.0)
     return counts.agg(F.sum("n_accepted").alias("n_accepted"), F.sum(F.col("n_repeated") + F.col("n_late")).alias("n_again"))
+
+
+# ================================================================ G1-G4 with missing values, average ranks
+LI_MISSING_SQL = """li AS (SELECT CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 WHEN 'R' THEN 3 END AS cls, l_orderkey * 8 + l_linenumber AS row_id,
+  CASE WHEN (l_orderkey + l_linenumber) % 7 = 0 THEN NULL ELSE l_quantity END AS l_quantity, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_extendedprice END AS l_extendedprice,
+  CASE WHEN l_linestatus = 'O' AND l_discount < 0.03 THEN NULL ELSE l_discount END AS l_discount, l_tax FROM lineitem),
+lg AS (SELECT * FROM (SELECT row_id, cls, 'l_quantity' AS feature, l_quantity AS x FROM li UNION ALL SELECT row_id, cls, 'l_extendedprice', l_extendedprice FROM li
+  UNION ALL SELECT row_id, cls, 'l_discount', l_discount FROM li UNION ALL SELECT row_id, cls, 'l_tax', l_tax FROM li) WHERE x IS NOT NULL)"""
+
+
+def _lineitem_missing(spark, sf):
+    li = table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"), F.col("l_returnflag").alias("label"),
+        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 7 != 0, F.col("l_quantity")).alias("l_quantity"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice")).alias("l_extendedprice"),
+        F.when(~((F.col("l_linestatus") == "O") & (F.col("l_discount") < 0.03)), F.col("l_discount")).alias("l_discount"), "l_tax")
+    return G.to_long(li, dt.LINEITEM_FEATURES, "label", id_col="row_id")
+
+
+def _missing_twin(name: str) -> str:
+    """The twin of a score over all rows, with its rows taken from the table with missing values."""
+    sql = ORACLE[name]
+    if LI_LONG_SQL not in sql:
+        raise ValueError(name)
+    return sql.replace(LI_LONG_SQL, LI_MISSING_SQL)
+
+
+@register("kendall_score_missing", _missing_twin("kendall_score"))
+def q_kendall_missing(spark, sf):
+    return G.kendall_score(_lineitem_missing(spark, sf)).select("feature", rnd("score").alias("score"))
+
+
+@register("anova_score_missing", _missing_twin("anova_score"))
+def q_anova_missing(spark, sf):
+    return G.anova_ratio(_lineitem_missing(spark, sf)).select("feature", rnd("score").alias("score"))
+
+
+@register("pearson_score_missing", _missing_twin("pearson_score"))
+def q_pearson_missing(spark, sf):
+    return G.pearson_score(_lineitem_missing(spark, sf)).select("feature", rnd("score").alias("score"))
+
+
+SPEARMAN_SQL = """SELECT feature, round(CASE WHEN stddev_pop(rx) * stddev_pop(ry) = 0 THEN NULL
+  ELSE covar_pop(rx, ry) / (stddev_pop(rx) * stddev_pop(ry)) END, 6) AS score FROM rk GROUP BY feature"""
+
+
+@register("spearman_score_missing", f"""WITH o AS (SELECT o_orderkey AS row_id, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS cls,
+  CASE WHEN o_custkey % 7 <> 0 THEN o_totalprice END AS price, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey % 20 AS DOUBLE) END AS cust FROM orders),
+lg AS (SELECT * FROM (SELECT row_id, cls, 'price' AS feature, price AS x FROM o UNION ALL SELECT row_id, cls, 'cust', cust FROM o) WHERE x IS NOT NULL),
+rk AS (SELECT feature, CAST(row_number() OVER (PARTITION BY feature ORDER BY x, row_id) AS DOUBLE) AS rx,
+  CAST(row_number() OVER (PARTITION BY feature ORDER BY cls, row_id) AS DOUBLE) AS ry FROM lg)
+{SPEARMAN_SQL}""")
+def q_spearman_missing(spark, sf):
+    """G4, ties by row position: five classes and twenty values of one feature, so most rows tie."""
+    lg = table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS row_id", "CAST(substr(o_orderpriority, 1, 1) AS INT) AS cls",
+        "stack(2, 'price', CASE WHEN o_custkey % 7 <> 0 THEN CAST(o_totalprice AS DOUBLE) END, 'cust', CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey % 20 AS DOUBLE) END) AS (feature, x)")
+    return G.spearman_score(lg).select("feature", rnd("score").alias("score"))
+
+
+@register("spearman_average_ties", f"""WITH {LI_MISSING_SQL},
+rk AS (SELECT feature, rank() OVER (PARTITION BY feature ORDER BY x) + (count(*) OVER (PARTITION BY feature, x) - 1) / 2.0 AS rx,
+  rank() OVER (PARTITION BY feature ORDER BY cls) + (count(*) OVER (PARTITION BY feature, cls) - 1) / 2.0 AS ry FROM lg)
+{SPEARMAN_SQL}""")
+def q_spearman_average(spark, sf):
+    return G.spearman_score(_lineitem_missing(spark, sf), ties="average").select("feature", rnd("score").alias("score"))

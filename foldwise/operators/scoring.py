@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.functions.prep import class_list
-from foldwise.operators.ranking import ordinal_rank, running_sum
+from foldwise.operators.ranking import average_ranks, ordinal_rank, running_sum
 from foldwise.session import cut_lineage
 
 # Keep-rules of the reference's filter experiments.
@@ -51,12 +51,19 @@ def vector_to_long(df: DataFrame, features: str = "features", label: str = "labe
         .select("row_id", "cls", F.concat(F.lit("x"), (F.col("pos") + 1).cast("string")).alias("feature"), "x")
 
 
+def valued(long_df: DataFrame, y: str = "cls") -> DataFrame:
+    """Rows that a score counts: those with a value (neither NULL nor NaN) and a class. Each feature is scored
+    over its own rows; a feature without any has no score row, which ``prune_columns`` treats as not kept."""
+    return long_df.where(F.col("x").isNotNull() & ~F.isnan(F.col("x").cast("double")) & F.col(y).isNotNull())
+
+
 def kendall_score(long_df: DataFrame, max_classes: int = 10_000) -> DataFrame:
     """(concordant - other pairs) / (N^2 / 2) per feature; a pair is
     concordant when x and class order agree strictly, ties count as -1.
     concordant = sum over hi-class rows of the lo-class rows (lo < hi) with a
     strictly smaller value.  One plan column per class: more than
-    ``max_classes`` classes are an error."""
+    ``max_classes`` classes are an error.  Rows without a value or class don't count."""
+    long_df = valued(long_df)
     classes = long_df.select("cls").distinct()
     cls_vals = sorted(r[0] for r in classes.limit(max_classes + 1).collect())
     if len(cls_vals) > max_classes:
@@ -82,11 +89,11 @@ def kendall_score(long_df: DataFrame, max_classes: int = 10_000) -> DataFrame:
 
 def anova_ratio(long_df: DataFrame) -> DataFrame:
     """sum_c n_c (mean_c - mean)^2 / sum_c sum (x - mean_c)^2 (no degrees of
-    freedom); 0/0 -> NULL."""
-    per = long_df.groupBy("feature", "cls").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"),
+    freedom); 0/0 -> NULL.  Rows without a value or class don't count."""
+    per = valued(long_df).groupBy("feature", "cls").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"),
                                                  F.var_pop("x").alias("v"))
     w = Window.partitionBy("feature")  # one row per class: the grand mean needs no second scan
-    j = per.withColumn("mu", F.sum(F.col("n") * F.col("m")).over(w) / F.sum(F.when(F.col("m").isNotNull(), F.col("n"))).over(w))
+    j = per.withColumn("mu", F.sum(F.col("n") * F.col("m")).over(w) / F.sum("n").over(w))
     agg = j.groupBy("feature").agg(F.sum(F.col("n") * (F.col("m") - F.col("mu")) ** 2).alias("ssb"),
                                    F.sum(F.col("n") * F.col("v")).alias("ssw"))
     return agg.select("feature", F.when(F.col("ssw") == 0, F.lit(None).cast("double"))
@@ -94,8 +101,8 @@ def anova_ratio(long_df: DataFrame) -> DataFrame:
 
 
 def pearson_score(long_df: DataFrame, y: str = "cls") -> DataFrame:
-    """r(x, y) per feature; NULL for a constant column."""
-    agg = long_df.groupBy("feature").agg(F.covar_pop("x", F.col(y).cast("double")).alias("c"),
+    """r(x, y) per feature; NULL for a constant column.  Rows without a value or ``y`` don't count."""
+    agg = valued(long_df, y).groupBy("feature").agg(F.covar_pop("x", F.col(y).cast("double")).alias("c"),
                                          F.stddev_pop("x").alias("sx"),
                                          F.stddev_pop(F.col(y).cast("double")).alias("sy"))
     den = F.col("sx") * F.col("sy")
@@ -103,12 +110,29 @@ def pearson_score(long_df: DataFrame, y: str = "cls") -> DataFrame:
                       .otherwise(F.col("c") / den).alias("score"))
 
 
-def spearman_score(long_df: DataFrame) -> DataFrame:
-    """Pearson of ordinal ranks (ties by row position) of x and of the class."""
-    rx = ordinal_rank(long_df, "feature", "x", "row_id", out="rx")
-    ry = ordinal_rank(rx, "feature", "cls", "row_id", out="ry")
-    return pearson_score(ry.select("feature", F.col("rx").cast("double").alias("x"),
-                                   F.col("ry").alias("ry")), y="ry")
+def spearman_score(long_df: DataFrame, ties: str = "order") -> DataFrame:
+    """Pearson of the ranks of x and of the class.  ``ties='order'``: equal values are ranked by row position;
+    ``'average'``: they share their mean rank.  Rows without a value or class don't count."""
+    if ties not in ("order", "average"):
+        raise ValueError("ties must be 'order' or 'average'")
+    long_df = valued(long_df)
+    if ties == "order":
+        rx = ordinal_rank(long_df, "feature", "x", "row_id", out="rx")
+        ry = ordinal_rank(rx, "feature", "cls", "row_id", out="ry")
+        return pearson_score(ry.select("feature", F.col("rx").cast("double").alias("x"),
+                                       F.col("ry").alias("ry")), y="ry")
+    # one row per (feature, value, class): a tie is one row from here on
+    cells = cut_lineage(long_df.groupBy("feature", "x", "cls").agg(F.count(F.lit(1)).alias("n")))
+    rx = average_ranks(cells.groupBy("feature", "x").agg(F.sum("n").alias("n")), "feature", "x", out="rx")
+    by_class = cells.groupBy("feature", "cls").agg(F.sum("n").alias("n"))  # features x classes rows
+    before = Window.partitionBy("feature").orderBy("cls").rowsBetween(Window.unboundedPreceding, -1)
+    ry = by_class.select("feature", "cls", (F.coalesce(F.sum("n").over(before), F.lit(0)) + (F.col("n") + 1) / 2).alias("ry"),
+                         ((F.sum("n").over(Window.partitionBy("feature")) + 1) / 2).alias("mid"))
+    c = cells.join(rx, ["feature", "x"]).join(ry, ["feature", "cls"])
+    dx, dy = F.col("rx") - F.col("mid"), F.col("ry") - F.col("mid")
+    agg = c.groupBy("feature").agg(F.sum(F.col("n") * dx * dy).alias("c"), F.sum(F.col("n") * dx * dx).alias("vx"), F.sum(F.col("n") * dy * dy).alias("vy"))
+    den = F.sqrt("vx") * F.sqrt("vy")
+    return agg.select("feature", F.when(den == 0, F.lit(None).cast("double")).otherwise(F.col("c") / den).alias("score"))
 
 
 def mutual_information(long_df: DataFrame, bins: int = 10) -> DataFrame:
