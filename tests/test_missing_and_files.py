@@ -53,6 +53,8 @@ def test_text_parts_keep_their_order(spark, tmp_path):
     (tmp_path / "y" / "part-9.txt").write_text("UP\n")
     with pytest.raises(Exception, match="number of lines"):
         FS.read_stream_files(spark, str(tmp_path / "x"), str(tmp_path / "y")).collect()
+    with pytest.raises(Exception, match="number of lines"):  # also if the label isn't read
+        FS.read_stream_files(spark, str(tmp_path / "x"), str(tmp_path / "y")).select("seq", "nswprice").count()
 
 
 def test_labelled_numbers_and_keep_existing(spark, tmp_path):
