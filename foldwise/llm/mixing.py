@@ -28,6 +28,8 @@ from foldwise.llm.work import Workspace
 BLOCK = 4096
 #: most sources whose table (about 50 bytes each) is broadcast; above it they are joined
 MAX_BROADCAST_SOURCES = 100_000
+#: equal rows that are written out by one array
+RUN = 1 << 16
 
 
 def pivot(frame: pd.DataFrame, seed: int, final: bool) -> pd.DataFrame:
@@ -114,6 +116,16 @@ def source_targets(rows: DataFrame, ws: Workspace, most: int = 3) -> DataFrame:
     return table.select("sid", "source", "n", "source_size", "weight", target.alias("target"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Equal rows with a running number ``again``: they are counted (combined before the shuffle)
+    and written out again, so the numbers don't depend on how the table is partitioned."""
+    cols = rows.columns
+    counted = rows.groupBy(*cols).agg(F.count("*").alias("n"))
+    counted = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / RUN))))
+    last = F.least(F.col("n") - 1, F.col("run") * RUN + RUN - 1)
+    return counted.withColumn("again", F.explode(F.sequence(F.col("run") * RUN, last))).select(*cols, "again")
+
+
 def mix_sources(docs: DataFrame, *, most: int = 3, seed: int = 20240607, block: int = BLOCK, row_key: str | None = None) -> DataFrame:
     """One row per input row: doc_id, size (words), source_size, target (of its
     source, in words), copies (0 to ``most``) and taken (words the mix takes).
@@ -121,29 +133,32 @@ def mix_sources(docs: DataFrame, *, most: int = 3, seed: int = 20240607, block:
     Uses doc_id, text and source alone. A null text has size 0; a null source is
     a source of its own, the last in order; a text without words is taken
     without words, in the whole part of its source's ratio. Repeated rows are
-    documents of their own. The draws depend on doc_id and ``seed`` alone, so
+    documents of their own, told apart by a running number, so rows that share a doc_id, or have
+    none, are dealt into as many blocks as others. The draws depend on the rows and ``seed`` alone, so
     reruns agree; an empty table gives an empty result.
 
     ``row_key`` names a stored column of unique whole numbers; the result has it
-    as row_key, and it tells rows without a doc_id apart in the draws.
+    as row_key, and it tells equal rows without a doc_id apart in the draws.
     """
     spark = docs.sparkSession
     ws = Workspace(spark, "mixing")
     keys = ["row_key"] if row_key else []
-    rows = ws.keep(docs.select(*[F.col(row_key).cast("long").alias(k) for k in keys], F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")))
+    rows = docs.select(*[F.col(row_key).cast("long").alias(k) for k in keys], F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+                       F.xxhash64(F.col("text").cast("string")).alias("content"), word_count(F.col("text")).alias("size"))
+    rows = ws.keep(rows if keys else _numbered(rows))
     sources = ws.keep(source_targets(rows, ws, most))
     n_sources, most_rows = sources.agg(F.count("*"), F.max("n")).first()
     side = F.broadcast(sources) if n_sources <= MAX_BROADCAST_SOURCES else sources
     rows = rows.join(side.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("source", "s")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = rows.withColumn("whole", F.floor(ratio).cast("long")).withColumn("part", ratio - F.floor(ratio))
-    apart = [F.when(F.col("doc_id").isNull(), F.col(k)) for k in keys]  # a null leaves the hash as it is
-    rows = rows.withColumn("rank", F.xxhash64(F.lit(seed), "doc_id", *apart))
+    apart = [F.when(F.col("doc_id").isNull(), F.col(k)) for k in keys] or [F.col("again")]  # a null leaves the hash as it is
+    rows = rows.withColumn("rank", F.xxhash64(F.lit(seed), "doc_id", "content", *apart))
     open_ = (F.col("part") > 0) & (F.col("size") > 0)
     cols = [*keys, "doc_id", "size", "source_size", "target", "whole", "part", "rank", "sid", "n"]
     settled = rows.where(~open_).select(*cols, F.lit(0).cast("long").alias("up"))
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("long")
-    live = rows.where(open_).select(*cols, F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size", *apart), blocks).alias("blk"))
+    live = rows.where(open_).select(*cols, F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "content", *apart), blocks).alias("blk"))
     count, level = -(-(most_rows or 0) // block), 0
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in live.schema if f.name != "up") + ", up long"
     while True:
@@ -154,8 +169,8 @@ def mix_sources(docs: DataFrame, *, most: int = 3, seed: int = 20240607, block:
             break
         live = done.where("up is null").select(*cols, F.floor(F.col("blk") / F.lit(block)).alias("blk"))
         count, level = -(-count // block), level + 1
-    copies = (F.col("whole") + F.col("up")).alias("copies")
-    return ws.close(settled.select(*keys, "doc_id", "size", "source_size", "target", copies, (F.col("size") * copies).alias("taken")))
+    copies = F.col("whole") + F.col("up")
+    return ws.close(settled.select(*keys, "doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies")))
 
 
 def op7_pivotal_mixing(spark, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ import hashlib
 import re
 import sys
 import unicodedata
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -82,12 +83,14 @@ SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four":
 LOOKALIKE = dict(zip("аеорсухіјѕԁһӏАВЕКМНОРСТХУІЈЅοαινρυΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhlABEKMHOPCTXYIJSoaivpuABEZHIKMNOPTYX")) | {"ı": "i", "İ": "I", "ſ": "s", "\u212a": "K"}
 _MARKS = {"。": ".", "．": ".", "‧": ".", "․": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "﹫": "@"}
 _HIDDEN = "­​‌‍⁠﻿"
-_WORD = "(?:" + "|".join(SPELLED) + ")"
-#: words that are no last label, so that "x at y dot z" is a sentence (fixed values); any other word of two or more letters is one
+_WORD = "(?:(?:double|triple)[ -]{1,3})?(?:" + "|".join(SPELLED) + ")"
+#: common words (fixed values): as the last label of "x at y dot z" they need the end of a line or a sign of punctuation behind them,
+#: or "look at the dot of it" would be an address; any other word of two or more letters needs nothing
 _NO_ENDS = ("of|on|or|an|the|and|to|is|was|were|are|that|this|these|those|there|then|than|with|from|for|by|as|if|but|not|we|he|she|you|they|his|her|their|our|its|"
             "which|when|where|while|who|what|will|would|can|could|has|had|have|do|does|did|into|onto|over|under|so|because|before|after|again|also")
 _SEP = r"[ ,.-]{0,3}(?:dot|point)?[ ,.-]{1,3}"  # between two spelled digits
 _SIDE = r"[ ,.()-]{0,3}(?:(?:dot|point)[ ,.-]{1,3})?"  # between a spelled digit and a digit
+_DOT = " {1,3}(?:dot|punkt|punto) {1,3}"
 _OPEN, _SHUT = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
 
 
@@ -115,26 +118,32 @@ def _passes() -> list[tuple[re.Pattern, object]]:
     word = re.compile(rf"plus|dot|point|{_WORD}|(?<=[a-z])\.(?=[a-z])", re.I)
     side = re.compile(r"dot|point|[.()-]| +", re.I)
 
+    def spoken(w: str) -> str:
+        """Digits of a spelled one, with "double" or "triple" before it."""
+        times = {"d": 2, "t": 3}[w[0]] if w.startswith(("double", "triple")) else 1
+        return SPELLED.get(re.split("[ -]+", w)[-1], "") * times
+
     def digits(m: re.Match) -> list[tuple[str, int, int]] | None:
         """Four and more spelled digits in a row count, fewer if they touch digits or a plus."""
         found = list(word.finditer(m["words"]))
-        few = sum(x.group().lower() in SPELLED for x in found) < 4
+        few = sum(len(spoken(x.group().lower())) for x in found) < 4
         if few and m["left"] is None and m["right"] is None and not m["plus"] and m.string[m.start() - 1:m.start()] != "+":
             return None
         out = []
 
         def beside(name: str) -> None:
             s, at = m[name] or "", m.start(name) - m.start()
-            spoken = re.search("dot|point", s, re.I)
-            for x in [spoken] if spoken else side.finditer(s):
-                out.append(("." if spoken else x.group()[0], at + x.start(), at + x.end()))
+            said = re.search("dot|point", s, re.I)
+            for x in [said] if said else side.finditer(s):
+                out.append(("." if said else x.group()[0], at + x.start(), at + x.end()))
 
         beside("left")
         at = m.start("words") - m.start()
         for x in found:
             w = x.group().lower()
             if w != "." or few:
-                out.append(("+" if w == "plus" else "." if w in ("dot", "point", ".") else SPELLED[w], at + x.start(), at + x.end()))
+                signs = "+" if w == "plus" else "." if w in ("dot", "point", ".") else spoken(w)
+                out.extend((c, at + x.start(), at + x.end()) for c in signs)
         beside("right")
         return out
 
@@ -143,8 +152,8 @@ def _passes() -> list[tuple[re.Pattern, object]]:
         (spelled, digits),
         (re.compile(rf"{_OPEN}(?:at|@){_SHUT}", re.I), "@"),
         (re.compile(rf"{_OPEN}(?:dot|punkt|punto|point|\.){_SHUT}", re.I), "."),
-        (re.compile(rf"(?<=[A-Za-z0-9]) {{1,3}}at {{1,3}}(?=[A-Za-z0-9-]+(?:(?: {{1,3}}dot {{1,3}}|\.)[A-Za-z0-9-]+)*? {{1,3}}dot {{1,3}}(?!(?:{_NO_ENDS})(?![A-Za-z0-9-]))(?:xn--[a-z0-9-]+|[a-z]{{2,}})(?![A-Za-z]))", re.I), "@"),
-        (re.compile(r"(?<=[A-Za-z0-9-]) {1,3}dot {1,3}(?=[A-Za-z0-9-])", re.I), "."),
+        (re.compile(rf"(?<=[A-Za-z0-9]) {{1,3}}at {{1,3}}(?=[A-Za-z0-9-]+(?:(?:{_DOT}|\.)[A-Za-z0-9-]+)*?{_DOT}(?!(?:{_NO_ENDS})(?![A-Za-z0-9-])(?!\s*(?:[\n,;:!?)\].]|$)))(?:xn--[a-z0-9-]+|[a-z]{{2,}})(?![A-Za-z]))", re.I), "@"),
+        (re.compile(rf"(?<=[A-Za-z0-9-]){_DOT}(?=[A-Za-z0-9-])", re.I), "."),
         (re.compile(r"(?<![A-Za-z0-9])(?=[OolI]*[0-9])(?=[0-9]*[OolI])[0-9OolI]+(?![A-Za-z0-9])"),
          lambda m: [({"O": "0", "o": "0", "l": "1", "I": "1"}.get(c, c), i, i + 1) for i, c in enumerate(m.group())]),
     ]
@@ -180,26 +189,34 @@ class Tape:
             self.text, self.start, self.end = "".join(parts), np.concatenate(starts), np.concatenate(ends)
 
 
+def _last(spans: list[tuple[int, int]], before: int) -> tuple[int, int]:
+    """The last of sorted, disjoint spans that starts before a place."""
+    i = bisect_left(spans, (before,))
+    return spans[i - 1] if i else (-1, -1)
+
+
 def hidden_identifiers(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans that only the transduced text shows, in source characters; none
-    overlaps a base span or an earlier one."""
+    """Spans that only the transduced text shows, in source characters. One may hold or cut a base span (the
+    whole identifier of which the base pattern saw a piece), but none lies inside a base span or overlaps an earlier hidden one."""
     tape = Tape(text)
     for pattern, output in _passes():
         tape.run(pattern, output)
     if tape.text == text:
         return []
-    out, taken = [], sorted((a, b) for _, a, b in base)
+    mine: list[list[tuple[int, int]]] = [[] for _ in KINDS]
+    theirs = [sorted((a, b) for j, a, b in base if j == k) for k in range(len(KINDS))]
     for k, a, b in sorted(identifiers(tape.text), key=lambda x: (x[0], x[1])):
         a, b = int(tape.start[a]), int(tape.end[b - 1])
-        if not any(x < b and a < y for x, y in taken):
-            out.append((k, a, b))
-            taken.append((a, b))
-    return out
+        inside = any(b <= _last(x, a + 1)[1] for x in theirs)
+        if not inside and not any(a < _last(x, b)[1] for x in mine):
+            mine[k].append((a, b))
+    return [(k, a, b) for k, x in enumerate(mine) for a, b in x]
 
 
 #: what the transducers' patterns begin with, on lower-cased bytes. What follows the first sign or word is looked at
 #: only, so a match that runs into the next text hides none there
 _GAP = rb"(?:[\s\x1c-\x1f]|\xc2\x85){0,3}"
+_SAID = re.compile(rb" (?:dot|punkt|punto) ")
 _BRACKET = re.compile(rb"[(\[{<](?=" + _GAP + rb"(?:at|@|dot|punkt|punto|point|\.)" + _GAP + rb"[)\]}>])")
 _SPOKEN = re.compile(rf"{_WORD}(?={_SEP}{_WORD}|{_SIDE}[0-9])".encode())
 _BESIDE = re.compile(rf"[0-9](?={_SIDE}{_WORD})|\+(?={_WORD})|plus(?=[ -]{{1,3}}{_WORD})".encode())
@@ -230,13 +247,8 @@ def _suspects(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     next_[:-1] = digit[1:]
     odd[np.searchsorted(off, np.flatnonzero(letter & (before | next_)), "right") - 1] = True
     low = data.tobytes().lower()
-    found = [m.start() for pattern in (_BRACKET, _SPOKEN, _BESIDE) for m in pattern.finditer(low)]
+    found = [m.start() for pattern in (_BRACKET, _SPOKEN, _BESIDE, _SAID) for m in pattern.finditer(low)]
     odd[np.searchsorted(off, found, "right") - 1] = True
-    at = low.find(b" dot ")
-    while at >= 0:
-        d = int(np.searchsorted(off, at, "right")) - 1
-        odd[d] = True
-        at = low.find(b" dot ", int(off[d + 1]))
     return base, odd
 
 
@@ -276,8 +288,9 @@ def personal_data(text: Column) -> Column:
     """Struct of the base counts, ``base_sha256`` and ``spans`` (base and hidden ones as
     ``kind:start:end``, by kind and start; offsets in code points, the end exclusive).
 
-    Base spans always stay; a hidden span never overlaps another one. A null or
-    empty text has no spans.
+    Base spans always stay; a hidden span may hold one, but never lies inside one or overlaps another hidden one. A null or
+    empty text has no spans. A long text is searched whole; repeated rows get equal spans; an empty table gives none. Only the text is
+    read, so other columns may have any names. "x at y.z" without a spoken dot is left alone ("see us at example.com").
     """
     return F.arrow_udf(_scan, SCHEMA)(text.cast("string"))
 

@@ -26,8 +26,8 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 
 FIELDS = [
     ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()),
-    ("n_repeat_words", pa.int64()), ("dup_line_share", pa.float64()), *((f"dup_{n}gram_share", pa.float64()) for n in NGRAM_LIMITS),
-    ("base_failed", pa.bool_()), ("kept", pa.bool_()),
+    ("n_repeat_words", pa.int64()), ("base_failed", pa.bool_()), ("kept", pa.bool_()),
+    ("dup_line_share", pa.float64()), *((f"dup_{n}gram_share", pa.float64()) for n in NGRAM_LIMITS),
 ]
 _SQL = {pa.int64(): "bigint", pa.float64(): "double", pa.bool_(): "boolean"}
 SCHEMA = "struct<" + ", ".join(f"{n}: {_SQL[t]}" for n, t in FIELDS) + ">"
@@ -118,7 +118,8 @@ def quality_rules(text: Column) -> Column:
 
     ``kept`` needs 50 words or more, at most half of the words inside repeated
     3-word windows, and all shares within the limits. A null or empty text has
-    zero figures, fails the base rule and isn't kept.
+    zero figures, fails the base rule and isn't kept. A long text is measured whole;
+    repeated rows get equal figures; an empty table gives none. Only the text is read, so other columns may have any names.
     """
     return F.arrow_udf(_rules, SCHEMA)(text.cast("string"))
 

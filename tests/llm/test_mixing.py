@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from foldwise.llm import mixing
 from foldwise.llm.mixing import mix_sources
 
 
@@ -62,3 +63,20 @@ def test_edge_cases(spark, docs_of):
     assert len(out) == 6 and all(r.taken <= 3 * r.size for r in out) and sum(r.size for r in out) == 20_005
     blank = mix_sources(docs_of([(1, None, None), (2, " ", "a")])).collect()
     assert [(r.size, r.taken, r.target) for r in blank] == [(0, 0, 0.0)] * 2
+
+
+def test_equal_rows_are_many_blocks(spark, docs_of, monkeypatch):
+    """A third of the rows is one row without an id, a third shares an id: both go through many bounded blocks."""
+    monkeypatch.setattr(mixing, "RUN", 7)
+    rows = [(None, "x y z", "a")] * 300 + [(7, "w " * (1 + i % 5), "a") for i in range(300)] + [(10 + i, "v v", "b") for i in range(300)]
+    df = docs_of(rows)
+    out = sorted(map(tuple, mix_sources(df, block=16).collect()), key=str)
+    assert len(out) == 900 and sum(r[1] for r in out) == sum(len(t.split()) for _, t, _ in rows)
+    assert sorted(map(tuple, mix_sources(df.repartition(7), block=16).collect()), key=str) == out
+    for size in {r[2] for r in out}:
+        mine = [r for r in out if r[2] == size]
+        assert abs(sum(r[4] for r in mine) - mine[0][3]) <= 5
+    numbered = mixing._numbered(df.select("doc_id", F.xxhash64("text").alias("content"))).groupBy("doc_id", "content", "again").count()
+    assert numbered.count() == 900 and numbered.agg(F.max("count")).first()[0] == 1
+    blocks = numbered.groupBy(F.pmod(F.xxhash64("doc_id", "content", "again"), F.lit(20))).count().agg(F.max("count")).first()[0]
+    assert blocks < 90  # 45 rows on average
