@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 from foldwise.llm.textkit import Words, buffers, pieces, release
 
 MAX_WORDS = 200_000
-MAX_PAIRS = 300_000
+MAX_PAIRS = 100_000
+#: new words that are walked and encoded together
+WALK = 16_384
 #: bytes of text whose new words are walked together
 TOGETHER = 2 << 20
 _NEVER = 1 << 60
@@ -101,6 +103,12 @@ class Vocabulary:
                     q = self.back[q][x]
                 self.at[q] = t
         self._word_classes()
+        self.rest()
+
+    def rest(self) -> None:
+        """Drop all that was learned from texts or can be built again."""
+        for table in (self.left, self.right, self.whole, self.pairs):
+            table.clear()
         self.forget()
 
     def forget(self) -> None:
@@ -248,8 +256,19 @@ class Vocabulary:
         plain = self.library.normalizer.normalize_str(chunk)
         return [plain[a:b].encode() for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(plain)]
 
-    def learn(self, hashes: list[int], chunks: list[bytes]) -> None:
-        """Encode chunks that aren't known yet."""
+    def learn(self, hashes: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray) -> None:
+        """Encode chunks that aren't known yet, given by their places: ``WALK`` at a time, neighbours in
+        the alphabet together (by their first eight bytes), so memory doesn't follow the number of words of a text."""
+        lead = np.frombuffer(raw + bytes(8), np.uint8)
+        first = np.zeros(len(start), np.uint64)
+        for k in range(8):
+            first = first << np.uint64(8) | np.where(start + k < end, lead[start + k] | 32, 0).astype(np.uint64)
+        order = np.argsort(first, kind="stable")
+        for i in range(0, len(order), WALK):
+            at = order[i:i + WALK]
+            self._learn(hashes[at].tolist(), [raw[x:y] for x, y in zip(start[at].tolist(), end[at].tolist())])
+
+    def _learn(self, hashes: list[int], chunks: list[bytes]) -> None:
         parts: list = []  # a word, or a list of words and special ids
         todo: set[bytes] = set()
         for c in chunks:
@@ -289,17 +308,17 @@ class Vocabulary:
             held = [(a, b, Words(run, some, a, b)) for a, b in pieces(some)]
             hashes = [w.hashes() for _, _, w in held]
             uniq, where, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-            keys = uniq.tolist()
-            if len(self.known) + len(keys) > MAX_WORDS:
+            if len(self.known) + len(uniq) > MAX_WORDS:
                 self.shrink()
-            fresh = [i for i, h in enumerate(keys) if h not in self.known]
-            if fresh:
+            known = self.known
+            fresh = np.flatnonzero(np.fromiter((h not in known for h in uniq.tolist()), bool, len(uniq)))
+            if len(fresh):
                 at = where[fresh]
-                start = np.concatenate([w.start + some[a] for a, _, w in held])[at].tolist()
-                end = np.concatenate([w.end + some[a] for a, _, w in held])[at].tolist()
-                raw = run.tobytes()
-                self.learn([keys[i] for i in fresh], [raw[x:y] for x, y in zip(start, end)])
-            rows = np.array([self.known[h] for h in keys], np.int64)
+                start = np.concatenate([w.start + some[a] for a, _, w in held])[at]
+                end = np.concatenate([w.end + some[a] for a, _, w in held])[at]
+                self.learn(uniq[fresh], run.tobytes(), start, end)
+            known = self.known
+            rows = np.fromiter((known[h] for h in uniq.tolist()), np.int64, len(uniq))
             self.met[rows] += 1
             row = rows[inverse]
             done = 0
@@ -391,8 +410,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, carry: tuple[str,
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(1 + k).slice(lo, hi - lo) for k in range(len(carry))), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
                      pa.array(texts, pa.binary()).cast(pa.string())], names=names)
-        vocabulary.forget()
-        vocabulary.pairs.clear()
+        vocabulary.rest()
         release()
 
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[1:]]
