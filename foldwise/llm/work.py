@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,28 +31,63 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Spark's setting that removes the shuffle files of a query when it ends, instead of when the driver collects garbage
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_parent: ContextVar[str | None] = ContextVar("parent", default=None)
+
+
+def write(df: DataFrame, path: str) -> None:
+    """Write a table as Parquet. It is read from there ever after, so its shuffle files go at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN, None)
+    conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            conf.unset(_CLEAN)
+        else:
+            conf.set(_CLEAN, before)
+
+
+@contextmanager
+def inside(ws: Workspace, name: str):
+    """Workspaces made in the block keep their tables and results in a folder of ``ws``, which goes at the block's end:
+    what is still needed must have been kept by ``ws``."""
+    path = f"{ws.root}/{name}"
+    token = _parent.set(path)
+    try:
+        yield
+    finally:
+        _parent.reset(token)
+        ws.remove(path)
+
+
 class Workspace:
     """Tables of one operator run. ``keep`` writes a table and reads it again;
     ``close`` writes the result and removes all tables kept before."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.root = f"{_parent.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.root}/t{self.n}"
-        df.write.parquet(path)
+        write(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove(self, path: str) -> None:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
     def drop(self) -> None:
         """Remove the kept tables; what reads them must have ended."""
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        self.remove(self.root)
 
     def close(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}-out"
-        df.write.parquet(path)
+        write(df, path)
         self.drop()
         return self.spark.read.schema(df.schema).parquet(path)
