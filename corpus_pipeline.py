@@ -22,7 +22,7 @@ from foldwise.llm.mixing import mix_sources
 from foldwise.llm.ngram_join import ngram_jaccard
 from foldwise.llm.quality_rules import quality_rules
 from foldwise.llm.secret_grammar import infer_grammars, redacted, secret_scan
-from foldwise.llm.work import Workspace
+from foldwise.llm.work import Workspace, inside
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: most ids (8 bytes each) that are broadcast; above it they are joined by a shuffle
@@ -73,7 +73,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "mixed")
     docs = ws.keep(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()))  # written once: a repeated task can't renumber rows
     copies = mix_sources(docs, row_key="row_key").where("copies > 0").select("row_key", "copies")
-    rows = docs.join(copies, "row_key")
+    rows = docs.join(copies.hint("merge"), "row_key")  # both grow with the input: the same join at every size
     return ws.close(rows.withColumn("copy", F.explode(F.expr("array_repeat(0, cast(copies as int))"))).select(*COLUMNS))
 
 
@@ -94,6 +94,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = ws.keep(stage(spark, docs, sf_dir))
+    for name, stage in STAGES[:-1]:
+        with inside(ws, name):
+            docs = ws.keep(stage(spark, docs, sf_dir))
     return ws.close(STAGES[-1][1](spark, docs, sf_dir))
