@@ -14,9 +14,10 @@ from foldwise.operators import cascade_svm as CS
 from foldwise.operators import neighbors as NB
 from foldwise.operators import scoring as G
 from foldwise.operators import splits as SP
+from foldwise.operators import trees as TR
 from foldwise.operators.splits import stratified_kfold
 from foldwise.operators.voronoi import PrunedJoin
-from foldwise.plans.evaluate import knn_cross_validate, rounded_summary
+from foldwise.plans.evaluate import cross_validate, knn_cross_validate, rounded_summary, train_test_eval
 from foldwise.session import table
 from foldwise.sources import driver_tables as dt
 
@@ -245,3 +246,52 @@ rk AS (SELECT feature, rank() OVER (PARTITION BY feature ORDER BY x) + (count(*)
 {SPEARMAN_SQL}""")
 def q_spearman_average(spark, sf):
     return G.spearman_score(_lineitem_missing(spark, sf), ties="average").select("feature", rnd("score").alias("score"))
+
+
+# ================================================================ M2, M13, V4: trees
+def _orders_classes(spark, sf):
+    """Five classes; a continuous feature and one of twenty values, missing in every fifth row."""
+    return table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS row_id", "array(CAST(o_totalprice AS DOUBLE), CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey % 20 AS DOUBLE) END) AS features",
+        "substr(o_orderpriority, 1, 1) AS label")
+
+
+@register("exact_tree_root", """WITH o AS (SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS c, CAST(o_totalprice AS DOUBLE) AS f0,
+  CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey % 20 AS DOUBLE) END AS f1 FROM orders),
+lg AS (SELECT * FROM (SELECT 0 AS f, f0 AS x, c FROM o UNION ALL SELECT 1, f1, c FROM o) WHERE x IS NOT NULL),
+v AS (SELECT f, x, c, count(*) AS n FROM lg GROUP BY ALL),
+g AS (SELECT DISTINCT f, x FROM v), k AS (SELECT DISTINCT c FROM v),
+w AS (SELECT g.f, g.x, k.c, coalesce(v.n, 0) AS n FROM g CROSS JOIN k LEFT JOIN v ON v.f = g.f AND v.x = g.x AND v.c = k.c),
+r AS (SELECT f, x, c, CAST(sum(n) OVER (PARTITION BY f, c ORDER BY x) AS DOUBLE) AS l, CAST(sum(n) OVER (PARTITION BY f, c) AS DOUBLE) AS t FROM w),
+s AS (SELECT f, x, sum(l) AS nl, sum(t) - sum(l) AS nr, sum(l * l) AS ll, sum((t - l) * (t - l)) AS rr, sum(t * t) AS tt, sum(t) AS nt FROM r GROUP BY f, x),
+b AS (SELECT *, round((ll / nl + rr / nr) / nt, 12) AS score, lead(x) OVER (PARTITION BY f ORDER BY x) AS above FROM (SELECT * FROM s WHERE nl > 0)
+), p AS (SELECT * FROM b WHERE nr > 0)
+SELECT f AS feature, round(x, 6) AS value, round(above, 6) AS above, CAST(nl AS BIGINT) AS n_left, CAST(nr AS BIGINT) AS n_right,
+  round(score, 9) AS score, round(tt / (nt * nt), 9) AS base FROM p ORDER BY p.score DESC, f, x LIMIT 1""")
+def q_exact_tree_root(spark, sf):
+    """M2: the root's split over all distinct values."""
+    rows = _orders_classes(spark, sf).select("features", F.lit(1).cast("long").alias("node"), (F.col("label").cast("int") - 1).alias("y"))
+    return TR.split_table(rows, 2, 5).select("feature", rnd("value").alias("value"), rnd("above").alias("above"), "n_left", "n_right", rnd("score", 9).alias("score"), rnd("base", 9).alias("base"))
+
+
+@register("exact_tree_eval")
+def q_exact_tree_eval(spark, sf):
+    d = SP.hold_out(dt.part(spark, sf), 0.2)
+    r = train_test_eval(d.where("split = 'train'"), d.where("split = 'test'"), lambda tr: TR.exact_tree(tr, 2, ["false", "true"]), classes=["false", "true"])
+    return r.select([rnd(c).alias(c) for c in r.columns if c not in ("fold",)])
+
+
+@register("softmax_boosting")
+def q_softmax_boosting(spark, sf):
+    """Ten classes, ten trees a round."""
+    classes = [str(i) for i in range(10)]
+    d = SP.hold_out(dt.embeddings(spark, sf), 0.2)
+    r = train_test_eval(d.where("split = 'train'"), d.where("split = 'test'"), lambda tr: TR.softmax_boosting(tr, 3, 0.3, 3, classes, bins=32), classes=classes)
+    return r.select([rnd(c).alias(c) for c in r.columns if c not in ("fold",)])
+
+
+@register("cv_softmax_boosting")
+def q_cv_softmax_boosting(spark, sf):
+    """V4: boosted trees in the fold loop."""
+    d = SP.stratified_kfold(dt.part(spark, sf), 3)
+    return rounded_summary(cross_validate(d, lambda tr: TR.softmax_boosting(tr, 3, 0.3, 2, ["false", "true"], bins=32), classes=["false", "true"]).summary)
