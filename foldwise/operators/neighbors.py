@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.operators.voronoi import PrunedJoin
+from foldwise.operators.voronoi import PrunedJoin, sound
 from foldwise.neighbors_shared import empty_frame, feature_columns, stack_columns
+from foldwise.session import cut_lineage
 
 DIST_DIGITS = 9
 BLOCK_ROWS = 2048
@@ -303,26 +304,28 @@ def knn_join_lsh(queries: DataFrame, data: DataFrame, k: int, *, bucket_length:
     the k best candidates are kept per query.  Queries left with fewer than
     k candidates are answered by the exact blocked join, so every query gets
     k neighbours.  Same output as :func:`knn_join`; ``exclude_same`` drops
-    candidate pairs with equal values (cross-validation folds)."""
+    candidate pairs with equal values (cross-validation folds).
+
+    The buckets are compared inside the blocks of the pruned join, so a pair is
+    met once whatever number of tables it shares, and no pair rows are made."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-    xc = [F.col(exclude_same).alias("_x")] if exclude_same else []
-    qv = queries.select(F.col(qid).alias("query_id"), array_to_vector(features).alias("_v"), *xc)
-    dv = data.select(F.col(did).alias("data_id"), array_to_vector(features).alias("_v"), *carry, *xc)
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    dim = queries.agg(F.max(F.size(features)).alias("d")).first()["d"] or 0
+    vec = lambda df: df.where(sound(features, dim)).withColumn("_v", array_to_vector(features))
+    dv = vec(data)
+    n_data = dv.count()
+    cols = ["query_id", "rank", "data_id", "dist2", *carry]
+    exact = lambda some: knn_join(some, data, k, qid=qid, did=did, features=features, carry=carry, block_rows=block_rows, exclude_same=exclude_same).select(*cols)
+    if not n_data:
+        return exact(queries)
     model = BucketedRandomProjectionLSH(inputCol="_v", outputCol="_h", bucketLength=bucket_length,
                                         numHashTables=num_tables, seed=seed).fit(dv)
-    pairs = model.approxSimilarityJoin(qv, dv, threshold, distCol="_dist")
-    if exclude_same:
-        pairs = pairs.where(F.col("datasetA._x") != F.col("datasetB._x"))
-    cand = pairs.select(F.col("datasetA.query_id").alias("query_id"), F.col("datasetB.data_id").alias("data_id"),
-                        F.round(F.col("_dist") * F.col("_dist"), DIST_DIGITS).alias("dist2"),
-                        *[F.col(f"datasetB.{c}").alias(c) for c in carry])
-    w = Window.partitionBy("query_id").orderBy("dist2", "data_id")
-    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    full = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k)
-    short = queries.join(full.select(F.col("query_id").alias(qid)), qid, "left_anti")
-    top_full = top.join(full.select("query_id"), "query_id", "left_semi")
-    exact = knn_join(short, data, k, qid=qid, did=did, features=features, carry=carry, block_rows=block_rows,
-                     exclude_same=exclude_same)
-    cols = ["query_id", "rank", "data_id", "dist2", *carry]
-    return top_full.select(*cols).unionByName(exact.select(*cols))
+    keys = F.array(*[vector_to_array(F.col("_h")[t])[0].cast("bigint") for t in range(num_tables)])
+    hashed = lambda df: model.transform(df).withColumn("_keys", keys).drop("_v", "_h")
+    hd = hashed(dv)
+    top = cut_lineage(PrunedJoin(hd if data is queries else hashed(vec(queries)), hd, k, dim=dim, n_data=n_data, qid=qid, did=did, features=features, carry=carry,
+                                 exclude_same=exclude_same, block_rows=block_rows, hashes="_keys").neighbours().where(F.col("dist2") < threshold * threshold))
+    full = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).select("query_id")
+    short = cut_lineage(queries.join(full.select(F.col("query_id").alias(qid)), qid, "left_anti"))
+    top_full = top.join(full, "query_id", "left_semi").select(*cols)
+    return top_full if short.isEmpty() else top_full.unionByName(exact(short))
