@@ -198,7 +198,7 @@ def gradient_boosting(df: DataFrame, rounds: int = 20, eta: float = 0.2, max_dep
     """Boosted trees; GBT is binary in MLlib, so one-vs-rest above 2."""
     classes = classes or class_list(df, label)
     gbt = GBTClassifier(maxIter=rounds, stepSize=eta, maxDepth=max_depth, seed=seed)
-    return _fit(gbt if len(classes) <= 2 else OneVsRest(classifier=gbt), df, classes, label=label)
+    return _fit(gbt if len(classes) <= 2 else OneVsRest(classifier=gbt, parallelism=len(classes)), df, classes, label=label)
 
 
 def mlp_lbfgs(df: DataFrame, topology: list[int], classes: list | None = None, max_iter: int = 100,

@@ -32,6 +32,8 @@ from foldwise.session import cut_lineage
 
 DIST_DIGITS = 9
 BLOCK_ROWS = 2048
+#: queries of one call of the local SVM
+LOCAL_QUERIES = 2000
 
 
 def pairwise_sq(qx: np.ndarray, dx: np.ndarray) -> np.ndarray:
@@ -268,7 +270,8 @@ def local_svm_predictions(train: DataFrame, test: DataFrame, k: int, C: float =
                           label: str = "label", features: str = "features", id_col: str = "row_id",
                           block_rows: int = BLOCK_ROWS) -> DataFrame:
     """K nearest rows of each test row; unanimous -> that class, else a
-    linear SVM fitted on those k rows predicts.  Groups hold k rows."""
+    linear SVM fitted on those k rows predicts.  A group holds the neighbours
+    of about ``LOCAL_QUERIES`` queries, and only mixed ones are fitted."""
     from foldwise.functions.svm import DualSVM
     from foldwise.neighbors_shared import stack_vectors
 
@@ -283,15 +286,24 @@ def local_svm_predictions(train: DataFrame, test: DataFrame, k: int, C: float =
     ltype = train.schema[label].dataType.simpleString()
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        labs = pdf[label].to_numpy()
-        qid = pdf["query_id"].iloc[0]
-        if len(set(labs.tolist())) == 1:
-            return pd.DataFrame({id_col: [qid], "predicted": [labs[0]]})
-        m = DualSVM("linear", C).fit(stack_vectors(pdf["_nf"]), labs)
-        p = m.predict(stack_vectors(pdf["_qf"].iloc[:1]))
-        return pd.DataFrame({id_col: [qid], "predicted": [p[0]]})
-
-    fitted = g.groupBy("query_id").applyInPandas(fit, f"{id_col} {qtype}, predicted {ltype}")
+        code, ids = pd.factorize(pdf["query_id"], use_na_sentinel=False)
+        order = np.argsort(code, kind="stable")
+        labs, nf, qf = (pdf[c].to_numpy()[order] for c in (label, "_nf", "_qf"))
+        lab_code = pd.factorize(labs, use_na_sentinel=False)[0]
+        edge = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(ids)))])
+        out = labs[edge[:-1]].copy()
+        mixed = np.maximum.reduceat(lab_code, edge[:-1]) != np.minimum.reduceat(lab_code, edge[:-1])
+        for i in np.flatnonzero(mixed):
+            own = slice(edge[i], edge[i + 1])
+            m = DualSVM("linear", C).fit(stack_vectors(pd.Series(nf[own])), labs[own])
+            out[i] = m.predict(stack_vectors(pd.Series(qf[edge[i]:edge[i] + 1])))[0]
+        return pd.DataFrame({id_col: ids, "predicted": out})
+
+    groups = max(1, math.ceil(test.count() / LOCAL_QUERIES))
+    few = F.pmod(F.xxhash64("query_id"), F.lit(groups))
+    spark = test.sparkSession
+    n = max(1, min(groups, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))))
+    fitted = g.withColumn("_few", few).repartition(n, "_few").groupBy("_few").applyInPandas(fit, f"{id_col} {qtype}, predicted {ltype}")
     return test.select(id_col).join(fitted, id_col, "left")
 
 

@@ -139,7 +139,7 @@ def mutual_information(long_df: DataFrame, bins: int = 10) -> DataFrame:
     """MI (nats) of the class and the feature cut into ``bins`` equal-width
     bins over [min, max] (max goes to the last bin)."""
     st = long_df.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    j = long_df.join(st, "feature")
+    j = long_df.join(F.broadcast(st), "feature")  # a row a feature: a few features must not be few tasks
     width = F.col("hi") - F.col("lo")
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - F.col("lo")) / width * bins), F.lit(bins - 1))).cast("int")

@@ -33,7 +33,7 @@ def histogram(long_df: DataFrame, bins: int = 20) -> DataFrame:
     """Equal-width bins over [min, max] per feature; the max value goes to
     the last bin (right edge closed)."""
     st = long_df.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    j = long_df.join(st, "feature")
+    j = long_df.join(F.broadcast(st), "feature")  # a row a feature: a few features must not be few tasks
     w = F.col("hi") - F.col("lo")
     b = F.when(w == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - F.col("lo")) / w * bins), F.lit(bins - 1))).cast("bigint")
