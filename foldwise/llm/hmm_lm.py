@@ -10,10 +10,12 @@ has its smoothed relative frequency, so the model is a distribution over all wor
 2. Every text becomes a row of 16-bit classes, once. Words beyond the broadcast
    table (``MAX_COUNTED`` words, a fixed bound) keep their hash and get their
    count by a join.
-3. Baum-Welch: each round runs the scaled forward and backward recursions over
+3. First guess of the states: a mixture of unigram models, fitted by EM over all whole training
+   texts inside tasks, its expected counts summed by Spark.
+4. Baum-Welch: each round runs the scaled forward and backward recursions over
    all whole training texts inside tasks; the expected counts (classes x states) are
    summed by Spark, and only the new parameters, whose size is fixed, pass the driver.
-4. Scores: the scaled forward recursion over every whole text; the product of its
+5. Scores: the scaled forward recursion over every whole text; the product of its
    scale factors is the exact likelihood.
 """
 
@@ -36,8 +38,8 @@ CLASSES = END + 1
 SMOOTH = 0.1
 #: first probability to stay in a state: near 1, so that whole texts tell the states apart in the first rounds
 STAY = 0.99
-#: training texts (chosen by hash) that the first guess of the states is made from, and its rounds and prior tokens
-START_TEXTS, MIXTURE_ROUNDS, MIXTURE_PRIOR = 2000, 25, 100.0
+#: most rounds of the first guess of the states, its prior tokens, and the relative gain below which it has converged
+MIXTURE_ROUNDS, MIXTURE_PRIOR, MIXTURE_GAIN = 25, 100.0, 1e-4
 #: tokens whose forward variables a task holds at once
 HELD = 400_000
 
@@ -199,28 +201,25 @@ class Model:
         self.start, self.move, self.emit = start, move, emit
 
     @classmethod
-    def initial(cls, class_counts: np.ndarray, states: int, seed: int, texts=None) -> "Model":
+    def initial(cls, class_counts: np.ndarray, states: int, seed: int, rows: DataFrame | None = None) -> "Model":
         """Sticky states whose emissions are those of a mixture of unigram
-        models of the sample ``texts`` (classes, starts, lengths)."""
+        models of all training texts of ``rows``."""
         rng = np.random.default_rng(seed)
         p = (class_counts + SMOOTH) / (class_counts + SMOOTH).sum()
         emit = p[:, None] * np.exp(rng.normal(0, 1, (len(p), states)))
         emit /= emit.sum(0)
         share = np.full(states, 1 / states)
-        if texts is not None and len(texts[1]):
-            classes, start, lengths = texts
-            key = np.repeat(np.arange(len(start)), lengths) * len(p) + classes[np.repeat(start - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())]
-            key, n = np.unique(key, return_counts=True)
-            doc, c = key // len(p), key % len(p)
-            first = np.searchsorted(doc, np.arange(len(start)))
-            for _ in range(MIXTURE_ROUNDS):
-                log = np.add.reduceat(np.log(emit)[c] * n[:, None], first) + np.log(share)
-                r = np.exp(log - log.max(1, keepdims=True))
-                r /= r.sum(1, keepdims=True)
-                w = r[doc] * n[:, None]
-                emit = np.stack([np.bincount(c, weights=w[:, j], minlength=len(p)) for j in range(states)], 1) + MIXTURE_PRIOR * p[:, None]
-                emit /= emit.sum(0)
-                share = (r.sum(0) + 1) / (len(start) + states)
+        before = None
+        for _ in range(MIXTURE_ROUNDS if rows is not None else 0):
+            sent = rows.sparkSession.sparkContext.broadcast((np.log(emit), np.log(share)))
+            texts, counts, log = _mixed(rows, sent, states)
+            sent.unpersist()
+            emit = counts + MIXTURE_PRIOR * p[:, None]
+            emit /= emit.sum(0)
+            share = (texts + 1) / (texts.sum() + states)
+            if before is not None and log - before < MIXTURE_GAIN * abs(before):
+                break
+            before = log
         move = np.full((states, states), (1 - STAY) / states) + STAY * np.eye(states)
         return cls(share, move, emit)
 
@@ -365,20 +364,44 @@ def _class_counts(t: Table) -> np.ndarray:
     return out
 
 
-def _start_texts(rows: DataFrame, table: Table, seed: int):
-    """At most about ``START_TEXTS`` training texts for the first guess."""
-    if not table.n_ends:
-        return None
-    part = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, START_TEXTS / table.n_ends))
-    got = rows.where(F.col("train") & part).where(F.octet_length("classes") < 2 * HELD).select("classes").limit(2 * START_TEXTS).toPandas()["classes"]
-    return _sequences(pa.array([bytes(x) for x in sorted(got)], pa.binary()))
+def _mixed(rows: DataFrame, model, states: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Expected texts of each state, expected tokens of each class and state, and the log likelihood of
+    the mixture over all training texts, summed by Spark."""
+    names = [f"v{j}" for j in range(states)]
+
+    def run(batches):
+        log_emit, log_share = model.value
+        texts, counts, total = np.zeros(states), np.zeros((CLASSES, states)), 0.0
+        for batch in batches:
+            cls, start, lengths = _sequences(batch.column(0))
+            if not len(start):
+                continue
+            log = np.stack([np.add.reduceat(log_emit[:, j][cls], start) for j in range(states)], 1) + log_share
+            top = log.max(1, keepdims=True)
+            r = np.exp(log - top)
+            mass = r.sum(1, keepdims=True)
+            total += float((top + np.log(mass)).sum())
+            r /= mass
+            texts += r.sum(0)
+            for j in range(states):
+                counts[:, j] += np.bincount(cls, weights=np.repeat(r[:, j], lengths), minlength=CLASSES)
+        at = np.flatnonzero(counts.sum(1) > 0)
+        body = np.vstack([counts[at], texts[None, :], np.concatenate([[total], np.zeros(states - 1)])[None, :]])
+        idx = np.concatenate([at, [CLASSES, CLASSES + 1]]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(idx), *(pa.array(body[:, j]) for j in range(states))], names=["idx", *names])
+
+    sums = rows.where("train").select("classes").mapInArrow(run, ", ".join(["idx int", *(f"{n} double" for n in names)]))
+    got = sums.groupBy("idx").agg(*(F.sum(n).alias(n) for n in names)).toPandas()
+    table = np.zeros((CLASSES + 2, states))
+    table[got["idx"].to_numpy(np.int64)] = got[names].to_numpy(np.float64)
+    return table[CLASSES], table[:CLASSES], float(table[-1, 0])
 
 
 def train(rows: DataFrame, table: Table, *, states: int = 8, rounds: int = 3, seed: int = 7) -> tuple[Model, list[float]]:
     """Baum-Welch on the training rows; also the log likelihood before each round."""
     counts = _class_counts(table)
     prior = (counts + SMOOTH) / (counts + SMOOTH).sum()
-    model, logs = Model.initial(counts, states, seed, _start_texts(rows, table, seed)), []
+    model, logs = Model.initial(counts, states, seed, rows if table.n_ends else None), []
     for _ in range(rounds if table.n_tokens else 0):
         sent = rows.sparkSession.sparkContext.broadcast(model)
         start, move, emit, log, _ = _expect(rows, sent, states)
