@@ -319,7 +319,7 @@ def knn_join_lsh(queries: DataFrame, data: DataFrame, k: int, *, bucket_length:
     candidate pairs with equal values (cross-validation folds).
 
     The buckets are compared inside the blocks of the pruned join, so a pair is
-    met once whatever number of tables it shares, and no pair rows are made."""
+    met once (equal rows too, as in MLlib's join of pairs) whatever number of tables it shares, and no pair rows are made."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector, vector_to_array
     dim = queries.agg(F.max(F.size(features)).alias("d")).first()["d"] or 0
@@ -334,8 +334,9 @@ def knn_join_lsh(queries: DataFrame, data: DataFrame, k: int, *, bucket_length:
                                         numHashTables=num_tables, seed=seed).fit(dv)
     keys = F.array(*[vector_to_array(F.col("_h")[t])[0].cast("bigint") for t in range(num_tables)])
     hashed = lambda df: model.transform(df).withColumn("_keys", keys).drop("_v", "_h")
-    hd = hashed(dv)
-    top = cut_lineage(PrunedJoin(hd if data is queries else hashed(vec(queries)), hd, k, dim=dim, n_data=n_data, qid=qid, did=did, features=features, carry=carry,
+    # equal rows are one candidate, and one query
+    once = lambda df, *cols: df.select(*dict.fromkeys([*cols, features, *([exclude_same] if exclude_same else [])])).distinct()
+    top = cut_lineage(PrunedJoin(hashed(vec(once(queries, qid))), hashed(vec(once(data, did, *carry))), k, dim=dim, n_data=n_data, qid=qid, did=did, features=features, carry=carry,
                                  exclude_same=exclude_same, block_rows=block_rows, hashes="_keys").neighbours().where(F.col("dist2") < threshold * threshold))
     full = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).select("query_id")
     short = cut_lineage(queries.join(full.select(F.col("query_id").alias(qid)), qid, "left_anti"))

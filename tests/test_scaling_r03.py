@@ -116,3 +116,11 @@ def test_first_guess_uses_every_training_text(spark):
     sent = spark.sparkContext.broadcast((np.full((H.CLASSES, 4), -5.0), np.log(np.full(4, 0.25))))
     in_state, counts, _ = H._mixed(rows, sent, 4)
     assert abs(in_state.sum() - 5400) < 1e-6 and abs(counts.sum() - 16200) < 1e-6 and abs(counts[H.END].sum() - 5400) < 1e-6
+
+
+def test_lsh_counts_equal_rows_once(spark):
+    df, _ = vectors(spark, 200, seed=7)
+    kw = {"bucket_length": 4.0, "threshold": 9.0, "num_tables": 2, "block_rows": 64}
+    want = sorted(map(tuple, NB.knn_join_lsh(df, df, 3, **kw).collect()))
+    twice = df.unionByName(df.where("row_id % 2 = 0"))
+    assert sorted(map(tuple, NB.knn_join_lsh(twice, twice, 3, **kw).collect())) == want and len(want) == 600
