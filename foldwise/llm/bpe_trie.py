@@ -34,8 +34,8 @@ MAX_WORDS = 200_000
 MAX_PAIRS = 100_000
 #: new words that are walked and encoded together
 WALK = 16_384
-#: bytes of text whose new words are walked together
-TOGETHER = 2 << 20
+#: bytes of text whose new words are walked together, and of those that are hashed at once (the arrays are some 40 times as large)
+TOGETHER, HASHED = 1 << 20, 1 << 18
 _NEVER = 1 << 60
 
 
@@ -58,9 +58,11 @@ class Vocabulary:
     def __init__(self, raw: bytes):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_str(raw.decode("utf-8"))  # its normaliser and word splitting only
         spec = json.loads(raw)
         model = spec["model"]
+        # its normaliser and word splitting only: without the words and merges, which it would hold once more
+        bare = spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None}
+        self.library = Tokenizer.from_str(json.dumps(bare))
         vocab: dict[str, int] = model["vocab"]
         mark = model["end_of_word_suffix"]
         self.token = {i: t.encode("utf-8") for t, i in vocab.items()}
@@ -305,7 +307,7 @@ class Vocabulary:
             counts, ids, texts = [np.zeros(0, np.int64)], [], []
             some = off[lo:hi + 1] - off[lo]
             run = data[off[lo]:off[hi]]
-            held = [(a, b, Words(run, some, a, b)) for a, b in pieces(some)]
+            held = [(a, b, Words(run, some, a, b)) for a, b in pieces(some, HASHED)]
             hashes = [w.hashes() for _, _, w in held]
             uniq, where, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
             if len(self.known) + len(uniq) > MAX_WORDS:
@@ -355,6 +357,7 @@ def loaded(raw: bytes) -> Vocabulary:
     key = hashlib.sha256(raw).hexdigest()
     if key not in _LOADED:
         _LOADED[key] = Vocabulary(raw)
+        release()  # the parsed file
     return _LOADED[key]
 
 
@@ -404,6 +407,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, carry: tuple[str,
     names = [*carry, "n_tokens", "ids", "decoded"]
 
     def run(batches):
+        release()  # what the tasks before have left in this worker
         vocabulary = loaded(file.value)
         for batch in batches:
             for lo, hi, n, ids, texts in vocabulary.encode_groups(*buffers(batch.column(0))):

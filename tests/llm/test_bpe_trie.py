@@ -54,3 +54,23 @@ def test_table_stays_bounded(library, monkeypatch):
 
 def test_empty(spark, docs_of):
     assert B.encode_documents(docs_of([])).collect() == []
+
+
+def test_a_worker_holds_no_second_vocabulary_and_hashes_small_pieces(library, monkeypatch):
+    import pyarrow as pa
+
+    v = B.Vocabulary(open(B.default_path(), "rb").read())
+    assert v.library.get_vocab_size() == 0
+    for t in texts()[3:400]:
+        plain = v.library.normalizer.normalize_str(t)
+        assert plain == library.normalizer.normalize_str(t) and v.library.pre_tokenizer.pre_tokenize_str(plain) == library.pre_tokenizer.pre_tokenize_str(plain)
+    sizes = []
+
+    class Seen(B.Words):
+        def __init__(self, data, offsets, lo, hi):
+            sizes.append(int(offsets[hi] - offsets[lo]))
+            super().__init__(data, offsets, lo, hi)
+
+    monkeypatch.setattr(B, "Words", Seen)
+    v.encode_batch(*B.buffers(pa.array(["some words of a text " * 500] * 200)))
+    assert sum(sizes) == 200 * 10_500 and max(sizes) <= 1 << 18
