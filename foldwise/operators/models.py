@@ -21,6 +21,7 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 import pandas as pd
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -71,8 +72,12 @@ class MLlibModel:
 
 
 def _fit(est, df, classes, features="features", label="label", prep=None) -> MLlibModel:
-    d = prep.transform(df, features) if prep is not None else df
-    m = est.setFeaturesCol("_vec").setLabelCol("_y").fit(_indexed(d, classes, features, label))
+    d = _indexed(prep.transform(df, features) if prep is not None else df, classes, features, label)
+    if prep is not None:  # MLlib reads the rows twice and more, and a mapped row costs far more than a stored one
+        d = d.select("_vec", "_y").persist()
+    m = est.setFeaturesCol("_vec").setLabelCol("_y").fit(d)
+    if prep is not None:
+        d.unpersist()
     return MLlibModel(m, classes, features, prep)
 
 
@@ -111,18 +116,22 @@ class Nystroem:
         from pyspark.sql import types as T
         out_cols = [c for c in df.columns if c != features]
         schema = df.select(*out_cols).schema.add(features, T.ArrayType(T.DoubleType()))
+        width, names = lm.shape[1], [*out_cols, features]
 
-        def fn(it):
-            for pdf in it:
-                if len(pdf) == 0:
+        def fn(batches):
+            for b in batches:
+                if b.num_rows == 0:
                     continue
-                x = stack_vectors(pdf[features], lm.shape[1])
+                col = b.column(features)
+                if col.null_count or not np.all(np.diff(col.offsets.to_numpy()) == width):
+                    raise ValueError(f"a row hasn't {width} features")
+                x = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
                 z = kernel(x, lm, kind, g, deg, c0) @ pj
-                o = pdf[out_cols].copy()
-                o[features] = list(z)
-                yield o
+                flat = pa.array(z.ravel(), pa.float64(), from_pandas=True)
+                edges = pa.array(np.arange(len(z) + 1, dtype=np.int32) * z.shape[1])
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in out_cols), pa.ListArray.from_arrays(edges, flat)], names=names)
 
-        return df.mapInPandas(fn, schema)
+        return df.mapInArrow(fn, schema)
 
 
 def nystroem_fit(df: DataFrame, kind: str = "rbf", gamma: float = 1.0, degree: int = 3,

@@ -124,3 +124,27 @@ def test_lsh_counts_equal_rows_once(spark):
     want = sorted(map(tuple, NB.knn_join_lsh(df, df, 3, **kw).collect()))
     twice = df.unionByName(df.where("row_id % 2 = 0"))
     assert sorted(map(tuple, NB.knn_join_lsh(twice, twice, 3, **kw).collect())) == want and len(want) == 600
+
+
+def test_a_mapped_row_is_mapped_once_a_fit(spark):
+    from foldwise.operators import models as MD
+
+    df, x = vectors(spark, 200, d=3, seed=6)
+    two = df.select("row_id", "features", F.when(F.col("row_id") % 2 == 0, "a").otherwise("b").alias("label"))
+    ny = MD.nystroem_fit(two, "rbf", 0.5, n_landmarks=20)
+    met = spark.sparkContext.accumulator(0)
+
+    class Counted:
+        def transform(self, rows, features="features"):
+            def seen(batches):
+                for b in batches:
+                    met.add(b.num_rows)
+                    yield b
+
+            mapped = ny.transform(rows, features)
+            return mapped.mapInArrow(seen, mapped.schema)
+
+    MD.linear_svm(two, 1.0, ["a", "b"], prep=Counted())
+    assert met.value == 200  # MLlib reads its rows at least twice
+    got = np.array([r.features for r in ny.transform(two).orderBy("row_id").collect()])
+    assert np.allclose(got, kernel(x, ny.landmarks, "rbf", 0.5) @ ny.proj, atol=1e-6)
