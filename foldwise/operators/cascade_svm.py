@@ -94,6 +94,13 @@ def _pair_rows(df: DataFrame, classes: list, label: str, id_col: str, features:
     return rows.select(F.col("p.pair").alias("pair"), "id", "f", F.col("p.y").alias("y")).where("y is not null")
 
 
+def _spread(rows: DataFrame, n: int, leaf_rows: int) -> DataFrame:
+    """Rows dealt to as many tasks as their number needs: a small file is one task, however long its rows take to score."""
+    spark = rows.sparkSession
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return rows.repartition(max(1, min(most, n // leaf_rows)), "pair", "id")
+
+
 def _solver(C: float, args: tuple, tol: float, max_rows: int, carried):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pair, node = int(pdf["pair"].iloc[0]), int(pdf["node"].iloc[0])
@@ -128,11 +135,12 @@ def cascade_svm(df: DataFrame, kind: str = "rbf", C: float = 1.0, gamma: float =
     empty = spark.createDataFrame([], T.StructType.fromDDL(f"pair int, id {id_type}, f array<double>, y double, alpha double"))
     if not pairs:
         return CascadeSVM(classes, args, C, {}, empty, 0, features, id_col)
-    rows = cut_lineage(_pair_rows(df, classes, label, id_col, features))
+    rows = _pair_rows(df, classes, label, id_col, features)
+    n_bad = {r["pair"]: r["n"] for r in rows.groupBy("pair").agg(F.count("*").alias("n")).collect()}
+    rows = cut_lineage(_spread(rows, sum(n_bad.values()), leaf_rows))
     machines: dict = {p: (np.zeros((0, 0)), np.zeros(0), 0.0) for p in pairs}
     carried, support, rounds = None, empty, 0
     violating = rows
-    n_bad = {r["pair"]: r["n"] for r in rows.groupBy("pair").agg(F.count("*").alias("n")).collect()}
     while n_bad:
         rounds += 1
         if rounds > max_rounds:
@@ -198,6 +206,7 @@ def kkt_report(model: CascadeSVM, df: DataFrame, label: str = "label", eps: floa
     spark = df.sparkSession
     pairs = list(model.machines)
     rows = _pair_rows(df, model.classes, label, model.id_col, model.features)
+    rows = _spread(rows, rows.count(), LEAF_ROWS)
     held, args, C = spark.sparkContext.broadcast((model.machines, pairs)), model.kernel_args, model.C
 
     m = _margin(held, args)

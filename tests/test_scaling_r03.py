@@ -148,3 +148,14 @@ def test_a_mapped_row_is_mapped_once_a_fit(spark):
     assert met.value == 200  # MLlib reads its rows at least twice
     got = np.array([r.features for r in ny.transform(two).orderBy("row_id").collect()])
     assert np.allclose(got, kernel(x, ny.landmarks, "rbf", 0.5) @ ny.proj, atol=1e-6)
+
+
+def test_rows_of_one_file_are_scored_by_several_tasks(spark, monkeypatch):
+    from foldwise.operators import cascade_svm as CS
+
+    df, x = vectors(spark, 600, d=2, seed=7)
+    two = df.select("row_id", "features", F.when(F.col("features")[0] > 0.2, "a").otherwise("b").alias("label")).coalesce(1)
+    parts, cut = [], CS.cut_lineage
+    monkeypatch.setattr(CS, "cut_lineage", lambda rows: parts.append(rows.rdd.getNumPartitions()) or cut(rows))
+    m = CS.cascade_svm(two, "rbf", 1.0, 0.5, leaf_rows=100)
+    assert parts[0] == 6 and CS.kkt_report(m, two).first()["violations"] == 0
