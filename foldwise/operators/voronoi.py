@@ -35,6 +35,8 @@ SAMPLE, PIVOTS = 4096, 512
 QUERIES, TOGETHER, BINS = 512, 1024, 1024
 #: most rows and feature bytes of the data blocks of a shelf, and of the queries that meet it in one task
 SHELF_ROWS, SHELF = 1 << 16, 1 << 25
+#: rows whose distances to all pivots are computed together
+NEAREST = 256
 #: query blocks that share a shipped data block
 SHIP = 64
 
@@ -75,6 +77,15 @@ def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(sq, 0.0))
 
 
+def _nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest centre of every row and the distance to it, few rows at a time: their matrices stay in a core's cache."""
+    cell, dist = np.zeros(len(x), np.int32), np.zeros(len(x))
+    for lo in range(0, len(x), NEAREST):
+        d = _far(x[lo:lo + NEAREST], centers)
+        cell[lo:lo + NEAREST], dist[lo:lo + NEAREST] = d.argmin(1), d.min(1)
+    return cell, dist
+
+
 def best_in_block(q: np.ndarray, x: np.ndarray, k: int, skip, bar: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, rounded squared distance) of the k nearest rows of every query that aren't above ``bar``,
     ties to the row that comes first. ``skip(i, j)``: pairs that don't count."""
@@ -233,11 +244,7 @@ class PrunedJoin:
         def run(batches):
             unit, centers, reach = pivots.value
             for b in batches:
-                cell, dist = np.zeros(b.num_rows, np.int32), np.zeros(b.num_rows)
-                f = _matrix(b.column(cols.index("f")), dim)
-                for lo in range(0, len(f), 8192):
-                    d = _far(f[lo:lo + 8192] * unit, centers)
-                    cell[lo:lo + 8192], dist[lo:lo + 8192] = d.argmin(1), d.min(1)
+                cell, dist = _nearest(_matrix(b.column(cols.index("f")), dim) * unit, centers)
                 bin_ = np.minimum(BINS - 1, dist / reach[cell] * (BINS // 2)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(bin_)], names=[*cols, "cell", "bin"])
 

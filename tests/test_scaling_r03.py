@@ -159,3 +159,13 @@ def test_rows_of_one_file_are_scored_by_several_tasks(spark, monkeypatch):
     monkeypatch.setattr(CS, "cut_lineage", lambda rows: parts.append(rows.rdd.getNumPartitions()) or cut(rows))
     m = CS.cascade_svm(two, "rbf", 1.0, 0.5, leaf_rows=100)
     assert parts[0] == 6 and CS.kkt_report(m, two).first()["violations"] == 0
+
+
+def test_pivots_are_met_by_few_rows_at_a_time(monkeypatch):
+    rng = np.random.default_rng(8)
+    x, centers = rng.random((3000, 2)), rng.random((512, 2))
+    whole, sizes, far = V._far(x, centers), [], V._far
+    monkeypatch.setattr(V, "_far", lambda a, b: sizes.append(len(a)) or far(a, b))
+    cell, dist = V._nearest(x, centers)
+    assert max(sizes) <= 256 and sum(sizes) == 3000
+    assert (cell == whole.argmin(1)).all() and np.allclose(dist, whole.min(1), atol=1e-12)
