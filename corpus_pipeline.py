@@ -10,6 +10,8 @@
 Each stage works on all rows that its predecessor kept and returns the columns of
 ``documents``, the last one its token ids. ``run`` writes every stage as Parquet in the
 shared folder and reads it again, so a lost executor repeats tasks of one stage only.
+Inside a stage rows are known by their place in the files that they are read from
+(``placed``), so no stage keeps a copy of the texts of its own.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from foldwise.llm.mixing import mix_sources
 from foldwise.llm.ngram_join import ngram_jaccard
 from foldwise.llm.quality_rules import quality_rules
 from foldwise.llm.secret_grammar import infer_grammars, redacted, secret_scan
-from foldwise.llm.work import Workspace, inside
+from foldwise.llm.work import Workspace, inside, placed
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: most ids (8 bytes each) that are broadcast; above it they are joined by a shuffle
@@ -47,14 +49,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     by their text alone, so rows that share a doc_id or have none are rows like others. Texts without words have no near duplicates and stay."""
     _bounded_batches(spark)
     ws = Workspace(spark, "near")
-    docs = ws.keep(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()))  # written once: a repeated task can't renumber rows
+    docs = placed(docs, *COLUMNS)
     groups = ws.keep(ngram_jaccard(docs.select(F.col("row_key").alias("doc_id"), "text"), n=5, percent=80).select(F.col("doc_id").alias("row_key"), "component_id"))
     several = groups.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*COLUMNS), "row_key")
     rows = groups.join(several, "component_id").join(docs.select("row_key", rank.alias("rank")), "row_key")
     first = rows.groupBy("component_id").agg(F.min("rank").alias("first")).select("component_id", F.col("first.row_key").alias("first"))
-    gone = ws.keep(rows.join(first, "component_id").where("row_key <> first").select("row_key"))
-    return ws.close(docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone, "row_key", "left_anti").select(*COLUMNS))
+    gone = ws.close(rows.join(first, "component_id").where("row_key <> first").select("row_key"))
+    return docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone, "row_key", "left_anti").select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,11 +72,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it (0 to 3 times). Null texts have no words and go; repeated rows are drawn one by one."""
     _bounded_batches(spark)
-    ws = Workspace(spark, "mixed")
-    docs = ws.keep(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()))  # written once: a repeated task can't renumber rows
+    docs = placed(docs, *COLUMNS)
     copies = mix_sources(docs, row_key="row_key").where("copies > 0").select("row_key", "copies")
     rows = docs.join(copies.hint("merge"), "row_key")  # both grow with the input: the same join at every size
-    return ws.close(rows.withColumn("copy", F.explode(F.expr("array_repeat(0, cast(copies as int))"))).select(*COLUMNS))
+    return rows.withColumn("copy", F.explode(F.expr("array_repeat(0, cast(copies as int))"))).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -97,4 +98,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES[:-1]:
         with inside(ws, name):
             docs = ws.keep(stage(spark, docs, sf_dir))
+        if ws.n > 1:  # the stage's input has been read
+            ws.remove(f"{ws.root}/t{ws.n - 1}")
     return ws.close(STAGES[-1][1](spark, docs, sf_dir))

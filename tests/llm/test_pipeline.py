@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -140,3 +141,55 @@ def test_near_duplicates_lose_no_other_text(spark, docs_of):
         assert {(i, t) for i, t, _ in got} == {(1, a), (2, z), (None, q), (5, ""), (6, None)} and len(got) == 5
         kept = [s for i, t, s in got if t == q]
         assert kept == (first := kept if order is rows else first)
+
+
+def test_stages_keep_no_copy_of_the_texts(spark, docs_of, tmp_path, monkeypatch):
+    """Neither while a stage runs nor after it: what it keeps has no texts."""
+    from foldwise.llm import work
+
+    docs_of(corpus()).repartition(3).write.parquet(str(tmp_path / "d"))
+    docs, kept, write = spark.read.parquet(str(tmp_path / "d")), [], work.write
+    monkeypatch.setattr(work, "write", lambda df, path: (kept.append(df.columns), write(df, path)))
+    for f in (P.near_duplicates, P.mixing):
+        assert f(spark, docs, "").count() > 0
+    assert kept and not [c for c in kept if "text" in c]
+
+
+def test_run_holds_two_stages_at_most(spark, docs_of, tmp_path, monkeypatch):
+    from foldwise.llm import work
+
+    docs_of(corpus()).write.parquet(str(tmp_path / "documents.parquet"))
+    held, write = [], work.write
+
+    def seen(df, path):
+        write(df, path)
+        root = path.removeprefix("file://").rpartition("/")[0]
+        if "/pipeline-" in root and "/" not in root.rpartition("/pipeline-")[2]:
+            held.append(sorted(x.name for x in Path(root).glob("t*")))
+
+    monkeypatch.setattr(work, "write", seen)
+    assert P.run(spark, str(tmp_path)).count() > 0
+    assert len(held) == 4 and max(map(len, held)) == 2
+
+
+def test_placed(spark, docs_of, tmp_path):
+    """Keys are unique and the same whatever the partitions; tables that aren't a plain read of files are written once."""
+    from foldwise.llm.work import placed
+
+    rows = corpus() + [(1, "same words", "a")] * 50 + [(None, "same words", None)] * 50
+    docs_of(rows).repartition(4).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    key = lambda df: sorted(map(tuple, placed(df, "doc_id", "text").collect()), key=str)
+    got = key(docs)
+    assert Counter((i, t) for i, t, _ in got) == Counter((i, t) for i, t, _ in rows) and len({k for _, _, k in got}) == len(rows)
+    parts, before = docs.rdd.getNumPartitions(), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        again = spark.read.parquet(str(tmp_path / "d"))
+        assert again.rdd.getNumPartitions() > parts and key(again) == got
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    twice = spark.range(2).withColumnRenamed("id", "k")
+    for df in (docs.join(twice, docs.doc_id >= twice.k, "left"), docs.union(docs), docs.where("doc_id > 3"), docs_of(rows), docs_of([])):
+        keys = [k for _, _, k in key(df)]
+        assert len(set(keys)) == len(keys) == df.count()
