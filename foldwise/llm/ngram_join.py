@@ -9,7 +9,7 @@ a row x only needs its first ``|x| - ceil(t|x|) + 1`` columns: two rows that
 reach t share one of them (the size-derived bound that drops all later
 columns from the candidate product).
 
-1. *Column statistics*: one pass yields (doc_id, set size, content id) and the
+1. *Column statistics*: one pass yields (doc_id, set size, content id, parities of its columns in buckets) and the
    heavy columns; at most ``MAX_HEAVY`` of them are broadcast, a fixed bound.
 2. *Candidate product*: (column, content, size, position) entries are shuffled
    by column, so each task holds a block of columns and accumulates the pairs
@@ -17,12 +17,12 @@ columns from the candidate product).
    whose count and remaining columns cannot reach the bound after the last block.
 3. *Long lists* (more than ``SHORT`` rows) are not expanded into pairs: every
    row meets one leader of its size class in each list, and accepted pairs form components.
-4. *Full product*: the surviving pairs accumulate their overlap over all columns;
+4. *Full product*: pairs whose parities differ in no more bits than their sets may in columns accumulate their overlap over all columns;
    ``100 * overlap >= percent * union`` decides.
-5. Rows of a long list that are still in different components meet in salted pairs of row blocks of
-   neighbouring size classes, first as sketches: counts of their columns in buckets, whose smaller counts add up to no
-   less than the overlap. Only rows that can reach the threshold with a row of another component there are
-   sent to the block pair as whole sets and multiplied; it returns links, at most one for each of its rows.
+5. Rows of a long list that are still in different components meet there (in a very long one in salted pairs of row blocks of
+   neighbouring size classes), first as parities. Only rows that can reach the threshold with a row of another component are
+   sent to one list of the pair as whole sets and multiplied; it returns links, at most one for each of its rows.
+   This is done for the likeliest pair of every two components first, then for all pairs of what is still apart.
 
 A text with fewer words than the n-gram has its whole word sequence as its only
 shingle; a null text or one without words has none and links with nothing.
@@ -55,8 +55,8 @@ MAX_BROADCAST = 500_000
 HELD, SEEN = 2_000_000, 150_000
 #: bytes of a column number sent to the full product, whole
 SENT = 6
-#: columns a bucket of a row's sketch stands for, and most buckets
-SKETCHED, MAX_BUCKETS = 2, 4096
+#: blocks of rows of a long list that meet in one piece, and most bits of a row's parities
+LIST, MAX_BITS = 4, 1 << 16
 
 _U = np.uint64
 _TOKEN_BITS = 47
@@ -134,8 +134,8 @@ def _pieces(batch: pa.RecordBatch, col: int) -> Iterator[tuple[int, int, Words]]
             yield lo, hi, Words(data, off, lo, hi)
 
 
-def _statistics(docs: DataFrame, n: int) -> DataFrame:
-    """kind 0: (doc_id, size, content); kind 1: (token, count, null) for tokens
+def _statistics(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """kind 0: (doc_id, size, content, parities); kind 1: (token, count, null, null) for tokens
     met at least twice within a task."""
 
     def run(batches):
@@ -149,7 +149,7 @@ def _statistics(docs: DataFrame, n: int) -> DataFrame:
             ok = c > 1
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(ok.sum(), np.int32)), pa.array(t[edge][ok].astype(np.int64)), pa.array(c[ok].astype(np.int64)),
-                 pa.nulls(int(ok.sum()), pa.int64())], names=["kind", "a", "b", "c"])
+                 pa.nulls(int(ok.sum()), pa.int64()), pa.nulls(int(ok.sum()), pa.binary())], names=["kind", "a", "b", "c", "p"])
 
         seen: set[int] = set()
         for batch in batches:
@@ -157,7 +157,7 @@ def _statistics(docs: DataFrame, n: int) -> DataFrame:
                 s = Shingled(w, n)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(hi - lo, np.int32)), batch.column(0).slice(lo, hi - lo), pa.array(s.size.astype(np.int64)),
-                     pa.array(s.content)], names=["kind", "a", "b", "c"])
+                     pa.array(s.content), pa.array([_parities(s.token[x:y], percent) for x, y in zip(s.first[:-1], s.first[1:])], pa.binary())], names=["kind", "a", "b", "c", "p"])
                 new = np.array([c not in seen and not seen.add(c) for c in s.content.tolist()], bool)
                 if len(seen) > SEEN:
                     seen.clear()
@@ -173,7 +173,7 @@ def _statistics(docs: DataFrame, n: int) -> DataFrame:
         seen.clear()
         release()
 
-    return docs.mapInArrow(run, "kind int, a long, b long, c long")
+    return docs.mapInArrow(run, "kind int, a long, b long, c long, p binary")
 
 
 def _heavy(rows: DataFrame) -> np.ndarray:
@@ -303,6 +303,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent:
     all columns, from one whole text of each content concerned. The set of a is sent
     once to each of its salted groups, where it meets at most about ``BLOCK`` sets."""
     pairs = ws.keep(pairs.select("a", "b").distinct())
+    pairs = ws.keep(_likely(pairs, reps, percent))
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("m"))
     pairs = pairs.join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("m")).cast("int"))
     sides = pairs.select(F.col("b").alias("content"), "a", "salt", "b").unionAll(
@@ -336,8 +337,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent:
     return ws.keep(rows.mapInArrow(overlap, "a long, b long").distinct())
 
 
-def _sets(docs: DataFrame, need: DataFrame, n: int, few: bool, packed=None) -> DataFrame:
-    """``need`` with the packed shingle set (or what ``packed`` makes of a set) of each row's content, from the texts
+def _sets(docs: DataFrame, need: DataFrame, n: int, few: bool) -> DataFrame:
+    """``need`` with the packed shingle set of each row's content, from the texts
     of its doc_id (rows that share it may have other contents)."""
     ids = need.select("doc_id").distinct()
 
@@ -345,12 +346,9 @@ def _sets(docs: DataFrame, need: DataFrame, n: int, few: bool, packed=None) -> D
         for batch in batches:
             for lo, hi, w in _pieces(batch, 1):
                 s = Shingled(w, n)
-                if packed is None:
-                    raw = np.ascontiguousarray(s.token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT]).tobytes()
-                    first = (s.first * SENT).tolist()
-                    made = [raw[x:y] for x, y in zip(first[:-1], first[1:])]
-                else:
-                    made = [packed(s.token[x:y]) for x, y in zip(s.first[:-1], s.first[1:])]
+                raw = np.ascontiguousarray(s.token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT]).tobytes()
+                first = (s.first * SENT).tolist()
+                made = [raw[x:y] for x, y in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(s.content), pa.array(made, pa.binary())],
                     names=["doc_id", "content", "tokens"])
@@ -421,80 +419,172 @@ def _product(x: list[np.ndarray], y: list[np.ndarray], skip: np.ndarray, percent
     return alive & (100 * count >= percent * (sx[:, None] + sy[None, :] - count))
 
 
-def _sketch(tokens: np.ndarray) -> bytes:
-    """Columns counted in 2**k buckets, k from the size of the set; a sketch of fewer buckets is a sum of neighbours."""
-    bits = max(5, min(MAX_BUCKETS.bit_length() - 1, (len(tokens) // SKETCHED).bit_length()))
-    count = np.bincount((mix(tokens + _U(0x2545F4914F6CDD1D)) >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(count, 65535).astype("<u2").tobytes()  # sets of so many equal buckets don't occur below 2**28 columns
+def _parities(tokens: np.ndarray, percent: int) -> bytes:
+    """Parities of the numbers of columns in 2**k buckets. Two sets differ in as many columns at least as their parities in bits;
+    sets without likeness differ in about half of the bits, which with enough of them is more than a linked pair may."""
+    apart = 2 * len(tokens) * (100 - percent) / (100 + percent)  # most columns in which a linked pair of this size differs
+    bits = 64
+    while bits < MAX_BITS and bits / 2 - 3 * bits**0.5 <= apart:
+        bits *= 2
+    count = np.bincount((mix(tokens + _U(0x2545F4914F6CDD1D)) & _U(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((count & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(parities: np.ndarray, words: int) -> np.ndarray:
+    """Parities (64 bits a word) in fewer buckets."""
+    return np.bitwise_xor.reduce(parities.reshape(-1, words), 0)
+
+
+def _differing(parities: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """In how many parities the rows of each pair differ."""
+    words = np.array([len(p) for p in parities], np.int64)
+    both = np.minimum(words[i], words[j])
+    out = np.zeros(len(i), np.int64)
+    for w in np.unique(both):
+        at = np.flatnonzero(both == w)
+        rows, own = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        bits = np.stack([_folded(parities[r], w) for r in rows.tolist()])
+        x, y = own[:len(at)], own[len(at):]
+        for lo in range(0, len(at), 1 << 14):
+            k = slice(lo, lo + (1 << 14))
+            out[at[k]] = np.bitwise_count(bits[x[k]] ^ bits[y[k]]).sum(1, dtype=np.int64)
+    return out
 
 
-def _folded(sketch: np.ndarray, buckets: int) -> np.ndarray:
-    return sketch.reshape(buckets, -1).sum(1)
+def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose parities leave the threshold open, so that whole sets of others needn't be sent."""
+    few = pairs.count() <= MAX_BROADCAST
+    for side in ("a", "b"):
+        own = reps.select(F.col("content").alias(side), F.col("size").alias(f"s{side}"), F.col("parities").alias(f"p{side}"))
+        pairs = own.join(F.broadcast(pairs) if few else pairs, side)
 
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            sa, sb = (batch.column(k).to_numpy() for k in (2, 3))
+            rows = [np.frombuffer(v.as_buffer(), "<u8") for k in (4, 5) for v in batch.column(k)]
+            at = np.arange(n)
+            ok = _differing(rows, at, at + n) <= sa + sb + 2 * (-percent * (sa + sb) // (100 + percent))
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(ok)) for k in (0, 1)], names=["a", "b"])
+        release()
 
-def _reachable(x: list[np.ndarray], y: list[np.ndarray], skip: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs of rows can reach the threshold, from their sketches."""
-    buckets = min(len(t) for t in [*x, *y])
-    a, b = (np.stack([_folded(t.astype(np.int64), buckets) for t in z]).astype(np.int32) for z in (x, y))
-    sa, sb = a.sum(1), b.sum(1)
-    need = -(-percent * (sa[:, None] + sb[None, :]) // (100 + percent))
-    out = ~skip & (np.minimum(sa[:, None], sb[None, :]) >= need)
-    for i in np.flatnonzero(out.any(1)):
-        at = np.flatnonzero(out[i])
-        out[i, at] = np.minimum(a[i], b[at]).sum(1) >= need[i, at]
-    return out
+    return pairs.select("a", "b", "sa", "sb", "pa", "pb").mapInArrow(run, "a long, b long")
+
+
+def _reachable(size: np.ndarray, pos: np.ndarray, parities: list[np.ndarray], skip: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs (i < j) of rows whose first shared column may stand at ``pos`` and that can reach the threshold, and how many more
+    parities might differ."""
+    big, small = np.maximum(size[:, None], size[None, :]), np.minimum(size[:, None], size[None, :])
+    need = -(-percent * (big + small) // (100 + percent))
+    most = np.minimum((size - pos)[:, None], (size - pos)[None, :])
+    i, j = np.nonzero(np.triu(~skip & (100 * small >= percent * big) & (most >= need), 1))
+    spare = size[i] + size[j] - 2 * need[i, j] - _differing(parities, i, j)
+    ok = spare >= 0
+    return i[ok], j[ok], spare[ok]
+
+
+def _forest(p: np.ndarray, q: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """Of pairs between components p and q a forest of those with most to spare."""
+    nodes, ends = np.unique(np.concatenate([p, q]), return_inverse=True)
+    u, v = ends[:len(p)], ends[len(p):]
+    code = np.minimum(u, v) * len(nodes) + np.maximum(u, v)
+    order = np.lexsort((-spare, code))
+    order = order[np.concatenate([[True], code[order][1:] != code[order][:-1]])]  # the best of each two components
+    low, left, out = np.arange(len(nodes)), len(nodes) - 1, []
+    for k in order[np.argsort(-spare[order], kind="stable")].tolist():
+        x, y = low[u[k]], low[v[k]]
+        if x != y:
+            low[low == max(x, y)] = min(x, y)
+            out.append(k)
+            left -= 1
+            if not left:
+                break
+    return np.array(out, np.int64)
+
+
+def _meetings(batches, percent: int, likeliest: bool):
+    """Rows sorted by (token, i, j) -> pairs of rows of different components (p, q) that a list's block pair leaves, or a forest of the likeliest."""
+    held: list[pa.RecordBatch] = []
+
+    def pairs(t):
+        token, i, j, blk, content, size, pos, label = (t[k].to_numpy() for k in ("token", "i", "j", "blk", "content", "size", "pos", "label"))
+        raw = t["parities"].combine_chunks()
+        edge = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), [True]]))
+        for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            g = slice(lo, hi)
+            skip = label[g][:, None] == label[g][None, :]
+            if i[lo] != j[lo]:  # each block is a pair with itself elsewhere
+                skip |= blk[g][:, None] == blk[g][None, :]
+            if skip.all():
+                continue
+            x, y, spare = _reachable(size[g].astype(np.int64), pos[g].astype(np.int64), [np.frombuffer(raw[k].as_buffer(), "<u8") for k in range(lo, hi)], skip, percent)
+            if len(x) and likeliest:
+                at = _forest(label[g][x], label[g][y], spare)
+                x, y, spare = x[at], y[at], spare[at]
+            if len(x):
+                u, v, p, q = content[g][x], content[g][y], label[g][x], label[g][y]
+                cols = [np.minimum(u, v), np.maximum(u, v), np.minimum(p, q), np.maximum(p, q), -spare, *(np.full(len(x), c[lo]) for c in (token, i, j))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["a", "b", "p", "q", "over", "token", "i", "j"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([*held, batch]).combine_chunks()
+        last = np.ones(t.num_rows, bool)
+        for k in ("token", "i", "j"):
+            c = t[k].to_numpy()
+            last &= c == c[-1]
+        done = int(last.argmax())  # the last group may go on in the next batch
+        if done:
+            yield from pairs(t.slice(0, done))
+        held = t.slice(done).to_batches()
+    if held:
+        yield from pairs(pa.Table.from_batches(held))
+    release()
 
 
-def _across(lists: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent: int, ws: Workspace) -> DataFrame:
-    """Links between rows of long lists that are in different components so far.
-    Lists that share rows form a family; a family's rows meet in salted pairs of
-    row blocks of one size class or two that touch, each of which returns at most one link for each of its rows."""
-    ends = lists.select(F.col("content").alias("a"), F.xxhash64("token").alias("b"))
-    family = components(ends, ws).withColumnRenamed("node", "content").withColumnRenamed("component", "family")
+def _dealt(lists: DataFrame, percent: int, ws: Workspace) -> DataFrame:
+    """Entries of lists with their block ``blk`` and each pair of blocks (i, j) that they meet in: one for a list of up to ``LIST`` blocks."""
     # a step of a class is a little more than the ratio of two linked sizes, so these never lie further apart than one class
     step = float(np.log(100.0 / percent) * (1 + 1e-6))
-    rows = lists.groupBy("content").agg(F.first("label").alias("label"), F.first("size").alias("size")).join(family, "content").join(reps, "content")
-    rows = rows.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / step).cast("long"))
-    blocks = ws.keep(rows.groupBy("family", "class").agg(F.ceil(F.count("*") / BLOCK).alias("nb")))
+    cols = [*lists.columns, "blk"]
+    lists = lists.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / step).cast("long"))
+    large = lists.groupBy("token").count().where(F.col("count") > LIST * BLOCK).select("token")
+    blocks = ws.keep(lists.join(large, "token", "left_semi").groupBy("token", "class").agg(F.ceil(F.count("*") / BLOCK).alias("nb")))
     number = lambda c, k: F.shiftleft(c, 32) + k  # noqa: E731  a block's number
-    need = ws.keep(rows.join(blocks, ["family", "class"]).select(
-        F.col("low").alias("doc_id"), "content", "label", "family", "class", number(F.col("class"), F.pmod(F.xxhash64("content"), F.col("nb"))).alias("blk")))
-    few = need.count() <= MAX_BROADCAST
-    sketches = _sets(docs, need, n, few, _sketch)
-    partners = blocks.select("family", F.col("class").alias("near"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("k"))
-    sketches = sketches.withColumn("near", F.explode(F.array(F.col("class") - 1, "class", F.col("class") + 1))).join(partners, ["family", "near"]).withColumn("other", number(F.col("near"), F.col("k")))
-    pair = [F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")]
-
-    def reachable(table: pa.Table) -> pa.Table:
-        content, label, blk = (table[k].to_numpy() for k in ("content", "label", "blk"))
-        family, i, j = (table[k][0].as_py() for k in ("family", "i", "j"))
-        _, pick = np.unique(content, return_index=True)
-        raw = table["tokens"].combine_chunks()
-        sketch = {int(k): np.frombuffer(raw[int(k)].as_buffer(), "<u2") for k in pick}
-        x, y = pick[blk[pick] == i], pick[blk[pick] == j]
-        skip = label[x][:, None] == label[y][None, :]
-        hit = _reachable([sketch[int(k)] for k in x], [sketch[int(k)] for k in y], skip, percent) if len(x) and len(y) else np.zeros((0, 0), bool)
-        if i == j and len(x):
-            np.fill_diagonal(hit, False)
-        got = np.unique(np.concatenate([x[hit.any(1)], y[hit.any(0)]])) if hit.size else np.zeros(0, np.int64)
-        return pa.table({"family": pa.array([family] * len(got), pa.int64()), "content": pa.array(content[got], pa.int64()), "i": pa.array([i] * len(got), pa.int64()), "j": pa.array([j] * len(got), pa.int64())})
-
-    meet = ws.keep(sketches.select("family", *pair, "blk", "content", "label", "tokens").groupBy("family", "i", "j").applyInArrow(reachable, "family long, content long, i long, j long"))
-    need = ws.keep(need.drop("class").join(meet, ["family", "content"]))
+    lists = lists.join(F.broadcast(blocks), ["token", "class"], "left").withColumn(
+        "blk", F.coalesce(number(F.col("class"), F.pmod(F.xxhash64("content"), F.col("nb"))), F.lit(0).cast("long")))
+    partners = blocks.select("token", F.col("class").alias("near"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("k"))
+    met = lists.where("nb is not null").withColumn("near", F.explode(F.array(F.col("class") - 1, "class", F.col("class") + 1))).join(
+        F.broadcast(partners), ["token", "near"]).withColumn("other", number(F.col("near"), F.col("k")))
+    return met.select(*cols, F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")).unionAll(
+        lists.where("nb is null").select(*cols, F.col("blk").alias("i"), F.col("blk").alias("j")))
+
+
+def _across(lists: DataFrame, docs: DataFrame, n: int, percent: int, likeliest: bool, ws: Workspace) -> DataFrame:
+    """Links between rows of long lists that are in different components so far. The rows of a list meet each other, those of
+    a list of more than ``LIST`` blocks in salted pairs of row blocks of one size class or two that touch, each of which
+    returns at most one link for each of its rows. What grows is the number of entries in lists, not the square of the rows that lists connect.
+    ``likeliest``: only the likeliest pair of two components, of a forest in each list; so few are left when all pairs are met."""
+    rows = ws.keep(lists.groupBy("content").agg(F.first("label").alias("label"), F.first("low").alias("doc_id")))
+    parts = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
+    met = _dealt(lists.drop("low"), percent, ws).repartition(parts, "token", "i", "j").sortWithinPartitions("token", "i", "j")
+    pairs = ws.keep(met.mapInArrow(lambda it: _meetings(it, percent, likeliest), "a long, b long, p long, q long, over long, token long, i long, j long"))
+    # a pair that several lists leave is multiplied in one of them
+    once = pairs.groupBy("p", "q").agg(F.min(F.struct("over", "a", "b", "token", "i", "j")).alias("at")).select("at.*") if likeliest else (
+        pairs.groupBy("a", "b").agg(F.min(F.struct("token", "i", "j")).alias("at")).select("a", "b", "at.*"))
+    need = once.select(F.explode(F.array("a", "b")).alias("content"), "token", "i", "j").distinct().join(rows, "content")
+    need = ws.keep(need)
     few = need.count() <= MAX_BROADCAST
-    sets = _sets(docs, need, n, few).select("family", "i", "j", "blk", "content", "label", "tokens")
+    sets = _sets(docs, need, n, few).select("token", "i", "j", "content", "label", "tokens")
 
     def product(table: pa.Table) -> pa.Table:
-        content, label, blk = (table[k].to_numpy() for k in ("content", "label", "blk"))
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        content, label = (table[k].to_numpy() for k in ("content", "label"))
         raw, off = buffers(table["tokens"])
-        tokens = [_unpacked(raw[a:b]) for a, b in zip(off[:-1], off[1:])]
         _, pick = np.unique(content, return_index=True)  # rows that share a doc_id bring the same content twice
-        x, y = pick[blk[pick] == i], pick[blk[pick] == j]
-        skip = label[x][:, None] == label[y][None, :]
-        if i == j:
-            skip |= np.arange(len(x))[:, None] >= np.arange(len(x))[None, :]
-        u, v = np.nonzero(_product([tokens[k] for k in x], [tokens[k] for k in y], skip, percent)) if len(x) and len(y) else ([], [])
+        tokens = [_unpacked(raw[off[k]:off[k + 1]]) for k in pick.tolist()]
+        skip = (label[pick][:, None] == label[pick][None, :]) | (np.arange(len(pick))[:, None] >= np.arange(len(pick))[None, :])
+        u, v = np.nonzero(_product(tokens, tokens, skip, percent))
         root: dict[int, int] = {}
 
         def find(k):
@@ -503,14 +593,14 @@ def _across(lists: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percent:
             return k
 
         out = []
-        for a, b in zip(x[u].tolist() if len(u) else [], y[v].tolist() if len(u) else []):
+        for a, b in zip(pick[u].tolist(), pick[v].tolist()):
             p, q = find(int(label[a])), find(int(label[b]))
             if p != q:
                 root[p] = q
                 out.append((a, b))
         return pa.table({"a": pa.array(content[[a for a, _ in out]], pa.int64()), "b": pa.array(content[[b for _, b in out]], pa.int64())})
 
-    return ws.keep(sets.groupBy("family", "i", "j").applyInArrow(product, "a long, b long"))
+    return ws.keep(sets.groupBy("token", "i", "j").applyInArrow(product, "a long, b long"))
 
 
 def ngram_jaccard(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
@@ -526,7 +616,7 @@ def ngram_jaccard(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFram
     spark = docs.sparkSession
     ws = Workspace(spark, "ngram-join")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    stats = ws.keep(_statistics(docs, n))
+    stats = ws.keep(_statistics(docs, n, percent))
     row = stats.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), F.col("c").alias("content"))
     heavy = spark.sparkContext.broadcast(_heavy(stats))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -540,21 +630,27 @@ def ngram_jaccard(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFram
     pairs = _accumulated(found, lists if n_long else None, percent)
     if n_long:
         pairs = pairs.unionAll(_stars(lists, percent))
-    reps = ws.keep(row.where("n_shingles > 0 and doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("low")))
+    reps = ws.keep(stats.where("kind = 0 and b > 0 and a is not null").groupBy(F.col("c").alias("content")).agg(
+        F.min("a").alias("low"), F.first("b").alias("size"), F.first("p").alias("parities")))
     edges = _linked(pairs, docs, reps, n, percent, ws)
     label = ws.keep(components(edges, ws))
     if n_long:
-        now = lists.join(label.withColumnRenamed("node", "content"), "content", "left")
-        now = ws.keep(now.withColumn("label", F.coalesce("component", "content")).drop("component"))
-        live = now.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
-        more = _across(now.join(live, "token", "left_semi"), docs, reps, n, percent, ws)
-        # components of the components found so far
-        ends = more.join(label.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
-            label.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-        merged = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), ws).select(
-            F.col("node").alias("component"), F.col("component").alias("merged"))
-        known = label.unionAll(merged.select(F.col("component").alias("node"), "component").join(label.select("node"), "node", "left_anti"))
-        label = known.join(merged, "component", "left").select("node", F.coalesce("merged", "component").alias("component"))
+        for likeliest in (True, False):
+            now = lists.join(label.withColumnRenamed("node", "content"), "content", "left")
+            now = ws.keep(now.withColumn("label", F.coalesce("component", "content")).drop("component"))
+            live = now.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
+            lists = now.join(live, "token", "left_semi")
+            if likeliest:  # components only grow: what is live later is live now
+                lists = ws.keep(lists.join(reps.select("content", "low", "parities"), "content"))
+            more = _across(lists, docs, n, percent, likeliest, ws)
+            lists = lists.drop("label")
+            # components of the components found so far
+            ends = more.join(label.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
+                label.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+            merged = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), ws).select(
+                F.col("node").alias("component"), F.col("component").alias("merged"))
+            known = label.unionAll(merged.select(F.col("component").alias("node"), "component").join(label.select("node"), "node", "left_anti"))
+            label = ws.keep(known.join(merged, "component", "left").select("node", F.coalesce("merged", "component").alias("component")))
     classes = reps.join(label.withColumnRenamed("node", "content"), "content", "left").withColumn("component", F.coalesce("component", "content"))
     least = classes.groupBy("component").agg(F.min("low").alias("component_id"))
     classes = classes.join(least, "component").select("content", "component_id")

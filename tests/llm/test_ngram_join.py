@@ -1,6 +1,10 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from foldwise.llm import ngram_join as N
+from foldwise.llm.work import Workspace
 
 
 def brute(rows, n, percent):
@@ -83,3 +87,63 @@ def test_repeated_ids_with_other_texts(spark, docs_of, monkeypatch):
 
 def test_empty(spark, docs_of):
     assert got(N.ngram_jaccard(docs_of([]))) == []
+
+
+def test_lists_that_share_rows_do_not_meet_as_one(spark):
+    entries = [(t, c, 100, 0, c) for t in range(40) for c in range(20 * t, 20 * t + 30)]  # all rows hang together by their lists
+    lists = spark.createDataFrame(entries, "token long, content long, size int, pos int, label long")
+    ws = Workspace(spark, "dealt")
+    assert N._dealt(lists, 85, ws).count() == len(entries)
+    ws.drop()
+
+
+def test_a_very_long_list_meets_in_pairs_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 4)
+    sizes = [50 + k for k in range(60)]
+    lists = spark.createDataFrame([(1, c, s, 0, c) for c, s in enumerate(sizes)], "token long, content long, size int, pos int, label long")
+    ws = Workspace(spark, "dealt")
+    met = {}
+    for r in N._dealt(lists, 85, ws).collect():
+        met.setdefault((r.i, r.j), []).append((r.content, r.blk))
+    ws.drop()
+    together = {frozenset((x, y)) for (i, j), rows in met.items() for x, bx in rows for y, by in rows if x != y and {bx, by} == {i, j}}
+    assert together >= {frozenset((x, y)) for x in range(60) for y in range(x) if 100 * sizes[y] >= 85 * sizes[x]}
+    assert max(len(rows) for rows in met.values()) < 40
+
+
+def test_parities_keep_every_pair_that_reaches_the_threshold():
+    rng = np.random.default_rng(5)
+    for percent in (80, 85):
+        sets, links = [], []
+        for k in range(60):
+            base = rng.integers(0, 1 << 47, rng.integers(1, 900)).astype(np.uint64)
+            near = base.copy()
+            near[:rng.integers(0, len(base) // 8 + 1)] = rng.integers(0, 1 << 47, 1).astype(np.uint64)
+            sets += [np.unique(base), np.unique(near)]
+        size = np.array([len(s) for s in sets])
+        rows = [np.frombuffer(N._parities(s, percent), "<u8") for s in sets]
+        i, j, _ = N._reachable(size, np.zeros(len(sets), int), rows, np.zeros((len(sets),) * 2, bool), percent)
+        found = set(zip(i.tolist(), j.tolist()))
+        for a in range(len(sets)):
+            for b in range(a + 1, len(sets)):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if both and 100 * both >= percent * (size[a] + size[b] - both):
+                    links.append((a, b))
+        assert found >= set(links) and len(found) < len(links) + 60
+
+
+def test_a_list_may_go_on_in_the_next_batch():
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 47, 200).astype(np.uint64)
+    rows = []
+    for token, n in ((1, 5), (2, 1), (3, 4)):
+        rows += [{"token": token, "i": 0, "j": 0, "blk": 0, "content": 10 * token + k, "size": 200, "pos": 0, "label": k // 2,
+                  "parities": N._parities(np.sort(np.concatenate([base[k:], base[:k] ^ np.uint64(1)])), 85)} for k in range(n)]
+    schema = pa.schema([(k, pa.int64()) for k in rows[0] if k != "parities"] + [("parities", pa.binary())])
+    want = {(10 * t + a, 10 * t + b) for t, n in ((1, 5), (3, 4)) for a in range(n) for b in range(a + 1, n) if a // 2 != b // 2}
+    for step in (1, 2, 3, 100):
+        batches = [pa.RecordBatch.from_pylist(rows[k:k + step], schema) for k in range(0, len(rows), step)]
+        got_ = [(r["a"], r["b"]) for b in N._meetings(iter(batches), 85, False) for r in b.to_pylist()]
+        assert set(got_) == want and len(got_) == len(want)
+        forest = [(r["token"], r["p"], r["q"]) for b in N._meetings(iter(batches), 85, True) for r in b.to_pylist()]
+        assert len(forest) == 3 and {t for t, _, _ in forest} == {1, 3}
