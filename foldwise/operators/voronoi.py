@@ -122,11 +122,14 @@ def _nth(i: np.ndarray) -> np.ndarray:
     return np.arange(len(i)) - np.searchsorted(i, i)
 
 
-def _search(q: dict, d: dict, at: np.ndarray, bar: np.ndarray, k: int, views: dict, has_x: bool):
-    """``best_in_block`` of the queries ``at`` against a block, view by view if every fold has its own scaler."""
+def _search(q: dict, d: dict, at: np.ndarray, bar: np.ndarray, k: int, views: dict, has_x: bool, done=None):
+    """``best_in_block`` of the queries ``at`` against a block, view by view if every fold has its own scaler. ``done``: the number of the one
+    view of all queries, and the scaled features of queries and block."""
     parts = []
     for v, view in enumerate(views.values()):
-        own = at if None in views else at[q["view"][at] == v]
+        if done is not None and done[0] != v:
+            continue
+        own = at if None in views or done is not None else at[q["view"][at] == v]
         if not len(own):
             continue
 
@@ -141,7 +144,8 @@ def _search(q: dict, d: dict, at: np.ndarray, bar: np.ndarray, k: int, views: di
                 out = out | apart
             return out
 
-        i, j, d2 = best_in_block(scaled(q["f"][own], view), scaled(d["f"], view), k, skip if has_x or q["hash"] is not None else None, bar[own])
+        f, x = (scaled(q["f"][own], view), scaled(d["f"], view)) if done is None else (done[1][own], done[2])
+        i, j, d2 = best_in_block(f, x, k, skip if has_x or q["hash"] is not None else None, bar[own])
         parts.append((own[i], j, d2))
     return tuple(np.concatenate(p) for p in zip(*parts, strict=True)) if parts else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
 
@@ -430,26 +434,36 @@ class PrunedJoin:
         empty = to_arrow_schema(schema).empty_table()
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
-            out, start = [], 0
+            out = []
             if not left.num_rows or not right.num_rows:
                 return empty
             centers, tables = _bounds(left, dim)
-            size = right["n"].to_numpy()
             rows = [left["rows"].combine_chunks()[b].values for b in range(left.num_rows)]
             pieces, blocks = _decoded(right, left, dim, views)
-            while start < right.num_rows:
-                stop = max(start + 1, start + int(np.searchsorted(np.cumsum(size[start:]), TOGETHER, "right")))
-                some = right.slice(start, stop - start)
-                q = {c: None if pieces[start][c] is None else np.concatenate([p[c] for p in pieces[start:stop]]) for c in pieces[start]}
-                start = stop
-                ids = pa.chunked_array([a.values for a in some["ids"]] or [], type=some["ids"].type.value_type).combine_chunks()
-                bar = np.concatenate([np.frombuffer(v.as_py()) for v in some["bar"]])
+            whole = {c: None if pieces[0][c] is None else np.concatenate([p[c] for p in pieces]) for c in pieces[0]}
+            all_ids = pa.chunked_array([a.values for a in right["ids"]], type=right["ids"].type.value_type).combine_chunks()
+            all_bars = np.concatenate([np.frombuffer(v.as_py()) for v in right["bar"]])
+
+            def chunks():
+                """Queries of one view together: a block is scaled once for all of them and its products are large."""
+                for v, view in enumerate(views.values()):
+                    own = np.arange(len(all_bars)) if None in views else np.flatnonzero(whole["view"] == v)
+                    if len(own):
+                        near = [scaled(d["f"], view) for d in blocks]
+                        for lo in range(0, len(own), TOGETHER):
+                            yield v, view, near, own[lo:lo + TOGETHER]
+
+            for v, view, near, some in chunks():
+                q = {c: None if whole[c] is None else whole[c][some] for c in whole}
+                asked = scaled(q["f"], view)
+                ids = all_ids.take(pa.array(some))
+                bar = all_bars[some]
                 least, slack = _least(q, centers, tables, views)
                 best = np.full((len(bar), k), np.inf)
                 hits = []
                 for c in np.argsort(least.min(0), kind="stable"):
                     at = np.flatnonzero(least[:, c] <= np.sqrt(bar + 10.0 ** -DIST_DIGITS) + slack[:, c])
-                    i, j, d2 = _search(q, blocks[c], at, bar, k, views, has_x)
+                    i, j, d2 = _search(q, blocks[c], at, bar, k, views, has_x, (v, asked, near[c]))
                     ok = d2 <= bar[i]
                     i, j, d2 = i[ok], j[ok], d2[ok]
                     if not len(i):

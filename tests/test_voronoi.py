@@ -75,3 +75,28 @@ def test_fewer_rows_than_neighbours(spark):
     got = rows(NB.knn_join(df, df, 50, block_rows=8))
     assert len(got) == 900 and got == rows(NB.knn_join(df, df, 50, block_rows=100))
     assert NB.knn_join(df, df.where("false"), 2, block_rows=8).count() == 0
+
+
+def test_queries_of_a_fold_are_searched_together(spark):
+    from foldwise.operators import voronoi as V
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (600, 3)) * [1, 10, 100]
+    df = spark.createDataFrame([(i, v.tolist(), f"c{i % 3}", i % 3) for i, v in enumerate(x)], "row_id long, features array<double>, label string, fold int")
+    views = {f: (x[np.arange(600) % 3 != f].min(0), x[np.arange(600) % 3 != f].max(0)) for f in range(3)}
+    join = V.PrunedJoin(df, df, 4, dim=3, n_data=600, exclude_same="fold", block_rows=32, scale_by=views)
+    got = {}
+    for r in join.neighbours().orderBy("query_id", "rank").select("query_id", "data_id").collect():
+        got.setdefault(r.query_id, []).append(r.data_id)
+    for i in range(600):
+        lo, hi = views[i % 3]
+        f = (x - lo) / (hi - lo)
+        d2 = np.round(((f[i] - f) ** 2).sum(1), 9)
+        d2[np.arange(600) % 3 == i % 3] = np.inf
+        assert got[i] == np.lexsort((np.arange(600), d2))[:4].tolist()
+    q = {"f": x[:90], "x": np.arange(90) % 3, "view": np.full(90, 1), "hash": None}
+    d = {"f": x[90:], "x": np.arange(90, 600) % 3, "view": np.full(510, 1), "hash": None}
+    bar = np.full(90, np.inf)
+    once = V._search(q, d, np.arange(90), bar, 4, views, True, (1, V.scaled(q["f"], views[1]), V.scaled(d["f"], views[1])))
+    again = V._search(q, d, np.arange(90), bar, 4, views, True)
+    assert all((a == b).all() for a, b in zip(once, again, strict=True))
